@@ -1,0 +1,37 @@
+"""Size checks that gate broadcast joins.
+
+A side is broadcast only when its row count is known to be under a bound.
+Counting a parquet table (or a projection of it) reads only file footers, so
+the check is one small job; its result is remembered per (session, table
+path), which can only affect which join strategy is picked, never results.
+Beyond the bound the caller uses a shuffle join (and AQE may still turn it
+into a broadcast from the measured shuffle size at runtime).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+# Rows of a projected dimension (a key plus one or two short names) that may
+# be broadcast to every executor.
+BROADCAST_MAX_ROWS = 2_000_000
+
+_row_counts: dict[tuple[int, str], int] = {}
+
+
+def table_rows(spark: SparkSession, path: str) -> int:
+    key = (id(spark), path)
+    if key not in _row_counts:
+        _row_counts[key] = spark.read.parquet(path).count()
+    return _row_counts[key]
+
+
+def broadcastable(spark: SparkSession, *paths: str, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when every table at `paths` has at most `max_rows` rows."""
+    return all(table_rows(spark, p) <= max_rows for p in paths)
+
+
+def maybe_broadcast(df: DataFrame, allowed: bool) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if allowed else df
