@@ -1,0 +1,44 @@
+"""Every named query against its SQL oracle, the way the driver checks them.
+
+sf0.001 always; the sf0.01 run (the driver's own scale) with REELKPI_FULL=1.
+"""
+
+import os
+
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from tests.oracle_compare import compare, duck
+
+SCALES = ["/root/testdata/sf0.001"] + (["/root/testdata/sf0.01"] if os.environ.get("REELKPI_FULL") else [])
+
+
+def test_every_query_has_an_oracle():
+    assert set(oracle_sql()) == set(queries())
+
+
+@pytest.mark.parametrize("sf_dir", SCALES)
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query_matches_oracle(spark, sf_dir, name):
+    r = compare(spark, sf_dir, name, duck(sf_dir))
+    assert r["status"] == "ok", r
+
+
+def test_entry_runs(spark):
+    df = entry(spark)
+    assert df.columns[0] == "belongs_to_collection"
+    assert df.count() == 10
+
+
+@pytest.mark.parametrize("name", ["franchise_flag_stats", "top_franchises", "chart_genre_roi", "clean_pipeline"])
+def test_partition_count_does_not_change_results(spark, name):
+    sf = "/root/testdata/sf0.001"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        one = sorted(map(tuple, queries()[name](spark, sf).collect()), key=repr)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        eight = sorted(map(tuple, queries()[name](spark, sf).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert one == eight
