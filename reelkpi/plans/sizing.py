@@ -22,7 +22,9 @@ _row_counts: dict[tuple[int, str], int] = {}
 def table_rows(spark: SparkSession, path: str) -> int:
     key = (id(spark), path)
     if key not in _row_counts:
-        _row_counts[key] = spark.read.parquet(path).count()
+        from reelkpi.sources.tables import open_table
+
+        _row_counts[key] = open_table(spark, path).count()
     return _row_counts[key]
 
 

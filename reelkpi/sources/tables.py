@@ -1,15 +1,34 @@
-"""Readers for the driver's parquet tables (one file or folder per table)."""
+"""Readers for the driver's parquet tables (one file or folder per table).
+
+Table handles are opened once per (session, path) and reused: listing the
+files and reading the footer schema is driver work that would otherwise be
+repeated by every query. Call `refresh_tables()` after rewriting a table.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+_handles: dict[tuple[int, str], DataFrame] = {}
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def open_table(spark: SparkSession, path: str) -> DataFrame:
+    key = (id(spark), path)
+    if key not in _handles:
+        _handles[key] = spark.read.parquet(path)
+    return _handles[key]
+
+
+def refresh_tables() -> None:
+    """Forget all table handles (the next read lists the files again)."""
+    _handles.clear()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """Parquet table, projected to `columns` up front so the scan reads only those."""
-    df = spark.read.parquet(table_path(sf_dir, name))
+    df = open_table(spark, table_path(sf_dir, name))
     return df.select(*columns) if columns else df
