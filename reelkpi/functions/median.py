@@ -62,6 +62,12 @@ def _key_alias(i: int) -> str:
     return f"_mk{i}"
 
 
+def _same(a: Column, b: Column, nullable: bool) -> Column:
+    """Key equality; null-safe only where a key can be null (a plain equality
+    keeps the join on the aggregate's own hash partitioning)."""
+    return a.eqNullSafe(b) if nullable else a == b
+
+
 def grouped_median(
     df: DataFrame,
     keys: Sequence[str | Column],
@@ -83,13 +89,14 @@ def grouped_median(
         .withColumn("_b", value_bucket(F.col("_v")))
     )
 
-    # 1-2: bucket histogram, group size and the buckets holding the middle ranks.
-    group = Window.partitionBy(*knames)
-    upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # 1-2: bucket histogram, group size and the buckets holding the middle ranks
+    # (one window spec for both sums, so one sort).
+    by_bucket = Window.partitionBy(*knames).orderBy("_b")
+    upto = by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     hist = (
         x.groupBy(*knames, "_b").agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_n", F.sum("_c").over(group))
-        .withColumn("_cum", F.sum("_c").over(upto))
+        .withColumns({"_n": F.sum("_c").over(whole), "_cum": F.sum("_c").over(upto)})
         # 1-based ranks of the lower and upper middle value
         .withColumn("_rlo", F.floor((F.col("_n") + 1) / 2))
         .withColumn("_rhi", F.floor(F.col("_n") / 2) + 1)
@@ -105,7 +112,7 @@ def grouped_median(
     # 3: exact ranks inside the target buckets only.
     t = targets.select(*[F.col(n).alias("t" + n) for n in knames], F.col("_b").alias("t_b"),
                        "_below", "_n", "_rlo", "_rhi")
-    cond = [x[n].eqNullSafe(t["t" + n]) for n in knames] + [x["_b"] == t["t_b"]]
+    cond = [_same(x[n], t["t" + n], x.schema[n].nullable) for n in knames] + [x["_b"] == t["t_b"]]
     cand = x.join(t, cond, "inner").select(*knames, "_b", "_v", "_below", "_n", "_rlo", "_rhi")
     in_bucket = Window.partitionBy(*knames, "_b").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -141,6 +148,6 @@ def attach_median(
     Keys are matched null-safely, so a null group key keeps its median.
     """
     med = grouped_median(df, keys, value, alias)
-    cond = [agg[k].eqNullSafe(med[_key_alias(i)]) for i, k in enumerate(keys)]
+    cond = [_same(agg[k], med[_key_alias(i)], agg.schema[k].nullable) for i, k in enumerate(keys)]
     out = agg.join(med, cond, "left")
     return out.drop(*[_key_alias(i) for i in range(len(keys))])
