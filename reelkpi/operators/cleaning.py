@@ -98,3 +98,16 @@ def clean_films(raw: DataFrame) -> DataFrame:
         .transform(add_kpis)
         .transform(final_projection)
     )
+
+
+def row_count(df: DataFrame) -> DataFrame:
+    """Number of rows as a one-row DataFrame (`rows`); counts per task, one merge."""
+    return df.agg(F.count(F.lit(1)).alias("rows"))
+
+
+PREVIEW_COLS = ["title", "release_date", "revenue_musd", "roi"]
+
+
+def preview(df: DataFrame, n: int = 5, columns: list[str] = PREVIEW_COLS) -> DataFrame:
+    """The first `n` films by id, a few columns (a top-n, no full sort)."""
+    return df.orderBy(F.col("id").asc()).limit(n).select(*columns)

@@ -169,6 +169,9 @@ FROM films
     q["clean_released"] = _with("SELECT id, title, status FROM films WHERE status = 'Released'")
     q["clean_kpis"] = _with("SELECT id, profit, roi FROM films_kpi")
     q["clean_pipeline"] = _with(f"SELECT {CLEAN_COLS} FROM clean")
+    q["clean_row_count"] = _with("SELECT CAST(count(*) AS BIGINT) AS \"rows\" FROM clean")
+    q["clean_preview"] = _with(
+        "SELECT title, release_date, revenue_musd, roi FROM clean ORDER BY id ASC LIMIT 5")
 
     # --- sources and sinks (round trips must give the same rows) ------------
     q["source_raw_json"] = q["clean_pipeline"]

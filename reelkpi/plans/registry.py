@@ -26,7 +26,9 @@ from reelkpi.operators.cleaning import (
     dates_and_text,
     drop_irrelevant_columns,
     flatten_nested,
+    preview,
     released_only,
+    row_count,
 )
 from reelkpi.plans.oracle_sql import SEARCH2_CAST, SEARCH2_DIRECTOR, SEARCH_CAST, SEARCH_GENRES
 from reelkpi.session import scratch_path
@@ -111,6 +113,14 @@ def q_clean_pipeline(spark, sf_dir):
     return clean_table(spark, sf_dir)
 
 
+def q_clean_row_count(spark, sf_dir):
+    return row_count(clean_table(spark, sf_dir))
+
+
+def q_clean_preview(spark, sf_dir):
+    return preview(clean_table(spark, sf_dir))
+
+
 # --- sources and sinks -------------------------------------------------------
 
 def _landed_json(spark, sf_dir) -> str:
@@ -182,6 +192,8 @@ QUERIES: dict[str, Query] = {
     "clean_released": q_clean_released,
     "clean_kpis": q_clean_kpis,
     "clean_pipeline": q_clean_pipeline,
+    "clean_row_count": q_clean_row_count,
+    "clean_preview": q_clean_preview,
     "source_raw_json": q_source_raw_json,
     "sink_raw_json": q_sink_raw_json,
     "sink_clean_csv": q_sink_clean_csv,
