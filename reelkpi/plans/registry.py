@@ -31,7 +31,7 @@ from reelkpi.operators.cleaning import (
     row_count,
 )
 from reelkpi.plans.oracle_sql import SEARCH2_CAST, SEARCH2_DIRECTOR, SEARCH_CAST, SEARCH_GENRES
-from reelkpi.session import scratch_path
+from reelkpi.session import scratch_path, session_key
 from reelkpi.sources.fixture import films_from_tables
 from reelkpi.sources.landing import (
     CSV_NULL,
@@ -50,11 +50,11 @@ FLAT_NESTED_COLS = ["id", "belongs_to_collection", "genres", "production_countri
 
 
 # Raw film table and clean plan per (session, folder).
-_plans: dict[tuple[int, str, str], DataFrame] = {}
+_plans: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _plan(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (id(spark), sf_dir, kind)
+    key = (session_key(spark), sf_dir, kind)
     if key not in _plans:
         _plans[key] = build()
     return _plans[key]

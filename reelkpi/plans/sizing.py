@@ -12,15 +12,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelkpi.session import session_key
+
 # Rows of a projected dimension (a key plus one or two short names) that may
 # be broadcast to every executor.
 BROADCAST_MAX_ROWS = 2_000_000
 
-_row_counts: dict[tuple[int, str], int] = {}
+_row_counts: dict[tuple[str, str], int] = {}
 
 
 def table_rows(spark: SparkSession, path: str) -> int:
-    key = (id(spark), path)
+    key = (session_key(spark), path)
     if key not in _row_counts:
         from reelkpi.sources.tables import open_table
 

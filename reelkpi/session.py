@@ -60,6 +60,11 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return fallback
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of a live session (a new or restarted session never reuses it)."""
+    return spark._jsparkSession.sessionUUID()
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder for tables this library writes: below the cluster's checkpoint
     folder, else below the SQL warehouse (both are shared by all executors)."""

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-_handles: dict[tuple[int, str], DataFrame] = {}
+from reelkpi.session import session_key
+
+_handles: dict[tuple[str, str], DataFrame] = {}
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -17,7 +19,7 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def open_table(spark: SparkSession, path: str) -> DataFrame:
-    key = (id(spark), path)
+    key = (session_key(spark), path)
     if key not in _handles:
         _handles[key] = spark.read.parquet(path)
     return _handles[key]
