@@ -68,56 +68,35 @@ def _same(a: Column, b: Column, nullable: bool) -> Column:
     return a.eqNullSafe(b) if nullable else a == b
 
 
-def grouped_median(
-    df: DataFrame,
-    keys: Sequence[str | Column],
-    value: str | Column,
-    alias: str = "median",
-) -> DataFrame:
-    """Exact median of `value` per group of `keys`: columns `_mk0.._mkN`, `alias`.
-
-    The key columns come back under positional names so callers can join them
-    null-safely to their own aggregate (see `attach_median`).
-    """
-    key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    knames = [_key_alias(i) for i in range(len(key_cols))]
-    vcol = F.col(value) if isinstance(value, str) else value
-
-    x = (
-        df.select(*[c.alias(n) for c, n in zip(key_cols, knames)], vcol.cast("double").alias("_v"))
-        .where(F.col("_v").isNotNull())
-        .withColumn("_b", value_bucket(F.col("_v")))
-    )
-
-    # 1-2: bucket histogram, group size and the buckets holding the middle ranks
+def _histogram_and_pick(x: DataFrame, hist: DataFrame, knames: list[str], alias: str) -> DataFrame:
+    """Steps 2-4 on a (group, bucket) histogram `hist` (`_c` rows per bucket)
+    and the non-null values `x` (`_v`, `_b`): one row per group with `alias`."""
+    # 2: group size and the buckets holding the middle ranks
     # (one window spec for both sums, so one sort).
     by_bucket = Window.partitionBy(*knames).orderBy("_b")
     upto = by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    hist = (
-        x.groupBy(*knames, "_b").agg(F.count(F.lit(1)).alias("_c"))
-        .withColumns({"_n": F.sum("_c").over(whole), "_cum": F.sum("_c").over(upto)})
+    ranked_buckets = (
+        hist.withColumns({"_n": F.sum("_c").over(whole), "_cum": F.sum("_c").over(upto)})
         # 1-based ranks of the lower and upper middle value
         .withColumn("_rlo", F.floor((F.col("_n") + 1) / 2))
         .withColumn("_rhi", F.floor(F.col("_n") / 2) + 1)
     )
-    targets = hist.where(
+    targets = ranked_buckets.where(
         (F.col("_cum") >= F.col("_rlo")) & (F.col("_cum") - F.col("_c") < F.col("_rhi"))
     ).select(
-        *knames, "_b",
-        (F.col("_cum") - F.col("_c")).alias("_below"),
-        "_n", "_rlo", "_rhi",
+        *[F.col(n).alias("t" + n) for n in knames], F.col("_b").alias("t_b"),
+        (F.col("_cum") - F.col("_c")).alias("_below"), "_rlo", "_rhi",
     )
 
     # 3: exact ranks inside the target buckets only.
-    t = targets.select(*[F.col(n).alias("t" + n) for n in knames], F.col("_b").alias("t_b"),
-                       "_below", "_n", "_rlo", "_rhi")
-    cond = [_same(x[n], t["t" + n], x.schema[n].nullable) for n in knames] + [x["_b"] == t["t_b"]]
-    cand = x.join(t, cond, "inner").select(*knames, "_b", "_v", "_below", "_n", "_rlo", "_rhi")
+    cond = [_same(x[n], targets["t" + n], x.schema[n].nullable) for n in knames]
+    cand = x.join(targets, cond + [x["_b"] == targets["t_b"]], "inner").select(
+        *knames, "_b", "_v", "_below", "_rlo", "_rhi")
     in_bucket = Window.partitionBy(*knames, "_b").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     ranked = (
-        cand.groupBy(*knames, "_b", "_v", "_below", "_n", "_rlo", "_rhi")
+        cand.groupBy(*knames, "_b", "_v", "_below", "_rlo", "_rhi")
         .agg(F.count(F.lit(1)).alias("_c"))
         .withColumn("_last", F.col("_below") + F.sum("_c").over(in_bucket))
         .withColumn("_first", F.col("_last") - F.col("_c") + 1)
@@ -127,7 +106,7 @@ def grouped_median(
         return (F.col("_first") <= F.col(rank)) & (F.col(rank) <= F.col("_last"))
 
     # 4: pick the middle values and interpolate as Spark's percentile does.
-    picked = ranked.groupBy(*knames).agg(
+    picked = ranked.where(holds("_rlo") | holds("_rhi")).groupBy(*knames).agg(
         F.max(F.when(holds("_rlo"), F.col("_v"))).alias("_lo"),
         F.max(F.when(holds("_rhi"), F.col("_v"))).alias("_hi"),
     )
@@ -136,6 +115,80 @@ def grouped_median(
     return picked.select(*knames, med.alias(alias))
 
 
+def _keyed(df: DataFrame, keys: Sequence[str | Column], value: str | Column, *extra: Column):
+    key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
+    knames = [_key_alias(i) for i in range(len(key_cols))]
+    vcol = F.col(value) if isinstance(value, str) else value
+    x = df.select(*[c.alias(n) for c, n in zip(key_cols, knames)], vcol.cast("double").alias("_v"), *extra)
+    return x.withColumn("_b", F.when(F.col("_v").isNotNull(), value_bucket(F.col("_v")))), knames
+
+
+def grouped_median(
+    df: DataFrame,
+    keys: Sequence[str | Column],
+    value: str | Column,
+    alias: str = "median",
+) -> DataFrame:
+    """Exact median of `value` per group of `keys`: columns `_mk0.._mkN`, `alias`.
+
+    The key columns come back under positional names so callers can join them
+    null-safely to their own aggregate (see `attach_median`). Only groups with
+    at least one non-null value have a row.
+    """
+    x, knames = _keyed(df, keys, value)
+    x = x.where(F.col("_v").isNotNull())
+    # 1: bucket histogram (partial aggregation first)
+    hist = x.groupBy(*knames, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    return _histogram_and_pick(x, hist, knames, alias)
+
+
+def summarize_with_median(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    median_alias: str,
+    counts: dict[str, str] | None = None,
+    sums: dict[str, str] | None = None,
+    means: dict[str, str] | None = None,
+) -> DataFrame:
+    """One row per group of `keys`: `count(col)`, `sum(col)` and `avg(col)` for
+    the given {alias: column} maps plus the exact median of `value`.
+
+    The counts, sums and means are computed as partial aggregates in the same
+    pass as the median's bucket histogram and rolled up per group, so the
+    input is read twice (histogram, then the values of the middle buckets)
+    instead of three times. Every group appears, also one whose `value` is
+    always null (median null).
+    """
+    counts, sums, means = counts or {}, sums or {}, means or {}
+    metrics = {c for c in [*counts.values(), *sums.values(), *means.values()]}
+    mcols = {c: f"_m{i}" for i, c in enumerate(sorted(metrics))}
+    x, knames = _keyed(df, keys, value, *[F.col(c).alias(m) for c, m in mcols.items()])
+
+    partial = [F.count("_v").alias("_c")]
+    for c, m in mcols.items():
+        partial += [F.count(m).alias(f"{m}_n"), F.sum(m).alias(f"{m}_s")]
+    # 1: one pass: value histogram per (group, bucket) and the report's partial
+    # aggregates; rows with a null value land in the null bucket.
+    hist = x.groupBy(*knames, "_b").agg(*partial)
+
+    rolled = [F.sum(f"{mcols[c]}_n").alias(a) for a, c in counts.items()]
+    rolled += [F.sum(f"{mcols[c]}_s").alias(a) for a, c in sums.items()]
+    rolled += [F.try_divide(F.sum(f"{mcols[c]}_s"), F.sum(f"{mcols[c]}_n")).alias(a)
+               for a, c in means.items()]
+    summary = hist.groupBy(*knames).agg(*rolled) if rolled else hist.select(*knames).distinct()
+
+    med = _histogram_and_pick(
+        x.where(F.col("_v").isNotNull()),
+        hist.where(F.col("_b").isNotNull()).select(*knames, "_b", "_c"),
+        knames, median_alias)
+    med = med.select(*[F.col(n).alias("r" + n) for n in knames], median_alias)
+    cond = [_same(summary[n], med["r" + n], summary.schema[n].nullable) for n in knames]
+    return summary.join(med, cond, "left").select(
+        *[F.col(n).alias(k) for n, k in zip(knames, keys)],
+        *[F.col(a) for a in [*counts, *sums, *means]], F.col(median_alias))
+
+
 def attach_median(
     agg: DataFrame,
     df: DataFrame,

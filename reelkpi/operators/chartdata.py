@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelkpi.functions.columns import split_names
-from reelkpi.functions.median import attach_median
+from reelkpi.functions.median import summarize_with_median
 from reelkpi.operators.reports import FRANCHISE, STANDALONE
 
 SCATTER_COLS = ["title", "budget_musd", "revenue_musd", "popularity", "vote_average"]
@@ -34,9 +34,8 @@ def yearly_trends(df: DataFrame) -> DataFrame:
 def genre_roi(df: DataFrame) -> DataFrame:
     """V2: median ROI per genre ('|'-split; '' genres form their own group)."""
     exploded = df.select(F.explode(split_names("genres")).alias("genre"), "roi")
-    genres = exploded.select("genre").distinct()
     return (
-        attach_median(genres, exploded, ["genre"], "roi", "median_roi")
+        summarize_with_median(exploded, ["genre"], "roi", "median_roi")
         .orderBy(F.col("median_roi").desc_nulls_last(), F.col("genre").asc())
     )
 

@@ -2,8 +2,9 @@
 
 Counts, sums and means aggregate partially before the shuffle, so a hot group
 (one collection, one director, "standalone") costs one row per task on the
-wire. Medians use `attach_median`, which is exact without gathering a group's
-values in one task. Top-n reports order by the rounded output column, then by
+wire. Medians use `summarize_with_median`, which is exact without gathering a
+group's values in one task and computes the report's other aggregates in the
+same pass. Top-n reports order by the rounded output column, then by
 the group key, and keep the `limit` in the plan (`TakeOrderedAndProject`).
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelkpi.functions.columns import round2, split_names
-from reelkpi.functions.median import attach_median
+from reelkpi.functions.median import summarize_with_median
 
 FRANCHISE, STANDALONE = "Franchise", "Standalone"
 
@@ -25,14 +26,11 @@ def _in_franchise(df: DataFrame):
 def franchise_flag_stats(df: DataFrame) -> DataFrame:
     """G1: franchise (collection set) vs standalone, raw numbers."""
     flagged = df.withColumn("is_franchise", _in_franchise(df))
-    agg = flagged.groupBy("is_franchise").agg(
-        F.count("id").alias("count"),
-        F.avg("revenue_musd").alias("avg_revenue"),
-        F.avg("budget_musd").alias("avg_budget"),
-        F.avg("popularity").alias("avg_popularity"),
-        F.avg("vote_average").alias("avg_rating"),
-    )
-    out = attach_median(agg, flagged, ["is_franchise"], "roi", "median_roi")
+    out = summarize_with_median(
+        flagged, ["is_franchise"], "roi", "median_roi",
+        counts={"count": "id"},
+        means={"avg_revenue": "revenue_musd", "avg_budget": "budget_musd",
+               "avg_popularity": "popularity", "avg_rating": "vote_average"})
     return out.select("is_franchise", "count", "avg_revenue", "median_roi",
                       "avg_budget", "avg_popularity", "avg_rating")
 
@@ -53,16 +51,15 @@ def franchise_comparison(df: DataFrame) -> DataFrame:
     """G3: 'Franchise' vs 'Standalone', means and median ROI rounded to 2 places."""
     labelled = df.withColumn(
         "category", F.when(_in_franchise(df), F.lit(FRANCHISE)).otherwise(F.lit(STANDALONE)))
-    agg = labelled.groupBy("category").agg(
-        F.count("title").alias("movie_count"),
-        round2(F.avg("revenue_musd")).alias("revenue_musd"),
-        round2(F.avg("budget_musd")).alias("budget_musd"),
-        round2(F.avg("popularity")).alias("popularity"),
-        round2(F.avg("vote_average")).alias("vote_average"),
-    )
-    out = attach_median(agg, labelled, ["category"], "roi", "_median_roi")
-    return out.select("category", "movie_count", "revenue_musd",
-                      round2("_median_roi").alias("roi"), "budget_musd", "popularity", "vote_average")
+    out = summarize_with_median(
+        labelled, ["category"], "roi", "_median_roi",
+        counts={"movie_count": "title"},
+        means={"_revenue": "revenue_musd", "_budget": "budget_musd",
+               "_popularity": "popularity", "_rating": "vote_average"})
+    return out.select(
+        "category", "movie_count", round2("_revenue").alias("revenue_musd"),
+        round2("_median_roi").alias("roi"), round2("_budget").alias("budget_musd"),
+        round2("_popularity").alias("popularity"), round2("_rating").alias("vote_average"))
 
 
 def _collections(df: DataFrame) -> DataFrame:
@@ -71,16 +68,13 @@ def _collections(df: DataFrame) -> DataFrame:
 
 def top_franchises(df: DataFrame, n: int = 5) -> DataFrame:
     """Collections by total revenue (rounded), with median ROI and mean rating."""
-    coll = _collections(df)
-    agg = coll.groupBy("belongs_to_collection").agg(
-        F.count("title").alias("title_count"),
-        round2(F.sum("revenue_musd")).alias("revenue_musd"),
-        round2(F.avg("vote_average")).alias("vote_average"),
-    )
-    out = attach_median(agg, coll, ["belongs_to_collection"], "roi", "_median_roi")
+    out = summarize_with_median(
+        _collections(df), ["belongs_to_collection"], "roi", "_median_roi",
+        counts={"title_count": "title"}, sums={"_revenue": "revenue_musd"},
+        means={"_rating": "vote_average"})
     return (
-        out.select("belongs_to_collection", "title_count", "revenue_musd",
-                   round2("_median_roi").alias("roi"), "vote_average")
+        out.select("belongs_to_collection", "title_count", round2("_revenue").alias("revenue_musd"),
+                   round2("_median_roi").alias("roi"), round2("_rating").alias("vote_average"))
         .orderBy(F.col("revenue_musd").desc(), F.col("belongs_to_collection").asc())
         .limit(n)
     )

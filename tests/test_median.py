@@ -70,3 +70,24 @@ def test_hot_group_never_gathered(spark):
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 10, 11])
 def test_sizes(spark, n):
     _compare(spark, [("g", float(i * i)) for i in range(n)])
+
+
+def test_summarize_with_median_matches_plain_aggregates(spark):
+    from reelkpi.functions.median import summarize_with_median
+
+    rnd = random.Random(11)
+    rows = []
+    for i in range(3000):
+        g = rnd.choice(["a", "b", None, "hot", "hot", "hot"])
+        v = None if rnd.random() < 0.1 else rnd.choice([0.25, 0.5, 1.0, 2.0, 3.75, -1.5, 8.0])
+        w = None if rnd.random() < 0.2 else float(rnd.randint(0, 40)) / 4
+        rows.append((g, i, v, w))
+    rows += [("allnull", 1, None, 1.0), ("allnull", 2, None, None)]
+    df = spark.createDataFrame(rows, "g string, id long, v double, w double")
+    got = summarize_with_median(df, ["g"], "v", "med", counts={"n": "id", "nv": "v"},
+                                sums={"sw": "w"}, means={"aw": "w", "av": "v"})
+    want = df.groupBy("g").agg(F.count("id").alias("n"), F.count("v").alias("nv"), F.sum("w").alias("sw"),
+                               F.avg("w").alias("aw"), F.avg("v").alias("av"), F.median("v").alias("med"))
+    assert got.columns == ["g", "n", "nv", "sw", "aw", "av", "med"]
+    norm = lambda d: sorted((tuple(r) for r in d.select(*want.columns).collect()), key=repr)
+    assert norm(got) == norm(want)
