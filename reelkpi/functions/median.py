@@ -154,39 +154,83 @@ def summarize_with_median(
     """One row per group of `keys`: `count(col)`, `sum(col)` and `avg(col)` for
     the given {alias: column} maps plus the exact median of `value`.
 
-    The counts, sums and means are computed as partial aggregates in the same
-    pass as the median's bucket histogram and rolled up per group, so the
-    input is read twice (histogram, then the values of the middle buckets)
-    instead of three times. Every group appears, also one whose `value` is
-    always null (median null).
+    The counts, sums and means are partial aggregates of the median's bucket
+    histogram pass; window sums over a group's buckets give the group totals,
+    which travel with the median's middle buckets to the result. Both uses of
+    the histogram need the same columns, so Spark computes it once (a reused
+    exchange) and the input is scanned twice (histogram, then the values of
+    the middle buckets) instead of three times. Every group appears, also one
+    whose `value` is always null (median null).
     """
     counts, sums, means = counts or {}, sums or {}, means or {}
     metrics = {c for c in [*counts.values(), *sums.values(), *means.values()]}
     mcols = {c: f"_m{i}" for i, c in enumerate(sorted(metrics))}
     x, knames = _keyed(df, keys, value, *[F.col(c).alias(m) for c, m in mcols.items()])
 
+    counted = set(counts.values()) | set(means.values())
+    summed = set(sums.values()) | set(means.values())
+    parts = [f"{mcols[c]}_n" for c in sorted(counted)] + [f"{mcols[c]}_s" for c in sorted(summed)]
     partial = [F.count("_v").alias("_c")]
-    for c, m in mcols.items():
-        partial += [F.count(m).alias(f"{m}_n"), F.sum(m).alias(f"{m}_s")]
+    partial += [F.count(mcols[c]).alias(f"{mcols[c]}_n") for c in sorted(counted)]
+    partial += [F.sum(mcols[c]).alias(f"{mcols[c]}_s") for c in sorted(summed)]
     # 1: one pass: value histogram per (group, bucket) and the report's partial
-    # aggregates; rows with a null value land in the null bucket.
+    # aggregates; rows with a null value land in the null bucket (sorted first).
     hist = x.groupBy(*knames, "_b").agg(*partial)
 
-    rolled = [F.sum(f"{mcols[c]}_n").alias(a) for a, c in counts.items()]
-    rolled += [F.sum(f"{mcols[c]}_s").alias(a) for a, c in sums.items()]
-    rolled += [F.try_divide(F.sum(f"{mcols[c]}_s"), F.sum(f"{mcols[c]}_n")).alias(a)
-               for a, c in means.items()]
-    summary = hist.groupBy(*knames).agg(*rolled) if rolled else hist.select(*knames).distinct()
-
-    med = _histogram_and_pick(
-        x.where(F.col("_v").isNotNull()),
-        hist.where(F.col("_b").isNotNull()).select(*knames, "_b", "_c"),
-        knames, median_alias)
-    med = med.select(*[F.col(n).alias("r" + n) for n in knames], median_alias)
-    cond = [_same(summary[n], med["r" + n], summary.schema[n].nullable) for n in knames]
-    return summary.join(med, cond, "left").select(
-        *[F.col(n).alias(k) for n, k in zip(knames, keys)],
-        *[F.col(a) for a in [*counts, *sums, *means]], F.col(median_alias))
+    # 2: per group (one window spec, one sort): size, running count, totals.
+    by_bucket = Window.partitionBy(*knames).orderBy(F.col("_b").asc_nulls_first())
+    upto = by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    totals = {f"_t{p}": F.sum(p).over(whole) for p in parts}
+    w = (
+        hist.withColumns({"_n": F.sum("_c").over(whole), "_cum": F.sum("_c").over(upto), **totals})
+        .withColumn("_rlo", F.floor((F.col("_n") + 1) / 2))
+        .withColumn("_rhi", F.floor(F.col("_n") / 2) + 1)
+    )
+    tcols = list(totals)
+    is_target = (F.col("_b").isNotNull() & (F.col("_cum") >= F.col("_rlo"))
+                 & (F.col("_cum") - F.col("_c") < F.col("_rhi")))
+    targets = w.where(is_target | (F.col("_n") == 0)).select(
+        *[F.col(n).alias("t" + n) for n in knames], F.col("_b").alias("t_b"),
+        (F.col("_cum") - F.col("_c")).alias("_below"), "_n", "_rlo", "_rhi", *tcols)
+
+    # 3: exact ranks inside the target buckets (groups without values have none).
+    xv = x.where(F.col("_v").isNotNull())
+    cond = [_same(xv[n], targets["t" + n], xv.schema[n].nullable) for n in knames]
+    cand = xv.join(targets.where(F.col("_n") > 0), cond + [xv["_b"] == targets["t_b"]], "inner").select(
+        *knames, "_b", "_v", "_below", "_rlo", "_rhi", *tcols)
+    in_bucket = Window.partitionBy(*knames, "_b").orderBy("_v").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = (
+        cand.groupBy(*knames, "_b", "_v", "_below", "_rlo", "_rhi", *tcols)
+        .agg(F.count(F.lit(1)).alias("_c"))
+        .withColumn("_last", F.col("_below") + F.sum("_c").over(in_bucket))
+        .withColumn("_first", F.col("_last") - F.col("_c") + 1)
+    )
+
+    def holds(rank: str) -> Column:
+        return (F.col("_first") <= F.col(rank)) & (F.col(rank) <= F.col("_last"))
+
+    # 4: middle values (Spark's interpolation), with the group totals carried along.
+    picked = ranked.where(holds("_rlo") | holds("_rhi")).groupBy(*knames, *tcols).agg(
+        F.max(F.when(holds("_rlo"), F.col("_v"))).alias("_lo"),
+        F.max(F.when(holds("_rhi"), F.col("_v"))).alias("_hi"),
+    )
+    lo, hi = F.col("_lo"), F.col("_hi")
+    with_values = picked.select(
+        *knames, *tcols, F.when(lo == hi, lo).otherwise(F.lit(0.5) * lo + F.lit(0.5) * hi).alias("_med"))
+    no_values = targets.where(F.col("_n") == 0).select(
+        *[F.col("t" + n).alias(n) for n in knames], *tcols, F.lit(None).cast("double").alias("_med"))
+    both = with_values.unionByName(no_values)
+
+    def total(c: str, kind: str) -> Column:
+        return F.col(f"_t{mcols[c]}_{kind}")
+
+    out = [total(c, "n").alias(a) for a, c in counts.items()]
+    out += [total(c, "s").alias(a) for a, c in sums.items()]
+    out += [F.try_divide(total(c, "s"), total(c, "n")).alias(a) for a, c in means.items()]
+    return both.select(*[F.col(n).alias(k) for n, k in zip(knames, keys)], *out,
+                       F.col("_med").alias(median_alias))
 
 
 def attach_median(

@@ -67,3 +67,16 @@ def test_fixture_broadcasts_checked_dimensions_and_shuffles_lines_once(spark):
     assert "BroadcastHashJoin" in plan
     line_shuffles = [s for s in inspect.shuffles(plan) if "l_orderkey" in s]
     assert len(line_shuffles) == 1
+
+
+def test_median_report_computes_histogram_once(spark, clean_parquet):
+    """Totals and the median share one histogram exchange: the input is scanned twice, not three times."""
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # static plan shows the reuse
+    try:
+        for df in (reports.franchise_flag_stats(clean_parquet), reports.top_franchises(clean_parquet)):
+            plan = inspect.physical_plan(df)
+            assert "ReusedExchange" in plan
+            assert plan.count("FileScan parquet") == 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
