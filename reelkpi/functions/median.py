@@ -58,6 +58,18 @@ def value_bucket(v: Column) -> Column:
     )
 
 
+def value_sub_bucket(v: Column, bits: int = 16) -> Column:
+    """The next `bits` mantissa bits below `value_bucket`'s: order-preserving
+    among values that share a `value_bucket` code (negative values reversed)."""
+    a = F.abs(v)
+    e = F.floor(F.least(F.greatest(F.log2(a), F.lit(-float(_EXP_BIAS))), F.lit(float(_EXP_BIAS))))
+    m = F.least(F.greatest(a / F.pow(F.lit(2.0), e), F.lit(1.0)), F.lit(2.0))
+    scaled = (m - F.lit(1.0)) * F.lit(_SUB_SCALE)
+    sub = F.floor((scaled - F.floor(scaled)) * F.lit(float(1 << bits)))
+    return (F.when(F.isnan(v) | (v == 0), F.lit(0))
+            .when(v > 0, sub).otherwise(-sub).cast("long"))
+
+
 def _key_alias(i: int) -> str:
     return f"_mk{i}"
 
@@ -68,6 +80,56 @@ def _same(a: Column, b: Column, nullable: bool) -> Column:
     return a.eqNullSafe(b) if nullable else a == b
 
 
+def _pick_middle(xv: DataFrame, targets: DataFrame, knames: list[str], carry: list[str]) -> DataFrame:
+    """Steps 3-4: the values at ranks `_rlo` / `_rhi` inside the target buckets.
+
+    `targets` has `t<key>`, `t_b`, `_below`, `_rlo`, `_rhi` and the `carry`
+    columns. The candidate values are counted per distinct value (partial
+    aggregation, spread by value), then ranked in two levels: a running count
+    over 16-bit sub-buckets of the target bucket finds the sub-bucket holding
+    each middle rank, and only that sub-bucket's distinct values are ranked
+    exactly. No task sees more than one sub-bucket's distinct values.
+    Returns one row per group: keys, `carry`, `_med`.
+    """
+    cond = [_same(xv[n], targets["t" + n], xv.schema[n].nullable) for n in knames]
+    info = ["_below", "_rlo", "_rhi", *carry]
+    vals = (
+        xv.join(targets, cond + [xv["_b"] == targets["t_b"]], "inner")
+        .select(*knames, "_b", "_v", *info)
+        .withColumn("_b2", value_sub_bucket(F.col("_v")))
+        .groupBy(*knames, "_b", "_b2", "_v", *info).agg(F.count(F.lit(1)).alias("_c"))
+    )
+    by_sub = Window.partitionBy(*knames, "_b").orderBy("_b2").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    subs = (
+        vals.groupBy(*knames, "_b", "_b2", *info).agg(F.sum("_c").alias("_cs"))
+        .withColumn("_cum", F.col("_below") + F.sum("_cs").over(by_sub))
+        .where((F.col("_cum") >= F.col("_rlo")) & (F.col("_cum") - F.col("_cs") < F.col("_rhi")))
+        .select(*[F.col(n).alias("s" + n) for n in knames], F.col("_b").alias("s_b"),
+                F.col("_b2").alias("s_b2"), (F.col("_cum") - F.col("_cs")).alias("_below2"))
+    )
+    scond = [_same(vals[n], subs["s" + n], vals.schema[n].nullable) for n in knames]
+    in_sub = Window.partitionBy(*knames, "_b", "_b2").orderBy("_v").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = (
+        vals.join(subs, scond + [vals["_b"] == subs["s_b"], vals["_b2"] == subs["s_b2"]], "inner")
+        .withColumn("_last", F.col("_below2") + F.sum("_c").over(in_sub))
+        .withColumn("_first", F.col("_last") - F.col("_c") + 1)
+    )
+
+    def holds(rank: str) -> Column:
+        return (F.col("_first") <= F.col(rank)) & (F.col(rank) <= F.col("_last"))
+
+    # the middle values, interpolated as Spark's percentile does
+    picked = ranked.where(holds("_rlo") | holds("_rhi")).groupBy(*knames, *carry).agg(
+        F.max(F.when(holds("_rlo"), F.col("_v"))).alias("_lo"),
+        F.max(F.when(holds("_rhi"), F.col("_v"))).alias("_hi"),
+    )
+    lo, hi = F.col("_lo"), F.col("_hi")
+    return picked.select(*knames, *carry,
+                         F.when(lo == hi, lo).otherwise(F.lit(0.5) * lo + F.lit(0.5) * hi).alias("_med"))
+
+
 def _histogram_and_pick(x: DataFrame, hist: DataFrame, knames: list[str], alias: str) -> DataFrame:
     """Steps 2-4 on a (group, bucket) histogram `hist` (`_c` rows per bucket)
     and the non-null values `x` (`_v`, `_b`): one row per group with `alias`."""
@@ -89,30 +151,8 @@ def _histogram_and_pick(x: DataFrame, hist: DataFrame, knames: list[str], alias:
         (F.col("_cum") - F.col("_c")).alias("_below"), "_rlo", "_rhi",
     )
 
-    # 3: exact ranks inside the target buckets only.
-    cond = [_same(x[n], targets["t" + n], x.schema[n].nullable) for n in knames]
-    cand = x.join(targets, cond + [x["_b"] == targets["t_b"]], "inner").select(
-        *knames, "_b", "_v", "_below", "_rlo", "_rhi")
-    in_bucket = Window.partitionBy(*knames, "_b").orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    ranked = (
-        cand.groupBy(*knames, "_b", "_v", "_below", "_rlo", "_rhi")
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_last", F.col("_below") + F.sum("_c").over(in_bucket))
-        .withColumn("_first", F.col("_last") - F.col("_c") + 1)
-    )
-
-    def holds(rank: str) -> Column:
-        return (F.col("_first") <= F.col(rank)) & (F.col(rank) <= F.col("_last"))
-
-    # 4: pick the middle values and interpolate as Spark's percentile does.
-    picked = ranked.where(holds("_rlo") | holds("_rhi")).groupBy(*knames).agg(
-        F.max(F.when(holds("_rlo"), F.col("_v"))).alias("_lo"),
-        F.max(F.when(holds("_rhi"), F.col("_v"))).alias("_hi"),
-    )
-    lo, hi = F.col("_lo"), F.col("_hi")
-    med = F.when(lo == hi, lo).otherwise(F.lit(0.5) * lo + F.lit(0.5) * hi)
-    return picked.select(*knames, med.alias(alias))
+    # 3-4: exact ranks inside the target buckets only.
+    return _pick_middle(x, targets, knames, []).select(*knames, F.col("_med").alias(alias))
 
 
 def _keyed(df: DataFrame, keys: Sequence[str | Column], value: str | Column, *extra: Column):
@@ -194,31 +234,10 @@ def summarize_with_median(
         *[F.col(n).alias("t" + n) for n in knames], F.col("_b").alias("t_b"),
         (F.col("_cum") - F.col("_c")).alias("_below"), "_n", "_rlo", "_rhi", *tcols)
 
-    # 3: exact ranks inside the target buckets (groups without values have none).
+    # 3-4: exact ranks inside the target buckets (groups without values have none),
+    # with the group totals carried along.
     xv = x.where(F.col("_v").isNotNull())
-    cond = [_same(xv[n], targets["t" + n], xv.schema[n].nullable) for n in knames]
-    cand = xv.join(targets.where(F.col("_n") > 0), cond + [xv["_b"] == targets["t_b"]], "inner").select(
-        *knames, "_b", "_v", "_below", "_rlo", "_rhi", *tcols)
-    in_bucket = Window.partitionBy(*knames, "_b").orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    ranked = (
-        cand.groupBy(*knames, "_b", "_v", "_below", "_rlo", "_rhi", *tcols)
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_last", F.col("_below") + F.sum("_c").over(in_bucket))
-        .withColumn("_first", F.col("_last") - F.col("_c") + 1)
-    )
-
-    def holds(rank: str) -> Column:
-        return (F.col("_first") <= F.col(rank)) & (F.col(rank) <= F.col("_last"))
-
-    # 4: middle values (Spark's interpolation), with the group totals carried along.
-    picked = ranked.where(holds("_rlo") | holds("_rhi")).groupBy(*knames, *tcols).agg(
-        F.max(F.when(holds("_rlo"), F.col("_v"))).alias("_lo"),
-        F.max(F.when(holds("_rhi"), F.col("_v"))).alias("_hi"),
-    )
-    lo, hi = F.col("_lo"), F.col("_hi")
-    with_values = picked.select(
-        *knames, *tcols, F.when(lo == hi, lo).otherwise(F.lit(0.5) * lo + F.lit(0.5) * hi).alias("_med"))
+    with_values = _pick_middle(xv, targets.where(F.col("_n") > 0), knames, tcols)
     no_values = targets.where(F.col("_n") == 0).select(
         *[F.col("t" + n).alias(n) for n in knames], *tcols, F.lit(None).cast("double").alias("_med"))
     both = with_values.unionByName(no_values)

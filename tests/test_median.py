@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from reelkpi.functions.median import attach_median, grouped_median, value_bucket
+from reelkpi.functions.median import attach_median, grouped_median, value_bucket, value_sub_bucket
 
 
 def _compare(spark, rows, schema="g string, v double"):
@@ -60,6 +60,16 @@ def test_bucket_is_monotone(spark):
     assert codes == sorted(codes)
 
 
+def test_bucket_and_sub_bucket_order_like_values(spark):
+    rnd = random.Random(5)
+    vals = sorted({rnd.uniform(1.0, 1.001) for _ in range(300)} | {-rnd.uniform(3.0, 3.01) for _ in range(300)} |
+                  {rnd.lognormvariate(0, 4) for _ in range(300)} | {0.0, 2.0, -2.0, 1.0 + 2 ** -30})
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    codes = [(r.b, r.s) for r in df.select(
+        "v", value_bucket(F.col("v")).alias("b"), value_sub_bucket(F.col("v")).alias("s")).orderBy("v").collect()]
+    assert codes == sorted(codes)
+
+
 def test_hot_group_never_gathered(spark):
     """The median plan has no percentile aggregate (which buffers a whole group)."""
     df = spark.createDataFrame([("a", float(i)) for i in range(100)], "g string, v double")

@@ -70,13 +70,15 @@ def test_fixture_broadcasts_checked_dimensions_and_shuffles_lines_once(spark):
 
 
 def test_median_report_computes_histogram_once(spark, clean_parquet):
-    """Totals and the median share one histogram exchange: the input is scanned twice, not three times."""
+    """Totals and the median share one histogram exchange: the metric columns are scanned once
+    (the narrow key/value scan for the middle buckets comes on top)."""
     aqe = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # static plan shows the reuse
     try:
         for df in (reports.franchise_flag_stats(clean_parquet), reports.top_franchises(clean_parquet)):
             plan = inspect.physical_plan(df)
             assert "ReusedExchange" in plan
-            assert plan.count("FileScan parquet") == 2
+            scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln]
+            assert len([ln for ln in scans if "vote_average" in ln]) == 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", aqe)
