@@ -84,37 +84,39 @@ def _pick_middle(xv: DataFrame, targets: DataFrame, knames: list[str], carry: li
     """Steps 3-4: the values at ranks `_rlo` / `_rhi` inside the target buckets.
 
     `targets` has `t<key>`, `t_b`, `_below`, `_rlo`, `_rhi` and the `carry`
-    columns. The candidate values are counted per distinct value (partial
-    aggregation, spread by value), then ranked in two levels: a running count
-    over 16-bit sub-buckets of the target bucket finds the sub-bucket holding
-    each middle rank, and only that sub-bucket's distinct values are ranked
-    exactly. No task sees more than one sub-bucket's distinct values.
-    Returns one row per group: keys, `carry`, `_med`.
+    columns. Candidate values are counted per distinct value (partial
+    aggregation, spread by value), then gathered per 16-bit sub-bucket of the
+    target bucket into a sorted array -- one sub-bucket's distinct values, a
+    2^-26-wide slice of a binade. A running count over the sub-buckets finds
+    the one holding each middle rank; the rank inside it is resolved on its
+    array. Returns one row per group: keys, `carry`, `_med`.
     """
     cond = [_same(xv[n], targets["t" + n], xv.schema[n].nullable) for n in knames]
     info = ["_below", "_rlo", "_rhi", *carry]
-    vals = (
+    subs = (
         xv.join(targets, cond + [xv["_b"] == targets["t_b"]], "inner")
         .select(*knames, "_b", "_v", *info)
         .withColumn("_b2", value_sub_bucket(F.col("_v")))
         .groupBy(*knames, "_b", "_b2", "_v", *info).agg(F.count(F.lit(1)).alias("_c"))
+        .groupBy(*knames, "_b", "_b2", *info).agg(
+            F.sort_array(F.collect_list(F.struct("_v", "_c"))).alias("_vals"),
+            F.sum("_c").alias("_cs"))
     )
     by_sub = Window.partitionBy(*knames, "_b").orderBy("_b2").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    subs = (
-        vals.groupBy(*knames, "_b", "_b2", *info).agg(F.sum("_c").alias("_cs"))
-        .withColumn("_cum", F.col("_below") + F.sum("_cs").over(by_sub))
+    hit = (
+        subs.withColumn("_cum", F.col("_below") + F.sum("_cs").over(by_sub))
         .where((F.col("_cum") >= F.col("_rlo")) & (F.col("_cum") - F.col("_cs") < F.col("_rhi")))
-        .select(*[F.col(n).alias("s" + n) for n in knames], F.col("_b").alias("s_b"),
-                F.col("_b2").alias("s_b2"), (F.col("_cum") - F.col("_cs")).alias("_below2"))
     )
-    scond = [_same(vals[n], subs["s" + n], vals.schema[n].nullable) for n in knames]
-    in_sub = Window.partitionBy(*knames, "_b", "_b2").orderBy("_v").rowsBetween(
+    # ranks inside the sub-bucket: running count over its sorted (value, count) pairs
+    in_sub = Window.partitionBy(*knames, "_b", "_b2").orderBy("_pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     ranked = (
-        vals.join(subs, scond + [vals["_b"] == subs["s_b"], vals["_b2"] == subs["s_b2"]], "inner")
-        .withColumn("_last", F.col("_below2") + F.sum("_c").over(in_sub))
-        .withColumn("_first", F.col("_last") - F.col("_c") + 1)
+        hit.select(*knames, "_b", "_b2", *info, (F.col("_cum") - F.col("_cs")).alias("_below2"),
+                   F.posexplode("_vals").alias("_pos", "_vc"))
+        .withColumn("_last", F.col("_below2") + F.sum("_vc._c").over(in_sub))
+        .withColumn("_first", F.col("_last") - F.col("_vc._c") + 1)
+        .withColumn("_v", F.col("_vc._v"))
     )
 
     def holds(rank: str) -> Column:
