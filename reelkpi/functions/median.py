@@ -10,11 +10,13 @@ group:
 1. Map each value to a coarse, order-preserving bucket (binade and the top 10
    mantissa bits) and count rows per (group, bucket). Partial aggregation
    collapses a hot group to at most one row per bucket per input partition.
-2. A running count over a group's buckets (at most a few thousand rows per
-   group, whatever its size) gives the group size n and the bucket(s) that
+2. A running count over a group's buckets (bounded by the number of bucket
+   codes, in practice a few thousand per group, whatever its size) gives the group size n and the bucket(s) that
    hold the two middle ranks, plus the number of rows below each.
-3. Only rows in those buckets are read again; their distinct values with
-   counts are ranked exactly inside the bucket.
+3. Only rows in those buckets are read again. Their distinct values are
+   counted (spread over tasks by value) and gathered per 16-bit sub-bucket
+   into one sorted array; a running count over the sub-buckets finds the one
+   holding each middle rank, and the rank is resolved on that array.
 4. The median is the middle value, or for even n Spark's interpolation
    `0.5 * lo + 0.5 * hi` between the two middle values.
 
