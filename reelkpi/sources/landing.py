@@ -25,15 +25,20 @@ CORRUPT_COL = "_corrupt_record"
 CSV_NULL = "\\N"
 
 
-def read_raw_json(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
+def read_raw_json(spark: SparkSession, path: str, keep_corrupt: bool = False,
+                  multi_line: bool = False) -> DataFrame:
     """Raw records from JSON-lines files under the declared schema.
 
     A field whose JSON type does not fit becomes null (PERMISSIVE); with
     `keep_corrupt` the offending line is kept in `_corrupt_record`.
-    Integer JSON numbers are accepted for double fields.
+    Integer JSON numbers are accepted for double fields. `multi_line` reads
+    files that each hold one (indented) JSON array of records, the layout of a
+    single-file export; such a file is read by one task, so land large inputs
+    as JSON lines (and do not combine it with `keep_corrupt`, which would copy
+    the whole file into each bad record).
     """
     schema = RAW_SCHEMA
-    reader = spark.read.option("mode", "PERMISSIVE")
+    reader = spark.read.option("mode", "PERMISSIVE").option("multiLine", multi_line)
     if keep_corrupt:
         schema = StructType(RAW_SCHEMA.fields + [StructField(CORRUPT_COL, StringType(), True)])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)

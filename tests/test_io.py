@@ -57,3 +57,14 @@ def test_materialize_writes_below_checkpoint_dir(spark):
     assert back.count() == 10
     assert back.inputFiles()[0].replace("file://", "").replace("file:", "").startswith(
         shared_root(spark).replace("file://", "").replace("file:", ""))
+
+
+def test_indented_array_export_is_read_with_multi_line(spark, tmp_dir):
+    raw = films_from_tables(spark, SF).limit(20)
+    records = [json.loads(j) for j in raw.toJSON().collect()]
+    path = os.path.join(tmp_dir, "export")
+    os.makedirs(path)
+    with open(os.path.join(path, "films_raw.json"), "w") as f:
+        json.dump(records, f, indent=4)
+    back = landing.read_raw_json(spark, path, multi_line=True)
+    assert _sorted(back) == _sorted(raw)
