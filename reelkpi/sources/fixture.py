@@ -19,8 +19,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from reelkpi.plans.sizing import broadcastable, maybe_broadcast
+from reelkpi.schema import CAST_MEMBER, COMPANY, COUNTRY, CREW_MEMBER, GENRE, LANGUAGE
 from reelkpi.sources.tables import read_table, table_path
 
 # --- fixed values of the fixture (changing them changes every result) --------
@@ -83,28 +85,17 @@ def _null(type_name: str) -> Column:
 
 
 def per_order(lines: DataFrame) -> DataFrame:
-    """Lines of each order as one sorted array plus the sums the film needs.
-
-    Each collected line already holds the film's nested elements in their
-    final shape, so the film arrays are plain field projections of the sorted
-    line array (no per-element lambdas).
-    """
-    sid = F.col("l_suppkey").cast("int")
-    job = _case(F.col("l_returnflag"), JOB_BY_RETURN_FLAG)
+    """Lines of each order as one sorted array of flat line records, plus the
+    sums the film needs (an order has a bounded number of lines). Flat records
+    keep the aggregation buffers small; the nested film arrays are built from
+    them afterwards without lambdas."""
     line = F.struct(
         # sort key first: lines are ordered by (linenumber, partkey, suppkey, returnflag);
         # everything after it is determined by those keys
         "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
-        F.struct(F.col("l_partkey").cast("int").alias("id"), F.col("p_name").alias("name")).alias("cast"),
-        F.struct(sid.alias("id"), F.col("s_name").alias("name"), job.alias("job")).alias("crew"),
-        F.struct(F.col("s_name").alias("name"), sid.alias("id"), _null("string").alias("logo_path"),
-                 _null("string").alias("origin_country")).alias("company"),
-        F.struct(_null("string").alias("iso_3166_1"), F.col("n_name").alias("name")).alias("country"),
-        F.struct(_null("string").alias("iso_639_1"),
-                 F.when(F.col("n_regionkey") != 0, F.col("n_name")).alias("name"),
-                 _null("string").alias("english_name")).alias("language"),
-        F.when(F.col("p_type").isNotNull(),
-               F.struct(_null("int").alias("id"), F.col("p_type").alias("name"))).alias("genre"),
+        "p_name", "p_type", "s_name", "n_name",
+        _case(F.col("l_returnflag"), JOB_BY_RETURN_FLAG).alias("job"),
+        F.when(F.col("n_regionkey") != 0, F.col("n_name")).alias("language"),
     )
     return lines.groupBy("l_orderkey").agg(
         F.sort_array(F.collect_list(line)).alias("ls"),
@@ -115,6 +106,12 @@ def per_order(lines: DataFrame) -> DataFrame:
     )
 
 
+def _zipped(element_type: StructType, *fields: Column) -> Column:
+    """Per-line arrays zipped into an array of `element_type` structs (fields
+    matched by position); null when the order has no lines."""
+    return F.arrays_zip(*fields).cast(ArrayType(element_type))
+
+
 def films_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw film records (the `RAW_SCHEMA` layout), one per order."""
     orders = read_table(spark, sf_dir, "orders", [
@@ -133,14 +130,24 @@ def films_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     has_lines = F.col("ls").isNotNull()
     prio = F.col("o_orderpriority")
 
-    credits = F.when(has_lines, F.struct(F.col("ls.cast").alias("cast"), F.col("ls.crew").alias("crew")))
+    n = F.size(F.col("ls"))
+
+    def nulls(type_name: str) -> Column:
+        return F.array_repeat(_null(type_name), n)
+
+    ids_part = F.col("ls.l_partkey").cast("array<int>")
+    ids_supp = F.col("ls.l_suppkey").cast("array<int>")
+    cast = _zipped(CAST_MEMBER, ids_part, F.col("ls.p_name"))
+    crew = _zipped(CREW_MEMBER, ids_supp, F.col("ls.s_name"), F.col("ls.job"))
+    credits = F.when(has_lines, F.struct(cast.alias("cast"), crew.alias("crew")))
     collection = F.when(F.col("o_custkey") % COLLECTION_EVERY == 0, F.struct(
         F.col("o_custkey").cast("int").alias("id"), F.col("c_name").alias("name"),
         _null("string").alias("poster_path"), _null("string").alias("backdrop_path")))
     # distinct part types of the order, sorted by name; [] for an order without lines
-    genre_list = F.sort_array(F.array_distinct(F.array_compact(F.col("ls.genre"))))
+    types = F.sort_array(F.array_distinct(F.array_compact(F.col("ls.p_type"))))
+    genre_list = _zipped(GENRE, F.array_repeat(_null("int"), F.size(types)), types)
     genres = F.when(oid % NULL_GENRES_EVERY != 0, F.coalesce(
-        genre_list, F.array().cast("array<struct<id:int,name:string>>")))
+        genre_list, F.array().cast(ArrayType(GENRE))))
     title = F.concat(F.lit("Order "), oid.cast("string"))
     return films.select(
         oid.alias("id"),
@@ -166,9 +173,10 @@ def films_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         credits.alias("credits"),
         collection.alias("belongs_to_collection"),
         genres.alias("genres"),
-        F.col("ls.company").alias("production_companies"),
-        F.col("ls.country").alias("production_countries"),
-        F.col("ls.language").alias("spoken_languages"),
+        _zipped(COMPANY, F.col("ls.s_name"), ids_supp, nulls("string"), nulls("string"))
+        .alias("production_companies"),
+        _zipped(COUNTRY, nulls("string"), F.col("ls.n_name")).alias("production_countries"),
+        _zipped(LANGUAGE, nulls("string"), F.col("ls.language"), nulls("string")).alias("spoken_languages"),
         F.lit(False).alias("adult"),
         F.concat(F.lit("tt"), oid.cast("string")).alias("imdb_id"),
         F.lit(HOMEPAGE).alias("homepage"),
