@@ -30,9 +30,11 @@ def table_rows(spark: SparkSession, path: str) -> int:
     return _row_counts[key]
 
 
-def broadcastable(spark: SparkSession, *paths: str, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when every table at `paths` has at most `max_rows` rows."""
-    return all(table_rows(spark, p) <= max_rows for p in paths)
+def broadcastable(spark: SparkSession, *paths: str, max_rows: int | None = None) -> bool:
+    """True when every table at `paths` has at most `max_rows` rows
+    (default `BROADCAST_MAX_ROWS`)."""
+    bound = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    return all(table_rows(spark, p) <= bound for p in paths)
 
 
 def maybe_broadcast(df: DataFrame, allowed: bool) -> DataFrame:

@@ -40,3 +40,35 @@ def test_search_and_floor_counts_before_the_cut(spark):
     assert ranking.search(c, cast=["red"], director=["7"]).count() == 323
     assert c.where(F.col("vote_count") >= 10).count() == 35
     assert c.where(F.col("budget_musd") >= 10).count() == 2258
+
+
+def test_beyond_the_broadcast_bound_gives_the_same_films(spark, monkeypatch):
+    """With the bound at 0 rows every dimension join is a shuffle join; same records."""
+    from reelkpi.plans import inspect, sizing
+
+    small = "/root/testdata/sf0.001"
+    broadcast_rows = sorted(films_from_tables(spark, small).collect(), key=lambda r: r.id)
+    monkeypatch.setattr(sizing, "BROADCAST_MAX_ROWS", 0)
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:  # also switch off Spark's own size-based broadcasts
+            spark.conf.set(k, "-1")
+        shuffled = films_from_tables(spark, small)
+        plan = inspect.physical_plan(shuffled)
+        assert "BroadcastExchange" not in plan
+        assert plan.count("SortMergeJoin") == 5  # nation, part, supplier, customer, per-order
+        assert sorted(shuffled.collect(), key=lambda r: r.id) == broadcast_rows
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_coverage_counts_duplicates_once(spark):
+    from reelkpi.operators.coverage import ingest_coverage, missing_ids
+
+    requested = spark.createDataFrame([(i,) for i in range(10)], "id long")
+    landed = spark.createDataFrame([(1,), (1,), (2,), (2,), (2,), (9,), (42,)], "id long")
+    r = ingest_coverage(requested, landed).first()
+    assert (r.requested, r.landed, r.missing) == (10, 3, 7)
+    assert sorted(x.id for x in missing_ids(requested, landed).collect()) == [0, 3, 4, 5, 6, 7, 8]
