@@ -40,15 +40,22 @@ _EXP_STRIDE = 1 << (_SUB_BITS + 1)
 _OFFSET = 1 << 23  # above the largest magnitude code ((2 * _EXP_BIAS) * _EXP_STRIDE + _SUB_SCALE + 1)
 
 
+def _binade(v: Column) -> tuple[Column, Column]:
+    """(exponent, mantissa in [1, 2]) of |v|, each step monotone in |v|: log2,
+    floor, division by a power of two (exact) and clamping."""
+    a = F.abs(v)
+    e = F.floor(F.least(F.greatest(F.log2(a), F.lit(-float(_EXP_BIAS))), F.lit(float(_EXP_BIAS))))
+    m = F.least(F.greatest(a / F.pow(F.lit(2.0), e), F.lit(1.0)), F.lit(2.0))
+    return e, m
+
+
 def value_bucket(v: Column) -> Column:
     """Order-preserving long code of a double: v1 <= v2 implies code(v1) <= code(v2).
 
-    Each step (log2, floor, scaling by a power of two, clamping) is monotone,
-    so the code is monotone even where log2 rounds at a binade edge.
+    The code is monotone even where log2 rounds at a binade edge, because
+    every step of `_binade` is.
     """
-    a = F.abs(v)
-    e = F.floor(F.least(F.greatest(F.log2(a), F.lit(-float(_EXP_BIAS))), F.lit(float(_EXP_BIAS))))
-    m = F.least(F.greatest(a / F.pow(F.lit(2.0), e), F.lit(1.0)), F.lit(2.0))
+    e, m = _binade(v)
     sub = F.floor((m - F.lit(1.0)) * F.lit(_SUB_SCALE))
     mag = (e + F.lit(_EXP_BIAS)) * F.lit(_EXP_STRIDE) + sub + F.lit(1)
     return (
@@ -63,9 +70,7 @@ def value_bucket(v: Column) -> Column:
 def value_sub_bucket(v: Column, bits: int = 16) -> Column:
     """The next `bits` mantissa bits below `value_bucket`'s: order-preserving
     among values that share a `value_bucket` code (negative values reversed)."""
-    a = F.abs(v)
-    e = F.floor(F.least(F.greatest(F.log2(a), F.lit(-float(_EXP_BIAS))), F.lit(float(_EXP_BIAS))))
-    m = F.least(F.greatest(a / F.pow(F.lit(2.0), e), F.lit(1.0)), F.lit(2.0))
+    _, m = _binade(v)
     scaled = (m - F.lit(1.0)) * F.lit(_SUB_SCALE)
     sub = F.floor((scaled - F.floor(scaled)) * F.lit(float(1 << bits)))
     return (F.when(F.isnan(v) | (v == 0), F.lit(0))
