@@ -199,10 +199,16 @@ def summarize_with_median(
     counts: dict[str, str] | None = None,
     sums: dict[str, str] | None = None,
     means: dict[str, str] | None = None,
+    median_accuracy: int | None = None,
 ) -> DataFrame:
     """One row per group of `keys`: `count(col)`, `sum(col)` and `avg(col)` for
     the given {alias: column} maps plus the exact median of `value`.
 
+    With `median_accuracy` the median is instead `percentile_approx(value,
+    0.5, median_accuracy)` in the same single aggregation: one of the group's
+    values whose rank is within n / accuracy of the middle, from sketches of
+    bounded size (no interpolation). Exact is the default.
+
     The counts, sums and means are partial aggregates of the median's bucket
     histogram pass; window sums over a group's buckets give the group totals,
     which travel with the median's middle buckets to the result. Both uses of
@@ -212,6 +218,12 @@ def summarize_with_median(
     whose `value` is always null (median null).
     """
     counts, sums, means = counts or {}, sums or {}, means or {}
+    if median_accuracy is not None:
+        return df.groupBy(*keys).agg(
+            *[F.count(c).alias(a) for a, c in counts.items()],
+            *[F.sum(c).alias(a) for a, c in sums.items()],
+            *[F.avg(c).alias(a) for a, c in means.items()],
+            F.percentile_approx(F.col(value).cast("double"), 0.5, median_accuracy).alias(median_alias))
     metrics = {c for c in [*counts.values(), *sums.values(), *means.values()]}
     mcols = {c: f"_m{i}" for i, c in enumerate(sorted(metrics))}
     x, knames = _keyed(df, keys, value, *[F.col(c).alias(m) for c, m in mcols.items()])

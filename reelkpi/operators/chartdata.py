@@ -31,11 +31,11 @@ def yearly_trends(df: DataFrame) -> DataFrame:
     )
 
 
-def genre_roi(df: DataFrame) -> DataFrame:
+def genre_roi(df: DataFrame, median_accuracy: int | None = None) -> DataFrame:
     """V2: median ROI per genre ('|'-split; '' genres form their own group)."""
     exploded = df.select(F.explode(split_names("genres")).alias("genre"), "roi")
     return (
-        summarize_with_median(exploded, ["genre"], "roi", "median_roi")
+        summarize_with_median(exploded, ["genre"], "roi", "median_roi", median_accuracy=median_accuracy)
         .orderBy(F.col("median_roi").desc_nulls_last(), F.col("genre").asc())
     )
 

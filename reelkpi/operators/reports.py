@@ -23,14 +23,18 @@ def _in_franchise(df: DataFrame):
     return F.col("belongs_to_collection").isNotNull()
 
 
-def franchise_flag_stats(df: DataFrame) -> DataFrame:
-    """G1: franchise (collection set) vs standalone, raw numbers."""
+def franchise_flag_stats(df: DataFrame, median_accuracy: int | None = None) -> DataFrame:
+    """G1: franchise (collection set) vs standalone, raw numbers.
+
+    `median_accuracy` switches the exact median to `percentile_approx` (all
+    median reports take it)."""
     flagged = df.withColumn("is_franchise", _in_franchise(df))
     out = summarize_with_median(
         flagged, ["is_franchise"], "roi", "median_roi",
         counts={"count": "id"},
         means={"avg_revenue": "revenue_musd", "avg_budget": "budget_musd",
-               "avg_popularity": "popularity", "avg_rating": "vote_average"})
+               "avg_popularity": "popularity", "avg_rating": "vote_average"},
+        median_accuracy=median_accuracy)
     return out.select("is_franchise", "count", "avg_revenue", "median_roi",
                       "avg_budget", "avg_popularity", "avg_rating")
 
@@ -47,7 +51,7 @@ def company_success(df: DataFrame) -> DataFrame:
     )
 
 
-def franchise_comparison(df: DataFrame) -> DataFrame:
+def franchise_comparison(df: DataFrame, median_accuracy: int | None = None) -> DataFrame:
     """G3: 'Franchise' vs 'Standalone', means and median ROI rounded to 2 places."""
     labelled = df.withColumn(
         "category", F.when(_in_franchise(df), F.lit(FRANCHISE)).otherwise(F.lit(STANDALONE)))
@@ -55,7 +59,8 @@ def franchise_comparison(df: DataFrame) -> DataFrame:
         labelled, ["category"], "roi", "_median_roi",
         counts={"movie_count": "title"},
         means={"_revenue": "revenue_musd", "_budget": "budget_musd",
-               "_popularity": "popularity", "_rating": "vote_average"})
+               "_popularity": "popularity", "_rating": "vote_average"},
+        median_accuracy=median_accuracy)
     return out.select(
         "category", "movie_count", round2("_revenue").alias("revenue_musd"),
         round2("_median_roi").alias("roi"), round2("_budget").alias("budget_musd"),
@@ -66,12 +71,12 @@ def _collections(df: DataFrame) -> DataFrame:
     return df.where(_in_franchise(df))
 
 
-def top_franchises(df: DataFrame, n: int = 5) -> DataFrame:
+def top_franchises(df: DataFrame, n: int = 5, median_accuracy: int | None = None) -> DataFrame:
     """Collections by total revenue (rounded), with median ROI and mean rating."""
     out = summarize_with_median(
         _collections(df), ["belongs_to_collection"], "roi", "_median_roi",
         counts={"title_count": "title"}, sums={"_revenue": "revenue_musd"},
-        means={"_rating": "vote_average"})
+        means={"_rating": "vote_average"}, median_accuracy=median_accuracy)
     return (
         out.select("belongs_to_collection", "title_count", round2("_revenue").alias("revenue_musd"),
                    round2("_median_roi").alias("roi"), round2("_rating").alias("vote_average"))

@@ -101,3 +101,25 @@ def test_summarize_with_median_matches_plain_aggregates(spark):
     assert got.columns == ["g", "n", "nv", "sw", "aw", "av", "med"]
     norm = lambda d: sorted((tuple(r) for r in d.select(*want.columns).collect()), key=repr)
     assert norm(got) == norm(want)
+
+
+def test_approximate_switch_stays_within_rank_error(spark):
+    from reelkpi.functions.median import summarize_with_median
+
+    rnd = random.Random(23)
+    rows = [("hot" if i % 3 else f"k{i % 7}", rnd.uniform(0, 1000), float(i)) for i in range(20000)]
+    df = spark.createDataFrame(rows, "g string, v double, w double")
+    acc = 1000
+    approx = {r.g: r for r in summarize_with_median(df, ["g"], "v", "med", counts={"n": "w"},
+                                                    means={"aw": "w"}, median_accuracy=acc).collect()}
+    exact = {r.g: r for r in summarize_with_median(df, ["g"], "v", "med", counts={"n": "w"},
+                                                   means={"aw": "w"}).collect()}
+    values = {}
+    for g, v, _ in rows:
+        values.setdefault(g, []).append(v)
+    for g, vs in values.items():
+        vs.sort()
+        n = len(vs)
+        rank = sum(1 for x in vs if x <= approx[g].med)
+        assert abs(rank - n / 2) <= n / acc + 1
+        assert (approx[g].n, approx[g].aw) == (exact[g].n, exact[g].aw)
