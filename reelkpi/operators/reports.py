@@ -72,16 +72,32 @@ def _collections(df: DataFrame) -> DataFrame:
 
 
 def top_franchises(df: DataFrame, n: int = 5, median_accuracy: int | None = None) -> DataFrame:
-    """Collections by total revenue (rounded), with median ROI and mean rating."""
-    out = summarize_with_median(
-        _collections(df), ["belongs_to_collection"], "roi", "_median_roi",
-        counts={"title_count": "title"}, sums={"_revenue": "revenue_musd"},
-        means={"_rating": "vote_average"}, median_accuracy=median_accuracy)
+    """Collections by total revenue (rounded), with median ROI and mean rating.
+
+    The ranking does not depend on the median, so the top n collections are
+    picked from partial aggregates first and the exact median is computed only
+    over the rows of those n collections (a semi-join against at most n
+    broadcast keys): median work does not grow with the number of collections.
+    """
+    coll = _collections(df)
+    order = [F.col("revenue_musd").desc(), F.col("belongs_to_collection").asc()]
+    top = (
+        coll.groupBy("belongs_to_collection").agg(
+            F.count("title").alias("title_count"),
+            round2(F.sum("revenue_musd")).alias("revenue_musd"),
+            round2(F.avg("vote_average")).alias("vote_average"),
+        )
+        .orderBy(*order).limit(n)
+    )
+    top_keys = F.broadcast(top.select("belongs_to_collection"))  # at most n rows
+    in_top = coll.join(top_keys, "belongs_to_collection", "left_semi")
+    med = summarize_with_median(in_top, ["belongs_to_collection"], "roi", "_median_roi",
+                                median_accuracy=median_accuracy)
     return (
-        out.select("belongs_to_collection", "title_count", round2("_revenue").alias("revenue_musd"),
-                   round2("_median_roi").alias("roi"), round2("_rating").alias("vote_average"))
-        .orderBy(F.col("revenue_musd").desc(), F.col("belongs_to_collection").asc())
-        .limit(n)
+        top.join(med, "belongs_to_collection", "left")
+        .select("belongs_to_collection", "title_count", "revenue_musd",
+                round2("_median_roi").alias("roi"), "vote_average")
+        .orderBy(*order)
     )
 
 
