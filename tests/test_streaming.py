@@ -23,3 +23,21 @@ def test_stream_cleaning_equals_batch(spark, tmp_dir):
     q2 = start_clean_stream(spark, land, out, checkpoint=ckpt)
     q2.awaitTermination(300)
     assert spark.read.parquet(out).count() == len(batch)
+
+
+def test_stream_picks_up_new_files_exactly_once(spark, tmp_dir):
+    raw = films_from_tables(spark, "/root/testdata/sf0.001")
+    land, out, ckpt = (os.path.join(tmp_dir, d) for d in ("landing", "out", "ckpt"))
+    first, second = raw.where("id % 2 = 0"), raw.where("id % 2 = 1")
+    landing.write_raw_json(first, os.path.join(land, "batch1"))
+
+    src = os.path.join(land, "*")
+    q = start_clean_stream(spark, src, out, checkpoint=ckpt)
+    q.awaitTermination(300)
+    assert spark.read.parquet(out).count() == clean_films(first).count()
+
+    landing.write_raw_json(second, os.path.join(land, "batch2"))
+    q = start_clean_stream(spark, src, out, checkpoint=ckpt)
+    q.awaitTermination(300)
+    streamed = sorted(spark.read.parquet(out).collect(), key=lambda r: r.id)
+    assert streamed == sorted(clean_films(raw).collect(), key=lambda r: r.id)
