@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelkpi.llm import packing
+from reelkpi.llm import bpe, packing, repair
 from reelkpi.llm.common import table
+from reelkpi.session import scratch_path
 
 WORDS = "word_bpe_49k.json"
 
@@ -28,3 +29,21 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), end_id=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset")
+
+
+@query
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's ids by the multi-language byte-level ranks, and the bytes they decode to."""
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    rows = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids (each ended by id 2) written as Re-Pair files in id order and read back."""
+    path = scratch_path(spark, "repair-store")
+    repair.write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORDS), end_id=2)
+    rows = repair.read_store(spark, path)
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
