@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelkpi.llm import bpe, packing, repair
+from reelkpi.llm import bpe, packing, repair, simhash
 from reelkpi.llm.common import table
 from reelkpi.session import scratch_path
 
@@ -47,3 +47,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     repair.write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORDS), end_id=2)
     rows = repair.read_store(spark, path)
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's 64-bit SimHash over 3-word shingles and its component at 3 or fewer bits."""
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"), simhash.SHINGLE, simhash.DISTANCE)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
