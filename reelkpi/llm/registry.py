@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelkpi.llm import bpe, packing, repair, simhash
+from reelkpi.llm import bpe, packing, quality, repair, simhash
 from reelkpi.llm.common import table
 from reelkpi.session import scratch_path
 
@@ -54,3 +54,17 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's 64-bit SimHash over 3-word shingles and its component at 3 or fewer bits."""
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"), simhash.SHINGLE, simhash.DISTANCE)
     return rows.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _fold(doc_id, n: int):
+    """crc32 of the id as text, modulo n."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % n
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's chance of quality label 1; positives are learnt from two folds of three."""
+    held_out = F.coalesce(_fold("doc_id", 3) == 1, F.lit(False))
+    rows = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return rows.select("doc_id", held_out.alias("held_out"), "score",
+                       (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -17,10 +17,11 @@ import numpy as np
 
 from reelkpi.llm.common import worker_state
 
-#: Chunks kept by a worker; beyond that the table starts anew.
-CHUNK_CACHE = 600_000
-#: Chunks given to the library at once.
-LIBRARY_BATCH = 20_000
+#: Chunks in one generation of a worker's table; two generations are kept, and
+#: what is used again moves to the younger one.
+GENERATION = 500_000
+#: Chunks given to the library at once, and words in one text for it.
+LIBRARY_BATCH, WORDS_A_TEXT = 50_000, 200
 
 
 def splits_on_space(path: str) -> bool:
@@ -41,7 +42,7 @@ class ChunkEncoder:
     # str.split() also cuts at these four, which the vocabulary does not drop
     ODD_SPACE = "\x1c\x1d\x1e\x1f"
     # letters, then marks that are pieces of their own: the two parts encode alone
-    PARTS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|*$%&#]+)$")
+    PARTS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|*$%&#]*)$")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,22 +50,42 @@ class ChunkEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.by_chunk = splits_on_space(path)
+        spec = json.load(open(path, encoding="utf-8"))["model"]
+        suffix = spec.get("end_of_word_suffix")
+        # True for ids that end a piece; known only where the vocabulary marks word ends
+        self.ends = suffix and np.array([t.endswith(suffix) for t, _ in sorted(spec["vocab"].items(), key=lambda x: x[1])])
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype="<u4").tobytes()
                 for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """ids of words of letters only: each is one piece, so many go into one
+        text and the ids that end a piece part them again."""
+        if self.ends is None:
+            return self._library(words)
+        found = self.library.encode_batch(
+            [" ".join(words[i:i + WORDS_A_TEXT]) for i in range(0, len(words), WORDS_A_TEXT)], add_special_tokens=False)
+        ids = np.array([i for e in found for i in e.ids], dtype="<u4")
+        last = np.flatnonzero(self.ends[ids]) + 1
+        flat, ends = ids.tobytes(), (4 * last).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
     def _learn(self, chunks: list[str]) -> None:
-        known = self.known
+        known, match = self.known, self.PARTS.match
         for at in range(0, len(chunks), LIBRARY_BATCH):
-            parts = {c: m.groups() if (m := self.PARTS.match(c)) else (c,)
-                     for c in chunks[at:at + LIBRARY_BATCH]}
+            some = chunks[at:at + LIBRARY_BATCH]
+            parts = [m.groups() if (m := match(c)) else None for c in some]
             # the vocabulary is lower case: capitals share the ids of small letters
-            whole = {c: tuple(p.lower() for p in ps) if len(ps) > 1 else ps for c, ps in parts.items()}
-            new = list({p for ps in whole.values() for p in ps if p not in known})
-            known.update(zip(new, self._library(new)))
-            known.update((c, b"".join([known[p] for p in ps])) for c, ps in whole.items())
+            words = list({p[0].lower() for p in parts if p})
+            of_word = dict(zip(words, self._words(words)))
+            marks = list({p[1] for p in parts if p})
+            of_mark = dict(zip(marks, self._library(marks)))
+            others = [c for c, p in zip(some, parts) if not p]
+            known.update(zip(others, self._library(others)))
+            known.update((c, of_word[p[0].lower()] + of_mark[p[1]]) for c, p in zip(some, parts) if p)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_chunk:
@@ -72,11 +93,21 @@ class ChunkEncoder:
         odd = self.ODD_SPACE
         rows = [re.split(r"[ \t\n\r\x0b\x0c]+", t.strip(" \t\n\r\x0b\x0c"))
                 if any(c in t for c in odd) else t.split() for t in texts]
-        if len(self.known) > CHUNK_CACHE:
-            self.known.clear()
-        known = self.known
-        self._learn(list({c for row in rows for c in row if c not in known}))
-        return [b"".join([known[c] for c in row]) for row in rows]
+        if len(self.known) > GENERATION:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        chunks = [c for row in rows for c in row]
+        ids = list(map(known.get, chunks))
+        new = {c for c, x in zip(chunks, ids) if x is None}
+        if new:
+            known.update((c, older[c]) for c in new & older.keys())
+            self._learn(list(new - older.keys()))
+            ids = [known[c] if x is None else x for c, x in zip(chunks, ids)]
+        out, at = [], 0
+        for row in rows:
+            out.append(b"".join(ids[at:at + len(row)]))
+            at += len(row)
+        return out
 
 
 def chunk_encoder(path: str) -> ChunkEncoder:
