@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelkpi.llm import bpe, packing, quality, repair, simhash
-from reelkpi.llm.common import table
+from reelkpi.llm import bpe, packing, quality, repair, rollups, simhash
+from reelkpi.llm.common import table, written
 from reelkpi.session import scratch_path
 
 WORDS = "word_bpe_49k.json"
@@ -68,3 +68,49 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
     return rows.select("doc_id", held_out.alias("held_out"), "score",
                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+#: Token counts that SQL can give too: words, and runs of letters, of digits and of other marks.
+WORD, PIECE = r"[^\x20\x09-\x0D]+", r"\p{L}+|\p{N}+|[^\x09-\x0D\x20\p{L}\p{N}]+"
+
+
+@query
+def op5_token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals by source, language and tokenizer version after a history of
+    batches over all documents: provisional word counts come in, exact copies
+    (all but the least id of a text) are deleted, the counts that are left are
+    revised to exact ones, a second tokenizer's counts come in, and two batches
+    are sent again, which must change nothing."""
+    text = F.coalesce("text", F.lit(""))
+    spaces = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
+    counts = written(table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", F.sha2(text, 256).alias("of"), (spaces + 1).alias("guess"),
+        F.regexp_count(text, F.lit(WORD)).alias("words"), F.regexp_count(text, F.lit(PIECE)).alias("pieces")), "token-counts")
+    first = counts.groupBy("of").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
+    seen = counts.join(first, "of", "left")
+    is_copy = F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False))
+    kept = seen.where(~is_copy)
+    batches = [
+        ("001-insert", rollups.inserts(counts, F.col("guess"), "words-1")),
+        ("002-delete", rollups.deletes(seen.where(is_copy), F.col("guess"), "words-1")),
+        ("003-revise", rollups.revisions(kept, F.col("guess"), F.col("words"), "words-1")),
+        ("004-insert", rollups.inserts(kept, F.col("pieces"), "pieces-2"))]
+    store = rollups.Rollup(spark, scratch_path(spark, "token-totals"))
+    for batch_id, changes in batches[:3]:
+        store.commit(batch_id, changes)
+    store.compact()
+    for batch_id, changes in [batches[1], batches[3], batches[3]]:
+        store.commit(batch_id, changes)
+    return store.totals()
+
+
+ORACLE_SQL["op5_token_totals"] = rf"""
+    WITH seen AS (
+        SELECT source, lang, coalesce(text, '') AS text, doc_id, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+        FROM documents),
+    kept AS (SELECT * FROM seen WHERE NOT coalesce(doc_id > least, false))
+    SELECT source, lang, 'words-1' AS tokenizer, CAST(count(*) AS BIGINT) AS documents,
+           CAST(sum(len(regexp_extract_all(text, '{WORD}'))) AS BIGINT) AS tokens FROM kept GROUP BY source, lang
+    UNION ALL
+    SELECT source, lang, 'pieces-2' AS tokenizer, CAST(count(*) AS BIGINT) AS documents,
+           CAST(sum(len(regexp_extract_all(text, '{PIECE}'))) AS BIGINT) AS tokens FROM kept GROUP BY source, lang"""

@@ -1,0 +1,79 @@
+import os
+import tempfile
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from reelkpi.llm import rollups
+from reelkpi.llm.registry import ORACLE_SQL, QUERIES
+
+ROWS = "source string, lang string, n long, extra string, documents string, tokens string"
+
+
+@pytest.fixture()
+def store(spark):
+    return rollups.Rollup(spark, tempfile.mkdtemp(prefix="rollup-", dir="/tmp"))
+
+
+def state(store):
+    return {(r.source, r.lang, r.tokenizer): (r.documents, r.tokens) for r in store.totals().collect()}
+
+
+def rows(spark, *values):
+    return spark.createDataFrame([(s, lang, n, "x", "y", "z") for s, lang, n in values], ROWS)
+
+
+def test_signed_changes(spark, store):
+    n = F.col("n")
+    assert state(store) == {}
+    first = rollups.inserts(rows(spark, ("a", "en", 5), ("a", "en", 7), (None, None, 2), ("b", "de", None)), n, "v1")
+    assert store.commit("1", first)
+    assert state(store) == {("a", "en", "v1"): (2, 12), (None, None, "v1"): (1, 2), ("b", "de", "v1"): (1, 0)}
+    assert store.commit("2", rollups.deletes(rows(spark, ("a", "en", 5)), n, "v1"))
+    assert store.commit("3", rollups.revisions(rows(spark, ("a", "en", 7)), n, n + 3, "v1"))
+    assert store.commit("4", rollups.deletes(rows(spark, (None, None, 2)), n, "v1"))
+    assert store.commit("5", first.limit(0))
+    assert state(store) == {("a", "en", "v1"): (1, 10), ("b", "de", "v1"): (1, 0)}
+    before = state(store)
+    for _ in range(2):  # replays, before and after folding
+        assert not any(store.commit(b, first) for b in "12345")
+        assert state(store) == before
+        store.compact()
+    assert store.committed() == set("12345")
+    assert store.commit("6", first) and state(store)["a", "en", "v1"] == (3, 22)
+    with pytest.raises(ValueError):
+        store.commit("a/b", first)
+
+
+def test_broken_off_writes_count_for_nothing(spark, store):
+    first = rollups.inserts(rows(spark, ("a", "en", 5)), F.col("n"), "v1")
+    store.commit("1", first)
+    store.commit("2", first)
+    os.rename(f"{store.path}/deltas/2/_SUCCESS", f"{store.path}/deltas/2/.broken")  # as if the write broke off
+    assert state(store) == {("a", "en", "v1"): (1, 5)}
+    assert store.commit("2", first) and state(store) == {("a", "en", "v1"): (2, 10)}
+    store.compact()
+    store.commit("3", first)
+    store.compact()
+    os.rename(f"{store.path}/batches/000000000002/_SUCCESS", f"{store.path}/batches/000000000002/.broken")
+    assert state(store) == {("a", "en", "v1"): (3, 15)}
+    assert not store.commit("1", first) and not store.commit("3", first)
+
+
+def test_stream(spark, store):
+    landing, checkpoint = (tempfile.mkdtemp(prefix="rollup-", dir="/tmp") for _ in range(2))
+    for k in range(2):
+        rollups.inserts(rows(spark, ("a", "en", 5 + k)), F.col("n"), "v1").write.mode("append").parquet(landing)
+        changes = spark.readStream.schema(rollups.SCHEMA).parquet(landing)
+        store.follow(changes, checkpoint).awaitTermination()
+    assert state(store) == {("a", "en", "v1"): (2, 11)}
+
+
+def test_query_like_sql(spark):
+    sf = "/root/testdata/sf0.01"
+    duckdb.sql(f"create or replace view documents as select * from '{sf}/documents.parquet'")
+    want = duckdb.sql(ORACLE_SQL["op5_token_totals"])
+    order = [want.columns.index(c) for c in ("source", "lang", "tokenizer", "documents", "tokens")]
+    got = QUERIES["op5_token_totals"](spark, sf).collect()
+    assert sorted(map(tuple, got)) == sorted(tuple(r[i] for i in order) for r in want.fetchall())
