@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelkpi.llm import bpe, packing, quality, repair, rollups, simhash
+from reelkpi.llm import bpe, imatch, packing, quality, repair, rollups, simhash
 from reelkpi.llm.common import table, written
 from reelkpi.session import scratch_path
 
@@ -114,3 +114,9 @@ ORACLE_SQL["op5_token_totals"] = rf"""
     UNION ALL
     SELECT source, lang, 'pieces-2' AS tokenizer, CAST(count(*) AS BIGINT) AS documents,
            CAST(sum(len(regexp_extract_all(text, '{PIECE}'))) AS BIGINT) AS tokens FROM kept GROUP BY source, lang"""
+
+
+@query
+def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's I-Match fingerprint, beside that of its edited text and of the next document."""
+    return imatch.compare_edited(table(spark, sf_dir, "documents"))
