@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelkpi.llm import bpe, imatch, packing, quality, repair, rollups, simhash
+from reelkpi.llm import ann, bpe, imatch, packing, quality, repair, rollups, simhash
 from reelkpi.llm.common import table, written
 from reelkpi.session import scratch_path
 
@@ -120,3 +120,9 @@ ORACLE_SQL["op5_token_totals"] = rf"""
 def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's I-Match fingerprint, beside that of its edited text and of the next document."""
     return imatch.compare_edited(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found, by inner product, of every vector whose id is divisible by 20."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
