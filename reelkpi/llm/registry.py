@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelkpi.llm import ann, bpe, imatch, packing, quality, repair, rollups, simhash
+from reelkpi.llm import ann, bpe, imatch, packing, quality, repair, rollups, simhash, suffixtree
 from reelkpi.llm.common import table, written
 from reelkpi.session import scratch_path
 
@@ -126,3 +126,11 @@ def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors found, by inner product, of every vector whose id is divisible by 20."""
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability by a suffix tree grown on six folds of seven."""
+    rows = suffixtree.score_texts(table(spark, sf_dir, "documents"), _fold("doc_id", 7) != 2)
+    return rows.select("doc_id", F.coalesce(_fold("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens",
+                       "n_known", "train_tokens", "base_score", "score")
