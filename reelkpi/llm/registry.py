@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelkpi.llm import ann, bpe, imatch, packing, quality, repair, rollups, simhash, suffixtree
+from reelkpi.llm import ann, bpe, imatch, packing, quality, repair, rollups, simhash, suffixdedup, suffixtree
 from reelkpi.llm.common import table, written
 from reelkpi.session import scratch_path
 
@@ -134,3 +134,11 @@ def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = suffixtree.score_texts(table(spark, sf_dir, "documents"), _fold("doc_id", 7) != 2)
     return rows.select("doc_id", F.coalesce(_fold("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens",
                        "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 200-byte strings that start anywhere else too."""
+    rows = suffixdedup.deduplicate(table(spark, sf_dir, "documents"), suffixdedup.SIZE)
+    return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
