@@ -216,31 +216,53 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn, most_positives: int
     return part[0], part[1]
 
 
-def classify(df: DataFrame, labels: DataFrame, learn, prior: float | None = None,
-             most_positives: int = MOST_POSITIVES, most_unlabelled: int = MOST_UNLABELLED,
-             id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, score, *keep) of every row: the chance of label 1, 0 to 1.
-
-    learn: condition on doc_id for the rows that may teach; keep: further
-    columns of df carried along unread."""
+def _scored(df: DataFrame, labels: DataFrame, learn, prior: float | None, most_positives: int, most_unlabelled: int,
+            id_col: str, text_col: str, keep: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """Rows (_doc_id, _score, carried columns), and the carried name of each column of `keep`."""
     docs = keyed_texts(df, id_col, text_col)
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
     positive, unlabelled = training_rows(docs, labels, learn, most_positives, most_unlabelled)
     model = fit(positive, unlabelled, prior)[0] if len(positive) and len(unlabelled) else None
 
+    # the columns carried, the text among them if it is asked for
+    carried = [c for c in keep if c != text_col]
+    names = [f"_k{i}" for i in range(len(carried))] + ["text"] * (text_col in keep)
+
     def run(batches):
         for batch in batches:
             for first, texts in text_slices(batch):
                 score = model.score(_matrix(texts)) if model else np.full(len(texts), 0.5)
                 kept = [c.slice(first, len(texts)) for c in batch.columns]
-                yield pa.RecordBatch.from_arrays([kept[0], pa.array(score, pa.float64()), *kept[2:]],
-                                                 ["_doc_id", "_score", *[f"_k{i}" for i in range(len(keep))]])
+                kept = [*kept[2:], kept[1]][:len(names)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(score, pa.float64()),
+                                                  *kept], ["_doc_id", "_score", *names])
 
-    carried = [F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)]
     read = df.select(F.col(f"`{id_col}`").cast("long").alias("_doc_id"),
-                     F.col(f"`{text_col}`").cast("string").alias("text"), *carried)
+                     F.col(f"`{text_col}`").cast("string").alias("text"),
+                     *[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(carried)])
     types = dict(read.dtypes)
-    schema = ", ".join(["_doc_id long", "_score double", *[f"_k{i} {types[f'_k{i}']}" for i in range(len(keep))]])
-    scored = read.mapInArrow(run, schema)
-    return scored.select(F.col("_doc_id").alias("doc_id"), F.col("_score").alias("score"),
-                         *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)])
+    scored = read.mapInArrow(run, ", ".join(["_doc_id long", "_score double", *[f"{n} {types[n]}" for n in names]]))
+    place = {c: f"_k{i}" for i, c in enumerate(carried)} | {text_col: "text"}
+    return scored, place
+
+
+def classify(df: DataFrame, labels: DataFrame, learn, prior: float | None = None,
+             most_positives: int = MOST_POSITIVES, most_unlabelled: int = MOST_UNLABELLED,
+             id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, score, *keep) of every row: the chance of label 1, 0 to 1.
+
+    learn: condition on doc_id for the rows that may teach; keep: further
+    columns of df carried along unread."""
+    rows, place = _scored(df, labels, learn, prior, most_positives, most_unlabelled, id_col, text_col, keep)
+    return rows.select(F.col("_doc_id").alias("doc_id"), F.col("_score").alias("score"),
+                       *[F.col(place[c]).alias(c) for c in keep])
+
+
+def accepted(df: DataFrame, labels: DataFrame, learn, least: float = 0.5, prior: float | None = None,
+             most_positives: int = MOST_POSITIVES, most_unlabelled: int = MOST_UNLABELLED,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of df, all columns, whose score is `least` or more."""
+    others = tuple(c for c in df.columns if c != id_col)
+    rows, place = _scored(df, labels, learn, prior, most_positives, most_unlabelled, id_col, text_col, others)
+    place[id_col] = "_doc_id"
+    return rows.where(F.col("_score") >= least).select(*[F.col(place[c]).alias(c) for c in df.columns])

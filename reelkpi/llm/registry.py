@@ -56,7 +56,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _fold(doc_id, n: int):
+def fold(doc_id, n: int):
     """crc32 of the id as text, modulo n."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % n
 
@@ -64,7 +64,7 @@ def _fold(doc_id, n: int):
 @query
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's chance of quality label 1; positives are learnt from two folds of three."""
-    held_out = F.coalesce(_fold("doc_id", 3) == 1, F.lit(False))
+    held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False))
     rows = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
     return rows.select("doc_id", held_out.alias("held_out"), "score",
                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
@@ -131,8 +131,8 @@ def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's log10 probability by a suffix tree grown on six folds of seven."""
-    rows = suffixtree.score_texts(table(spark, sf_dir, "documents"), _fold("doc_id", 7) != 2)
-    return rows.select("doc_id", F.coalesce(_fold("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens",
+    rows = suffixtree.score_texts(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+    return rows.select("doc_id", F.coalesce(fold("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens",
                        "n_known", "train_tokens", "base_score", "score")
 
 

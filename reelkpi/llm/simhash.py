@@ -164,14 +164,51 @@ def links(nodes: DataFrame, distance: int = DISTANCE, big: int = BIG) -> DataFra
     return dealt.groupBy("g").applyInArrow(run, "u long, v long").distinct()
 
 
+def roots(rows: DataFrame, distance: int) -> DataFrame:
+    """(bits, root): the component of every fingerprint of the written `rows`, named by one of its fingerprints."""
+    nodes = written(rows.select("bits").distinct(), "simhash-nodes")
+    found = components(links(nodes, distance))
+    return nodes.join(found, nodes.bits == found.node, "left").select("bits", F.coalesce("root", "bits").alias("root"))
+
+
 def near_duplicates(df: DataFrame, words: int = SHINGLE, distance: int = DISTANCE,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, bits (the fingerprint, signed) and component_id (least doc_id reachable) of every row."""
     rows = written(fingerprints(df, words, id_col, text_col), "simhash-fingerprints")
-    nodes = written(rows.groupBy("bits").agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    roots = components(links(nodes.select("bits"), distance))
-    placed = nodes.join(roots, nodes.bits == roots.node, "left").select(
-        "bits", "least", F.coalesce("root", "bits").alias("root"))
+    least = rows.groupBy("bits").agg(F.min("doc_id").alias("least"))
+    placed = written(least.join(roots(rows, distance), "bits"), "simhash-placed")
     of_root = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     of_bits = placed.join(of_root, "root").select("bits", "component_id")
     return rows.join(of_bits, "bits").select("doc_id", "bits", "component_id")
+
+
+def one_of_each(df: DataFrame, words: int = SHINGLE, distance: int = DISTANCE,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of df, all columns, that stay when each component keeps one: the
+    row of least id (null ids last), of equal ids the first in the input's order."""
+    names = [f"_c{i}" for i in range(len(df.columns))]
+    plain = df.toDF(*names)
+    text, key = names[df.columns.index(text_col)], names[df.columns.index(id_col)]
+    at = names.index(text)
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        part, row = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for first, texts in text_slices(batch, names[at]):
+                n = len(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [*[c.slice(first, n) for c in batch.columns], pa.array(np.full(n, part, np.int32)),
+                     pa.array(np.arange(row, row + n)), pa.array([fingerprint(t, words) for t in texts], pa.int64())],
+                    [*names, "part", "row", "bits"])
+                row += n
+
+    schema = ", ".join([*[f"{c} {t}" for c, t in plain.dtypes], "part int, row long, bits long"])
+    rows = written(plain.mapInArrow(run, schema), "simhash-rows")
+    first = F.min(F.struct(F.col(key).isNull(), F.col(key), "part", "row")).alias("first")
+    # the first row of each fingerprint, then of each component: one row a fingerprint is joined
+    of_bits = rows.groupBy("bits").agg(first)
+    chosen = of_bits.join(roots(rows, distance), "bits").groupBy("root").agg(F.min("first").alias("first"))
+    stay = chosen.select("first.part", "first.row")
+    return rows.join(stay, ["part", "row"], "left_semi").select(*names).toDF(*df.columns)
