@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelkpi.llm.common import keyed_texts, partition_bases, text_slices, written
-from reelkpi.llm.wordtokens import chunk_encoder
+from reelkpi.llm.wordtokens import word_encoder
 
 WINDOW = 2048
 TOKENS_SCHEMA = "doc_id long, part int, before long, doc_tokens long, ids binary"
@@ -38,7 +38,7 @@ def tokenized(df: DataFrame, tokenizer_path: str, end_id: int,
         from pyspark import TaskContext
 
         part, before = TaskContext.get().partitionId(), 0
-        encoder, end = chunk_encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        encoder, end = word_encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for first, texts in text_slices(batch):
                 ids = [x + end for x in encoder.encode(texts)]

@@ -3,7 +3,7 @@
 A text's ids are the ids of its white-space-free chunks put together, because
 the vocabulary's own splitting drops white space and never crosses it (see
 `splits_on_space`, which checks the file). Each worker keeps the ids of the
-chunks it has seen in a bounded table, so the library runs once for a word and
+units it has seen in a bounded table, so the library runs once for a word and
 not once for each of its occurrences.
 """
 
@@ -17,12 +17,20 @@ import numpy as np
 
 from reelkpi.llm.common import worker_state
 
-#: Chunks in one generation of a worker's table; two generations are kept, and
-#: what is used again moves to the younger one.
-GENERATION = 500_000
+#: Units whose ids a worker keeps; beyond that the table starts anew.
+UNIT_CACHE = 1 << 20
 #: Chunks given to the library at once, and words in one text for it.
 LIBRARY_BATCH, WORDS_A_TEXT = 50_000, 200
 
+SPACE, LETTER, MARK, OTHER = 0, 1, 2, 3
+CLASS = np.full(256, OTHER, np.uint8)
+CLASS[[9, 10, 11, 12, 13, 32]] = SPACE
+CLASS[97:123] = CLASS[65:91] = LETTER
+CLASS[[ord(c) for c in ".,;:!?|*$%&#"]] = MARK
+#: A random odd number and its inverse modulo 2^64, for sums over a run of bytes.
+BASE = 0x9E3779B97F4A7C15 | 1
+INVERSE = pow(BASE, -1, 1 << 64)
+
 
 def splits_on_space(path: str) -> bool:
     """True if the tokenizer file drops white space between its pieces, keeps no
@@ -36,13 +44,14 @@ def splits_on_space(path: str) -> bool:
         t["lstrip"] or t["rstrip"] or re.search(r"\s", t["content"]) for t in tokens)
 
 
-class ChunkEncoder:
-    """ids of texts as little-endian unsigned 32-bit bytes."""
+class UnitEncoder:
+    """ids of texts as little-endian unsigned 32-bit bytes.
 
-    # str.split() also cuts at these four, which the vocabulary does not drop
-    ODD_SPACE = "\x1c\x1d\x1e\x1f"
-    # letters, then marks that are pieces of their own: the two parts encode alone
-    PARTS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|*$%&#]*)$")
+    A chunk of plain letters (ASCII, Latin-1) and plain marks is cut where the
+    one passes into the other, and its letters are made small, as the file's own
+    rules would; any other chunk stays whole and as it is. These units are found
+    and hashed (64 bits) for a whole slice of text in numpy, and only distinct
+    units that the worker has not seen go to the library."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -54,61 +63,112 @@ class ChunkEncoder:
         suffix = spec.get("end_of_word_suffix")
         # True for ids that end a piece; known only where the vocabulary marks word ends
         self.ends = suffix and np.array([t.endswith(suffix) for t, _ in sorted(spec["vocab"].items(), key=lambda x: x[1])])
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes()
-                for e in self.library.encode_batch(texts, add_special_tokens=False)]
-
-    def _words(self, words: list[str]) -> list[bytes]:
+        self._forget()
+        self.power, self.inverse = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def _forget(self) -> None:
+        self.place: dict[int, int] = {}
+        self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.pool, self.used = np.zeros(1 << 18, "<u4"), 0
+
+    def _powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.power):
+            m = max(n, 2 * len(self.power))
+            self.power, self.inverse = (np.full(m, x, np.uint64) for x in (BASE, INVERSE))
+            self.power[0] = self.inverse[0] = 1
+            self.power, self.inverse = (np.multiply.accumulate(x) for x in (self.power, self.inverse))
+        return self.power[:n], self.inverse[:n]
+
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, dtype="<u4") for at in range(0, len(texts), LIBRARY_BATCH)
+                for e in self.library.encode_batch(texts[at:at + LIBRARY_BATCH], add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[np.ndarray]:
         """ids of words of letters only: each is one piece, so many go into one
         text and the ids that end a piece part them again."""
-        if self.ends is None:
+        if self.ends is None or not words:
             return self._library(words)
-        found = self.library.encode_batch(
-            [" ".join(words[i:i + WORDS_A_TEXT]) for i in range(0, len(words), WORDS_A_TEXT)], add_special_tokens=False)
-        ids = np.array([i for e in found for i in e.ids], dtype="<u4")
-        last = np.flatnonzero(self.ends[ids]) + 1
-        flat, ends = ids.tobytes(), (4 * last).tolist()
-        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends)]
-
-    def _learn(self, chunks: list[str]) -> None:
-        known, match = self.known, self.PARTS.match
-        for at in range(0, len(chunks), LIBRARY_BATCH):
-            some = chunks[at:at + LIBRARY_BATCH]
-            parts = [m.groups() if (m := match(c)) else None for c in some]
-            # the vocabulary is lower case: capitals share the ids of small letters
-            words = list({p[0].lower() for p in parts if p})
-            of_word = dict(zip(words, self._words(words)))
-            marks = list({p[1] for p in parts if p})
-            of_mark = dict(zip(marks, self._library(marks)))
-            others = [c for c, p in zip(some, parts) if not p]
-            known.update(zip(others, self._library(others)))
-            known.update((c, of_word[p[0].lower()] + of_mark[p[1]]) for c, p in zip(some, parts) if p)
+        ids = np.concatenate(self._library([" ".join(words[i:i + WORDS_A_TEXT])
+                                            for i in range(0, len(words), WORDS_A_TEXT)]))
+        return np.split(ids, np.flatnonzero(self.ends[ids])[:-1] + 1)
+
+    def _learn(self, hashes: list[int], units: list[bytes], letters: np.ndarray) -> None:
+        texts = [u.decode("utf-8") for u in units]
+        words, others = np.flatnonzero(letters), np.flatnonzero(~letters)
+        ids: list = [None] * len(texts)
+        for at, make in ((words, self._words), (others, self._library)):
+            for i, x in zip(at.tolist(), make([texts[i] for i in at.tolist()])):
+                ids[i] = x
+        first, lengths = len(self.place), np.array([len(x) for x in ids], dtype=np.int64)
+        flat = np.concatenate(ids)
+        while first + len(ids) > len(self.starts):
+            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+        while self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.starts[first:first + len(ids)] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[first:first + len(ids)] = lengths
+        self.pool[self.used:self.used + len(flat)] = flat
+        self.used += len(flat)
+        self.place.update(zip(hashes, range(first, first + len(ids))))
+
+    def _units(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes with plain letters made small, starts, ends, letters only) of the units of raw, which ends in a space."""
+        kind = CLASS[raw]
+        lead = np.flatnonzero(raw[:-1] == 0xC3)  # two-byte letters of Latin-1, without the signs of times and division
+        lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]
+        kind[lead] = kind[lead + 1] = LETTER
+        solid = kind != SPACE
+        edges = np.flatnonzero(solid[1:] != solid[:-1]) + 1
+        edges = np.concatenate([[0], edges]) if solid[0] else edges
+        begin, end = edges[::2], edges[1::2]
+        if len(begin):
+            mixed = np.maximum.reduceat(kind, begin) == OTHER  # spaces between count least
+            for a, b in zip(begin[mixed].tolist(), end[mixed].tolist()):
+                kind[a:b] = OTHER
+        small = raw.copy()
+        small[(raw >= 65) & (raw <= 90) & (kind == LETTER)] += 32
+        lead = lead[kind[lead] == LETTER] + 1
+        small[lead[(raw[lead] >= 0x80) & (raw[lead] <= 0x9E)]] += 32
+        cut = np.flatnonzero(kind[1:] != kind[:-1]) + 1
+        cut = np.concatenate([[0], cut, [len(raw)]])
+        starts, ends = cut[:-1], cut[1:]
+        real = kind[starts] != SPACE
+        starts, ends = starts[real], ends[real]
+        return small, starts, ends, kind[starts] == LETTER
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_chunk:
-            return self._library(texts)
-        odd = self.ODD_SPACE
-        rows = [re.split(r"[ \t\n\r\x0b\x0c]+", t.strip(" \t\n\r\x0b\x0c"))
-                if any(c in t for c in odd) else t.split() for t in texts]
-        if len(self.known) > GENERATION:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        chunks = [c for row in rows for c in row]
-        ids = list(map(known.get, chunks))
-        new = {c for c, x in zip(chunks, ids) if x is None}
+            return [x.tobytes() for x in self._library(texts)]
+        if not texts:
+            return []
+        if len(self.place) > UNIT_CACHE:
+            self._forget()
+        parts = [t.encode("utf-8") for t in texts]
+        raw = np.frombuffer(b" ".join([*parts, b""]), np.uint8)
+        small, starts, ends, letters = self._units(raw)
+        power, inverse = self._powers(len(raw) + 1)
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum((small.astype(np.uint64) + np.uint64(1)) * inverse[:-1], out=sums[1:])
+        hashes = (sums[ends] - sums[starts]) * power[starts]
+        distinct, first, unit = np.unique(hashes, return_index=True, return_inverse=True)
+        keys = distinct.tolist()
+        at = list(map(self.place.get, keys))
+        new = [i for i, x in enumerate(at) if x is None]
         if new:
-            known.update((c, older[c]) for c in new & older.keys())
-            self._learn(list(new - older.keys()))
-            ids = [known[c] if x is None else x for c, x in zip(chunks, ids)]
-        out, at = [], 0
-        for row in rows:
-            out.append(b"".join(ids[at:at + len(row)]))
-            at += len(row)
-        return out
-
-
-def chunk_encoder(path: str) -> ChunkEncoder:
-    return worker_state(f"words:{path}", lambda: ChunkEncoder(path))
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            flat = small.tobytes()
+            self._learn([keys[i] for i in new], [flat[a:b] for a, b in spans], letters[first[new]])
+            at = [self.place[k] if x is None else x for k, x in zip(keys, at)]
+        at = np.array(at, dtype=np.int64)[unit]
+        lengths = self.lengths[at]
+        before = np.cumsum(lengths) - lengths
+        total = int(lengths.sum())
+        ids = self.pool[np.repeat(self.starts[at] - before, lengths) + np.arange(total)].tobytes()
+        sizes = np.array([len(p) + 1 for p in parts])
+        unit_of = np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)]))
+        bounds = (4 * np.append(before, total)[unit_of]).tolist()
+        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+def word_encoder(path: str) -> UnitEncoder:
+    return worker_state(f"words:{path}", lambda: UnitEncoder(path))

@@ -8,7 +8,7 @@ from reelkpi.llm import wordtokens
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
-OWN = wordtokens.ChunkEncoder(PATH)
+OWN = wordtokens.UnitEncoder(PATH)
 
 
 def check(texts):
@@ -23,7 +23,7 @@ def test_any_text(texts):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(alphabet="abÀÉéß×÷ÿ .,!*$'\n\x1c\x85\xa0́　ſK", max_size=60), max_size=8))
+@given(st.lists(st.text(alphabet="ab<|C9ÀÉéß×÷ÿ .,!*$'\n\x1c\x85\xa0́　ſK", max_size=60), max_size=8))
 def test_marks_accents_spaces(texts):
     check(texts)
 
@@ -33,7 +33,11 @@ def test_words_of_documents(spark):
     check([d.text for d in docs])
 
 
-def test_generations(monkeypatch):
-    monkeypatch.setattr(wordtokens, "GENERATION", 5)
+def test_bounded_table(monkeypatch):
+    monkeypatch.setattr(wordtokens, "UNIT_CACHE", 5)
     for i in range(30):
         check([f"word{i} Other{i % 4}. and, <|endoftext|> <|endoftext|>x the{i}*** É{i} été. été"])
+
+
+def test_special_strings_keep_their_case():
+    check(["<|endoftext|> <|ENDOFTEXT|>", "x<|startoftext|>y", "A.b,C É.x ×a÷ ÿÞ don't D'ont 12a.", "", " ", "a", "\n"])
