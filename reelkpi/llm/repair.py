@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelkpi.llm.common import keyed_texts, partition_bases, text_slices
-from reelkpi.llm.wordtokens import chunk_encoder
+from reelkpi.llm.wordtokens import word_encoder
 
 BLOCK_IDS = 1 << 20
 #: Pairs replaced in one round, and rounds at most.
@@ -43,50 +43,55 @@ FILE_SCHEMA = """part int, block int, before long, n_ids long, n_docs int, least
 READ_SCHEMA = "doc_id long, part int, before long, n_tokens long, ids binary"
 
 
-def _frequent(key: np.ndarray, open_: np.ndarray, bits: int = 18) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent pairs, exactly counted, most frequent first. Hashed
-    counts are never too low, so only pairs of well-filled cells are sorted."""
-    cell = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int32)
-    cell = cell[open_]
-    filled = np.bincount(cell, minlength=1 << bits)
-    least = max(LEAST_COUNT, int(np.partition(filled, -PAIRS_A_ROUND)[-PAIRS_A_ROUND]))
-    pairs, counts = np.unique(key[open_][filled[cell] >= least], return_counts=True)
-    pairs, counts = pairs[counts >= LEAST_COUNT], counts[counts >= LEAST_COUNT]
-    order = np.argsort(-counts, kind="stable")[:PAIRS_A_ROUND]
-    return pairs[order], counts[order]
+#: Pairs are first counted by hash, in this many cells.
+CELL_BITS = 18
+
+
+def _chosen(pairs: np.ndarray) -> list[int]:
+    """Of pairs, most frequent first, those that can be replaced in one round:
+    no symbol is left in one and right in another."""
+    left, right, chosen = set(), set(), []
+    for pair in pairs.tolist():
+        a, b = pair >> 32, pair & 0xFFFFFFFF
+        if a not in right and b not in left and (a != b or (a not in left and b not in right)):
+            left.add(a), right.add(b)
+            if a == b:  # taken out of all other pairs
+                left.add(b), right.add(a)
+            chosen.append(pair)
+    return chosen
 
 
 def compress(ids: np.ndarray, last: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     """(first rule's symbol, rules, symbols, place of each symbol's first id).
 
     ids: symbols of all documents; last: True at each document's last id."""
-    seq, last = ids.astype(np.int64), last.copy()
+    seq, last = ids.astype(np.uint32), last.copy()
     place = np.arange(len(seq), dtype=np.int64)
     first = top = int(seq.max()) + 1 if len(seq) else 0
-    rules: list[tuple[int, int]] = []
+    rules: list[np.ndarray] = []
     for _ in range(ROUNDS):
         if len(seq) < 2:
             break
-        key = seq[:-1] << 32 | seq[1:]
-        pairs, _counts = _frequent(key, ~last[:-1])
-        left, right, chosen = set(), set(), []
-        for pair in pairs.tolist():
-            a, b = pair >> 32, pair & 0xFFFFFFFF
-            if a not in right and b not in left and (a != b or (a not in left and b not in right)):
-                if a == b:  # taken out of all other pairs
-                    left.add(a), right.add(a)
-                else:
-                    left.add(a), right.add(b)
-                chosen.append(pair)
-        if not chosen:
+        a, b = seq[:-1], seq[1:]
+        cell = (a * np.uint32(0x9E3779B1) ^ b * np.uint32(0x85EBCA6B)) >> np.uint32(32 - CELL_BITS)
+        cell[last[:-1]] = 0  # no pair crosses a document's end
+        filled = np.bincount(cell, minlength=1 << CELL_BITS)
+        filled[0] = 0
+        # a cell holds at least what each of its pairs counts: only pairs of well-filled cells are counted one by one
+        least = max(LEAST_COUNT, int(np.partition(filled, -PAIRS_A_ROUND)[-PAIRS_A_ROUND]))
+        at = np.flatnonzero((filled >= least)[cell])
+        key = a[at].astype(np.int64) << 32 | b[at]
+        pairs, counts = np.unique(key, return_counts=True)
+        pairs, counts = pairs[counts >= LEAST_COUNT], counts[counts >= LEAST_COUNT]
+        chosen = np.array(_chosen(pairs[np.argsort(-counts, kind="stable")[:PAIRS_A_ROUND]]), dtype=np.int64)
+        if not len(chosen):
             break
-        chosen_keys = np.array(sorted(chosen), dtype=np.int64)
-        is_left, is_right = np.zeros(top, bool), np.zeros(top, bool)
-        is_left[chosen_keys >> 32] = True
-        is_right[chosen_keys & 0xFFFFFFFF] = True
-        at = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]] & ~last[:-1])
-        rule = np.minimum(np.searchsorted(chosen_keys, key[at]), len(chosen_keys) - 1)
-        hit = chosen_keys[rule] == key[at]
+        left, right = (chosen >> 32).astype(np.uint32), (chosen & 0xFFFFFFFF).astype(np.uint32)
+        rule_of = np.full(1 << CELL_BITS, -1, np.int32)  # of two pairs in one cell the more frequent is replaced
+        rule_of[((left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA6B)) >> np.uint32(32 - CELL_BITS))[::-1]] = \
+            np.arange(len(chosen), dtype=np.int32)[::-1]
+        rule = rule_of[cell[at]]
+        hit = (rule >= 0) & (chosen[rule] == key)
         at, rule = at[hit], rule[hit]
         # pairs of equal symbols overlap in runs: every other one counts, from the left
         run = np.concatenate([[True], np.diff(at) != 1]) if len(at) else np.zeros(0, bool)
@@ -94,14 +99,16 @@ def compress(ids: np.ndarray, last: np.ndarray) -> tuple[int, np.ndarray, np.nda
         at, rule = at[from_left % 2 == 0], rule[from_left % 2 == 0]
         if len(at) < LEAST_SAVED * len(seq):
             break
-        rules += [(int(k) >> 32, int(k) & 0xFFFFFFFF) for k in chosen_keys]
+        used, rule = np.unique(rule, return_inverse=True)
+        rules.append(chosen[used])
         seq[at] = top + rule
         last[at] = last[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq, last, place = seq[keep], last[keep], place[keep]
-        top += len(chosen_keys)
-    return first, np.array(rules, dtype=np.int64).reshape(-1, 2), seq, place
+        top += len(used)
+    flat = np.concatenate(rules) if rules else np.zeros(0, np.int64)
+    return first, np.stack([flat >> 32, flat & 0xFFFFFFFF], axis=1), seq.astype(np.int64), place
 
 
 def expansion_lengths(first: int, rules: np.ndarray) -> np.ndarray:
@@ -160,7 +167,7 @@ def write_store(df: DataFrame, path: str, tokenizer_path: str, end_id: int, bloc
         from pyspark import TaskContext
 
         part, block, before = TaskContext.get().partitionId(), 0, 0
-        encoder, end = chunk_encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        encoder, end = word_encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
         docs, held, size = [], [], 0
 
         def row():
@@ -191,8 +198,14 @@ def _documents(row: dict, wanted: set | None):
     rules = np.frombuffer(row["rules"], width).astype(np.int64).reshape(-1, 2)
     symbols = np.frombuffer(row["symbols"], width)
     starts = np.cumsum(lengths) - lengths
-    if wanted is None:  # the whole block at once
-        flat = expand(symbols, row["first_rule"], rules).astype("<u4").tobytes()
+    if wanted is None:  # the whole block at once: every symbol's ids from one table
+        first, sizes = row["first_rule"], np.frombuffer(row["expansions"], "<u4").astype(np.int64)
+        ids = np.concatenate([np.arange(first), expand(np.arange(first, first + n_rules), first, rules)]).astype("<u4")
+        size = np.concatenate([np.ones(first, np.int64), sizes])
+        begin = np.cumsum(size) - size
+        own = size[symbols]
+        at_ = np.repeat(begin[symbols] - (np.cumsum(own) - own), own)
+        flat = ids[at_ + np.arange(len(at_))].tobytes()
         for i, key in enumerate(row["doc_ids"]):
             yield key, int(starts[i]), int(lengths[i]), flat[4 * starts[i]:4 * (starts[i] + lengths[i])]
         return
