@@ -11,4 +11,4 @@ from reelkpi.functions.columns import (  # noqa: F401
     without_placeholder,
     zero_to_null_double,
 )
-from reelkpi.functions.median import attach_median, grouped_median, summarize_with_median  # noqa: F401
+from reelkpi.functions.median import bracket, median_from_brackets, summarize_with_median  # noqa: F401

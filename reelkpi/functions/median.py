@@ -1,28 +1,18 @@
 """Exact grouped median that stays distributed when one group is huge.
 
-`F.median` (= `percentile(x, 0.5)`) is exact but its final aggregate keeps a
-value -> count map of *every distinct value of a group* in one task. The
-franchise reports have two groups, so at scale that is half the table's
-distinct values in one task. This module computes the same number with
-ordinary aggregates and windows whose per-task size does not grow with the
-group:
-
-1. Map each value to a coarse, order-preserving bucket (binade and the top 10
-   mantissa bits) and count rows per (group, bucket). Partial aggregation
-   collapses a hot group to at most one row per bucket per input partition.
-2. A running count over a group's buckets (bounded by the number of bucket
-   codes, in practice a few thousand per group, whatever its size) gives the group size n and the bucket(s) that
-   hold the two middle ranks, plus the number of rows below each.
-3. Only rows in those buckets are read again. Their distinct values are
-   counted (spread over tasks by value) and gathered per 16-bit sub-bucket
-   into one sorted array; a running count over the sub-buckets finds the one
-   holding each middle rank, and the rank is resolved on that array.
-4. The median is the middle value, or for even n Spark's interpolation
-   `0.5 * lo + 0.5 * hi` between the two middle values.
-
-Null values are ignored; a group whose values are all null has no row here
-(callers left-join, which gives null as `F.median` does). NaN sorts above
-every number, as in Spark.
+`F.median` keeps every distinct value of a group in one task. Here a first
+aggregate brackets the median with quantile sketches of bounded size, and a
+second pass counts, per group, the values below the bracket and the distinct
+values inside it. Only the bracket's values meet in one task: those of a group
+of up to `SMALL` values, else a share of `WIDE` or `NARROW` of the group on
+either side of the middle. Both passes aggregate partially, so a hot group
+sends one row per task and distinct bracket value.
+
+The sketch's rank error is at most 1 / ACCURACY of the group (deterministic),
+and each margin exceeds that error plus two ranks, so the bracket always holds
+the two middle ranks. For even sizes the result is Spark's interpolation
+`0.5 * lo + 0.5 * hi`. Nulls are ignored, a group of nulls has a null median,
+and NaN sorts above every number, as in Spark.
 """
 
 from __future__ import annotations
@@ -32,163 +22,55 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Bucket layout: sign | binade (exponent + _EXP_BIAS) | top _SUB_BITS mantissa bits.
-_SUB_BITS = 10
-_SUB_SCALE = float(1 << _SUB_BITS)
-_EXP_BIAS = 1100
-_EXP_STRIDE = 1 << (_SUB_BITS + 1)
-_OFFSET = 1 << 23  # above the largest magnitude code ((2 * _EXP_BIAS) * _EXP_STRIDE + _SUB_SCALE + 1)
-
-
-def _binade(v: Column) -> tuple[Column, Column]:
-    """(exponent, mantissa in [1, 2]) of |v|, each step monotone in |v|: log2,
-    floor, division by a power of two (exact) and clamping."""
-    a = F.abs(v)
-    e = F.floor(F.least(F.greatest(F.log2(a), F.lit(-float(_EXP_BIAS))), F.lit(float(_EXP_BIAS))))
-    m = F.least(F.greatest(a / F.pow(F.lit(2.0), e), F.lit(1.0)), F.lit(2.0))
-    return e, m
-
-
-def value_bucket(v: Column) -> Column:
-    """Order-preserving long code of a double: v1 <= v2 implies code(v1) <= code(v2).
-
-    The code is monotone even where log2 rounds at a binade edge, because
-    every step of `_binade` is.
-    """
-    e, m = _binade(v)
-    sub = F.floor((m - F.lit(1.0)) * F.lit(_SUB_SCALE))
-    mag = (e + F.lit(_EXP_BIAS)) * F.lit(_EXP_STRIDE) + sub + F.lit(1)
-    return (
-        F.when(F.isnan(v), F.lit(3 * _OFFSET))
-        .when(v > 0, F.lit(2 * _OFFSET) + mag)
-        .when(v == 0, F.lit(_OFFSET))
-        .otherwise(F.lit(_OFFSET) - mag)
-        .cast("long")
-    )
-
-
-def value_sub_bucket(v: Column, bits: int = 16) -> Column:
-    """The next `bits` mantissa bits below `value_bucket`'s: order-preserving
-    among values that share a `value_bucket` code (negative values reversed)."""
-    _, m = _binade(v)
-    scaled = (m - F.lit(1.0)) * F.lit(_SUB_SCALE)
-    sub = F.floor((scaled - F.floor(scaled)) * F.lit(float(1 << bits)))
-    return (F.when(F.isnan(v) | (v == 0), F.lit(0))
-            .when(v > 0, sub).otherwise(-sub).cast("long"))
-
-
-def _key_alias(i: int) -> str:
-    return f"_mk{i}"
-
-
-def _same(a: Column, b: Column, nullable: bool) -> Column:
-    """Key equality; null-safe only where a key can be null (a plain equality
-    keeps the join on the aggregate's own hash partitioning)."""
-    return a.eqNullSafe(b) if nullable else a == b
-
-
-def _pick_middle(xv: DataFrame, targets: DataFrame, knames: list[str], carry: list[str]) -> DataFrame:
-    """Steps 3-4: the values at ranks `_rlo` / `_rhi` inside the target buckets.
-
-    `targets` has `t<key>`, `t_b`, `_below`, `_rlo`, `_rhi` and the `carry`
-    columns. Candidate values are counted per distinct value (partial
-    aggregation, spread by value), then gathered per 16-bit sub-bucket of the
-    target bucket into a sorted array -- one sub-bucket's distinct values, a
-    2^-26-wide slice of a binade. A running count over the sub-buckets finds
-    the one holding each middle rank; the rank inside it is resolved on its
-    array. Returns one row per group: keys, `carry`, `_med`.
-    """
-    cond = [_same(xv[n], targets["t" + n], xv.schema[n].nullable) for n in knames]
-    info = ["_below", "_rlo", "_rhi", *carry]
-    subs = (
-        xv.join(targets, cond + [xv["_b"] == targets["t_b"]], "inner")
-        .select(*knames, "_b", "_v", *info)
-        .withColumn("_b2", value_sub_bucket(F.col("_v")))
-        .groupBy(*knames, "_b", "_b2", "_v", *info).agg(F.count(F.lit(1)).alias("_c"))
-        .groupBy(*knames, "_b", "_b2", *info).agg(
-            F.sort_array(F.collect_list(F.struct("_v", "_c"))).alias("_vals"),
-            F.sum("_c").alias("_cs"))
-    )
-    by_sub = Window.partitionBy(*knames, "_b").orderBy("_b2").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    hit = (
-        subs.withColumn("_cum", F.col("_below") + F.sum("_cs").over(by_sub))
-        .where((F.col("_cum") >= F.col("_rlo")) & (F.col("_cum") - F.col("_cs") < F.col("_rhi")))
-    )
-    # ranks inside the sub-bucket: running count over its sorted (value, count) pairs
-    in_sub = Window.partitionBy(*knames, "_b", "_b2").orderBy("_pos").rowsBetween(
+ACCURACY = 10_000
+#: Group sizes up to which the bracket is the whole group, and the wide margin is used.
+SMALL, MEDIUM = 4_096, 1_000_000
+WIDE, NARROW = 0.001, 0.00025
+
+
+def bracket(v: Column) -> Column:
+    """Aggregate: struct (n, lo, hi) of the non-null values, with the two middle
+    ranks between lo and hi."""
+    at = F.percentile_approx(v, [0.5 - WIDE, 0.5 - NARROW, 0.5 + NARROW, 0.5 + WIDE], ACCURACY)
+    n = F.count(v)
+
+    def end(extreme: Column, wide: int, narrow: int) -> Column:
+        return F.when(n <= SMALL, extreme).when(n <= MEDIUM, at[wide]).otherwise(at[narrow])
+
+    return F.struct(n.alias("n"), end(F.min(v), 0, 1).alias("lo"), end(F.max(v), 3, 2).alias("hi"))
+
+
+def median_from_brackets(df: DataFrame, groups: DataFrame, keys: Sequence[str], value: str, alias: str) -> DataFrame:
+    """The rows of `groups` with the exact median of `value` in place of `_bracket`.
+
+    groups: one row per group (keys, `_bracket`, any other columns); hint it as
+    a broadcast where the number of groups is known to be small. It is used
+    once, so its other columns come out exactly as they went in."""
+    carried = [c for c in groups.columns if c not in keys]
+    side = groups.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.struct(*carried).alias("_of"))
+    rows = df.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)], F.col(value).cast("double").alias("_v"))
+    names = [f"_k{i}" for i in range(len(keys))]
+    # plain equality where neither side can be null: it keeps more join strategies open
+    same = [rows[f"_r{i}"] == side[n] if not (rows.schema[f"_r{i}"].nullable or side.schema[n].nullable)
+            else rows[f"_r{i}"].eqNullSafe(side[n]) for i, n in enumerate(names)]
+    b = F.col("_of._bracket")
+    # one row per distinct value of the bracket, and one (null) for all values below it
+    counts = (rows.join(side, same).where((F.col("_v") <= b["hi"]) | (b["n"] == 0))
+              .groupBy(*names, F.when(F.col("_v") >= b["lo"], F.col("_v")).alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_c"), F.any_value("_of").alias("_of")))
+    upto = Window.partitionBy(*names).orderBy(F.col("_v").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    ranked = (
-        hit.select(*knames, "_b", "_b2", *info, (F.col("_cum") - F.col("_cs")).alias("_below2"),
-                   F.posexplode("_vals").alias("_pos", "_vc"))
-        .withColumn("_last", F.col("_below2") + F.sum("_vc._c").over(in_sub))
-        .withColumn("_first", F.col("_last") - F.col("_vc._c") + 1)
-        .withColumn("_v", F.col("_vc._v"))
-    )
+    ranked = counts.withColumn("_last", F.sum("_c").over(upto)).withColumn("_first", F.col("_last") - F.col("_c") + 1)
+    low, high = F.floor((b["n"] + 1) / 2), F.floor(b["n"] / 2) + 1
 
-    def holds(rank: str) -> Column:
-        return (F.col("_first") <= F.col(rank)) & (F.col(rank) <= F.col("_last"))
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_first") <= rank) & (rank <= F.col("_last")), F.col("_v")))
 
-    # the middle values, interpolated as Spark's percentile does
-    picked = ranked.where(holds("_rlo") | holds("_rhi")).groupBy(*knames, *carry).agg(
-        F.max(F.when(holds("_rlo"), F.col("_v"))).alias("_lo"),
-        F.max(F.when(holds("_rhi"), F.col("_v"))).alias("_hi"),
-    )
+    picked = ranked.groupBy(*names).agg(F.any_value("_of").alias("_of"), at(low).alias("_lo"), at(high).alias("_hi"))
     lo, hi = F.col("_lo"), F.col("_hi")
-    return picked.select(*knames, *carry,
-                         F.when(lo == hi, lo).otherwise(F.lit(0.5) * lo + F.lit(0.5) * hi).alias("_med"))
-
-
-def _histogram_and_pick(x: DataFrame, hist: DataFrame, knames: list[str], alias: str) -> DataFrame:
-    """Steps 2-4 on a (group, bucket) histogram `hist` (`_c` rows per bucket)
-    and the non-null values `x` (`_v`, `_b`): one row per group with `alias`."""
-    # 2: group size and the buckets holding the middle ranks
-    # (one window spec for both sums, so one sort).
-    by_bucket = Window.partitionBy(*knames).orderBy("_b")
-    upto = by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked_buckets = (
-        hist.withColumns({"_n": F.sum("_c").over(whole), "_cum": F.sum("_c").over(upto)})
-        # 1-based ranks of the lower and upper middle value
-        .withColumn("_rlo", F.floor((F.col("_n") + 1) / 2))
-        .withColumn("_rhi", F.floor(F.col("_n") / 2) + 1)
-    )
-    targets = ranked_buckets.where(
-        (F.col("_cum") >= F.col("_rlo")) & (F.col("_cum") - F.col("_c") < F.col("_rhi"))
-    ).select(
-        *[F.col(n).alias("t" + n) for n in knames], F.col("_b").alias("t_b"),
-        (F.col("_cum") - F.col("_c")).alias("_below"), "_rlo", "_rhi",
-    )
-
-    # 3-4: exact ranks inside the target buckets only.
-    return _pick_middle(x, targets, knames, []).select(*knames, F.col("_med").alias(alias))
-
-
-def _keyed(df: DataFrame, keys: Sequence[str | Column], value: str | Column, *extra: Column):
-    key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    knames = [_key_alias(i) for i in range(len(key_cols))]
-    vcol = F.col(value) if isinstance(value, str) else value
-    x = df.select(*[c.alias(n) for c, n in zip(key_cols, knames)], vcol.cast("double").alias("_v"), *extra)
-    return x.withColumn("_b", F.when(F.col("_v").isNotNull(), value_bucket(F.col("_v")))), knames
-
-
-def grouped_median(
-    df: DataFrame,
-    keys: Sequence[str | Column],
-    value: str | Column,
-    alias: str = "median",
-) -> DataFrame:
-    """Exact median of `value` per group of `keys`: columns `_mk0.._mkN`, `alias`.
-
-    The key columns come back under positional names so callers can join them
-    null-safely to their own aggregate (see `attach_median`). Only groups with
-    at least one non-null value have a row.
-    """
-    x, knames = _keyed(df, keys, value)
-    x = x.where(F.col("_v").isNotNull())
-    # 1: bucket histogram (partial aggregation first)
-    hist = x.groupBy(*knames, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    return _histogram_and_pick(x, hist, knames, alias)
+    middle = F.when(lo == hi, lo).otherwise(F.lit(0.5) * lo + F.lit(0.5) * hi)
+    return picked.select(*[F.col(n).alias(k) for n, k in zip(names, keys)],
+                         *[F.col(f"_of.{c}").alias(c) for c in carried if c != "_bracket"], middle.alias(alias))
 
 
 def summarize_with_median(
@@ -196,95 +78,20 @@ def summarize_with_median(
     keys: Sequence[str],
     value: str,
     median_alias: str,
-    counts: dict[str, str] | None = None,
-    sums: dict[str, str] | None = None,
-    means: dict[str, str] | None = None,
+    aggregates: Sequence[Column] = (),
     median_accuracy: int | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
-    """One row per group of `keys`: `count(col)`, `sum(col)` and `avg(col)` for
-    the given {alias: column} maps plus the exact median of `value`.
-
-    With `median_accuracy` the median is instead `percentile_approx(value,
-    0.5, median_accuracy)` in the same single aggregation: one of the group's
-    values whose rank is within n / accuracy of the middle, from sketches of
-    bounded size (no interpolation). Exact is the default.
+    """One row per group of `keys`: the aliased `aggregates` and the exact median of `value`.
 
-    The counts, sums and means are partial aggregates of the median's bucket
-    histogram pass; window sums over a group's buckets give the group totals,
-    which travel with the median's middle buckets to the result. Both uses of
-    the histogram need the same columns, so Spark computes it once (a reused
-    exchange) and the input is scanned twice (histogram, then the values of
-    the middle buckets) instead of three times. Every group appears, also one
-    whose `value` is always null (median null).
+    `few_groups` promises a number of groups that does not grow with the data,
+    and broadcasts them to the second scan. With `median_accuracy` the median
+    is instead `percentile_approx(value, 0.5, median_accuracy)` from the first
+    pass alone: a value of the group whose rank is within n / accuracy of the
+    middle, without interpolation.
     """
-    counts, sums, means = counts or {}, sums or {}, means or {}
+    v = F.col(value).cast("double")
     if median_accuracy is not None:
-        return df.groupBy(*keys).agg(
-            *[F.count(c).alias(a) for a, c in counts.items()],
-            *[F.sum(c).alias(a) for a, c in sums.items()],
-            *[F.avg(c).alias(a) for a, c in means.items()],
-            F.percentile_approx(F.col(value).cast("double"), 0.5, median_accuracy).alias(median_alias))
-    metrics = {c for c in [*counts.values(), *sums.values(), *means.values()]}
-    mcols = {c: f"_m{i}" for i, c in enumerate(sorted(metrics))}
-    x, knames = _keyed(df, keys, value, *[F.col(c).alias(m) for c, m in mcols.items()])
-
-    counted = set(counts.values()) | set(means.values())
-    summed = set(sums.values()) | set(means.values())
-    parts = [f"{mcols[c]}_n" for c in sorted(counted)] + [f"{mcols[c]}_s" for c in sorted(summed)]
-    partial = [F.count("_v").alias("_c")]
-    partial += [F.count(mcols[c]).alias(f"{mcols[c]}_n") for c in sorted(counted)]
-    partial += [F.sum(mcols[c]).alias(f"{mcols[c]}_s") for c in sorted(summed)]
-    # 1: one pass: value histogram per (group, bucket) and the report's partial
-    # aggregates; rows with a null value land in the null bucket (sorted first).
-    hist = x.groupBy(*knames, "_b").agg(*partial)
-
-    # 2: per group (one window spec, one sort): size, running count, totals.
-    by_bucket = Window.partitionBy(*knames).orderBy(F.col("_b").asc_nulls_first())
-    upto = by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    totals = {f"_t{p}": F.sum(p).over(whole) for p in parts}
-    w = (
-        hist.withColumns({"_n": F.sum("_c").over(whole), "_cum": F.sum("_c").over(upto), **totals})
-        .withColumn("_rlo", F.floor((F.col("_n") + 1) / 2))
-        .withColumn("_rhi", F.floor(F.col("_n") / 2) + 1)
-    )
-    tcols = list(totals)
-    is_target = (F.col("_b").isNotNull() & (F.col("_cum") >= F.col("_rlo"))
-                 & (F.col("_cum") - F.col("_c") < F.col("_rhi")))
-    targets = w.where(is_target | (F.col("_n") == 0)).select(
-        *[F.col(n).alias("t" + n) for n in knames], F.col("_b").alias("t_b"),
-        (F.col("_cum") - F.col("_c")).alias("_below"), "_n", "_rlo", "_rhi", *tcols)
-
-    # 3-4: exact ranks inside the target buckets (groups without values have none),
-    # with the group totals carried along.
-    xv = x.where(F.col("_v").isNotNull())
-    with_values = _pick_middle(xv, targets.where(F.col("_n") > 0), knames, tcols)
-    no_values = targets.where(F.col("_n") == 0).select(
-        *[F.col("t" + n).alias(n) for n in knames], *tcols, F.lit(None).cast("double").alias("_med"))
-    both = with_values.unionByName(no_values)
-
-    def total(c: str, kind: str) -> Column:
-        return F.col(f"_t{mcols[c]}_{kind}")
-
-    out = [total(c, "n").alias(a) for a, c in counts.items()]
-    out += [total(c, "s").alias(a) for a, c in sums.items()]
-    out += [F.try_divide(total(c, "s"), total(c, "n")).alias(a) for a, c in means.items()]
-    return both.select(*[F.col(n).alias(k) for n, k in zip(knames, keys)], *out,
-                       F.col("_med").alias(median_alias))
-
-
-def attach_median(
-    agg: DataFrame,
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str | Column,
-    alias: str,
-) -> DataFrame:
-    """Left-join the exact median of `value` per `keys` onto `agg` (one row per group).
-
-    Keys are matched null-safely, so a null group key keeps its median.
-    """
-    med = grouped_median(df, keys, value, alias)
-    cond = [_same(agg[k], med[_key_alias(i)], agg.schema[k].nullable) for i, k in enumerate(keys)]
-    out = agg.join(med, cond, "left")
-    return out.drop(*[_key_alias(i) for i in range(len(keys))])
+        return df.groupBy(*keys).agg(*aggregates, F.percentile_approx(v, 0.5, median_accuracy).alias(median_alias))
+    groups = df.groupBy(*keys).agg(*aggregates, bracket(v).alias("_bracket"))
+    return median_from_brackets(df, F.broadcast(groups) if few_groups else groups, keys, value, median_alias)

@@ -25,8 +25,8 @@ from reelkpi.schema import DROP_COLS, FINAL_COL_ORDER, KPI_COLS, NAME_LIST_COLS,
 
 
 def drop_irrelevant_columns(df: DataFrame) -> DataFrame:
-    """Drop the columns of `DROP_COLS` that are present."""
-    return df.drop(*[c for c in DROP_COLS if c in df.columns])
+    """Drop the columns of `DROP_COLS` (absent names are ignored)."""
+    return df.drop(*DROP_COLS)
 
 
 def flatten_nested(df: DataFrame) -> DataFrame:

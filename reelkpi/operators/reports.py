@@ -3,9 +3,9 @@
 Counts, sums and means aggregate partially before the shuffle, so a hot group
 (one collection, one director, "standalone") costs one row per task on the
 wire. Medians use `summarize_with_median`, which is exact without gathering a
-group's values in one task and computes the report's other aggregates in the
-same pass. Top-n reports order by the rounded output column, then by
-the group key, and keep the `limit` in the plan (`TakeOrderedAndProject`).
+group's values in one task: the report's other aggregates ride in its first
+pass. Top-n reports order by the rounded output column, then by the group key,
+and keep the `limit` in the plan (`TakeOrderedAndProject`).
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelkpi.functions.columns import round2, split_names
-from reelkpi.functions.median import summarize_with_median
+from reelkpi.functions.median import bracket, median_from_brackets, summarize_with_median
 
 FRANCHISE, STANDALONE = "Franchise", "Standalone"
 
@@ -31,10 +31,10 @@ def franchise_flag_stats(df: DataFrame, median_accuracy: int | None = None) -> D
     flagged = df.withColumn("is_franchise", _in_franchise(df))
     out = summarize_with_median(
         flagged, ["is_franchise"], "roi", "median_roi",
-        counts={"count": "id"},
-        means={"avg_revenue": "revenue_musd", "avg_budget": "budget_musd",
-               "avg_popularity": "popularity", "avg_rating": "vote_average"},
-        median_accuracy=median_accuracy)
+        [F.count("id").alias("count"), F.avg("revenue_musd").alias("avg_revenue"),
+         F.avg("budget_musd").alias("avg_budget"), F.avg("popularity").alias("avg_popularity"),
+         F.avg("vote_average").alias("avg_rating")],
+        median_accuracy=median_accuracy, few_groups=True)
     return out.select("is_franchise", "count", "avg_revenue", "median_roi",
                       "avg_budget", "avg_popularity", "avg_rating")
 
@@ -57,10 +57,10 @@ def franchise_comparison(df: DataFrame, median_accuracy: int | None = None) -> D
         "category", F.when(_in_franchise(df), F.lit(FRANCHISE)).otherwise(F.lit(STANDALONE)))
     out = summarize_with_median(
         labelled, ["category"], "roi", "_median_roi",
-        counts={"movie_count": "title"},
-        means={"_revenue": "revenue_musd", "_budget": "budget_musd",
-               "_popularity": "popularity", "_rating": "vote_average"},
-        median_accuracy=median_accuracy)
+        [F.count("title").alias("movie_count"), F.avg("revenue_musd").alias("_revenue"),
+         F.avg("budget_musd").alias("_budget"), F.avg("popularity").alias("_popularity"),
+         F.avg("vote_average").alias("_rating")],
+        median_accuracy=median_accuracy, few_groups=True)
     return out.select(
         "category", "movie_count", round2("_revenue").alias("revenue_musd"),
         round2("_median_roi").alias("roi"), round2("_budget").alias("budget_musd"),
@@ -71,32 +71,38 @@ def _collections(df: DataFrame) -> DataFrame:
     return df.where(_in_franchise(df))
 
 
+#: Top-n lists up to this length are broadcast to the median's second pass.
+SMALL_TOP = 10_000
+
+
 def top_franchises(df: DataFrame, n: int = 5, median_accuracy: int | None = None) -> DataFrame:
     """Collections by total revenue (rounded), with median ROI and mean rating.
 
-    The ranking does not depend on the median, so the top n collections are
-    picked from partial aggregates first and the exact median is computed only
-    over the rows of those n collections (a semi-join against at most n
-    broadcast keys): median work does not grow with the number of collections.
+    The ranking does not depend on the median, so one aggregate ranks the
+    collections and brackets their medians, its first n rows are kept, and a
+    second scan settles the medians of these n alone. The ranked rows are used
+    once, so their totals cannot differ between two uses.
     """
     coll = _collections(df)
     order = [F.col("revenue_musd").desc(), F.col("belongs_to_collection").asc()]
+    exact = median_accuracy is None
+    roi = F.col("roi").cast("double")
+    middle = bracket(roi) if exact else F.percentile_approx(roi, 0.5, median_accuracy)
     top = (
         coll.groupBy("belongs_to_collection").agg(
             F.count("title").alias("title_count"),
             round2(F.sum("revenue_musd")).alias("revenue_musd"),
             round2(F.avg("vote_average")).alias("vote_average"),
+            middle.alias("_bracket" if exact else "_median_roi"),
         )
         .orderBy(*order).limit(n)
     )
-    top_keys = F.broadcast(top.select("belongs_to_collection"))  # at most n rows
-    in_top = coll.join(top_keys, "belongs_to_collection", "left_semi")
-    med = summarize_with_median(in_top, ["belongs_to_collection"], "roi", "_median_roi",
-                                median_accuracy=median_accuracy)
+    if exact:
+        top = F.broadcast(top) if n <= SMALL_TOP else top
+        top = median_from_brackets(coll, top, ["belongs_to_collection"], "roi", "_median_roi")
     return (
-        top.join(med, "belongs_to_collection", "left")
-        .select("belongs_to_collection", "title_count", "revenue_musd",
-                round2("_median_roi").alias("roi"), "vote_average")
+        top.select("belongs_to_collection", "title_count", "revenue_musd",
+                   round2("_median_roi").alias("roi"), "vote_average")
         .orderBy(*order)
     )
 

@@ -22,6 +22,11 @@ def r2(expr: str) -> str:
     return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 12)), 2) AS DOUBLE)"
 
 
+# Text that is hard to export, as the overview of some films.
+ODD_OVERVIEW = """CASE o.o_orderkey % 5 WHEN 0 THEN 'first line' || chr(10) || 'second line'
+                 WHEN 1 THEN 'he said "go", twice' WHEN 2 THEN '  padded  ' WHEN 3 THEN chr(92) || 'N'
+                 ELSE 'back' || chr(92) || 'slash,' || chr(13) || chr(10) || 'comma' END"""
+
 FILMS_CTE = f"""
 lines AS (
     SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity,
@@ -59,11 +64,12 @@ films AS (
         CASE WHEN o.o_orderkey % 50 = 0 OR o.o_orderkey % 51 = 0 THEN NULL
              ELSE CAST(o.o_orderdate AS DATE) END AS release_date,
         CASE WHEN o.o_orderpriority = '4-NOT SPECIFIED' THEN 'No Data'
-             WHEN o.o_orderpriority = '5-LOW' THEN '' ELSE o.o_orderpriority END AS raw_overview,
+             WHEN o.o_orderpriority = '5-LOW' THEN ''
+             WHEN o.o_orderkey % 11 = 0 THEN {ODD_OVERVIEW} ELSE o.o_orderpriority END AS raw_overview,
         CASE WHEN o.o_orderpriority = '1-URGENT' THEN 'No Data'
              WHEN o.o_orderpriority = '2-HIGH' THEN '' ELSE o.o_orderpriority END AS raw_tagline,
         CASE WHEN o.o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW') THEN NULL
-             ELSE o.o_orderpriority END AS overview,
+             WHEN o.o_orderkey % 11 = 0 THEN {ODD_OVERVIEW} ELSE o.o_orderpriority END AS overview,
         CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN NULL
              ELSE o.o_orderpriority END AS tagline,
         CAST(coalesce(po.price_k, 0) * 250000 AS BIGINT) AS revenue,
@@ -134,6 +140,9 @@ CLEAN_COLS = (
     "director, profit, roi"
 )
 
+# Which landed lines `ingest_rejects` breaks.
+BROKEN_EVERY, MISTYPED_EVERY = 101, 103
+
 # Search arguments used by the named search queries on the fixture data.
 SEARCH_GENRES = ["ECONOMY", "SMALL"]
 SEARCH_CAST = ["red widget"]
@@ -176,6 +185,11 @@ FROM films
     # --- sources and sinks (round trips must give the same rows) ------------
     q["source_raw_json"] = q["clean_pipeline"]
     q["sink_clean_csv"] = q["clean_pipeline"]
+    q["sink_clean_csv_noheader"] = q["clean_pipeline"]
+    q["ingest_rejects"] = _with(f"""
+SELECT id, CASE WHEN id % {BROKEN_EVERY} = 0 THEN 'malformed' ELSE 'mistyped' END AS reason
+FROM films WHERE id % {BROKEN_EVERY} = 0 OR id % {MISTYPED_EVERY} = 0
+""")
     q["sink_raw_json"] = _with("""
 SELECT id, title, status, raw_release_date AS release_date, revenue, budget, runtime_raw AS runtime,
        popularity, vote_average, vote_count, imdb_id, belongs_to_collection, genres,

@@ -2,13 +2,13 @@
 
 Every query starts from the driver's tables in `sf_dir` and runs over all of
 their rows. The raw film records derived from them (`films_from_tables`) are
-written once per session and folder as Parquet below the shared checkpoint
-folder and read back (a lineage cut, like a landed raw table): every query
-then starts from that table, cleaning is a narrow scan with the released
-filter and column pruning pushed into it, and a report whose plan reads the
-clean table twice (the medians) does not derive the films twice. The
-source/sink queries also write files (below the shared checkpoint folder)
-and return a DataFrame that reads them back.
+written as Parquet below the shared checkpoint folder and read back (a lineage
+cut, like a landed raw table), once per session, folder and state of the input
+files: every query then starts from that table, cleaning is a narrow scan with
+the released filter and column pruning pushed into it, and a report whose plan
+reads the clean table twice (the medians) does not derive the films twice. The
+source/sink queries also write files there and return a DataFrame that reads
+them back.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from reelkpi.operators import chartdata, coverage, ranking, reports
@@ -30,18 +31,25 @@ from reelkpi.operators.cleaning import (
     released_only,
     row_count,
 )
-from reelkpi.plans.oracle_sql import SEARCH2_CAST, SEARCH2_DIRECTOR, SEARCH_CAST, SEARCH_GENRES
+from reelkpi.plans.oracle_sql import (
+    BROKEN_EVERY,
+    MISTYPED_EVERY,
+    SEARCH2_CAST,
+    SEARCH2_DIRECTOR,
+    SEARCH_CAST,
+    SEARCH_GENRES,
+)
 from reelkpi.session import scratch_path, session_key
 from reelkpi.sources.fixture import films_from_tables
 from reelkpi.sources.landing import (
-    CSV_NULL,
     materialize,
     read_clean_csv,
     read_raw_json,
+    rejects,
     write_clean_csv,
     write_raw_json,
 )
-from reelkpi.sources.tables import read_table, refresh_tables
+from reelkpi.sources.tables import read_table, table_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,21 +57,22 @@ FLAT_NESTED_COLS = ["id", "belongs_to_collection", "genres", "production_countri
                     "production_companies", "spoken_languages", "cast", "crew", "director"]
 
 
-# Raw film table and clean plan per (session, folder).
-_plans: dict[tuple[str, str, str], DataFrame] = {}
+# Written tables and plans per (session, folder, kind), with the state of the
+# input files that they were built from: changed inputs are read anew.
+_plans: dict[tuple[str, str, str], tuple[tuple, object]] = {}
+_INPUTS = ("orders", "lineitem", "part", "supplier", "nation", "customer")
 
 
-def _plan(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (session_key(spark), sf_dir, kind)
-    if key not in _plans:
-        _plans[key] = build()
-    return _plans[key]
+def _plan(spark: SparkSession, sf_dir: str, kind: str, build: Callable):
+    key, state = (session_key(spark), sf_dir, kind), table_state(spark, sf_dir, *_INPUTS)
+    if key not in _plans or _plans[key][0] != state:
+        _plans[key] = (state, build())
+    return _plans[key][1]
 
 
 def forget_plans() -> None:
-    """Drop built plans and table handles (after the input tables changed)."""
+    """Drop built plans and written tables (to build them anew over unchanged inputs)."""
     _plans.clear()
-    refresh_tables()
 
 
 def raw_films(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +80,7 @@ def raw_films(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plan(spark, sf_dir, "clean", lambda: clean_films(raw_films(spark, sf_dir)))
+    return clean_films(raw_films(spark, sf_dir))
 
 
 def _scalar_columns(df: DataFrame) -> DataFrame:
@@ -123,10 +132,18 @@ def q_clean_preview(spark, sf_dir):
 
 # --- sources and sinks -------------------------------------------------------
 
+# Each of these writes its files once per input state and reads them back.
+
+def _written(spark, sf_dir, kind: str, write: Callable[[str], None]) -> str:
+    def build() -> str:
+        path = scratch_path(spark, kind)
+        write(path)
+        return path
+    return _plan(spark, sf_dir, kind, build)
+
+
 def _landed_json(spark, sf_dir) -> str:
-    path = scratch_path(spark, "landed-json")
-    write_raw_json(raw_films(spark, sf_dir), path)
-    return path
+    return _written(spark, sf_dir, "landed-json", lambda path: write_raw_json(raw_films(spark, sf_dir), path))
 
 
 def q_source_raw_json(spark, sf_dir):
@@ -141,10 +158,28 @@ def q_sink_raw_json(spark, sf_dir):
         "spoken_languages", "cast", "crew", "director")
 
 
-def q_sink_clean_csv(spark, sf_dir):
-    path = scratch_path(spark, "clean-csv")
-    write_clean_csv(clean_table(spark, sf_dir), path, header=True, null_marker=CSV_NULL)
-    return read_clean_csv(spark, path, header=True, null_marker=CSV_NULL)
+def _landed_with_faults(spark, sf_dir) -> str:
+    """All films as JSON lines, some cut off before their end, some with text as a number."""
+    def write(path: str) -> None:
+        films = raw_films(spark, sf_dir)
+        line = (F.when(F.col("id") % BROKEN_EVERY == 0, F.expr("left(_line, length(_line) - 1)"))
+                .when(F.col("id") % MISTYPED_EVERY == 0,
+                      F.regexp_replace("_line", r'"vote_count":\d+', '"vote_count":"many"'))
+                .otherwise(F.col("_line"))).alias("value")
+        films.select("id", F.to_json(F.struct(*films.columns)).alias("_line")).select(line).write.text(path)
+    return _written(spark, sf_dir, "landed-faults", write)
+
+
+def q_ingest_rejects(spark, sf_dir):
+    return rejects(read_raw_json(spark, _landed_with_faults(spark, sf_dir))).select("id", "reason")
+
+
+def _csv_round_trip(header: bool) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _written(spark, sf_dir, f"clean-csv-{header}",
+                        lambda path: write_clean_csv(clean_table(spark, sf_dir), path, header=header))
+        return read_clean_csv(spark, path, header=header)
+    return run
 
 
 def _requested_and_landed(spark, sf_dir):
@@ -183,47 +218,6 @@ def _roi_low_unfloored(df):
     return ranking.ranked(df, "roi", ascending=True, limit=5)
 
 
-QUERIES: dict[str, Query] = {
-    "clean_drop_columns": q_clean_drop_columns,
-    "clean_flatten_nested": q_clean_flatten_nested,
-    "clean_director": q_clean_director,
-    "clean_financials": q_clean_financials,
-    "clean_dates_text": q_clean_dates_text,
-    "clean_released": q_clean_released,
-    "clean_kpis": q_clean_kpis,
-    "clean_pipeline": q_clean_pipeline,
-    "clean_row_count": q_clean_row_count,
-    "clean_preview": q_clean_preview,
-    "source_raw_json": q_source_raw_json,
-    "sink_raw_json": q_sink_raw_json,
-    "sink_clean_csv": q_sink_clean_csv,
-    "ingest_coverage": q_ingest_coverage,
-    "ingest_missing": q_ingest_missing,
-    "rank_revenue_high": _on_clean(ranking.revenue_high),
-    "rank_budget_high": _on_clean(ranking.budget_high),
-    "rank_profit_high": _on_clean(ranking.profit_high),
-    "rank_profit_low": _on_clean(ranking.profit_low),
-    "rank_roi_high": _on_clean(ranking.roi_high),
-    "rank_roi_low": _on_clean(ranking.roi_low),
-    "rank_votes_high": _on_clean(ranking.votes_high),
-    "rank_rating_high": _on_clean(ranking.rating_high),
-    "rank_rating_low": _on_clean(ranking.rating_low),
-    "rank_popularity_high": _on_clean(ranking.popularity_high),
-    "search_genre_cast": _on_clean(_search_genre_cast),
-    "search_cast_director": _on_clean(_search_cast_director),
-    "rank_roi_low_unfloored": _on_clean(_roi_low_unfloored),
-    "franchise_flag_stats": _on_clean(reports.franchise_flag_stats),
-    "company_success": _on_clean(reports.company_success),
-    "franchise_comparison": _on_clean(reports.franchise_comparison),
-    "top_franchises": _on_clean(reports.top_franchises),
-    "franchise_success": _on_clean(reports.franchise_success),
-    "director_success": _on_clean(reports.director_success),
-    "chart_yearly": _on_clean(chartdata.yearly_trends),
-    "chart_genre_roi": _on_clean(chartdata.genre_roi),
-    "chart_franchise": _on_clean(chartdata.franchise_means),
-    "chart_scatter": _on_clean(chartdata.scatter),
-}
-
 # Reports that can run on an already written clean table (see bench.py).
 ON_CLEAN: dict[str, Callable[[DataFrame], DataFrame]] = {
     "rank_revenue_high": ranking.revenue_high,
@@ -250,3 +244,24 @@ ON_CLEAN: dict[str, Callable[[DataFrame], DataFrame]] = {
     "chart_franchise": chartdata.franchise_means,
     "chart_scatter": chartdata.scatter,
 }
+
+QUERIES: dict[str, Query] = {
+    "clean_drop_columns": q_clean_drop_columns,
+    "clean_flatten_nested": q_clean_flatten_nested,
+    "clean_director": q_clean_director,
+    "clean_financials": q_clean_financials,
+    "clean_dates_text": q_clean_dates_text,
+    "clean_released": q_clean_released,
+    "clean_kpis": q_clean_kpis,
+    "clean_pipeline": q_clean_pipeline,
+    "clean_row_count": q_clean_row_count,
+    "clean_preview": q_clean_preview,
+    "source_raw_json": q_source_raw_json,
+    "sink_raw_json": q_sink_raw_json,
+    "sink_clean_csv": _csv_round_trip(header=True),
+    "sink_clean_csv_noheader": _csv_round_trip(header=False),
+    "ingest_coverage": q_ingest_coverage,
+    "ingest_missing": q_ingest_missing,
+    "ingest_rejects": q_ingest_rejects,
+    **{name: _on_clean(fn) for name, fn in ON_CLEAN.items()},
+}

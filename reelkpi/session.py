@@ -66,10 +66,15 @@ def session_key(spark: SparkSession) -> str:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder for tables this library writes: below the cluster's checkpoint
-    folder, else below the SQL warehouse (both are shared by all executors)."""
+    """Folder for tables this library writes, below the cluster's checkpoint folder.
+
+    Without one, a session on a single machine (`local[...]`) writes below its
+    SQL warehouse; on a cluster that could be each executor's own disk, so it
+    is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         root = spark.conf.get("spark.sql.warehouse.dir")
     return root.rstrip("/") + "/reelkpi"
 

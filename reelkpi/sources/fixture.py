@@ -7,12 +7,13 @@ collection for one customer in three. Orders without lines give the null and
 empty-array cases. All numbers are multiples of a power of two, so sums,
 ratios and medians are exact and independent of row order.
 
-Plan shape (what runs at scale): dimensions that pass the size check are
-broadcast; the lines are then shuffled once, by order key, and grouped there
-(an order has a bounded number of lines: 1-17 in the driver's data). Larger
-dimensions are shuffle-joined first. Orders are joined to the collection
-customers before they meet the per-order arrays, so the wide arrays are
-never shuffled a second time.
+Plan shape (what runs at scale): Spark's own size-based broadcasts and runtime
+re-planning pick the dimension joins (only `nation`, 25 rows by definition, is
+hinted); the lines are grouped by order key (an order has a bounded number of
+lines: 1-17 in the driver's data). Lines without an order key match no order
+and are left out before they are shuffled. Orders are joined to the collection
+customers before they meet the per-order arrays, so the wide arrays are never
+shuffled a second time.
 """
 
 from __future__ import annotations
@@ -21,9 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from reelkpi.plans.sizing import broadcastable, maybe_broadcast
 from reelkpi.schema import CAST_MEMBER, COMPANY, COUNTRY, CREW_MEMBER, GENRE, LANGUAGE
-from reelkpi.sources.tables import read_table, table_path
+from reelkpi.sources.tables import read_table
 
 # --- fixed values of the fixture (changing them changes every result) --------
 STATUS_BY_ORDER_STATUS = {"F": "Released", "P": "Post Production", "O": "Planned"}
@@ -34,6 +34,9 @@ EMPTY_DATE_EVERY, NULL_DATE_EVERY = 50, 51
 ZERO_BUDGET_EVERY = 13
 NULL_GENRES_EVERY = 97
 COLLECTION_EVERY = 3
+# text that is hard to export, as the overview of some films
+ODD_OVERVIEW_EVERY = 11
+ODD_OVERVIEWS = ["first line\nsecond line", 'he said "go", twice', "  padded  ", "\\N", "back\\slash,\r\ncomma"]
 REVENUE_UNIT = 250_000       # revenue = unit * sum(floor(extendedprice / 1000))
 BUDGET_UNIT = 1_000_000      # budget = unit * 2^(id % 8)
 RUNTIME_UNIT = 10            # runtime = unit * sum(linenumber)
@@ -51,29 +54,17 @@ def _case(c: Column, mapping: dict[str, str]) -> Column:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item with the part, supplier and nation names it needs.
-
-    When part and supplier pass the broadcast size check, the lines are
-    hash-partitioned by order key first: that is the one shuffle the
-    per-order grouping needs anyway, the dimension joins then run inside it,
-    and an input that cannot be split (one big row group) is spread over all
-    tasks right after the scan. Otherwise both joins are shuffle joins.
-    """
+    """One row per line item of an order, with the part, supplier and nation names it needs."""
     lineitem = read_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-        "l_quantity", "l_extendedprice", "l_returnflag"])
+        "l_quantity", "l_extendedprice", "l_returnflag"]).where(F.col("l_orderkey").isNotNull())
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type"])
     supplier = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
-    supp = supplier.join(
-        maybe_broadcast(nation, broadcastable(spark, table_path(sf_dir, "nation"))),
-        supplier.s_nationkey == nation.n_nationkey, "left")
-    dims_small = broadcastable(spark, table_path(sf_dir, "part"), table_path(sf_dir, "supplier"))
-    if dims_small:
-        lineitem = lineitem.repartition("l_orderkey")
+    supp = supplier.join(F.broadcast(nation), supplier.s_nationkey == nation.n_nationkey, "left")
     return (
-        lineitem.join(maybe_broadcast(part, dims_small), lineitem.l_partkey == part.p_partkey, "left")
-        .join(maybe_broadcast(supp, dims_small), lineitem.l_suppkey == supp.s_suppkey, "left")
+        lineitem.join(part, lineitem.l_partkey == part.p_partkey, "left")
+        .join(supp, lineitem.l_suppkey == supp.s_suppkey, "left")
         .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                 "l_extendedprice", "l_returnflag", "p_name", "p_type", "s_name", "n_name",
                 "n_regionkey")
@@ -120,9 +111,11 @@ def films_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "customer", ["c_custkey", "c_name"])
         .where(F.col("c_custkey") % COLLECTION_EVERY == 0)
     )
-    customer = maybe_broadcast(customer, broadcastable(spark, table_path(sf_dir, "customer")))
+    # orders without a collection have no customer to find: they get keys of
+    # their own, which match none and spread evenly if the join shuffles
+    wanted = F.when(F.col("o_custkey") % COLLECTION_EVERY == 0, F.col("o_custkey")).otherwise(-1 - F.col("o_orderkey"))
     films = (
-        orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+        orders.withColumn("_custkey", wanted).join(customer, F.col("_custkey") == F.col("c_custkey"), "left")
         .join(per_order(order_lines(spark, sf_dir)), F.col("o_orderkey") == F.col("l_orderkey"), "left")
     )
 
@@ -152,8 +145,10 @@ def films_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return films.select(
         oid.alias("id"),
         title.alias("title"),
-        F.when(prio == OVERVIEW_NO_DATA, "No Data").when(prio == OVERVIEW_EMPTY, "").otherwise(prio)
-        .alias("overview"),
+        F.when(prio == OVERVIEW_NO_DATA, "No Data").when(prio == OVERVIEW_EMPTY, "")
+        .when(oid % ODD_OVERVIEW_EVERY == 0, F.element_at(
+            F.array(*map(F.lit, ODD_OVERVIEWS)), (oid % len(ODD_OVERVIEWS) + 1).cast("int")))
+        .otherwise(prio).alias("overview"),
         F.when(prio == TAGLINE_NO_DATA, "No Data").when(prio == TAGLINE_EMPTY, "").otherwise(prio)
         .alias("tagline"),
         _case(F.col("o_orderstatus"), STATUS_BY_ORDER_STATUS).alias("status"),

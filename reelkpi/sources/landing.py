@@ -13,36 +13,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from reelkpi.schema import CLEAN_SCHEMA, RAW_SCHEMA
 from reelkpi.session import scratch_path
 
 CORRUPT_COL = "_corrupt_record"
+RAW_OR_CORRUPT = StructType([*RAW_SCHEMA.fields, StructField(CORRUPT_COL, StringType(), True)])
 
-# Null marker for CSV files that are read back (keeps null apart from '').
+#: Null marker in CSV files (keeps null apart from ''). Text that is the marker
+#: itself, with any number of backslashes before it, gets one backslash more.
 CSV_NULL = "\\N"
+#: Rows in one CSV file: a file with line breaks in its values is read by one task.
+CSV_FILE_ROWS = 200_000
 
 
-def read_raw_json(spark: SparkSession, path: str, keep_corrupt: bool = False,
+def read_raw_json(spark: SparkSession, path: str, keep_corrupt: bool = True,
                   multi_line: bool = False) -> DataFrame:
     """Raw records from JSON-lines files under the declared schema.
 
-    A field whose JSON type does not fit becomes null (PERMISSIVE); with
-    `keep_corrupt` the offending line is kept in `_corrupt_record`.
-    Integer JSON numbers are accepted for double fields. `multi_line` reads
-    files that each hold one (indented) JSON array of records, the layout of a
-    single-file export; such a file is read by one task, so land large inputs
-    as JSON lines (and do not combine it with `keep_corrupt`, which would copy
-    the whole file into each bad record).
+    A line that is no JSON gives a record of nulls, a field whose JSON type does
+    not fit becomes null; both keep their line in `_corrupt_record` (see
+    `rejects`), which cleaning leaves out. Integer JSON numbers are accepted for
+    double fields. `multi_line` reads files that each hold one (indented) JSON
+    array of records, the layout of a single-file export; such a file is read by
+    one task, so land large inputs as JSON lines (and pass `keep_corrupt=False`
+    with it, or the whole file is copied into each bad record).
     """
-    schema = RAW_SCHEMA
     reader = spark.read.option("mode", "PERMISSIVE").option("multiLine", multi_line)
     if keep_corrupt:
-        schema = StructType(RAW_SCHEMA.fields + [StructField(CORRUPT_COL, StringType(), True)])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
-    return reader.schema(schema).json(path)
+    return reader.schema(RAW_OR_CORRUPT if keep_corrupt else RAW_SCHEMA).json(path)
+
+
+def rejects(raw: DataFrame) -> DataFrame:
+    """Records of `read_raw_json` (batch or stream) that the schema did not take
+    whole: id as far as the line shows one, reason ('malformed': no record could
+    be read; 'mistyped': some field did not fit and is null), and the line.
+    Count them by reason (Spark does not run a plan over JSON files that needs
+    nothing but the kept line)."""
+    line = F.col(CORRUPT_COL)
+    shown = F.regexp_extract(line, r'"id"\s*:\s*(-?\d+)', 1)
+    # a field that no plan reads is not parsed, so its faults would not be seen:
+    # the second condition needs every field, and runs on rejected records only
+    every_field = F.length(F.to_json(F.struct(*[F.col(f.name) for f in RAW_SCHEMA.fields]))) >= 0
+    return raw.where(line.isNotNull() & every_field).select(
+        F.coalesce("id", F.nullif(shown, F.lit("")).try_cast("bigint")).alias("id"),
+        F.when(F.col("id").isNull(), "malformed").otherwise("mistyped").alias("reason"), line.alias("line"))
 
 
 def write_raw_json(df: DataFrame, path: str) -> None:
@@ -50,25 +69,39 @@ def write_raw_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_clean_csv(df: DataFrame, path: str, header: bool = True, null_marker: str | None = None) -> None:
-    """Clean table as CSV files (overwrites `path`).
+def _csv_options(io, header: bool, null_marker: str):
+    # spaces, quotes and line breaks inside values stay as they are
+    return (io.option("header", header).option("nullValue", null_marker).option("quoteAll", True)
+            .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
-    With the defaults null and '' strings both come back as null on reading;
-    pass `null_marker` (e.g. `CSV_NULL`) to keep them apart.
-    """
-    writer = df.write.mode("overwrite").option("header", header)
-    if null_marker is not None:
-        writer = writer.option("nullValue", null_marker)
-    writer.csv(path)
-
-
-def read_clean_csv(spark: SparkSession, path: str, header: bool = True,
-                   null_marker: str | None = None) -> DataFrame:
-    """Clean table back from CSV under the clean schema (no inference)."""
-    reader = spark.read.schema(CLEAN_SCHEMA).option("header", header)
-    if null_marker is not None:
-        reader = reader.option("nullValue", null_marker)
-    return reader.csv(path)
+
+def _strings(df: DataFrame, change) -> DataFrame:
+    return df.withColumns({f.name: change(F.col(f"`{f.name}`")) for f in df.schema.fields
+                           if isinstance(f.dataType, StringType)})
+
+
+def write_clean_csv(df: DataFrame, path: str, header: bool = True, null_marker: str = CSV_NULL) -> None:
+    """Clean table as CSV files (overwrites `path`), every character kept.
+
+    `null_marker=""` writes nulls as empty fields, for programs that expect
+    that; null and '' are then the same on reading."""
+    def marked(c: Column) -> Column:
+        return F.when(c.rlike(r"^\\+N$"), F.concat(F.lit("\\"), c)).otherwise(c)
+
+    out = _strings(df, marked) if null_marker == CSV_NULL else df
+    _csv_options(out.write.mode("overwrite"), header, null_marker).option("maxRecordsPerFile", CSV_FILE_ROWS).csv(path)
+
+
+def read_clean_csv(spark: SparkSession, path: str, header: bool = True, null_marker: str = CSV_NULL) -> DataFrame:
+    """Clean table back from CSV under the clean schema (no inference). Values
+    may hold line breaks, so each file is read by one task."""
+    reader: DataFrameReader = _csv_options(spark.read.schema(CLEAN_SCHEMA), header, null_marker)
+    df = reader.option("multiLine", True).csv(path)
+
+    def unmarked(c: Column) -> Column:
+        return F.when(c.rlike(r"^\\\\+N$"), F.substring(c, 2, 1 << 30)).otherwise(c)
+
+    return _strings(df, unmarked) if null_marker == CSV_NULL else df
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

@@ -36,7 +36,7 @@ def _norm(v):
         return "NULL"
     if isinstance(v, float):
         if math.isnan(v):
-            return "NULL"  # pandas turns null doubles into NaN
+            return "NaN"
         return repr(float(v))
     if isinstance(v, bool):
         return str(v)
@@ -100,7 +100,9 @@ def main(argv: list[str]) -> int:
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or list(queries())
-    spark = local_session(checkpoint_dir="/tmp/reelkpi-checkpoints")
+    import tempfile
+
+    spark = local_session(checkpoint_dir=tempfile.mkdtemp(prefix="reelkpi-checkpoints-"))
     con = duck(sf_dir)
     bad = 0
     for n in names:

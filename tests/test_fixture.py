@@ -42,28 +42,33 @@ def test_search_and_floor_counts_before_the_cut(spark):
     assert c.where(F.col("budget_musd") >= 10).count() == 2258
 
 
-def test_beyond_the_broadcast_bound_gives_the_same_films(spark, monkeypatch):
-    """With the bound at 0 rows every dimension join is a shuffle join; same records."""
-    from reelkpi.plans import inspect, sizing
+def test_without_broadcasts_the_same_films(spark):
+    """Every dimension join but nation's as a shuffle join: same records."""
+    from reelkpi.plans import inspect
 
     small = "/root/testdata/sf0.001"
-    broadcast_rows = sorted(films_from_tables(spark, small).collect(), key=lambda r: r.id)
-    monkeypatch.setattr(sizing, "BROADCAST_MAX_ROWS", 0)
+    usual = sorted(films_from_tables(spark, small).collect(), key=lambda r: r.id)
     keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     before = {k: spark.conf.get(k, None) for k in keys}
     try:
-        for k in keys:  # also switch off Spark's own size-based broadcasts
+        for k in keys:
             spark.conf.set(k, "-1")
         shuffled = films_from_tables(spark, small)
         plan = inspect.physical_plan(shuffled)
-        assert "BroadcastExchange" not in plan
-        assert plan.count("SortMergeJoin") == 5  # nation, part, supplier, customer, per-order
-        assert sorted(shuffled.collect(), key=lambda r: r.id) == broadcast_rows
+        assert plan.count("SortMergeJoin") == 4  # part, supplier, customer, per-order
+        assert sorted(shuffled.collect(), key=lambda r: r.id) == usual
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_odd_overviews_are_there(spark):
+    from reelkpi.sources.fixture import ODD_OVERVIEWS
+
+    found = {r.overview for r in films_from_tables(spark, SF).select("overview").distinct().collect()}
+    assert set(ODD_OVERVIEWS) <= found
+
+
 def test_coverage_counts_duplicates_once(spark):
     from reelkpi.operators.coverage import ingest_coverage, missing_ids
 

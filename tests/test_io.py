@@ -1,7 +1,10 @@
 import json
 import os
 
+import pytest
+
 from reelkpi.operators.cleaning import clean_films
+from reelkpi.schema import CLEAN_SCHEMA
 from reelkpi.sources import landing
 from reelkpi.sources.fixture import films_from_tables
 
@@ -17,24 +20,80 @@ def test_raw_json_round_trip_keeps_records(spark, tmp_dir):
     path = os.path.join(tmp_dir, "raw")
     landing.write_raw_json(raw, path)
     back = landing.read_raw_json(spark, path)
+    assert landing.rejects(back).groupBy("reason").count().collect() == []
+    back = back.drop("_corrupt_record")
     assert back.schema.simpleString() == raw.schema.simpleString()
     assert _sorted(back) == _sorted(raw)
 
 
-def test_clean_csv_round_trip_with_null_marker(spark, tmp_dir):
+@pytest.mark.parametrize("header", [True, False])
+def test_clean_csv_round_trip(spark, tmp_dir, header):
     clean = clean_films(films_from_tables(spark, SF))
     path = os.path.join(tmp_dir, "csv")
-    landing.write_clean_csv(clean, path, header=True, null_marker=landing.CSV_NULL)
-    back = landing.read_clean_csv(spark, path, header=True, null_marker=landing.CSV_NULL)
-    assert _sorted(back) == _sorted(clean)
+    landing.write_clean_csv(clean, path, header=header)
+    assert _sorted(landing.read_clean_csv(spark, path, header=header)) == _sorted(clean)
+
+
+TEXTS = ["", None, " ", "  padded\t", "two\nlines", "cr\rlf\r\nend\n", 'a "quoted", text', '"', '""', ",", "\\", "\\N",
+         "\\\\N", "\\\\\\N", "N", "\\n", "x\\N", "null", "\ufeffé ☃", "'single'", "tab\tin", "#", "a\\\"b"]
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_csv_keeps_every_character(spark, tmp_dir, header):
+    fields = {f.name: None for f in CLEAN_SCHEMA.fields}
+    rows = [tuple({**fields, "id": i, "overview": t, "director": t, "roi": 0.5}.values()) for i, t in enumerate(TEXTS)]
+    df = spark.createDataFrame(rows, CLEAN_SCHEMA)
+    path = os.path.join(tmp_dir, "csv")
+    landing.write_clean_csv(df, path, header=header)
+    back = landing.read_clean_csv(spark, path, header=header)
+    assert [(r.id, r.overview, r.director) for r in _sorted(back)] == [(i, t, t) for i, t in enumerate(TEXTS)]
 
 
-def test_csv_defaults_lose_empty_strings(spark, tmp_dir):
-    df = spark.createDataFrame([(1, ""), (2, None)], "id long, s string")
+def test_csv_with_empty_nulls(spark, tmp_dir):
+    df = clean_films(films_from_tables(spark, SF)).where("overview is null").limit(5)
     path = os.path.join(tmp_dir, "plain")
-    df.write.mode("overwrite").csv(path)
-    back = spark.read.schema("id long, s string").csv(path)
-    assert {r.id: r.s for r in back.collect()} == {1: None, 2: None}
+    landing.write_clean_csv(df, path, null_marker="")
+    assert "\\N" not in "".join(r.value for r in spark.read.text(path).collect())
+
+
+def test_rejects_are_kept_and_told_apart(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "landed")
+    os.makedirs(path)
+    lines = ['{"id": 1, "status": "Released"}', '{"id": 2, "status": "Rel', "not json", "",
+             '{"id": 3, "status": "Released", "budget": "much"}']
+    with open(os.path.join(path, "part-0.json"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    raw = landing.read_raw_json(spark, path)
+    got = sorted((r.id or 0, r.reason, r.line) for r in landing.rejects(raw).collect())
+    assert got == [(0, "malformed", "not json"), (2, "malformed", lines[1]), (3, "mistyped", lines[4])]
+    assert sorted(r.id for r in clean_films(raw).collect()) == [1, 3]
+
+
+def test_a_changed_input_gives_the_new_answer(spark, tmp_dir):
+    from reelkpi.plans.registry import QUERIES
+
+    sf = os.path.join(tmp_dir, "sf")
+    for name in ("orders", "lineitem", "part", "supplier", "nation", "customer"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{sf}/{name}.parquet")
+    before = QUERIES["clean_row_count"](spark, sf).first()[0]
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    orders.withColumn("o_orderkey", orders.o_orderkey + 10_000_000).write.mode("append").parquet(f"{sf}/orders.parquet")
+    assert QUERIES["clean_row_count"](spark, sf).first()[0] == 2 * before
+    assert QUERIES["sink_clean_csv"](spark, sf).count() == 2 * before
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from reelkpi.session import shared_root
+
+    def session(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, *d: d[0] if d else "/warehouse"),
+                               sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+    assert shared_root(session("local[4]")) == "/warehouse/reelkpi"
+    for master in ("local-cluster[2,1,1024]", "spark://host:7077", "yarn"):
+        with pytest.raises(RuntimeError):
+            shared_root(session(master))
 
 
 def test_json_int_for_double_and_mistyped_field(spark, tmp_dir):
@@ -66,5 +125,5 @@ def test_indented_array_export_is_read_with_multi_line(spark, tmp_dir):
     os.makedirs(path)
     with open(os.path.join(path, "films_raw.json"), "w") as f:
         json.dump(records, f, indent=4)
-    back = landing.read_raw_json(spark, path, multi_line=True)
+    back = landing.read_raw_json(spark, path, keep_corrupt=False, multi_line=True)
     assert _sorted(back) == _sorted(raw)

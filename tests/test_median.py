@@ -1,4 +1,4 @@
-"""The distributed exact median against Spark's own `median` (brute force)."""
+"""The exact median from brackets against Spark's own `median`."""
 
 import math
 import random
@@ -8,14 +8,14 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from reelkpi.functions.median import attach_median, grouped_median, value_bucket, value_sub_bucket
+from reelkpi.functions import median
+from reelkpi.functions.median import summarize_with_median
 
 
-def _compare(spark, rows, schema="g string, v double"):
+def _compare(spark, rows, schema="g string, v double", few_groups=True):
     df = spark.createDataFrame(rows, schema)
     want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
-    base = df.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    got = {r.g: r.m for r in attach_median(base, df, ["g"], "v", "m").collect()}
+    got = {r.g: r.m for r in summarize_with_median(df, ["g"], "v", "m", few_groups=few_groups).collect()}
     assert set(got) == set(want)
     for k in want:
         a, b = got[k], want[k]
@@ -50,31 +50,48 @@ def test_property_matches_builtin(spark, rows):
     _compare(spark, rows)
 
 
-def test_bucket_is_monotone(spark):
-    rnd = random.Random(3)
-    vals = sorted({rnd.uniform(-1e6, 1e6) for _ in range(500)} |
-                  {2.0 ** e for e in range(-1074, 1024, 7)} | {-(2.0 ** e) for e in range(-100, 100, 3)} |
-                  {0.0, float("inf"), float("-inf"), 1.0, 2.0, 4.0, 8.0})
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    codes = [r.b for r in df.select("v", value_bucket(F.col("v")).alias("b")).orderBy("v").collect()]
-    assert codes == sorted(codes)
+@pytest.mark.parametrize("small,medium", [(0, 0), (0, 10**9), (100, 1000)])
+def test_every_margin_holds_the_middle(spark, monkeypatch, small, medium):
+    """Large groups, with the margins that their sizes and smaller ones would get."""
+    monkeypatch.setattr(median, "SMALL", max(small, 4096))
+    monkeypatch.setattr(median, "MEDIUM", max(medium, 8192))
+    rnd = random.Random(small + medium)
+    rows = [("even", rnd.gauss(0, 1)) for _ in range(40000)] + [("odd", rnd.expovariate(1)) for _ in range(40001)]
+    rows += [("ties", float(rnd.randint(0, 3))) for _ in range(30000)] + [("two", float(i % 2)) for i in range(20000)]
+    _compare(spark, rows)
+    _compare(spark, rows, few_groups=False)
 
 
-def test_bucket_and_sub_bucket_order_like_values(spark):
-    rnd = random.Random(5)
-    vals = sorted({rnd.uniform(1.0, 1.001) for _ in range(300)} | {-rnd.uniform(3.0, 3.01) for _ in range(300)} |
-                  {rnd.lognormvariate(0, 4) for _ in range(300)} | {0.0, 2.0, -2.0, 1.0 + 2 ** -30})
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    codes = [(r.b, r.s) for r in df.select(
-        "v", value_bucket(F.col("v")).alias("b"), value_sub_bucket(F.col("v")).alias("s")).orderBy("v").collect()]
-    assert codes == sorted(codes)
+def test_nan_and_infinities(spark):
+    inf, nan = float("inf"), float("nan")
+    _compare(spark, [("a", nan), ("a", 1.0), ("a", 2.0), ("b", nan), ("c", inf), ("c", -inf), ("d", inf), ("d", inf),
+                     ("e", nan), ("e", nan), ("e", 1.0)])
 
 
 def test_hot_group_never_gathered(spark):
-    """The median plan has no percentile aggregate (which buffers a whole group)."""
-    df = spark.createDataFrame([("a", float(i)) for i in range(100)], "g string, v double")
-    plan = grouped_median(df, ["g"], "v")._jdf.queryExecution().executedPlan().toString()
-    assert "percentile" not in plan.lower()
+    """The plan has no aggregate that buffers a whole group, and the rows that
+    meet in one task are partial counts of the bracket's values."""
+    df = spark.range(200_000).selectExpr("if(id % 2 = 0, 'a', 'b') g", "cast(hash(id) as double) v")
+    out = summarize_with_median(df, ["g"], "v", "m", few_groups=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "percentile(" not in plan.lower() and "collect_" not in plan
+    inside = df.groupBy("g").agg(median.bracket(F.col("v")).alias("b")).join(df, "g").where("v between b.lo and b.hi")
+    assert inside.count() < 0.01 * 200_000
+
+
+def test_joins_without_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rnd = random.Random(3)
+        rows = [(rnd.choice(["a", "b", None]), rnd.gauss(0, 1)) for _ in range(9000)]
+        _compare(spark, rows)
+        _compare(spark, rows, few_groups=False)
+        df = spark.createDataFrame(rows, "g string, v double")
+        plan = summarize_with_median(df, ["g"], "v", "m", few_groups=True)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan or "BroadcastNestedLoop" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 10, 11])
@@ -83,8 +100,6 @@ def test_sizes(spark, n):
 
 
 def test_summarize_with_median_matches_plain_aggregates(spark):
-    from reelkpi.functions.median import summarize_with_median
-
     rnd = random.Random(11)
     rows = []
     for i in range(3000):
@@ -94,31 +109,26 @@ def test_summarize_with_median_matches_plain_aggregates(spark):
         rows.append((g, i, v, w))
     rows += [("allnull", 1, None, 1.0), ("allnull", 2, None, None)]
     df = spark.createDataFrame(rows, "g string, id long, v double, w double")
-    got = summarize_with_median(df, ["g"], "v", "med", counts={"n": "id", "nv": "v"},
-                                sums={"sw": "w"}, means={"aw": "w", "av": "v"})
-    want = df.groupBy("g").agg(F.count("id").alias("n"), F.count("v").alias("nv"), F.sum("w").alias("sw"),
-                               F.avg("w").alias("aw"), F.avg("v").alias("av"), F.median("v").alias("med"))
+    plain = [F.count("id").alias("n"), F.count("v").alias("nv"), F.sum("w").alias("sw"), F.avg("w").alias("aw"),
+             F.avg("v").alias("av")]
+    got = summarize_with_median(df, ["g"], "v", "med", plain)
+    want = df.groupBy("g").agg(*plain, F.median("v").alias("med"))
     assert got.columns == ["g", "n", "nv", "sw", "aw", "av", "med"]
     norm = lambda d: sorted((tuple(r) for r in d.select(*want.columns).collect()), key=repr)
     assert norm(got) == norm(want)
 
 
 def test_approximate_switch_stays_within_rank_error(spark):
-    from reelkpi.functions.median import summarize_with_median
-
     rnd = random.Random(23)
     rows = [("hot" if i % 3 else f"k{i % 7}", rnd.uniform(0, 1000), float(i)) for i in range(20000)]
     df = spark.createDataFrame(rows, "g string, v double, w double")
-    acc = 1000
-    approx = {r.g: r for r in summarize_with_median(df, ["g"], "v", "med", counts={"n": "w"},
-                                                    means={"aw": "w"}, median_accuracy=acc).collect()}
-    exact = {r.g: r for r in summarize_with_median(df, ["g"], "v", "med", counts={"n": "w"},
-                                                   means={"aw": "w"}).collect()}
+    acc, plain = 1000, [F.count("w").alias("n"), F.avg("w").alias("aw")]
+    approx = {r.g: r for r in summarize_with_median(df, ["g"], "v", "med", plain, median_accuracy=acc).collect()}
+    exact = {r.g: r for r in summarize_with_median(df, ["g"], "v", "med", plain).collect()}
     values = {}
     for g, v, _ in rows:
         values.setdefault(g, []).append(v)
     for g, vs in values.items():
-        vs.sort()
         n = len(vs)
         rank = sum(1 for x in vs if x <= approx[g].med)
         assert abs(rank - n / 2) <= n / acc + 1

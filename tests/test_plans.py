@@ -2,10 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import queries
 from reelkpi.operators import chartdata, ranking, reports
 from reelkpi.operators.cleaning import clean_films
 from reelkpi.plans import inspect
+from reelkpi.plans.registry import QUERIES
 from reelkpi.sources import landing
 from reelkpi.sources.fixture import films_from_tables
 
@@ -54,31 +54,36 @@ def test_reports_aggregate_partially_before_shuffle(clean_parquet):
 def test_medians_do_not_use_percentile(clean_parquet):
     for df in (reports.franchise_flag_stats(clean_parquet), reports.franchise_comparison(clean_parquet),
                reports.top_franchises(clean_parquet), chartdata.genre_roi(clean_parquet)):
-        assert "percentile" not in inspect.physical_plan(df).lower()
+        assert "percentile(" not in inspect.physical_plan(df).lower()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in queries() if not n.startswith(("source_", "sink_"))))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(("source_", "sink_"))))
 def test_no_python_in_any_plan(spark, name):
-    assert inspect.python_nodes(inspect.physical_plan(queries()[name](spark, SF))) == []
+    assert inspect.python_nodes(inspect.physical_plan(QUERIES[name](spark, SF))) == []
 
 
-def test_fixture_broadcasts_checked_dimensions_and_shuffles_lines_once(spark):
+def test_fixture_shuffles_lines_once(spark):
     plan = inspect.physical_plan(films_from_tables(spark, SF))
     assert "BroadcastHashJoin" in plan
     line_shuffles = [s for s in inspect.shuffles(plan) if "l_orderkey" in s]
     assert len(line_shuffles) == 1
 
 
-def test_median_report_computes_histogram_once(spark, clean_parquet):
-    """Totals and the median share one histogram exchange: the metric columns are scanned once
-    (the narrow key/value scan for the middle buckets comes on top)."""
-    aqe = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")  # static plan shows the reuse
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_median_reports_scan_twice_and_move_no_values(spark, clean_parquet, threshold):
+    """Two scans; with automatic broadcasts off too, the rows are joined to their
+    groups' brackets where they are read, not shuffled by group."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        for df in (reports.franchise_flag_stats(clean_parquet), reports.top_franchises(clean_parquet)):
+        for df in (reports.franchise_flag_stats(clean_parquet), reports.franchise_comparison(clean_parquet),
+                   reports.top_franchises(clean_parquet)):
             plan = inspect.physical_plan(df)
-            assert "ReusedExchange" in plan
-            scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln]
-            assert len([ln for ln in scans if "vote_average" in ln]) == 1
+            assert len([ln for ln in plan.splitlines() if "FileScan parquet" in ln]) == 2
+            assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        plan = inspect.physical_plan(chartdata.genre_roi(clean_parquet))
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+        for k, v in before.items():
+            spark.conf.set(k, v)
