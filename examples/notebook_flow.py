@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -81,4 +82,4 @@ def main(sf_dir: str, out: str) -> None:
 
 if __name__ == "__main__":
     main(sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001",
-         sys.argv[2] if len(sys.argv) > 2 else "/tmp/film-notebook-flow")
+         sys.argv[2] if len(sys.argv) > 2 else tempfile.mkdtemp(prefix="film-notebook-flow-"))

@@ -17,11 +17,11 @@ def spark():
     from reelkpi.session import local_session
 
     # A checkpoint folder of our own only where the environment names none.
-    fallback = tempfile.mkdtemp(prefix="reelkpi-ckpt-", dir="/tmp")
+    fallback = tempfile.mkdtemp(prefix="reelkpi-ckpt-")
     return local_session(app="reelkpi-tests", master="local[*]", shuffle_partitions=8,
                          checkpoint_dir=fallback)
 
 
 @pytest.fixture()
 def tmp_dir():
-    return tempfile.mkdtemp(prefix="reelkpi-test-", dir="/tmp")
+    return tempfile.mkdtemp(prefix="reelkpi-test-")

@@ -35,48 +35,53 @@ def facts(plan: str) -> dict:
     }
 
 
-def main(argv: list[str]) -> None:
-    from __spark_entry__ import queries
+def table(spark, fns: dict) -> None:
     from reelkpi.plans import inspect
-    from reelkpi.plans.registry import ON_CLEAN
-    from reelkpi.session import local_session
-    from reelkpi.sources.landing import materialize
+
+    cols = ["hash shuffles", "range shuffles", "single-partition", "broadcasts", "smj", "windows", "top-k", "python"]
+    print("| query | " + " | ".join(cols) + " | scan reads |")
+    print("|---" * (len(cols) + 2) + "|")
+    for name, build in fns.items():
+        f = facts(inspect.physical_plan(build()))
+        print(f"| {name} | " + " | ".join(str(f[c]) for c in cols) + f" | {'; '.join(f['reads'])[:300]} |")
+
+
+def main(argv: list[str]) -> None:
+    import tempfile
+
     from reelkpi.operators.cleaning import clean_films
+    from reelkpi.plans.registry import ON_CLEAN, QUERIES
+    from reelkpi.session import local_session
     from reelkpi.sources.fixture import films_from_tables
+    from reelkpi.sources.landing import materialize
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    spark = local_session(checkpoint_dir="/tmp/reelkpi-plan-checkpoints")
+    spark = local_session(checkpoint_dir=tempfile.mkdtemp(prefix="reelkpi-plans-"))
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # show whole scan metadata
+    clean = materialize(clean_films(films_from_tables(spark, sf_dir)), "plan-report-clean")
+    reports = {name: (lambda fn=fn: fn(clean)) for name, fn in ON_CLEAN.items()}
+    others = {name: (lambda q=q: q(spark, sf_dir)) for name, q in QUERIES.items() if name not in ON_CLEAN}
     print("# Physical plans of the named queries\n")
     print(f"Generated by `tests/plan_report.py` on `{os.path.basename(sf_dir)}`, planner output "
           "(AQE may still coalesce partitions, turn shuffle joins into broadcasts from measured "
           "sizes, and split skewed partitions at runtime).\n")
     print("## Reports on a written clean table (how the bench runs them)\n")
-    clean = materialize(clean_films(films_from_tables(spark, sf_dir)), "plan-report-clean")
-    cols = ["hash shuffles", "range shuffles", "single-partition", "broadcasts", "smj", "windows",
-            "top-k", "python"]
-    print("| query | " + " | ".join(cols) + " | scan reads |")
-    print("|---" * (len(cols) + 2) + "|")
-    for name, fn in ON_CLEAN.items():
-        f = facts(inspect.physical_plan(fn(clean)))
-        reads = "; ".join(r.replace("struct<", "").rstrip(">") for r in f["reads"][:1])
-        print(f"| `{name}` | " + " | ".join(str(f[c]) for c in cols) + f" | {reads} |")
-    print("\n## Every named query from the driver's tables\n")
-    print("The raw film table is written once per session (lineage cut); plans below start from it, "
-          "except the ingest queries and the fixture itself.\n")
-    print("| query | " + " | ".join(cols) + " | pushed filters |")
-    print("|---" * (len(cols) + 2) + "|")
-    for name, q in queries().items():
-        f = facts(inspect.physical_plan(q(spark, sf_dir)))
-        print(f"| `{name}` | " + " | ".join(str(f[c]) for c in cols) + f" | {'; '.join(f['pushed'])[:80]} |")
-    print("\n## The film fixture (`films_from_tables`)\n")
-    f = facts(inspect.physical_plan(films_from_tables(spark, sf_dir)))
-    print("| " + " | ".join(cols) + " |")
-    print("|---" * len(cols) + "|")
-    print("| " + " | ".join(str(f[c]) for c in cols) + " |")
-    print("\nScans read:\n")
-    for r in f["reads"]:
-        print(f"* `{r}`")
+    table(spark, reports)
+    print("\n## The same with automatic broadcasts off (large inputs)\n")
+    print("Only hinted broadcasts are left: the two groups of the franchise reports, the n rows of the top "
+          "franchises, and the genres after they were counted.\n")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    table(spark, reports)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    print("\n## Cleaning steps, sources and sinks (on the written raw table)\n")
+    table(spark, others)
+    print("\n## Deriving the raw film table, with and without automatic broadcasts\n")
+    for threshold in (before, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        print(f"`spark.sql.autoBroadcastJoinThreshold` = {threshold}\n")
+        table(spark, {"films_from_tables": lambda: films_from_tables(spark, sf_dir)})
+        print()
 
 
 if __name__ == "__main__":
