@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from reelkpi.llm.common import written
 
 TABLES, WIDTH, SLOTS = 8, 2.0, 3
-ROWS_A_BUCKET, GROUP_ROWS, SPLIT = 48, 1 << 16, 4096
+ROWS_A_BUCKET, GROUP_ROWS, SPLIT = 1024, 1 << 16, 8192
 SAMPLE, TUNING, RECALL = 4096, 128, 0.96
 FOUND = "qid string, best array<struct<score: double, cid: string>>"
 
@@ -143,37 +143,45 @@ class Index:
         return out
 
 
-def best(q: np.ndarray, x: np.ndarray, names: np.ndarray, keep: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query the `keep` rows of largest inner product (more at a tie with
-    the last), as (scores, names). The product of matrices only chooses; the
-    scores are sums in one fixed order, equal for equal vectors."""
+def best(q: np.ndarray, x: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score) of the `keep` rows of largest inner product with each
+    query, and of more at a tie with the last. The product of matrices only
+    chooses; the scores are sums in one fixed order, equal for equal vectors."""
     rough = q @ x.T
-    slack = 1e-9 * np.linalg.norm(q, axis=1) * (np.linalg.norm(x, axis=1).max() if len(x) else 0)
-    out = []
-    for i in range(len(q)):
-        row = rough[i]
-        at = np.arange(len(row))
-        if len(row) > keep:
-            least = np.partition(row, len(row) - keep)[len(row) - keep]
-            at = np.flatnonzero(row >= least - slack[i])
-        out.append(((x[at] * q[i]).sum(axis=1), names[at]))
-    return out
-
-
-def _merge(parts: list[tuple[np.ndarray, np.ndarray]], keep: int) -> list[dict]:
-    """The best `keep` distinct names of several lists (ties at the end kept)."""
-    score, name = (np.concatenate(x) for x in zip(*parts))
-    _, first = np.unique(name, return_index=True)
-    score, name = score[first], name[first]
-    order = np.argsort(-score, kind="stable")
-    if len(order) > keep:
-        order = order[score[order] >= score[order[keep - 1]]]
-    return [{"score": float(s), "cid": n} for s, n in zip(score[order], name[order])]
-
-
-def _found(rows: list[tuple]) -> pa.Table:
-    kind = pa.list_(pa.struct([("score", pa.float64()), ("cid", pa.string())]))
-    return pa.table({"qid": pa.array([r[0] for r in rows], pa.string()), "best": pa.array([r[1] for r in rows], kind)})
+    if len(x) > keep:
+        least = np.partition(rough, len(x) - keep, axis=1)[:, len(x) - keep]
+        slack = 1e-9 * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max()
+        of, at = np.nonzero(rough >= (least - slack)[:, None])
+    else:
+        of, at = np.divmod(np.arange(rough.size), max(1, len(x)))
+    return of, at, (x[at] * q[of]).sum(axis=1)
+
+
+def merge(of: np.ndarray, name: np.ndarray, score: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The `keep` best distinct names of each query, and more at a tie with the last; sorted."""
+    order = np.lexsort((name, -score, of))
+    of, name, score = of[order], name[order], score[order]
+    new = np.ones(len(of), bool)
+    new[1:] = (of[1:] != of[:-1]) | (name[1:] != name[:-1]) | (score[1:] != score[:-1])
+    of, name, score = of[new], name[new], score[new]
+    first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.zeros(0, np.int64)
+    rank = np.arange(len(of)) - np.repeat(first, np.diff(np.append(first, len(of))))
+    last = np.repeat(score[np.minimum(first + keep - 1, np.append(first[1:], len(of)) - 1)], np.diff(np.append(first, len(of))))
+    stay = (rank < keep) | (score >= last)
+    return of[stay], name[stay], score[stay]
+
+
+def _found(queries: pa.Array, of: np.ndarray, names: pa.Array, name: np.ndarray, score: np.ndarray) -> pa.Table:
+    """One row for each query with a list of (score, cid); sorted input."""
+    starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.zeros(0, np.int64)
+    pairs = pa.StructArray.from_arrays([pa.array(score, pa.float64()), names.take(pa.array(name, pa.int64()))],
+                                       ["score", "cid"])
+    offsets = pa.array(np.append(starts, len(of)).astype(np.int32))
+    return pa.table({"qid": queries.take(pa.array(of[starts], pa.int64())), "best": pa.ListArray.from_arrays(offsets, pairs)})
+
+
+def _strings(column) -> pa.Array:
+    return column.combine_chunks().cast(pa.string()) if isinstance(column, pa.ChunkedArray) else column
 
 
 def exact(queries: DataFrame, base: DataFrame, keep: int, n_queries: int, n_base: int) -> DataFrame:
@@ -186,10 +194,11 @@ def exact(queries: DataFrame, base: DataFrame, keep: int, n_queries: int, n_base
                            F.explode(F.sequence(F.lit(0), F.lit(b_blocks - 1))).alias("bb"))
 
     def run(rows: pa.Table, wanted: pa.Table) -> pa.Table:
-        if not rows.num_rows or not wanted.num_rows:
-            return _found([])
-        got = best(_vectors(wanted["v"]), _vectors(rows["v"]), np.array(rows["cid"].to_pylist(), object), keep)
-        return _found([(c, _merge([g], keep)) for c, g in zip(wanted["cid"].to_pylist(), got)])
+        of, at, score = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        if rows.num_rows and wanted.num_rows:
+            of, at, score = best(_vectors(wanted["v"]), _vectors(rows["v"]), keep)
+        of, at, score = merge(of, at, score, keep)
+        return _found(_strings(wanted["cid"]), of, _strings(rows["cid"]), at, score)
 
     return left.groupBy("bb", "qb").cogroup(right.groupBy("bb", "qb")).applyInArrow(run, FOUND)
 
@@ -295,33 +304,42 @@ def search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
     visits = visits.join(queries.select(F.col("cid").alias("qid"), "v"), "qid")
 
     def rerank(rows: pa.Table, visits: pa.Table) -> pa.Table:
-        if not rows.num_rows or not visits.num_rows:
-            return _found([])
-        x, q = _vectors(rows["v"]), _vectors(visits["v"])
-        names = np.array(rows["cid"].to_pylist(), object)
-        key = rows["code"].to_numpy() * TABLES + rows["t"].to_numpy()
-        order = np.argsort(key, kind="stable")
-        keys, starts = np.unique(key[order], return_index=True)
-        ends = dict(zip(keys.tolist(), zip(starts.tolist(), [*starts[1:].tolist(), len(order)])))
-        lists = visits["buckets"].combine_chunks()
-        flat, offsets = lists.flatten(), lists.offsets.to_numpy()
-        wanted = (flat.field("code").to_numpy(zero_copy_only=False) * TABLES
-                  + flat.field("t").to_numpy(zero_copy_only=False))
-        of = np.repeat(np.arange(len(q)), np.diff(offsets))
-        by_bucket = np.argsort(wanted, kind="stable")
-        parts: list[list] = [[] for _ in range(len(q))]
-        bounds = np.flatnonzero(np.diff(wanted[by_bucket], prepend=-1))
-        for a, b in zip(bounds, [*bounds[1:], len(by_bucket)]):
-            if (span := ends.get(int(wanted[by_bucket[a]]))) is None:
-                continue
-            at, who = order[span[0]:span[1]], of[by_bucket[a:b]]
-            for i, got in zip(who, best(q[who], x[at], names[at], keep)):
-                parts[i].append(got)
-                if len(parts[i]) >= 16:
-                    merged = _merge(parts[i], keep)
-                    parts[i] = [(np.array([m["score"] for m in merged]), np.array([m["cid"] for m in merged], object))]
-        ids = visits["qid"].to_pylist()
-        return _found([(ids[i], _merge(p, keep)) for i, p in enumerate(parts) if p])
+        held = [[], [], []]
+        if rows.num_rows and visits.num_rows:
+            x, q = _vectors(rows["v"]), _vectors(visits["v"])
+            named = _strings(rows["cid"]).dictionary_encode()
+            names, name_of = named.dictionary, named.indices.to_numpy()
+            key = rows["code"].to_numpy() * TABLES + rows["t"].to_numpy()
+            order = np.argsort(key, kind="stable")
+            keys, starts = np.unique(key[order], return_index=True)
+            ends = np.append(starts[1:], len(order))
+            lists = visits["buckets"].combine_chunks()
+            flat = lists.flatten()
+            wanted = (flat.field("code").to_numpy(zero_copy_only=False) * TABLES
+                      + flat.field("t").to_numpy(zero_copy_only=False))
+            of = np.repeat(np.arange(len(q)), np.diff(lists.offsets.to_numpy()))
+            by_bucket = np.argsort(wanted, kind="stable")
+            bounds = np.flatnonzero(np.diff(wanted[by_bucket], prepend=-1))
+            size = 0
+            for a, b in zip(bounds, [*bounds[1:], len(by_bucket)]):
+                place = int(np.searchsorted(keys, wanted[by_bucket[a]]))
+                if place == len(keys) or keys[place] != wanted[by_bucket[a]]:
+                    continue
+                at = order[starts[place]:ends[place]]
+                for c in range(a, b, 512):
+                    who = of[by_bucket[c:min(b, c + 512)]]
+                    i, j, score = best(q[who], x[at], keep)
+                    for column, part in zip(held, (who[i], name_of[at[j]].astype(np.int64), score)):
+                        column.append(part)
+                    size += len(i)
+                if size > 1 << 21:
+                    held = [[c] for c in merge(*map(np.concatenate, held), keep)]
+                    size = len(held[0][0])
+        if not held[0]:
+            empty = np.zeros(0, np.int64)
+            return _found(_strings(visits["qid"]), empty, _strings(rows["cid"]), empty, np.zeros(0))
+        of, name, score = merge(*map(np.concatenate, held), keep)
+        return _found(_strings(visits["qid"]), of, names, name, score)
 
     found = written(placed.groupBy("g").cogroup(visits.groupBy("g")).applyInArrow(rerank, FOUND), "ann-found")
     ranked = written(_ranked(found, base, keep), "ann-ranked")
