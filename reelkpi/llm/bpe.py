@@ -5,7 +5,7 @@ by itself. The new pieces of a slice of texts are dealt to buckets by length;
 a bucket is one matrix with a row for each piece, padded with -1. Every round
 finds each row's leftmost pair of least rank, merges it, shifts the rest of the
 row to the left, and takes finished rows out of the matrix (compaction). Pair
-ranks come from an open-addressing hash table in numpy arrays. Workers keep the
+ranks come from an open-addressing hash table in numpy arrays (`Places`). Workers keep the
 ids of pieces they have seen in a bounded table.
 
 A long piece (over LONG bytes) merges all occurrences of its least rank in one
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelkpi.llm.common import keyed_texts, text_slices, worker_state
+from reelkpi.llm.common import Places, keyed_texts, text_slices, worker_state
 
 PIECE_CACHE = 500_000
 LONG = 64
@@ -53,35 +53,13 @@ class PairTable:
                 a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if a is not None and b is not None:
                     pairs[a << 32 | b] = rank
-        keys = np.fromiter(pairs, np.int64, len(pairs))
-        values = np.fromiter(pairs.values(), np.int64, len(pairs))
-        self.bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 4))))
-        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, NONE)
-        at, left, self.reach = self._slot(keys), np.arange(len(keys)), 1
-        while len(left):  # all keys step on together until each has a slot of its own
-            free = left[self.keys[at[left]] == -1]
-            _, first = np.unique(at[free], return_index=True)
-            placed = free[first]
-            self.keys[at[placed]], self.values[at[placed]] = keys[placed], values[placed]
-            left = np.setdiff1d(left, placed, assume_unique=True)
-            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
-            self.reach += 1
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        self.places = Places(np.fromiter(pairs, np.int64, len(pairs)))
+        # place -1, no merge, reads the last
+        self.ranks = np.append(np.fromiter(pairs.values(), np.int64, len(pairs)), NONE)
 
     def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        shape = left.shape
-        keys = np.where((left < 0) | (right < 0), -2, left << 32 | right).ravel()
-        out = np.full(len(keys), NONE)
-        at, todo = self._slot(keys), np.flatnonzero(keys >= 0)
-        while len(todo):
-            held = self.keys[at[todo]]
-            hit = held == keys[todo]
-            out[todo[hit]] = self.values[at[todo[hit]]]
-            todo = todo[~hit & (held != -1)]
-            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
-        return out.reshape(shape)
+        keys = np.where((left < 0) | (right < 0), -1, left << 32 | right)
+        return self.ranks[self.places.find(keys.ravel())].reshape(left.shape)
 
 
 class Bpe:

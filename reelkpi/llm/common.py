@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,19 @@ def ship() -> None:
 ship()
 
 
+#: Rows that Spark hands to a Python worker at once: texts can be long.
+BATCH_ROWS = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the rows of Arrow batches for this session; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -35,6 +48,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     tasks numbered (partition, position) stays as it was written.
     """
     spark = df.sparkSession
+    small_batches(spark)
     target = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
@@ -68,6 +82,7 @@ def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[i
 def keyed_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator reads, under its own names; extra columns,
     whatever their names, are left out."""
+    small_batches(df.sparkSession)
     return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                      F.col(f"`{text_col}`").cast("string").alias("text"))
 
@@ -84,3 +99,86 @@ def partition_bases(df: DataFrame, part: str, amount: str) -> DataFrame:
     totals = df.groupBy(part).agg(F.sum(amount).alias("_total"))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(part, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("base"))
+
+
+SPACES = np.zeros(256, bool)
+SPACES[[9, 10, 11, 12, 13, 32]] = True
+SMALL = np.arange(256, dtype=np.uint8)
+SMALL[65:91] += 32
+#: An odd number and its inverse modulo 2^64, for sums over a run of bytes.
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n or more powers of BASE and INVERSE, kept by the worker."""
+    held = worker_state("powers", list)
+    if not held or len(held[0]) < n:
+        held.clear()
+        for base in (BASE, INVERSE):
+            p = np.full(max(n, 1 << 17) * 5 // 4, base, np.uint64)
+            p[0] = 1
+            held.append(np.multiply.accumulate(p))
+    return held[0], held[1]
+
+
+def run_hashes(data: np.ndarray, starts: np.ndarray | slice, ends: np.ndarray | slice) -> np.ndarray:
+    """A 64-bit hash (unsigned) of each run data[start:end]; equal for equal runs."""
+    power, inverse = powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * inverse[:len(data)], out=sums[1:])
+    return (sums[ends] - sums[starts]) * power[starts]
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Hashes with all bits depending on all bits (a bijection)."""
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+class Places:
+    """The place of a key in an array of distinct keys (open addressing, in numpy)."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.ascontiguousarray(keys, dtype=np.int64)
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.table = np.full(1 << self.bits, -1, np.int32)
+        left = np.arange(len(keys))
+        at = self._slots(self.keys)
+        while len(left):  # all keys step on together until each has a slot of its own
+            free = np.flatnonzero(self.table[at[left]] == -1)
+            _, first = np.unique(at[left[free]], return_index=True)
+            self.table[at[left[free[first]]]] = left[free[first]]
+            left = np.delete(left, free[first])
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(BASE)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Places of keys, -1 where a key is not there."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int64)
+        keys = np.ascontiguousarray(keys, dtype=np.int64)
+        at = self._slots(keys)
+        out = self.table[at].astype(np.int64)
+        todo = np.flatnonzero((out >= 0) & (self.keys[out] != keys))
+        while len(todo):
+            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
+            out[todo] = self.table[at[todo]]
+            todo = todo[(out[todo] >= 0) & (self.keys[out[todo]] != keys[todo])]
+        return out
+
+
+def word_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """63-bit keys of all words (runs of bytes but 9-13 and 32, A-Z made small)
+    of the texts, one text after the other, and the number of words of each."""
+    parts = [t.encode("utf-8") for t in texts]
+    raw = np.frombuffer(b" ".join([*parts, b""]), np.uint8)
+    solid = ~SPACES[raw]
+    edges = np.flatnonzero(solid[1:] != solid[:-1]) + 1
+    edges = np.concatenate([[0], edges]) if len(solid) and solid[0] else edges
+    starts, ends = edges[::2], edges[1::2]
+    keys = (mixed(run_hashes(SMALL[raw], starts, ends)) >> np.uint64(1)).astype(np.int64)
+    bounds = np.searchsorted(starts, np.cumsum([0, *[len(p) + 1 for p in parts]]))
+    return keys, np.diff(bounds)

@@ -41,44 +41,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelkpi.llm.common import text_slices, written
+from reelkpi.llm.common import mixed, run_hashes, text_slices, written
 
 SIZE, GRAM = 200, 64
 HOT, GROUP_SEGMENTS = 50_000, 100_000
 #: Windows that are searched for anchors at a time.
 STRETCH = 1 << 20
-BASE = 0x9E3779B97F4A7C15 | 1
-INVERSE = pow(BASE, -1, 1 << 64)
 #: A byte that no UTF-8 text holds: beyond a segment's end.
 GONE = 0xFF
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    out = []
-    for base in (BASE, INVERSE):
-        p = np.full(n, base, np.uint64)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
-
-
-def anchors(raw: np.ndarray, size: int = SIZE, gram: int = GRAM, stretch: int = STRETCH,
-            powers: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(raw: np.ndarray, size: int = SIZE, gram: int = GRAM, stretch: int = STRETCH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, place, first, last): the anchors of a text, and the first and last
     window start that each is the anchor of. Anchors of a stretch's edge may
     come twice, each with its part of the windows."""
     found, width = [], size - gram + 1  # grams in a window
-    powers = powers if powers is not None else [None, None]
     for begin in range(0, max(0, len(raw) - size + 1), stretch):
         part = raw[begin:begin + stretch + size - 1]
-        n = len(part)
-        if powers[0] is None or len(powers[0]) <= n:
-            powers[:] = _powers(max(2 * n, 1 << 17))
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers[1][:n], out=sums[1:])
-        h = (sums[gram:] - sums[:-gram]) * powers[0][:n - gram + 1]
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(32)
+        h = mixed(run_hashes(part, slice(0, len(part) - gram + 1), slice(gram, len(part) + 1)))
         # places in the low bits: of equal hashes the leftmost is least
         ranked = (h & ~np.uint64((1 << 21) - 1)) | np.arange(len(h), dtype=np.uint64)
         rows = -(-len(ranked) // width)
@@ -110,8 +90,15 @@ def _bytes(packed: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(packed)
 
 
+def _at_most_twice(values: np.ndarray) -> np.ndarray:
+    distinct, n = np.unique(values, return_counts=True)
+    return np.concatenate([distinct, distinct[n > 1]])
+
+
 def texts_with_anchors(df: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...], size: int) -> DataFrame:
-    """Written rows (part, row, doc_id, kept columns, packed text, anchors)."""
+    """Written rows (row, doc_id, kept columns, packed text, anchors): row numbers
+    the input's rows, anchors are the hashes of the text's anchors, those that
+    it holds more than once twice."""
     columns = [F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
                *[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)]]
     read = df.select(*columns)
@@ -121,49 +108,44 @@ def texts_with_anchors(df: DataFrame, id_col: str, text_col: str, keep: tuple[st
     def run(batches):
         from pyspark import TaskContext
 
-        part, row, powers = TaskContext.get().partitionId(), 0, [None, None]
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for first, texts in text_slices(batch):
                 n = len(texts)
-                each = [anchors(np.frombuffer(t.encode("utf-8"), np.uint8), size, powers=powers)[:2] for t in texts]
-                offsets = np.concatenate([[0], np.cumsum([len(h) for h, _ in each])]).astype(np.int32)
-                pairs = pa.StructArray.from_arrays(
-                    [pa.array(np.concatenate([h for h, _ in each])), pa.array(np.concatenate([p for _, p in each]))],
-                    ["hash", "place"])
+                each = [_at_most_twice(anchors(np.frombuffer(t.encode("utf-8"), np.uint8), size)[0]) for t in texts]
+                offsets = np.concatenate([[0], np.cumsum([len(h) for h in each])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, part, np.int32)), pa.array(np.arange(row, row + n)),
-                     batch.column(0).slice(first, n), *[c.slice(first, n) for c in batch.columns[2:]],
-                     pa.array([_packed(t) for t in texts], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pairs)],
-                    ["part", "row", "doc_id", *kept, "packed", "anchors"])
+                    [pa.array(np.arange(row, row + n)), batch.column(0).slice(first, n),
+                     *[c.slice(first, n) for c in batch.columns[2:]], pa.array([_packed(t) for t in texts], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(each)))],
+                    ["row", "doc_id", *kept, "packed", "anchors"])
                 row += n
 
-    schema = ", ".join(["part int, row long, doc_id long", *[f"{k} {types[k]}" for k in kept],
-                        "packed binary, anchors array<struct<hash: long, place: long>>"])
+    schema = ", ".join(["row long, doc_id long", *[f"{k} {types[k]}" for k in kept], "packed binary, anchors array<long>"])
     return written(read.mapInArrow(run, schema), "suffixdedup-texts")
 
 
-SEGMENTS = "part int, row long, place long, lead int, windows int, hash long, segment binary, bytes binary"
+SEGMENTS = "row long, place long, lead int, windows int, hash long, segment binary, bytes binary"
 
 
 def segments(texts: DataFrame, size: int) -> DataFrame:
     """Written rows, one for each segment of a repeated anchor: its text's row,
     the anchor's place, bytes before the anchor, number of windows, anchor hash,
     digest of the bytes, and the bytes where this task meets them first."""
-    places = texts.select("part", "row", F.explode("anchors").alias("a")).select("part", "row", "a.hash", "a.place")
-    repeated = places.groupBy("hash").count().where("count > 1").select("hash")
-    wanted = (places.join(repeated, "hash").groupBy("part", "row").agg(F.collect_list("place").alias("places")))
-    rows = texts.select("part", "row", "packed").join(wanted, ["part", "row"])
+    held = texts.select("row", F.explode("anchors").alias("hash"))
+    repeated = held.groupBy("hash").count().where("count > 1").select("hash")
+    wanted = held.join(repeated, "hash").groupBy("row").agg(F.collect_list("hash").alias("hashes"))
+    rows = texts.select("row", "packed").join(wanted, "row")
 
     def run(batches):
         import xxhash
 
-        seen, powers = set(), [None, None]
+        seen = set()
         for batch in batches:
             for i in range(batch.num_rows):
-                part, row = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                data = _bytes(batch.column(2)[i].as_py())
-                hashes, place, first, last = anchors(np.frombuffer(data, np.uint8), size, powers=powers)
-                at = np.flatnonzero(np.isin(place, batch.column(3)[i].values.to_numpy()))
+                data = _bytes(batch.column(1)[i].as_py())
+                hashes, place, first, last = anchors(np.frombuffer(data, np.uint8), size)
+                at = np.flatnonzero(np.isin(hashes, batch.column(2)[i].values.to_numpy()))
                 spans = [data[a:b + size] for a, b in zip(first[at].tolist(), last[at].tolist())]
                 # the digest covers the bytes and where the anchor lies in them
                 lead = place[at] - first[at]
@@ -176,10 +158,10 @@ def segments(texts: DataFrame, size: int) -> DataFrame:
                     seen.clear()
                 n = len(at)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, row, np.int64)), pa.array(place[at]),
+                    [pa.array(np.full(n, batch.column(0)[i].as_py(), np.int64)), pa.array(place[at]),
                      pa.array(lead.astype(np.int32)), pa.array((last[at] - first[at] + 1).astype(np.int32)),
                      pa.array(hashes[at]), pa.array(names, pa.binary()), pa.array(new, pa.binary())],
-                    ["part", "row", "place", "lead", "windows", "hash", "segment", "bytes"])
+                    ["row", "place", "lead", "windows", "hash", "segment", "bytes"])
 
     return written(rows.mapInArrow(run, SEGMENTS), "suffixdedup-segments")
 
@@ -281,11 +263,11 @@ def _cut(df: DataFrame, size: int, id_col: str, text_col: str, keep: tuple[str,
     found = segments(texts, size)
     masks = repeated_windows(found.select("segment", "bytes", "hash", "lead", "windows"), size, GRAM, hot, group_segments)
     starts = size - GRAM + 1
-    marked = (found.select("part", "row", "place", "segment").join(masks, "segment")
-              .groupBy("part", "row").agg(F.collect_list(F.struct("place", "mask")).alias("marks")))
+    marked = (found.select("row", "place", "segment").join(masks, "segment")
+              .groupBy("row").agg(F.collect_list(F.struct("place", "mask")).alias("marks")))
     kept = [f"_k{i}" for i in range(len(keep))]
     columns = ["doc_id", *kept, "packed", "marks"]
-    rows = texts.drop("anchors").join(marked, ["part", "row"], "left").select(*columns)
+    rows = texts.drop("anchors").join(marked, "row", "left").select(*columns)
     types = dict(rows.dtypes)
 
     def run(batches):

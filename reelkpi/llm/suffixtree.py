@@ -31,8 +31,6 @@ token has probability 1; an empty table gives no row; extra columns are left out
 
 from __future__ import annotations
 
-import uuid
-from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -40,22 +38,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelkpi.llm.common import keyed_texts, text_slices, worker_state, written
+from reelkpi.llm.common import Places, keyed_texts, text_slices, word_keys, written
 
 DEPTH, LEAST_SHARE, LEAST_COUNT, DISCOUNT = 3, 2e-7, 2, 0.75
-#: Distinct words, and strings, that a task holds before it passes their counts on.
-FLUSH_WORDS, FLUSH_STRINGS = 1 << 20, 1 << 22
-WORD_CACHE = 1 << 20
-
-
-def word_key(word: bytes) -> int:
-    """63 bits that stand for a word; the empty word stands for the end of a text."""
-    import xxhash
-
-    return xxhash.xxh64_intdigest(word) >> 1
-
-
-END = b""
+#: Words, and strings, that a task holds before it passes their counts on.
+FLUSH = 1 << 21
+#: The key of the end of a text; words have keys of 63 hashed bits.
+END = (1 << 63) - 1
 
 
 @dataclass
@@ -69,12 +58,8 @@ class Level:
     weight: np.ndarray | None = None  # (n - DISCOUNT) / n(context), 0 if its context is no state
     rest: np.ndarray | None = None  # for strings as contexts: mass left to the suffix, 1 if no state
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Places of keys, -1 where they are not frequent."""
-        if not len(self.keys):
-            return np.full(len(keys), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, at, -1)
+    def __post_init__(self):
+        self.find = Places(self.keys).find
 
 
 @dataclass
@@ -84,6 +69,9 @@ class Tree:
     words: np.ndarray  # keys of frequent words, sorted
     levels: list[Level] = field(default_factory=list)  # levels[0]: the words themselves
 
+    def __post_init__(self):
+        self.places = Places(self.words)
+
     @property
     def least(self) -> float:
         return max(LEAST_COUNT, LEAST_SHARE * self.n)
@@ -92,32 +80,36 @@ class Tree:
         return (np.asarray(counts) + 1.0) / (self.n + self.v + 1)
 
 
-def _words(text: str) -> list[bytes]:
-    return text.encode("utf-8").lower().split()  # bytes: A-Z, and white space 9-13 and 32
+def _sequences(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the texts one after the other, each between two ends (the first
+    as context only), and the number of keys of each text."""
+    words, counts = word_keys(texts)
+    out = np.full(len(words) + 2 * len(texts), END, np.int64)
+    out[np.arange(len(words)) + 2 * np.repeat(np.arange(len(texts)), counts) + 1] = words
+    return out, counts + 2
 
 
-class Codes(dict):
-    """word -> place among the frequent words, or ~key of a rare word."""
+def _codes(tree: Tree, keys: np.ndarray) -> np.ndarray:
+    """Places among the frequent words; ~key of a rare word."""
+    at = tree.places.find(keys)
+    return np.where(at >= 0, at, ~keys)
 
-    def __init__(self, words: np.ndarray):
-        super().__init__()
-        self.words = words
 
-    def __missing__(self, word: bytes) -> int:
-        key = word_key(word)
-        at = int(np.searchsorted(self.words, key))
-        code = at if at < len(self.words) and self.words[at] == key else ~key
-        if len(self) < WORD_CACHE:
-            self[word] = code
-        return code
+class Held:
+    """Keys that a task has met, counted and passed on when there are enough."""
 
-    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of the texts one after the other, each between two ends (the
-        first as context only), and the number of codes of each text."""
-        code, end = self.__getitem__, self[END]
-        rows = [[end, *map(code, _words(t)), end] for t in texts]
-        return (np.fromiter((c for r in rows for c in r), np.int64, sum(map(len, rows))),
-                np.array([len(r) for r in rows], dtype=np.int64))
+    def __init__(self, name: str):
+        self.name, self.parts, self.size = name, [], 0
+
+    def add(self, keys: np.ndarray) -> bool:
+        self.parts.append(keys)
+        self.size += len(keys)
+        return self.size >= FLUSH
+
+    def rows(self) -> pa.RecordBatch:
+        keys, n = np.unique(np.concatenate(self.parts), return_counts=True)
+        self.parts, self.size = [], 0
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], [self.name, "n"])
 
 
 def _places(tree: Tree, codes: np.ndarray, sizes: np.ndarray, depth: int) -> list[np.ndarray]:
@@ -139,23 +131,14 @@ def count_words(docs: DataFrame, learn: Column) -> DataFrame:
     """(word, n): how often each symbol occurs in the training texts."""
 
     def run(batches):
-        held: Counter = Counter()
-        end = word_key(END)
-
-        def rows():
-            keys = np.fromiter((word_key(w) if w else end for w in held), np.int64, len(held))
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(list(held.values()), pa.int64())], ["word", "n"])
-
+        held = Held("word")
         for batch in batches:
             for _, texts in text_slices(batch):
-                for text in texts:
-                    held.update(_words(text))
-                held[END] += len(texts)
-                if len(held) > FLUSH_WORDS:
-                    yield rows()
-                    held.clear()
-        if held:
-            yield rows()
+                keys, sizes = _sequences(texts)
+                if held.add(np.delete(keys, np.cumsum(sizes) - sizes)):
+                    yield held.rows()
+        if held.size:
+            yield held.rows()
 
     return docs.where(learn).select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -164,31 +147,22 @@ def count_strings(docs: DataFrame, learn: Column, tree: Tree) -> DataFrame:
     """(key, n): the strings one word longer than the tree's, where both the
     string without its last and that without its first word are frequent."""
     depth, f = len(tree.levels), len(tree.words)
-    sent, name = docs.sparkSession.sparkContext.broadcast(tree), f"suffixtree:{uuid.uuid4()}"
+    sent = docs.sparkSession.sparkContext.broadcast(tree)
 
     def run(batches):
-        tree = sent.value
-        codes_of = worker_state(name, lambda: Codes(tree.words))
-        held, size = [], 0
-
-        def rows():
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["key", "n"])
-
+        tree, held = sent.value, Held("key")
         for batch in batches:
             for _, texts in text_slices(batch):
-                codes, sizes = codes_of.of(texts)
+                keys, sizes = _sequences(texts)
+                codes = _codes(tree, keys)
                 place = _places(tree, codes, sizes, depth)[-1]
                 before = np.concatenate([[-1], place[:-1]])
                 can = (before >= 0) & (place >= 0)
                 can[np.cumsum(sizes) - sizes] = False
-                held.append(before[can] * f + codes[can])
-                size += len(held[-1])
-                if size > FLUSH_STRINGS:
-                    yield rows()
-                    held, size = [], 0
-        if size:
-            yield rows()
+                if held.add(before[can] * f + codes[can]):
+                    yield held.rows()
+        if held.size:
+            yield held.rows()
 
     return docs.where(learn).select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -237,11 +211,11 @@ def grow(docs: DataFrame, learn: Column, depth: int = DEPTH) -> tuple[Tree, Data
     Only strings of a share of LEAST_SHARE reach the driver: at most 1 / LEAST_SHARE."""
     counts = written(count_words(docs, learn), "suffixtree-words")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    tree = Tree(int(total[0]), int(total[1]), np.zeros(0, np.int64))
-    frequent = counts.where(F.col("n") >= tree.least).toArrow()
+    least = Tree(int(total[0]), int(total[1]), np.zeros(0, np.int64)).least
+    frequent = counts.where(F.col("n") >= least).toArrow()
     keys, n = frequent["word"].to_numpy(), frequent["n"].to_numpy()
     order = np.argsort(keys)
-    tree.words = keys[order]
+    tree = Tree(int(total[0]), int(total[1]), keys[order])
     tree.levels = [Level(np.arange(len(keys)), n[order], np.zeros(len(keys), np.int64))]
     for _ in range(depth):
         found = count_strings(docs, learn, tree).where(F.col("n") >= tree.least).toArrow()
@@ -280,16 +254,16 @@ SCORED = """doc_id long, part int, row long, n_tokens long, n_frequent long, bas
 
 def score(docs: DataFrame, tree: Tree, counts: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score of every row of docs (doc_id, text)."""
-    sent, name = docs.sparkSession.sparkContext.broadcast(tree), f"suffixtree:{uuid.uuid4()}"
+    sent = docs.sparkSession.sparkContext.broadcast(tree)
 
     def run(batches):
         from pyspark import TaskContext
 
         tree, part, row = sent.value, TaskContext.get().partitionId(), 0
-        codes_of = worker_state(name, lambda: Codes(tree.words))
         for batch in batches:
             for first, texts in text_slices(batch):
-                codes, sizes = codes_of.of(texts)
+                keys, sizes = _sequences(texts)
+                codes = _codes(tree, keys)
                 token, sure, share = chances(tree, codes, sizes)
                 known = codes >= 0
                 root = np.ones(len(codes))

@@ -15,10 +15,12 @@ import re
 
 import numpy as np
 
-from reelkpi.llm.common import worker_state
+from reelkpi.llm.common import run_hashes, worker_state
 
 #: Units whose ids a worker keeps; beyond that the table starts anew.
-UNIT_CACHE = 1 << 20
+UNIT_CACHE = 400_000
+#: Bytes of text whose units are found together.
+PART_BYTES = 1 << 20
 #: Chunks given to the library at once, and words in one text for it.
 LIBRARY_BATCH, WORDS_A_TEXT = 50_000, 200
 
@@ -27,9 +29,6 @@ CLASS = np.full(256, OTHER, np.uint8)
 CLASS[[9, 10, 11, 12, 13, 32]] = SPACE
 CLASS[97:123] = CLASS[65:91] = LETTER
 CLASS[[ord(c) for c in ".,;:!?|*$%&#"]] = MARK
-#: A random odd number and its inverse modulo 2^64, for sums over a run of bytes.
-BASE = 0x9E3779B97F4A7C15 | 1
-INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def splits_on_space(path: str) -> bool:
@@ -64,21 +63,12 @@ class UnitEncoder:
         # True for ids that end a piece; known only where the vocabulary marks word ends
         self.ends = suffix and np.array([t.endswith(suffix) for t, _ in sorted(spec["vocab"].items(), key=lambda x: x[1])])
         self._forget()
-        self.power, self.inverse = np.ones(1, np.uint64), np.ones(1, np.uint64)
 
     def _forget(self) -> None:
         self.place: dict[int, int] = {}
         self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.pool, self.used = np.zeros(1 << 18, "<u4"), 0
 
-    def _powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(self.power):
-            m = max(n, 2 * len(self.power))
-            self.power, self.inverse = (np.full(m, x, np.uint64) for x in (BASE, INVERSE))
-            self.power[0] = self.inverse[0] = 1
-            self.power, self.inverse = (np.multiply.accumulate(x) for x in (self.power, self.inverse))
-        return self.power[:n], self.inverse[:n]
-
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, dtype="<u4") for at in range(0, len(texts), LIBRARY_BATCH)
                 for e in self.library.encode_batch(texts[at:at + LIBRARY_BATCH], add_special_tokens=False)]
@@ -139,17 +129,22 @@ class UnitEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_chunk:
             return [x.tobytes() for x in self._library(texts)]
-        if not texts:
-            return []
+        out, part, size = [], [], 0
+        for t in texts:
+            raw = t.encode("utf-8")
+            if part and size + len(raw) > PART_BYTES:
+                out += self._part(part)
+                part, size = [], 0
+            part.append(raw)
+            size += len(raw)
+        return out + self._part(part) if part else out
+
+    def _part(self, parts: list[bytes]) -> list[bytes]:
         if len(self.place) > UNIT_CACHE:
             self._forget()
-        parts = [t.encode("utf-8") for t in texts]
         raw = np.frombuffer(b" ".join([*parts, b""]), np.uint8)
         small, starts, ends, letters = self._units(raw)
-        power, inverse = self._powers(len(raw) + 1)
-        sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum((small.astype(np.uint64) + np.uint64(1)) * inverse[:-1], out=sums[1:])
-        hashes = (sums[ends] - sums[starts]) * power[starts]
+        hashes = run_hashes(small, starts, ends)
         distinct, first, unit = np.unique(hashes, return_index=True, return_inverse=True)
         keys = distinct.tolist()
         at = list(map(self.place.get, keys))

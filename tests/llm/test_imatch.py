@@ -43,10 +43,11 @@ def brute(pairs, subsets=imatch.SUBSETS, least=imatch.LEAST_SHARE, greatest=imat
     for t, n in df.items():
         if t and least * len(docs) <= n <= greatest * len(docs):
             h = spark_hash(t)
-            members[t] = (h, [k for k, m in enumerate(subsets) if spark_hash(h, Small(k)) % m == 0])
+            of = [k for k, m in enumerate(subsets) if spark_hash(h, Small(k)) % m == 0]
+            members[t] = ((h >> 32 << 32) + sum(1 << k for k in of), of)
 
     def values(text):
-        own = sorted(members[t] for t in terms(text) if t in members and members[t][1])
+        own = sorted({members[t][0]: members[t] for t in terms(text) if t in members and members[t][1]}.values())
         if not own:
             return [max(1, spark_hash(text) & 0xFFFFFFFF)] * len(subsets)
         out = []
@@ -80,7 +81,7 @@ def collected(df):
 @pytest.mark.parametrize("broadcast_rows", [imatch.BROADCAST_ROWS, 0])
 def test_odd_rows(make_docs, odd_pairs, broadcast_rows):
     pairs = odd_pairs + [(200 + i, f"alpha beta{i % 5} gamma{i % 3} delta 𝒳{i} tail") for i in range(30)]
-    docs = make_docs(pairs, term=T.LongType(), key=T.StringType(), member=T.StringType(), values=T.StringType())
+    docs = make_docs(pairs, term=T.LongType(), key=T.StringType(), entry=T.StringType(), values=T.StringType())
     got = imatch.compare_edited(docs, subsets=(1, 2, 3, 4), least=0.02, greatest=0.6, broadcast_rows=broadcast_rows)
     assert collected(got) == brute(pairs, (1, 2, 3, 4), 0.02, 0.6)
 

@@ -49,7 +49,7 @@ def read(store):
 
 def test_store_in_id_order(spark, make_docs, odd_pairs):
     docs = make_docs(odd_pairs, part=T.StringType(), symbols=T.LongType(), before=T.StringType())
-    path = tempfile.mkdtemp(prefix="repair-", dir="/tmp") + "/store"
+    path = tempfile.mkdtemp(prefix="repair-") + "/store"
     repair.write_store(docs, path, PATH, end_id=2, block_ids=3000)
     rows = [(r.start, r.doc_id, np.frombuffer(r.ids, "<u4").tolist())
             for r in repair.read_store(spark, path).collect()]
@@ -67,7 +67,7 @@ def test_store_in_id_order(spark, make_docs, odd_pairs):
 
 
 def test_empty_table(spark, make_docs):
-    path = tempfile.mkdtemp(prefix="repair-", dir="/tmp") + "/store"
+    path = tempfile.mkdtemp(prefix="repair-") + "/store"
     repair.write_store(make_docs([]), path, PATH, end_id=2)
     assert repair.read_store(spark, path).collect() == []
 

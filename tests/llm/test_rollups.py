@@ -13,7 +13,7 @@ ROWS = "source string, lang string, n long, extra string, documents string, toke
 
 @pytest.fixture()
 def store(spark):
-    return rollups.Rollup(spark, tempfile.mkdtemp(prefix="rollup-", dir="/tmp"))
+    return rollups.Rollup(spark, tempfile.mkdtemp(prefix="rollup-"))
 
 
 def state(store):
@@ -62,7 +62,7 @@ def test_broken_off_writes_count_for_nothing(spark, store):
 
 
 def test_stream(spark, store):
-    landing, checkpoint = (tempfile.mkdtemp(prefix="rollup-", dir="/tmp") for _ in range(2))
+    landing, checkpoint = (tempfile.mkdtemp(prefix="rollup-") for _ in range(2))
     for k in range(2):
         rollups.inserts(rows(spark, ("a", "en", 5 + k)), F.col("n"), "v1").write.mode("append").parquet(landing)
         changes = spark.readStream.schema(rollups.SCHEMA).parquet(landing)
