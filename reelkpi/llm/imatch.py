@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from reelkpi.llm.common import keyed_texts, written
 
-#: One in how many lexicon terms each subset holds.
+#: One in how many lexicon terms each subset holds (32 subsets at most).
 SUBSETS = (8,) * 4 + (32,) * 8 + (128,) * 10 + (512,) * 10
 #: Least and greatest share of the documents that hold a lexicon term.
 LEAST_SHARE, GREATEST_SHARE = 2e-4, 0.05
@@ -50,52 +50,69 @@ def _terms(text: Column) -> Column:
 
 def lexicon(docs: DataFrame, least: float = LEAST_SHARE, greatest: float = GREATEST_SHARE,
             subsets: tuple[int, ...] = SUBSETS) -> DataFrame:
-    """(term, member): hashes of the terms in the band, and the subsets that
-    hold them as bits; the empty term, of no subset, is always there."""
+    """(term, entry): hashes of the terms in the band, and the upper 32 bits of
+    the hash over the subsets that hold the term, a bit for each, in one number.
+    The empty term is always there, with a null entry."""
     counts = written(docs.select(F.explode(_terms(F.col("text"))).alias("t"))
                      .groupBy(F.xxhash64("t").alias("term")).agg(F.count("*").alias("df")), "imatch-df")
     none = F.xxhash64(F.lit(NO_TERM))
-    total = counts.where(F.col("term") == none).select(F.col("df").alias("of"))  # every document has the empty term
+    every = counts.where(F.col("term") == none).first()  # every document has the empty term
+    n_docs = every["df"] if every else 0
     bits = [F.when(F.pmod(F.xxhash64("term", F.lit(k)), F.lit(n)) == 0, F.lit(1 << k)).otherwise(F.lit(0)).cast("long")
             for k, n in enumerate(subsets)]
-    member = F.when(F.col("term") == none, F.lit(0).cast("long")).otherwise(reduce(Column.bitwiseOR, bits))
-    band = (F.col("df") >= least * F.col("of")) & (F.col("df") <= greatest * F.col("of"))
-    # one row, the number of documents
-    return (counts.join(F.broadcast(total), F.lit(True)).withColumn("member", member)
-            .where((F.col("term") == none) | (band & (F.col("member") != 0))).select("term", "member"))
+    member = reduce(Column.bitwiseOR, bits)
+    entry = F.when(F.col("term") != none, F.shiftleft(F.shiftright("term", 32), 32).bitwiseOR(F.col("member")))
+    band = (F.col("df") >= least * n_docs) & (F.col("df") <= greatest * n_docs)
+    return (counts.withColumn("member", member)
+            .where((F.col("term") == none) | (band & (F.col("member") != 0))).select("term", entry.alias("entry")))
 
 
-def _fingerprint(terms: Column, text_hash: Column, subsets: tuple[int, ...]) -> Column:
+def _fingerprint(entries: Column, whole: Column, subsets: tuple[int, ...]) -> Column:
     """Array of one value a subset, 0 where the document has no term of it.
 
-    terms: distinct (term, member), sorted by term."""
+    entries: distinct entries, sorted, so by term."""
     low = F.lit(0xFFFFFFFF).cast("long")
 
-    def value(k: int) -> Column:
-        own = F.transform(F.filter(terms, lambda x: x["member"].bitwiseAND(F.lit(1 << k).cast("long")) != 0),
-                          lambda x: x["term"])
+    def held(of: Column, ks: list[int]) -> Column:
+        mask = F.lit(sum(1 << k for k in ks)).cast("long")
+        return F.filter(of, lambda x: x.bitwiseAND(mask) != 0)
+
+    def value(of: Column, k: int) -> Column:
+        own = held(of, [k])
         return F.when(F.size(own) > 0, F.greatest(F.xxhash64(own).bitwiseAND(low), F.lit(1).cast("long"))).otherwise(
             F.lit(0).cast("long"))
 
-    whole = F.greatest(text_hash.bitwiseAND(low), F.lit(1).cast("long"))
-    return F.when(F.size(terms) > 0, F.array(*[value(k) for k in range(len(subsets))])).otherwise(
-        F.array(*[whole] * len(subsets)))
+    def values(ks: list[int]) -> Column:
+        # an array of one, so that the common part is computed once and named in the lambda
+        return F.transform(F.array(held(entries, ks)), lambda of: F.array(*[value(of, k) for k in ks]))[0]
+
+    # subsets of one size look only at the terms that any of them holds
+    sizes = {n: [k for k, m in enumerate(subsets) if m == n] for n in subsets}
+    order = [k for ks in sizes.values() for k in ks]
+    flat = F.concat(*[values(ks) for ks in sizes.values()])
+    if order != list(range(len(subsets))):
+        flat = F.transform(F.array(flat), lambda v: F.array(*[v[order.index(k)] for k in range(len(subsets))]))[0]
+    alone = F.greatest(whole.bitwiseAND(low), F.lit(1).cast("long"))
+    return F.when(F.size(entries) > 0, flat).otherwise(F.array(*[alone] * len(subsets)))
 
 
 def fingerprints(texts: DataFrame, terms: DataFrame, keys: list[str], carry: list[str] = (),
                  subsets: tuple[int, ...] = SUBSETS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(keys, carry, values) of rows (keys, carry, text). Rows with equal keys
-    have equal texts and give one row; `carry` columns ride along.
+    have equal texts and give one row; `carry` columns ride along once a text.
 
     terms: a written `lexicon`. No shuffle if `texts` is partitioned by its keys."""
     if terms.count() <= broadcast_rows:
         terms = F.broadcast(terms)
-    found = texts.select(*keys, *carry, F.xxhash64("text").alias("whole"), F.explode(_terms(F.col("text"))).alias("t"))
-    found = found.withColumn("term", F.xxhash64("t")).drop("t").join(terms, "term")
-    own = F.array_distinct(F.sort_array(F.collect_list(F.when(F.col("member") != 0, F.struct("term", "member")))))
-    rows = found.groupBy(*keys).agg(own.alias("terms"), F.any_value("whole").alias("whole"),
-                                    *[F.any_value(c).alias(c) for c in carry])
-    return rows.select(*keys, *carry, _fingerprint(F.col("terms"), F.col("whole"), subsets).alias("values"))
+    once = F.struct(F.xxhash64("text").alias("whole"), *carry)
+    found = texts.select(*keys, once.alias("once"), F.explode(_terms(F.col("text"))).alias("t"))
+    # only the empty term's row carries what belongs to the whole text
+    found = found.select(*keys, F.when(F.col("t") == NO_TERM, F.col("once")).alias("once"), F.xxhash64("t").alias("term"))
+    rows = found.join(terms, "term").groupBy(*keys).agg(
+        F.array_distinct(F.sort_array(F.collect_list("entry"))).alias("entries"),
+        F.any_value("once", F.lit(True)).alias("once"))
+    values = _fingerprint(F.col("entries"), F.col("once.whole"), subsets)
+    return rows.select(*keys, *[F.col(f"once.{c}").alias(c) for c in carry], values.alias("values"))
 
 
 def as_text(values: Column) -> Column:
