@@ -140,17 +140,26 @@ class Places:
     """The place of a key in an array of distinct keys (open addressing, in numpy)."""
 
     def __init__(self, keys: np.ndarray):
-        self.keys = np.ascontiguousarray(keys, dtype=np.int64)
-        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.keys, self.bits = np.zeros(0, np.int64), 4
         self.table = np.full(1 << self.bits, -1, np.int32)
-        left = np.arange(len(keys))
-        at = self._slots(self.keys)
+        self.add(keys)
+
+    def add(self, keys: np.ndarray) -> None:
+        """More keys, distinct and not there yet; their places follow the others'."""
+        before = len(self.keys)
+        self.keys = np.concatenate([self.keys, np.ascontiguousarray(keys, dtype=np.int64)])
+        if 2 * len(self.keys) > len(self.table):
+            self.bits = int(4 * len(self.keys)).bit_length()
+            self.table, before = np.full(1 << self.bits, -1, np.int32), 0
+        left = np.arange(before, len(self.keys))
+        at = self._slots(self.keys[before:])
         while len(left):  # all keys step on together until each has a slot of its own
-            free = np.flatnonzero(self.table[at[left]] == -1)
-            _, first = np.unique(at[left[free]], return_index=True)
-            self.table[at[left[free[first]]]] = left[free[first]]
-            left = np.delete(left, free[first])
-            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+            free = np.flatnonzero(self.table[at] == -1)
+            _, first = np.unique(at[free], return_index=True)
+            placed = free[first]
+            self.table[at[placed]] = left[placed]
+            left, at = np.delete(left, placed), np.delete(at, placed)
+            at = (at + 1) & ((1 << self.bits) - 1)
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * np.uint64(BASE)) >> np.uint64(64 - self.bits)).astype(np.int64)

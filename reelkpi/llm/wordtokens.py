@@ -15,14 +15,14 @@ import re
 
 import numpy as np
 
-from reelkpi.llm.common import run_hashes, worker_state
+from reelkpi.llm.common import SMALL, Places, run_hashes, worker_state
 
 #: Units whose ids a worker keeps; beyond that the table starts anew.
-UNIT_CACHE = 400_000
+UNIT_CACHE = 1_500_000
 #: Bytes of text whose units are found together.
 PART_BYTES = 1 << 20
 #: Chunks given to the library at once, and words in one text for it.
-LIBRARY_BATCH, WORDS_A_TEXT = 50_000, 200
+LIBRARY_BATCH, WORDS_A_TEXT = 50_000, 400
 
 SPACE, LETTER, MARK, OTHER = 0, 1, 2, 3
 CLASS = np.full(256, OTHER, np.uint8)
@@ -65,7 +65,7 @@ class UnitEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[int, int] = {}
+        self.places = Places(np.zeros(0, np.int64))
         self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.pool, self.used = np.zeros(1 << 18, "<u4"), 0
 
@@ -73,52 +73,52 @@ class UnitEncoder:
         return [np.asarray(e.ids, dtype="<u4") for at in range(0, len(texts), LIBRARY_BATCH)
                 for e in self.library.encode_batch(texts[at:at + LIBRARY_BATCH], add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> list[np.ndarray]:
-        """ids of words of letters only: each is one piece, so many go into one
-        text and the ids that end a piece part them again."""
-        if self.ends is None or not words:
-            return self._library(words)
-        ids = np.concatenate(self._library([" ".join(words[i:i + WORDS_A_TEXT])
-                                            for i in range(0, len(words), WORDS_A_TEXT)]))
-        return np.split(ids, np.flatnonzero(self.ends[ids])[:-1] + 1)
-
-    def _learn(self, hashes: list[int], units: list[bytes], letters: np.ndarray) -> None:
-        texts = [u.decode("utf-8") for u in units]
-        words, others = np.flatnonzero(letters), np.flatnonzero(~letters)
-        ids: list = [None] * len(texts)
-        for at, make in ((words, self._words), (others, self._library)):
-            for i, x in zip(at.tolist(), make([texts[i] for i in at.tolist()])):
-                ids[i] = x
-        first, lengths = len(self.place), np.array([len(x) for x in ids], dtype=np.int64)
-        flat = np.concatenate(ids)
-        while first + len(ids) > len(self.starts):
-            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-        while self.used + len(flat) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.starts[first:first + len(ids)] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[first:first + len(ids)] = lengths
-        self.pool[self.used:self.used + len(flat)] = flat
-        self.used += len(flat)
-        self.place.update(zip(hashes, range(first, first + len(ids))))
+    def _flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each)."""
+        ids = self._library(texts)
+        return (np.concatenate(ids) if ids else np.zeros(0, "<u4")), np.array([len(x) for x in ids], dtype=np.int64)
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters only: each is one piece, so many go into
+        one text and the ids that end a piece part them again."""
+        if self.ends is None:
+            return self._flat(words)
+        flat, _ = self._flat([" ".join(words[i:i + WORDS_A_TEXT]) for i in range(0, len(words), WORDS_A_TEXT)])
+        return flat, np.diff(np.flatnonzero(self.ends[flat]), prepend=-1)
+
+    def _learn(self, keys: np.ndarray, units: list[bytes], letters: np.ndarray) -> None:
+        for which, make in ((letters, self._words), (~letters, self._flat)):
+            flat, lengths = make([units[i].decode("utf-8") for i in np.flatnonzero(which).tolist()])
+            first, n = len(self.places.keys), len(lengths)
+            while first + n > len(self.starts):
+                self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+            while self.used + len(flat) > len(self.pool):
+                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+            self.starts[first:first + n] = self.used + np.cumsum(lengths) - lengths
+            self.lengths[first:first + n] = lengths
+            self.pool[self.used:self.used + len(flat)] = flat
+            self.used += len(flat)
+            self.places.add(keys[which])
 
     def _units(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(bytes with plain letters made small, starts, ends, letters only) of the units of raw, which ends in a space."""
         kind = CLASS[raw]
-        lead = np.flatnonzero(raw[:-1] == 0xC3)  # two-byte letters of Latin-1, without the signs of times and division
-        lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]
-        kind[lead] = kind[lead + 1] = LETTER
-        solid = kind != SPACE
-        edges = np.flatnonzero(solid[1:] != solid[:-1]) + 1
-        edges = np.concatenate([[0], edges]) if solid[0] else edges
-        begin, end = edges[::2], edges[1::2]
-        if len(begin):
+        small = SMALL[raw]
+        lead = np.flatnonzero(raw == 0xC3)  # two-byte letters of Latin-1, without the signs of times and division
+        if len(lead):
+            lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]
+            kind[lead] = kind[lead + 1] = LETTER
+            capital = lead[raw[lead + 1] <= 0x9E] + 1
+            small[capital] += 32
+        if (kind == OTHER).any():  # chunks with such bytes stay whole, and as they are
+            solid = kind != SPACE
+            edges = np.flatnonzero(solid[1:] != solid[:-1]) + 1
+            edges = np.concatenate([[0], edges]) if solid[0] else edges
+            begin, end = edges[::2], edges[1::2]
             mixed = np.maximum.reduceat(kind, begin) == OTHER  # spaces between count least
             for a, b in zip(begin[mixed].tolist(), end[mixed].tolist()):
                 kind[a:b] = OTHER
-        small = raw.copy()
-        small[(raw >= 65) & (raw <= 90) & (kind == LETTER)] += 32
-        lead = lead[kind[lead] == LETTER] + 1
-        small[lead[(raw[lead] >= 0x80) & (raw[lead] <= 0x9E)]] += 32
+                small[a:b] = raw[a:b]
         cut = np.flatnonzero(kind[1:] != kind[:-1]) + 1
         cut = np.concatenate([[0], cut, [len(raw)]])
         starts, ends = cut[:-1], cut[1:]
@@ -140,21 +140,20 @@ class UnitEncoder:
         return out + self._part(part) if part else out
 
     def _part(self, parts: list[bytes]) -> list[bytes]:
-        if len(self.place) > UNIT_CACHE:
+        if len(self.places.keys) > UNIT_CACHE:
             self._forget()
         raw = np.frombuffer(b" ".join([*parts, b""]), np.uint8)
         small, starts, ends, letters = self._units(raw)
-        hashes = run_hashes(small, starts, ends)
-        distinct, first, unit = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        at = list(map(self.place.get, keys))
-        new = [i for i, x in enumerate(at) if x is None]
-        if new:
-            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+        keys = run_hashes(small, starts, ends).view(np.int64)
+        at = self.places.find(keys)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            distinct, first = np.unique(keys[new], return_index=True)
+            first = new[first]
             flat = small.tobytes()
-            self._learn([keys[i] for i in new], [flat[a:b] for a, b in spans], letters[first[new]])
-            at = [self.place[k] if x is None else x for k, x in zip(keys, at)]
-        at = np.array(at, dtype=np.int64)[unit]
+            spans = zip(starts[first].tolist(), ends[first].tolist())
+            self._learn(distinct, [flat[a:b] for a, b in spans], letters[first])
+            at[new] = self.places.find(keys[new])
         lengths = self.lengths[at]
         before = np.cumsum(lengths) - lengths
         total = int(lengths.sum())
