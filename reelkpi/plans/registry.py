@@ -70,9 +70,11 @@ def _plan(spark: SparkSession, sf_dir: str, kind: str, build: Callable):
     return _plans[key][1]
 
 
-def forget_plans() -> None:
-    """Drop built plans and written tables (to build them anew over unchanged inputs)."""
-    _plans.clear()
+def forget_plans(keep: tuple[str, ...] = ()) -> None:
+    """Drop what is kept of written tables and files, but for the kinds in `keep`
+    ("raw": the raw film table), to write them anew over unchanged inputs."""
+    for key in [k for k in _plans if k[2] not in keep]:
+        del _plans[key]
 
 
 def raw_films(spark: SparkSession, sf_dir: str) -> DataFrame:
