@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from reelkpi.llm.common import Places, keyed_texts, text_slices, word_keys, written
 
-DEPTH, LEAST_SHARE, LEAST_COUNT, DISCOUNT = 3, 2e-7, 2, 0.75
+DEPTH, LEAST_SHARE, LEAST_COUNT, DISCOUNT = 3, 5e-7, 2, 0.75
 #: Words, and strings, that a task holds before it passes their counts on.
 FLUSH = 1 << 21
 #: The key of the end of a text; words have keys of 63 hashed bits.
@@ -53,14 +53,17 @@ class Level:
     after the place of the rest one level below: key = place * F + word."""
 
     keys: np.ndarray
-    counts: np.ndarray
-    suffix: np.ndarray  # place, one level below, of the string without its first word
+    counts: np.ndarray | None = None
+    suffix: np.ndarray | None = None  # place, one level below, of the string without its first word
     weight: np.ndarray | None = None  # (n - DISCOUNT) / n(context), 0 if its context is no state
     rest: np.ndarray | None = None  # for strings as contexts: mass left to the suffix, 1 if no state
 
     def __post_init__(self):
         self.find = Places(self.keys).find
 
+    def __reduce__(self):  # the table of places is built anew where the level is read
+        return Level, (self.keys, self.counts, self.suffix, self.weight, self.rest)
+
 
 @dataclass
 class Tree:
@@ -72,6 +75,19 @@ class Tree:
     def __post_init__(self):
         self.places = Places(self.words)
 
+    def __reduce__(self):
+        return Tree, (self.n, self.v, self.words, self.levels)
+
+    def to_count(self) -> "Tree":
+        """What a pass that counts needs: the strings."""
+        return Tree(self.n, self.v, self.words, [Level(x.keys) for x in self.levels])
+
+    def to_score(self) -> "Tree":
+        """What a pass that scores needs: the words' counts, the strings and their weights."""
+        first, *rest = self.levels
+        return Tree(self.n, self.v, self.words, [Level(first.keys, first.counts, rest=first.rest),
+                                                 *[Level(x.keys, weight=x.weight, rest=x.rest) for x in rest]])
+
     @property
     def least(self) -> float:
         return max(LEAST_COUNT, LEAST_SHARE * self.n)
@@ -143,11 +159,12 @@ def count_words(docs: DataFrame, learn: Column) -> DataFrame:
     return docs.where(learn).select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def count_strings(docs: DataFrame, learn: Column, tree: Tree) -> DataFrame:
-    """(key, n): the strings one word longer than the tree's, where both the
-    string without its last and that without its first word are frequent."""
-    depth, f = len(tree.levels), len(tree.words)
-    sent = docs.sparkSession.sparkContext.broadcast(tree)
+def count_strings(docs: DataFrame, learn: Column, tree: Tree) -> pa.Table:
+    """(key, n): the frequent strings one word longer than the tree's; counted
+    are those of which both the string without its last and that without its
+    first word are frequent. At most 1 / LEAST_SHARE rows."""
+    depth, f, least = len(tree.levels), len(tree.words), tree.least
+    sent = docs.sparkSession.sparkContext.broadcast(tree.to_count())
 
     def run(batches):
         tree, held = sent.value, Held("key")
@@ -164,7 +181,10 @@ def count_strings(docs: DataFrame, learn: Column, tree: Tree) -> DataFrame:
         if held.size:
             yield held.rows()
 
-    return docs.where(learn).select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counts = docs.where(learn).select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    found = counts.where(F.col("n") >= least).toArrow()
+    sent.destroy()
+    return found
 
 
 def _quantile_95(df: np.ndarray) -> np.ndarray:
@@ -218,7 +238,7 @@ def grow(docs: DataFrame, learn: Column, depth: int = DEPTH) -> tuple[Tree, Data
     tree = Tree(int(total[0]), int(total[1]), keys[order])
     tree.levels = [Level(np.arange(len(keys)), n[order], np.zeros(len(keys), np.int64))]
     for _ in range(depth):
-        found = count_strings(docs, learn, tree).where(F.col("n") >= tree.least).toArrow()
+        found = count_strings(docs, learn, tree)
         keys, n = found["key"].to_numpy(), found["n"].to_numpy()
         order = np.argsort(keys)
         _grow(tree, keys[order], n[order])
@@ -254,7 +274,7 @@ SCORED = """doc_id long, part int, row long, n_tokens long, n_frequent long, bas
 
 def score(docs: DataFrame, tree: Tree, counts: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score of every row of docs (doc_id, text)."""
-    sent = docs.sparkSession.sparkContext.broadcast(tree)
+    sent = docs.sparkSession.sparkContext.broadcast(tree.to_score())
 
     def run(batches):
         from pyspark import TaskContext
@@ -286,6 +306,7 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame) -> DataFrame:
                 row += len(texts)
 
     rows = written(docs.select("doc_id", "text").mapInArrow(run, SCORED), "suffixtree-scored")
+    sent.unpersist()
     root = F.log10((F.coalesce(F.col("n"), F.lit(0)) + 1) / F.lit(float(tree.n + tree.v + 1)))
     rare = (rows.select("part", "row", F.explode("rare").alias("word"))
             .join(counts.where(F.col("n") < tree.least), "word", "left")
