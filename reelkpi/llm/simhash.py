@@ -40,6 +40,8 @@ from reelkpi.llm.components import components
 SHINGLE, DISTANCE = 3, 3
 #: Nodes of one variant that one task compares; more are dealt out again.
 BIG = 1 << 17
+#: Index rows (64 a node) of a group of buckets.
+GROUP_ROWS = 200_000
 
 
 def fingerprint(text: str, words: int = SHINGLE) -> int:
@@ -139,7 +141,9 @@ def links(nodes: DataFrame, distance: int = DISTANCE, big: int = BIG) -> DataFra
     """(u, v): links whose components are those of all pairs within `distance` bits.
 
     nodes: distinct `bits`."""
-    keyed = variants(nodes, distance)
+    # a node becomes 64 index rows: deal out as many tasks as groups of them
+    groups = max(1, -(-nodes.count() * 64 // GROUP_ROWS))
+    keyed = variants(nodes.repartition(groups, "bits"), distance)
     sizes = written(keyed.groupBy("place", "value").count().where(F.col("count") > big), "simhash-big")
     small = keyed.join(sizes, ["place", "value"], "left_anti").withColumn("part", F.lit(-1))
     # a big bucket: two linked nodes differ in at most `distance` of distance + 1 parts of all bits
@@ -150,10 +154,9 @@ def links(nodes: DataFrame, distance: int = DISTANCE, big: int = BIG) -> DataFra
     again = (keyed.join(sizes, ["place", "value"]).select("place", "value", "bits", F.explode(parts).alias("p"))
              .select((F.col("p.part") * 64 + F.col("place") + 64).alias("place"),
                      F.xxhash64("value", "p.of").alias("value"), "bits", F.col("p.part").alias("part")))
-    # many buckets to a group: about as many groups as partitions, by a hash of the bucket
-    groups = max(64, 4 * int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = small.unionByName(again).select(
-        F.pmod(F.xxhash64("place", "value"), F.lit(groups)).alias("g"), "place", "value", "bits")
+        F.pmod(F.xxhash64("place", "value"), F.lit(groups)).alias("g"),  # many buckets to a group
+        "place", "value", "bits")
 
     def run(group: pa.Table) -> pa.Table:
         place, value, bits = (group.column(c).to_numpy() for c in ("place", "value", "bits"))
