@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from reelkpi.session import scratch_path
 
 #: Bytes of text that a worker holds as Python objects at a time.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def ship() -> None:
