@@ -255,8 +255,9 @@ def repeated_windows(found: DataFrame, size: int, gram: int = GRAM, hot: int = H
 
 
 def _cut(df: DataFrame, size: int, id_col: str, text_col: str, keep: tuple[str, ...], hot: int,
-         group_segments: int) -> DataFrame:
-    """Rows (doc_id, carried columns _k0 ..., n_bytes, spans, kept)."""
+         group_segments: int, as_text: bool = False) -> DataFrame:
+    """Rows (doc_id, carried columns _k0 ..., n_bytes, spans, kept). With
+    `as_text` kept is text; characters of which a part was removed go."""
     if size < 2 * GRAM:
         raise ValueError(f"size must be at least {2 * GRAM} bytes")
     texts = texts_with_anchors(df, id_col, text_col, keep, size)
@@ -296,10 +297,11 @@ def _cut(df: DataFrame, size: int, id_col: str, text_col: str, keep: tuple[str,
                 kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:1 + len(kept)], pa.array(n_bytes, pa.int64()), pa.array(spans, kind),
-                     pa.array(left, pa.binary())], ["doc_id", *kept, "n_bytes", "spans", "kept"])
+                     pa.array([x.decode("utf-8", "ignore") for x in left]) if as_text else pa.array(left, pa.binary())],
+                    ["doc_id", *kept, "n_bytes", "spans", "kept"])
 
     schema = ", ".join(["doc_id long", *[f"{k} {types[k]}" for k in kept],
-                        "n_bytes long, spans array<struct<start: long, end: long>>, kept binary"])
+                        "n_bytes long, spans array<struct<start: long, end: long>>, kept " + ("string" if as_text else "binary")])
     return rows.mapInArrow(run, schema)
 
 
@@ -311,23 +313,9 @@ def deduplicate(df: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_co
     return rows.select("doc_id", "n_bytes", "spans", "kept", *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)])
 
 
-def readable(kept: pa.Array) -> pa.Array:
-    """Bytes as text; characters of which a part was removed go."""
-    return pa.array([None if b is None else b.decode("utf-8", "ignore") for b in kept.to_pylist()], pa.string())
-
-
 def left_over(df: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of df, all columns, with what is left of their texts."""
     others = tuple(c for c in df.columns if c not in (id_col, text_col))
-    names = [f"_k{i}" for i in range(len(others))]
-    rows = _cut(df, size, id_col, text_col, others, HOT, GROUP_SEGMENTS).select("doc_id", "kept", *names)
-    types = dict(rows.dtypes)
-
-    def run(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), readable(batch.column(1)), *batch.columns[2:]],
-                                             ["doc_id", "text", *names])
-
-    out = rows.mapInArrow(run, ", ".join(["doc_id long, text string", *[f"{n} {types[n]}" for n in names]]))
-    place = dict(zip(others, names)) | {id_col: "doc_id", text_col: "text"}
-    return out.select(*[F.col(place[c]).alias(c) for c in df.columns])
+    rows = _cut(df, size, id_col, text_col, others, HOT, GROUP_SEGMENTS, as_text=True)
+    place = {c: f"_k{i}" for i, c in enumerate(others)} | {id_col: "doc_id", text_col: "kept"}
+    return rows.select(*[F.col(place[c]).alias(c) for c in df.columns])
