@@ -18,7 +18,7 @@ import numpy as np
 from reelkpi.llm.common import SMALL, Places, run_hashes, worker_state
 
 #: Units whose ids a worker keeps; beyond that the table starts anew.
-UNIT_CACHE = 500_000
+UNIT_CACHE = 1_000_000
 #: Bytes of text whose units are found together.
 PART_BYTES = 1 << 20
 #: Chunks given to the library at once, and words in one text for it.
