@@ -4,24 +4,33 @@ Symbols are words (A-Z lower-cased) and an end of text, which is also the
 context of a text's first word. A state is a context of up to `depth` words;
 its next-symbol distribution holds the symbols that follow it often enough.
 
-Growing the tree, one pass over the training texts for each depth: the strings
-of l words that make up at least LEAST_SHARE of all tokens (and occur twice)
-are counted exactly; candidates are strings whose first and last l - 1 words
-passed before. A context becomes a state only if the next symbols diverge from
-those of its suffix state: N(s) * KL must exceed half the 95 % quantile of
-chi-square with as many degrees as it has symbols. What the tree does not keep
-of a context counts as one symbol more.
+Growing the tree: the strings of two words and more are counted exactly in one
+pass over the training texts, and those that occur LEAST_COUNT times are kept,
+whatever their share of the corpus. A context becomes a state only if the next
+symbols diverge from those of its suffix state: N(s) * KL must exceed half the
+95 % quantile of chi-square with as many degrees as it has symbols. What the
+tree does not keep of a context counts as one symbol more.
 
 Smoothing: P(w | s) = max(n(s w) - DISCOUNT, 0) / n(s) + rest(s) P(w | suffix
 state), down to the root, (c + 1) / (N + V + 1); each distribution sums to 1
 over the V known symbols and one unknown. A text's score is the sum of log10
 P(w | longest state that ends before w) over its words and its end.
 
-Scale: at most 1 / LEAST_SHARE strings can pass at each depth, whatever the
-corpus, so the tree that is sent to all tasks has a proven bound. All counts
-cover all training texts; they meet in shuffles that grow with the corpus. The
-counts of rarer words, which have no bound, never leave the cluster: a text's
-rare words are joined with them by shuffle and added to its score.
+Scoring: that sum is one over the strings that occur in the text. A string s w
+adds log P(w | s) - log rest(s) - log P(w | suffix of s), a state adds log
+rest(s); strings that add nothing are not kept. Up to the longest string that
+the tree holds the terms cancel but for its own log P; beyond it only the rests
+of longer states are left.
+
+Scale: nothing of the tree is sent to all tasks or to the driver; it grows with
+the corpus, in tables. A string is a key of 63 hashed bits. Tasks sort what
+they meet and pass each distinct key on once per FLUSH strings, in lists dealt
+by ranges of keys; the number of ranges grows with the bytes of text. So a
+common string costs one entry a list. Divergence is a grouping by context with
+partial sums. To score, a block of texts asks each range for its distinct keys;
+what comes back is added up per text there, per block, and over the rounds.
+Ranges are gone through in rounds, each a pass over the texts, so that the
+disk holds the lists of a part of all strings at a time.
 
 Defined results: a null, empty or blank text is its end alone; a row whose id
 is null teaches nothing and is not held out; repeated rows count as often as
@@ -31,71 +40,29 @@ token has probability 1; an empty table gives no row; extra columns are left out
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelkpi.llm.common import Places, keyed_texts, text_slices, word_keys, written
+from reelkpi.llm.common import BASE, keyed_texts, mixed, text_slices, word_keys, written
 
-DEPTH, LEAST_SHARE, LEAST_COUNT, DISCOUNT = 3, 5e-7, 2, 0.75
-#: Words, and strings, that a task holds before it passes their counts on.
+#: A string needs LEAST_COUNT occurrences, and no share of the corpus.
+DEPTH, LEAST_SHARE, LEAST_COUNT, DISCOUNT = 3, 0.0, 2, 0.75
+#: Words, and strings, that a task holds before it passes them on.
 FLUSH = 1 << 21
-#: The key of the end of a text; words have keys of 63 hashed bits.
+#: Bytes of text for each range of keys.
+RANGE_BYTES = 8 << 20
+#: Rounds in which the ranges are counted, and asked for scores.
+COUNT_ROUNDS, SCORE_ROUNDS = 5, 3
+#: Texts of a block at most: their numbers have 16 bits.
+BLOCK_TEXTS = 1 << 15
+#: The key of the end of a text; words and strings have keys of 63 hashed bits.
 END = (1 << 63) - 1
 
 
-@dataclass
-class Level:
-    """Frequent strings of one length, sorted by key; a string is its last word
-    after the place of the rest one level below: key = place * F + word."""
-
-    keys: np.ndarray
-    counts: np.ndarray | None = None
-    suffix: np.ndarray | None = None  # place, one level below, of the string without its first word
-    weight: np.ndarray | None = None  # (n - DISCOUNT) / n(context), 0 if its context is no state
-    rest: np.ndarray | None = None  # for strings as contexts: mass left to the suffix, 1 if no state
-
-    def __post_init__(self):
-        self.find = Places(self.keys).find
-
-    def __reduce__(self):  # the table of places is built anew where the level is read
-        return Level, (self.keys, self.counts, self.suffix, self.weight, self.rest)
-
-
-@dataclass
-class Tree:
-    n: int  # training tokens
-    v: int  # distinct symbols
-    words: np.ndarray  # keys of frequent words, sorted
-    levels: list[Level] = field(default_factory=list)  # levels[0]: the words themselves
-
-    def __post_init__(self):
-        self.places = Places(self.words)
-
-    def __reduce__(self):
-        return Tree, (self.n, self.v, self.words, self.levels)
-
-    def to_count(self) -> "Tree":
-        """What a pass that counts needs: the strings."""
-        return Tree(self.n, self.v, self.words, [Level(x.keys) for x in self.levels])
-
-    def to_score(self) -> "Tree":
-        """What a pass that scores needs: the words' counts, the strings and their weights."""
-        first, *rest = self.levels
-        return Tree(self.n, self.v, self.words, [Level(first.keys, first.counts, rest=first.rest),
-                                                 *[Level(x.keys, weight=x.weight, rest=x.rest) for x in rest]])
-
-    @property
-    def least(self) -> float:
-        return max(LEAST_COUNT, LEAST_SHARE * self.n)
-
-    def root(self, counts) -> np.ndarray:
-        return (np.asarray(counts) + 1.0) / (self.n + self.v + 1)
-
-
 def _sequences(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the texts one after the other, each between two ends (the first
     as context only), and the number of keys of each text."""
@@ -105,223 +72,297 @@ def _sequences(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, counts + 2
 
 
-def _codes(tree: Tree, keys: np.ndarray) -> np.ndarray:
-    """Places among the frequent words; ~key of a rare word."""
-    at = tree.places.find(keys)
-    return np.where(at >= 0, at, ~keys)
+def _strings(keys: np.ndarray, sizes: np.ndarray, depth: int):
+    """(length, ends, strings, contexts, suffixes) for each length from 2 to depth + 1:
+    places at which a string ends, its key, and the keys without its last and first word."""
+    place = np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    below = keys
+    for length in range(2, depth + 2):
+        context = np.concatenate([below[:1], below[:-1]])
+        own = context.view(np.uint64) * np.uint64(BASE) + keys.view(np.uint64)
+        own = (mixed(own) >> np.uint64(1)).view(np.int64)
+        ends = np.flatnonzero(place >= length - 1)
+        yield length, ends, own[ends], context[ends], below[ends]
+        below = own
 
 
-class Held:
-    """Keys that a task has met, counted and passed on when there are enough."""
+def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
+    return ((keys >> 43) * ranges) >> 20
 
-    def __init__(self, name: str):
-        self.name, self.parts, self.size = name, [], 0
 
-    def add(self, keys: np.ndarray) -> bool:
-        self.parts.append(keys)
-        self.size += len(keys)
-        return self.size >= FLUSH
+def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))
 
-    def rows(self) -> pa.RecordBatch:
-        keys, n = np.unique(np.concatenate(self.parts), return_counts=True)
-        self.parts, self.size = [], 0
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], [self.name, "n"])
 
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins, and the end."""
+    return np.append(np.flatnonzero(np.concatenate([np.ones(min(1, len(values)), bool), values[1:] != values[:-1]])), len(values))
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """`written`, with the shuffle files of the query removed when it has ended."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
 
-def _places(tree: Tree, codes: np.ndarray, sizes: np.ndarray, depth: int) -> list[np.ndarray]:
-    """For each length up to depth, the place of the frequent string that ends at each code, or -1."""
-    f = len(tree.words)
-    first = np.zeros(len(codes), bool)
-    first[np.cumsum(sizes) - sizes] = True
-    out = [np.where(codes >= 0, codes, -1)]
-    for level in tree.levels[1:depth]:
-        before = np.concatenate([[-1], out[-1][:-1]])
-        can = (before >= 0) & (codes >= 0) & ~first
-        place = np.full(len(codes), -1, np.int64)
-        place[can] = level.find(before[can] * f + codes[can])
-        out.append(place)
-    return out
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
 
 
 def count_words(docs: DataFrame, learn: Column) -> DataFrame:
     """(word, n): how often each symbol occurs in the training texts."""
 
     def run(batches):
-        held = Held("word")
+        parts, size = [], 0
+
+        def rows():
+            keys, n = np.unique(np.concatenate(parts), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["word", "n"])
+
         for batch in batches:
             for _, texts in text_slices(batch):
                 keys, sizes = _sequences(texts)
-                if held.add(np.delete(keys, np.cumsum(sizes) - sizes)):
-                    yield held.rows()
-        if held.size:
-            yield held.rows()
+                parts.append(np.delete(keys, np.cumsum(sizes) - sizes))
+                size += len(parts[-1])
+                if size >= FLUSH:
+                    yield rows()
+                    parts, size = [], 0
+        if size:
+            yield rows()
 
     return docs.where(learn).select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def count_strings(docs: DataFrame, learn: Column, tree: Tree) -> pa.Table:
-    """(key, n): the frequent strings one word longer than the tree's; counted
-    are those of which both the string without its last and that without its
-    first word are frequent. At most 1 / LEAST_SHARE rows."""
-    depth, f, least = len(tree.levels), len(tree.words), tree.least
-    sent = docs.sparkSession.sparkContext.broadcast(tree.to_count())
+COUNTED = "length int, range long, key array<long>, context array<long>, suffix array<long>, n array<int>"
+STRINGS = "length int, key long, context long, suffix long, n long"
+
+
+def count_strings(docs: DataFrame, learn: Column, depth: int, ranges: int, rounds: int, turn: int) -> DataFrame:
+    """Rows (length, key, context, suffix, n) of the strings of 2 to depth + 1 words
+    that occur LEAST_COUNT times in the training texts, of one round's ranges."""
 
     def run(batches):
-        tree, held = sent.value, Held("key")
+        held, size = {}, 0
+
+        def rows():
+            for length, parts in held.items():
+                keys, context, suffix = (np.concatenate(x) for x in zip(*parts))
+                order = np.argsort(keys)
+                keys = keys[order]
+                bounds = _runs(keys)
+                first = order[bounds[:-1]]
+                keys = keys[bounds[:-1]]
+                which = _range_of(keys, ranges)
+                cut = _runs(which)
+                m = len(cut) - 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(m, length, np.int32)), pa.array(which[cut[:-1]]), _lists(keys, cut),
+                     _lists(context[first], cut), _lists(suffix[first], cut), _lists(np.diff(bounds).astype(np.int32), cut)],
+                    ["length", "range", "key", "context", "suffix", "n"])
+
         for batch in batches:
             for _, texts in text_slices(batch):
-                keys, sizes = _sequences(texts)
-                codes = _codes(tree, keys)
-                place = _places(tree, codes, sizes, depth)[-1]
-                before = np.concatenate([[-1], place[:-1]])
-                can = (before >= 0) & (place >= 0)
-                can[np.cumsum(sizes) - sizes] = False
-                if held.add(before[can] * f + codes[can]):
-                    yield held.rows()
-        if held.size:
-            yield held.rows()
-
-    counts = docs.where(learn).select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    found = counts.where(F.col("n") >= least).toArrow()
-    sent.destroy()
-    return found
-
-
-def _quantile_95(df: np.ndarray) -> np.ndarray:
-    """95 % quantile of chi-square (Wilson and Hilferty)."""
-    d = np.maximum(df, 1)
-    return d * (1 - 2 / (9 * d) + 1.6449 * np.sqrt(2 / (9 * d))) ** 3
-
-
-def _grow(tree: Tree, keys: np.ndarray, counts: np.ndarray) -> None:
-    """Add the level of these strings; settle which of the contexts below are states."""
-    f, below = len(tree.words), tree.levels[-1]
-    context, word = keys // f, keys % f
-    if len(tree.levels) == 1:
-        suffix = word
-    else:  # both ends of a frequent string are frequent, so the suffix has a place
-        suffix = below.find(below.suffix[context] * f + word)
-    lower = _smoothed(tree, len(tree.levels) - 1, suffix)  # P(word | suffix of the context)
-    total = below.counts.astype(np.float64)
-    size = np.bincount(context, minlength=len(total))
-    kept = np.bincount(context, counts, len(total))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        share = counts / total[context]
-        gain = np.bincount(context, counts * np.log(share / lower), len(total)).astype(np.float64)
-        left, left_lower = total - kept, 1 - np.bincount(context, lower, len(total))
-        gain += np.where(left > 0, left * np.log(left / total / np.maximum(left_lower, 1e-12)), 0)
-    state = (size > 0) & (gain > _quantile_95(size) / 2)
-    weight = np.where(state[context], (counts - DISCOUNT) / total[context], 0)
-    below.rest = np.where(state, 1 - np.bincount(context, weight, len(total)), 1.0)
-    tree.levels.append(Level(keys, counts, suffix, weight))
-
-
-def _smoothed(tree: Tree, depth: int, place: np.ndarray) -> np.ndarray:
-    """P(last word | the words before it) of the strings of level `depth`."""
-    level = tree.levels[depth]
-    if depth == 0:
-        return tree.root(level.counts[place])
-    context = level.keys[place] // len(tree.words)
-    return level.weight[place] + tree.levels[depth - 1].rest[context] * _smoothed(tree, depth - 1, level.suffix[place])
-
-
-def grow(docs: DataFrame, learn: Column, depth: int = DEPTH) -> tuple[Tree, DataFrame]:
-    """(tree, word counts) from the rows of docs (doc_id, text) where `learn` holds.
-
-    Only strings of a share of LEAST_SHARE reach the driver: at most 1 / LEAST_SHARE."""
-    counts = written(count_words(docs, learn), "suffixtree-words")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    least = Tree(int(total[0]), int(total[1]), np.zeros(0, np.int64)).least
-    frequent = counts.where(F.col("n") >= least).toArrow()
-    keys, n = frequent["word"].to_numpy(), frequent["n"].to_numpy()
-    order = np.argsort(keys)
-    tree = Tree(int(total[0]), int(total[1]), keys[order])
-    tree.levels = [Level(np.arange(len(keys)), n[order], np.zeros(len(keys), np.int64))]
-    for _ in range(depth):
-        found = count_strings(docs, learn, tree)
-        keys, n = found["key"].to_numpy(), found["n"].to_numpy()
-        order = np.argsort(keys)
-        _grow(tree, keys[order], n[order])
-    tree.levels[-1].rest = np.ones(len(tree.levels[-1].keys))
-    return tree, counts
-
-
-def states(tree: Tree) -> list[int]:
-    """Number of states of each length from 0 (the root)."""
-    return [1] + [int((level.rest < 1).sum()) for level in tree.levels[:-1]]
-
-
-def chances(tree: Tree, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(token, sure, share) of every code that is a token (not the end before a
-    text): its probability is sure + share * root probability of the word."""
-    places = _places(tree, codes, sizes, len(tree.levels))
-    sure, share = np.zeros(len(codes)), np.ones(len(codes))
-    for depth in range(1, len(tree.levels)):  # from the shortest context up
-        level, below = tree.levels[depth], tree.levels[depth - 1]
-        context = np.concatenate([[-1], places[depth - 1][:-1]])
-        place = places[depth]
-        rest = np.where(context >= 0, below.rest[context] if len(below.rest) else 1.0, 1.0)
-        weight = np.where(place >= 0, level.weight[place] if len(level.weight) else 0.0, 0.0)
-        sure, share = weight + rest * sure, rest * share
-    token = np.ones(len(codes), bool)
-    token[np.cumsum(sizes) - sizes] = False
-    return token, sure, share
-
-
-SCORED = """doc_id long, part int, row long, n_tokens long, n_frequent long, base_part double, score_part double,
-    rare array<long>"""
-
-
-def score(docs: DataFrame, tree: Tree, counts: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score, score of every row of docs (doc_id, text)."""
-    sent = docs.sparkSession.sparkContext.broadcast(tree.to_score())
+                for length, _, *found in _strings(*_sequences(texts), depth):
+                    own = np.flatnonzero(_range_of(found[0], ranges) % rounds == turn)
+                    held.setdefault(length, []).append([x[own] for x in found])
+                    size += len(own)
+                if size >= FLUSH:
+                    yield from rows()
+                    held, size = {}, 0
+        if size:
+            yield from rows()
+
+    def add(group: pa.Table) -> pa.Table:
+        key, context, suffix, n = (group[c].combine_chunks().flatten().to_numpy() for c in ("key", "context", "suffix", "n"))
+        order = np.argsort(key)
+        bounds = _runs(key[order])
+        total = np.add.reduceat(n[order].astype(np.int64), bounds[:-1]) if len(key) else np.zeros(0, np.int64)
+        often = total >= LEAST_COUNT
+        at = order[bounds[:-1]][often]
+        return pa.table({"length": pa.array(np.full(len(at), group["length"][0].as_py(), np.int32)), "key": key[at],
+                         "context": context[at], "suffix": suffix[at], "n": total[often]})
+
+    return (docs.where(learn).select("text").mapInArrow(run, COUNTED)
+            .groupBy("length", "range").applyInArrow(add, STRINGS))
+
+
+def _quantile_95(df):
+    """95 % quantile of chi-square (Wilson and Hilferty), of an array or column of degrees above 0."""
+    d = df * 1.0
+    return d * (1 - 2 / (9 * d) + 1.6449 * (2 / (9 * d)) ** 0.5) ** 3
+
+
+def grow(words: DataFrame, strings: DataFrame, n: int, v: int, depth: int = DEPTH) -> list[DataFrame]:
+    """Tables (key, base, score): what a word, string or state adds to a text's
+    scores beyond the root probability of an unknown word."""
+    below = words.select(F.col("word").alias("key"), "n", ((F.col("n") + 1) / F.lit(float(n + v + 1))).alias("p"))
+    log = F.log10(F.col("n") + 1)
+    out = [words.select(F.col("word").alias("key"), log.alias("base"), log.alias("score"))]
+    none = F.lit(0.0).alias("base")
+    for length in range(2, depth + 2):
+        own = strings.where(F.col("length") == length).drop("length").join(
+            below.select(F.col("key").alias("suffix"), F.col("p").alias("lower")), "suffix")
+        contexts = own.groupBy("context").agg(
+            F.count("*").alias("size"), F.sum("n").alias("kept"), F.sum("lower").alias("lower"),
+            F.sum(F.col("n") * F.log(F.col("n") / F.col("lower"))).alias("gain")).join(
+            below.select(F.col("key").alias("context"), F.col("n").alias("total")), "context")
+        left = F.col("total") - F.col("kept")
+        gain = F.col("gain") - F.col("kept") * F.log("total") + F.when(left > 0, left * F.log(
+            left / F.col("total") / F.greatest(1 - F.col("lower"), F.lit(1e-12)))).otherwise(0.0)
+        states = _kept(contexts.where(gain > _quantile_95(F.col("size")) / 2).select(
+            "context", "total", (1 - (F.col("kept") - DISCOUNT * F.col("size")) / F.col("total")).alias("rest")),
+            f"suffixtree-states{length - 1}")
+        out.append(states.select(F.col("context").alias("key"), none, F.log10("rest").alias("score")))
+        # the longest strings are nobody's suffix or context: only those that follow a state are needed
+        weight = F.coalesce((F.col("n") - DISCOUNT) / F.col("total"), F.lit(0.0))
+        rest = F.coalesce("rest", F.lit(1.0))
+        last = length == depth + 1
+        placed = own.join(states, "context", "inner" if last else "left").select(
+            "key", "n", (weight + rest * F.col("lower")).alias("p"), F.when(F.col("total").isNotNull(), F.log10(
+                weight + rest * F.col("lower")) - F.log10("rest") - F.log10("lower")).alias("score"))
+        below = _kept(placed.select("key", "score") if last else placed, f"suffixtree-strings{length}")
+        out.append(below.where("score is not null").select("key", none, "score"))
+    return out
 
-    def run(batches):
+
+ASKED = """block long, range long, key array<long>, n array<int>, row array<short>,
+    doc_id array<long>, n_tokens array<long>, digest array<binary>"""
+ANSWERED = """block long, row array<short>, n_known array<int>, base array<double>, score array<double>,
+    doc_id array<long>, n_tokens array<long>, digest array<binary>"""
+
+
+def score(docs: DataFrame, values: DataFrame, depth: int, ranges: int, rounds: int, turn: int) -> DataFrame:
+    """doc_id, digest of the text, n_tokens and what one round's ranges add to
+    n_known, base_score, score, of every row of docs (doc_id, text)."""
+    names = [x.split()[0] for x in ASKED.replace("\n", " ").split(",")]
+
+    def ask(batches):
         from pyspark import TaskContext
 
-        tree, part, row = sent.value, TaskContext.get().partitionId(), 0
+        import xxhash
+
+        block = TaskContext.get().partitionId() << 32
+        held, ids, tokens, digests, size, base = [], [], [], [], 0, 0
+
+        def rows():
+            keys, row = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(keys)
+            keys, row = keys[order], row[order]
+            bounds = _runs(keys)
+            keys = keys[bounds[:-1]]
+            which = _range_of(keys, ranges)
+            cut = _runs(which)
+            m = len(cut) - 1
+            nulls = [pa.nulls(m, pa.list_(pa.int64()))] * 2 + [pa.nulls(m, pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(m, block)), pa.array(which[cut[:-1]]), _lists(keys, cut),
+                 _lists(np.diff(bounds).astype(np.int32), cut), _lists(row, bounds[cut]), *nulls], names)
+            whole = np.array([0, base])  # the block's own row
+            none = np.zeros(0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block]), pa.array([block % 1000003 % (-(-(ranges - turn) // rounds)) * rounds + turn]), _lists(none.astype(np.int64), whole * 0),
+                 _lists(none.astype(np.int32), whole * 0), _lists(none.astype(np.int16), whole * 0),
+                 pa.ListArray.from_arrays(pa.array(whole.astype(np.int32)), pa.concat_arrays(ids)),
+                 _lists(np.concatenate(tokens), whole),
+                 pa.ListArray.from_arrays(pa.array(whole.astype(np.int32)), pa.array(digests, pa.binary()))], names)
+
         for batch in batches:
             for first, texts in text_slices(batch):
+                if base + len(texts) > BLOCK_TEXTS or size >= FLUSH:
+                    yield from rows()
+                    held, ids, tokens, digests, size, base = [], [], [], [], 0, 0
+                    block += 1
                 keys, sizes = _sequences(texts)
-                codes = _codes(tree, keys)
-                token, sure, share = chances(tree, codes, sizes)
-                known = codes >= 0
-                root = np.ones(len(codes))
-                root[known] = tree.root(tree.levels[0].counts[codes[known]])
-                bounds = np.cumsum(sizes) - sizes
-                # a rare word follows no state: its probability is share * root, the root's part comes later
-                value = np.log10(np.where(known, sure + share * root, share))
-                value[~token] = 0
-                base = np.where(token, np.log10(root), 0)
-                rare = token & ~known
-                per = lambda x: np.add.reduceat(x, bounds)
-                n_rare = per(rare.astype(np.int64))
-                offsets = np.concatenate([[0], np.cumsum(n_rare)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)), pa.array(np.full(len(texts), part, np.int32)),
-                     pa.array(np.arange(row, row + len(texts))), pa.array(sizes - 1), pa.array(sizes - 1 - n_rare),
-                     pa.array(per(base)), pa.array(per(value)),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(~codes[rare]))],
-                    ["doc_id", "part", "row", "n_tokens", "n_frequent", "base_part", "score_part", "rare"])
-                row += len(texts)
-
-    rows = written(docs.select("doc_id", "text").mapInArrow(run, SCORED), "suffixtree-scored")
-    sent.unpersist()
-    root = F.log10((F.coalesce(F.col("n"), F.lit(0)) + 1) / F.lit(float(tree.n + tree.v + 1)))
-    rare = (rows.select("part", "row", F.explode("rare").alias("word"))
-            .join(counts.where(F.col("n") < tree.least), "word", "left")
-            .groupBy("part", "row").agg(F.sum(root).alias("log"), F.count("n").alias("known")))
-    log, known = F.coalesce("log", F.lit(0.0)), F.coalesce("known", F.lit(0))
-    return rows.drop("rare").join(rare, ["part", "row"], "left").select(
-        "doc_id", "n_tokens", (F.col("n_frequent") + known).alias("n_known"),
-        (F.col("base_part") + log).alias("base_score"), (F.col("score_part") + log).alias("score"))
+                owner = (base + np.repeat(np.arange(len(texts)), sizes)).astype(np.int16)
+                token = np.ones(len(keys), bool)
+                token[np.cumsum(sizes) - sizes] = False
+                for own, row in [(keys[token], owner[token]),
+                                 *[(found, owner[ends]) for _, ends, found, _, _ in _strings(keys, sizes, depth)]]:
+                    at = np.flatnonzero(_range_of(own, ranges) % rounds == turn)
+                    held.append((own[at], row[at]))
+                    size += len(at)
+                ids.append(batch.column(0).slice(first, len(texts)).cast(pa.int64()))
+                tokens.append((sizes - 1).astype(np.int64))
+                digests += [xxhash.xxh3_128_digest(t.encode("utf-8")) for t in texts]
+                base += len(texts)
+        if base:
+            yield from rows()
+
+    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        key = known["key"].to_numpy()
+        order = np.argsort(key)
+        bounds = _runs(key[order])
+        key = key[order][bounds[:-1]]
+        adds = [np.add.reduceat(known[c].to_numpy()[order], bounds[:-1]) if len(key) else np.zeros(0) for c in ("base", "score")]
+        heads = asked.filter(asked["doc_id"].is_valid())
+        asked = asked.filter(asked["doc_id"].is_null())
+        flat = {c: asked[c].combine_chunks().flatten().to_numpy() for c in ("key", "n", "row")}
+        sizes = np.array([len(x) for x in asked["key"]], np.int64)
+        at = np.minimum(np.searchsorted(key, flat["key"]), max(0, len(key) - 1))
+        hit = key[at] == flat["key"] if len(key) else np.zeros(len(flat["key"]), bool)
+        many = np.repeat(hit, flat["n"])
+        at = np.repeat(at, flat["n"])[many]
+        list_of = np.repeat(np.repeat(np.arange(len(sizes)), sizes), flat["n"])[many]
+        place = (list_of << 32) + flat["row"][many]  # by list, then by text
+        order = np.argsort(place)
+        place, at = place[order], at[order]
+        bounds = _runs(place)[:-1]
+        add = lambda x: np.add.reduceat(x, bounds) if len(bounds) else x[:0]
+        place = place[bounds]
+        cut = np.searchsorted(place >> 32, np.arange(len(sizes) + 1))
+        none = pa.nulls(len(sizes), pa.list_(pa.int64()))
+        sums = pa.table({"block": asked["block"], "row": _lists((place & 0xFFFFFFFF).astype(np.int16), cut),
+                         "n_known": _lists(add((adds[0][at] > 0).astype(np.int32)).astype(np.int32), cut), "base": _lists(add(adds[0][at]), cut),
+                         "score": _lists(add(adds[1][at]), cut), "doc_id": none, "n_tokens": none,
+                         "digest": pa.nulls(len(sizes), pa.list_(pa.binary()))})
+        empty = lambda t: pa.array([[]] * heads.num_rows, pa.list_(t))
+        return pa.concat_tables([sums, pa.table({
+            "block": heads["block"], "row": empty(pa.int16()), "n_known": empty(pa.int32()), "base": empty(pa.float64()),
+            "score": empty(pa.float64()), "doc_id": heads["doc_id"], "n_tokens": heads["n_tokens"],
+            "digest": heads["digest"]}).cast(sums.schema)])
+
+    def add_up(group: pa.Table) -> pa.Table:
+        head = group.filter(group["doc_id"].is_valid())
+        ids = head["doc_id"].combine_chunks().flatten()
+        tokens = head["n_tokens"].combine_chunks().flatten().to_numpy()
+        row, known, base, own = (group[c].combine_chunks().flatten().to_numpy() for c in ("row", "n_known", "base", "score"))
+        total = lambda x: np.bincount(row, x, len(tokens)).astype(np.float64)
+        return pa.table({"doc_id": ids, "digest": head["digest"].combine_chunks().flatten(), "n_tokens": tokens,
+                         "n_known": total(known).astype(np.int64), "base_score": total(base), "score": total(own)})
+
+    place = F.shiftright(F.shiftright("key", 43) * F.lit(ranges).cast("long"), 20)
+    held = values.withColumn("range", place).where(F.col("range") % rounds == turn)
+    asked = docs.select("doc_id", "text").mapInArrow(ask, ASKED)
+    answers = asked.groupBy("range").cogroup(held.groupBy("range")).applyInArrow(answer, ANSWERED)
+    return answers.groupBy("block").applyInArrow(
+        add_up, "doc_id long, digest binary, n_tokens long, n_known long, base_score double, score double")
 
 
 def score_texts(df: DataFrame, learn: Column, depth: int = DEPTH, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
+                text_col: str = "text", range_bytes: int = RANGE_BYTES) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row,
     by a tree grown on the rows where `learn` (a condition on doc_id) holds."""
-    docs = keyed_texts(df, id_col, text_col)
-    tree, counts = grow(docs, F.coalesce(learn, F.lit(False)), depth)
-    return score(docs, tree, counts).select("doc_id", "n_tokens", "n_known", F.lit(tree.n).cast("long").alias("train_tokens"),
-                                            "base_score", "score")
+    docs, learn = keyed_texts(df, id_col, text_col), F.coalesce(learn, F.lit(False))
+    size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 6)).first()[0] or 0
+    ranges = min(1 << 20, max(COUNT_ROUNDS, SCORE_ROUNDS, 1 + size // range_bytes))
+    words = _kept(count_words(docs, learn), "suffixtree-words")
+    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    strings = _union([_kept(count_strings(docs, learn, depth, ranges, COUNT_ROUNDS, k), f"suffixtree-strings-round{k}")
+                      for k in range(COUNT_ROUNDS)])
+    values = _union(grow(words, strings, int(n), int(v), depth))
+    rounds = [_kept(score(docs, values, depth, ranges, SCORE_ROUNDS, k), f"suffixtree-scores-round{k}")
+              for k in range(SCORE_ROUNDS)]
+    # equal rows have equal sums: each round has one row for each of them
+    rows = _union(rounds).groupBy("doc_id", "digest").agg(
+        F.any_value("n_tokens").alias("n_tokens"), (F.count("*") / SCORE_ROUNDS).cast("long").alias("copies"),
+        *[F.sum(c).alias(c) for c in ("n_known", "base_score", "score")])
+    root = F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return rows.select("doc_id", "n_tokens", (F.col("n_known") / F.col("copies")).cast("long").alias("n_known"),
+                       F.lit(int(n)).cast("long").alias("train_tokens"),
+                       *[(F.col(c) / F.col("copies") - root).alias(c) for c in ("base_score", "score")])

@@ -120,3 +120,15 @@ def test_no_training_rows_and_empty_table(make_docs):
     assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.score, r.base_score) for r in rows) == \
         [(2, 0, 0, 0.0, 0.0), (3, 0, 0, 0.0, 0.0)]
     assert st.score_texts(make_docs([]), F.col("doc_id") > 5).collect() == []
+
+
+def test_tree_grows_with_the_corpus(make_docs):
+    """Strings that occur twice are kept however many tokens there are."""
+    rng = np.random.default_rng(3)
+    pairs = [(2 * i, " ".join(f"w{x}" for x in rng.integers(0, 40_000, 400))) for i in range(1, 10_600)]
+    told = [f"key{i} lock{i} door{i} room{i}" for i in range(50)]
+    pairs += [(2 * (20_000 + i), f"{t} x{i} {t}") for i, t in enumerate(told)]
+    held = [(2 * (30_000 + i) + 1, t) for i, t in enumerate(told)]
+    rows = st.score_texts(make_docs(pairs + held), F.col("doc_id") % 2 == 0).where("doc_id % 2 = 1").collect()
+    assert rows[0].train_tokens * 5e-7 > 2.1 and len(rows) == 50
+    assert min(r.score - r.base_score for r in rows) > 6  # three words each that their states foretell
