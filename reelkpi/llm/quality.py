@@ -207,10 +207,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn, most_positives: int
                     [batch.column(2).slice(first, len(texts)), batch.column(0).slice(first, len(texts)),
                      pa.array(list(rows), pa.list_(pa.float32()))], ["kind", "doc_id", "x"])
 
+    # repeated ids: the row of least features each, settled before rows leave the cluster, so the bound holds
     found: pd.DataFrame = (docs.join(wanted, "doc_id").select("doc_id", "text", "kind")
-                           .mapInArrow(run, "kind int, doc_id long, x array<float>").toPandas())
+                           .mapInArrow(run, "kind int, doc_id long, x array<float>")
+                           .groupBy("kind", "doc_id").agg(F.min("x").alias("x")).toPandas())
     found = found.sort_values(["kind", "doc_id"], kind="stable")
-    found = found.drop_duplicates(["kind", "doc_id"])  # repeated ids: one row each, so the bound holds
     part = [np.stack(x.to_numpy()).astype(np.float64) if len(x) else np.zeros((0, N_FEATURES))
             for x in (found.x[found.kind == 1], found.x[found.kind == 0])]
     return part[0], part[1]

@@ -70,3 +70,19 @@ def test_no_positives_and_empty_tables(spark, make_docs, odd_pairs):
     rows = quality.classify(make_docs(odd_pairs), labels_frame(spark, [(7, 0)]), F.lit(True)).collect()
     assert {r.score for r in rows} == {0.5}
     assert quality.classify(make_docs([]), labels_frame(spark, []), F.lit(True)).collect() == []
+
+
+def test_repeated_ids_stay_out_of_the_driver(spark, make_docs, monkeypatch):
+    """All rows of a sampled id have features, and one of them is collected."""
+    docs = make_docs([(1, f"Text number {i}, of one id.") for i in range(60)] + [(2, "Another text."), (3, "A third one.")])
+    labels = spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int")
+    collect, seen = type(docs).toPandas, []
+
+    def counted(df):
+        seen.append(collect(df))
+        return seen[-1]
+
+    monkeypatch.setattr(type(docs), "toPandas", counted)
+    good, rest = quality.training_rows(docs.select("doc_id", "text"), labels, F.lit(True), 10, 10)
+    assert (len(good), len(rest)) == (2, 3)
+    assert [len(x) for x in seen if "x" in x.columns] == [5]
