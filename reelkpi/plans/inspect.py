@@ -6,8 +6,9 @@ import re
 
 from pyspark.sql import DataFrame
 
-PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
-                "PythonUDF")
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "FlatMapCoGroupsInPandas", "MapInPandas",
+                "FlatMapGroupsInArrow", "FlatMapCoGroupsInArrow", "MapInArrow", "AggregateInPandas", "WindowInPandas",
+                "PythonUDF", "PythonUDTF")
 
 
 def physical_plan(df: DataFrame) -> str:

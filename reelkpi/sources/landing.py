@@ -50,18 +50,20 @@ def read_raw_json(spark: SparkSession, path: str, keep_corrupt: bool = True,
 
 def rejects(raw: DataFrame) -> DataFrame:
     """Records of `read_raw_json` (batch or stream) that the schema did not take
-    whole: id as far as the line shows one, reason ('malformed': no record could
-    be read; 'mistyped': some field did not fit and is null), and the line.
+    whole: id as far as the line shows one, reason ('malformed': the line is no
+    JSON record; 'mistyped': it is one, and some field did not fit and is null),
+    and the line.
     Count them by reason (Spark does not run a plan over JSON files that needs
     nothing but the kept line)."""
     line = F.col(CORRUPT_COL)
     shown = F.regexp_extract(line, r'"id"\s*:\s*(-?\d+)', 1)
+    is_record = F.coalesce(F.schema_of_variant(F.try_parse_json(line)).startswith("OBJECT"), F.lit(False))
     # a field that no plan reads is not parsed, so its faults would not be seen:
     # the second condition needs every field, and runs on rejected records only
     every_field = F.length(F.to_json(F.struct(*[F.col(f.name) for f in RAW_SCHEMA.fields]))) >= 0
     return raw.where(line.isNotNull() & every_field).select(
         F.coalesce("id", F.nullif(shown, F.lit("")).try_cast("bigint")).alias("id"),
-        F.when(F.col("id").isNull(), "malformed").otherwise("mistyped").alias("reason"), line.alias("line"))
+        F.when(is_record, "mistyped").otherwise("malformed").alias("reason"), line.alias("line"))
 
 
 def write_raw_json(df: DataFrame, path: str) -> None:
@@ -70,8 +72,9 @@ def write_raw_json(df: DataFrame, path: str) -> None:
 
 
 def _csv_options(io, header: bool, null_marker: str):
-    # spaces, quotes and line breaks inside values stay as they are
-    return (io.option("header", header).option("nullValue", null_marker).option("quoteAll", True)
+    # spaces, quotes and line breaks inside values stay as they are; with the record
+    # separator named, the reader does not take the first line break it meets for it
+    return (io.option("header", header).option("nullValue", null_marker).option("quoteAll", True).option("lineSep", "\n")
             .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 

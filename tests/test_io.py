@@ -49,6 +49,28 @@ def test_csv_keeps_every_character(spark, tmp_dir, header):
     assert [(r.id, r.overview, r.director) for r in _sorted(back)] == [(i, t, t) for i, t in enumerate(TEXTS)]
 
 
+@pytest.mark.parametrize("header", [True, False])
+@pytest.mark.parametrize("first", ["a\r\nb", "x\r", "\r", "\n", "\r\n", "two\nlines\r"])
+def test_csv_first_row_holds_line_breaks(spark, tmp_dir, header, first):
+    """The first line break of a file is inside a value, in any form."""
+    fields = {f.name: None for f in CLEAN_SCHEMA.fields}
+    texts = [first, "plain", "cr\rlf\r\nend\n", "\r\n\r", None, ""]
+    rows = [tuple({**fields, "id": i, "title": t, "overview": t}.values()) for i, t in enumerate(texts)]
+    path = os.path.join(tmp_dir, "csv")
+    landing.write_clean_csv(spark.createDataFrame(rows, CLEAN_SCHEMA).coalesce(1), path, header=header)
+    back = landing.read_clean_csv(spark, path, header=header)
+    assert [(r.id, r.title, r.overview) for r in _sorted(back)] == [(i, t, t) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_csv_query_starts_each_file_with_a_carriage_return(spark, header):
+    from reelkpi.plans.registry import QUERIES
+
+    df = QUERIES["sink_clean_csv" if header else "sink_clean_csv_noheader"](spark, SF)
+    head = {f: open(f.removeprefix("file://"), newline="").read(4000) for f in df.inputFiles()}
+    assert head and all("\r\n" in h for h in head.values())
+
+
 def test_csv_with_empty_nulls(spark, tmp_dir):
     df = clean_films(films_from_tables(spark, SF)).where("overview is null").limit(5)
     path = os.path.join(tmp_dir, "plain")
@@ -60,13 +82,15 @@ def test_rejects_are_kept_and_told_apart(spark, tmp_dir):
     path = os.path.join(tmp_dir, "landed")
     os.makedirs(path)
     lines = ['{"id": 1, "status": "Released"}', '{"id": 2, "status": "Rel', "not json", "",
-             '{"id": 3, "status": "Released", "budget": "much"}']
+             '{"id": 3, "status": "Released", "budget": "much"}', '{"id": "x4", "status": "Released"}',
+             '{"status": "Released", "budget": "much"}', '[1, 2]']
     with open(os.path.join(path, "part-0.json"), "w") as f:
         f.write("\n".join(lines) + "\n")
     raw = landing.read_raw_json(spark, path)
     got = sorted((r.id or 0, r.reason, r.line) for r in landing.rejects(raw).collect())
-    assert got == [(0, "malformed", "not json"), (2, "malformed", lines[1]), (3, "mistyped", lines[4])]
-    assert sorted(r.id for r in clean_films(raw).collect()) == [1, 3]
+    assert got == [(0, "malformed", lines[7]), (0, "malformed", "not json"), (0, "mistyped", lines[5]),
+                   (0, "mistyped", lines[6]), (2, "malformed", lines[1]), (3, "mistyped", lines[4])]
+    assert sorted(r.id or 0 for r in clean_films(raw).collect()) == [0, 0, 1, 3]
 
 
 def test_a_changed_input_gives_the_new_answer(spark, tmp_dir):
