@@ -11,12 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelkpi.functions.columns import split_names
-from reelkpi.functions.median import bracket, median_from_brackets, summarize_with_median
+from reelkpi.functions.median import summarize_with_median
 from reelkpi.operators.reports import FRANCHISE, STANDALONE
-from reelkpi.sources.landing import materialize
-
-#: Genres (one narrow row each) up to which the median's groups are broadcast.
-BROADCAST_GENRES = 100_000
 
 SCATTER_COLS = ["title", "budget_musd", "revenue_musd", "popularity", "vote_average"]
 
@@ -38,16 +34,10 @@ def yearly_trends(df: DataFrame) -> DataFrame:
 def genre_roi(df: DataFrame, median_accuracy: int | None = None) -> DataFrame:
     """V2: median ROI per genre ('|'-split; '' genres form their own group).
 
-    The groups of the first pass are written and counted, and broadcast to the
-    second pass only up to BROADCAST_GENRES; beyond, Spark picks the join."""
+    Nothing runs until the result is asked for; whether the brackets of large
+    genres are broadcast is left to Spark's rule on their bytes."""
     exploded = df.select(F.explode(split_names("genres")).alias("genre"), "roi")
-    if median_accuracy is not None:
-        out = summarize_with_median(exploded, ["genre"], "roi", "median_roi", median_accuracy=median_accuracy)
-    else:
-        groups = materialize(exploded.groupBy("genre").agg(bracket(F.col("roi")).alias("_bracket")), "genre-groups")
-        if groups.count() <= BROADCAST_GENRES:
-            groups = F.broadcast(groups)
-        out = median_from_brackets(exploded, groups, ["genre"], "roi", "median_roi")
+    out = summarize_with_median(exploded, ["genre"], "roi", "median_roi", median_accuracy=median_accuracy)
     return out.orderBy(F.col("median_roi").desc_nulls_last(), F.col("genre").asc())
 
 

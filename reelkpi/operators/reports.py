@@ -4,7 +4,7 @@ Counts, sums and means aggregate partially before the shuffle, so a hot group
 (one collection, one director, "standalone") costs one row per task on the
 wire. Medians use `summarize_with_median`, which is exact without gathering a
 group's values in one task: the report's other aggregates ride in its first
-pass. Top-n reports order by the rounded output column, then by the group key,
+pass, which settles groups of up to 50,000 films alone. Top-n reports order by the rounded output column, then by the group key,
 and keep the `limit` in the plan (`TakeOrderedAndProject`).
 """
 
@@ -71,7 +71,7 @@ def _collections(df: DataFrame) -> DataFrame:
     return df.where(_in_franchise(df))
 
 
-#: Top-n lists up to this length are broadcast to the median's second pass.
+#: Top-n lists up to this length are broadcast to the median's later passes.
 SMALL_TOP = 10_000
 
 
@@ -79,27 +79,29 @@ def top_franchises(df: DataFrame, n: int = 5, median_accuracy: int | None = None
     """Collections by total revenue (rounded), with median ROI and mean rating.
 
     The ranking does not depend on the median, so one aggregate ranks the
-    collections and brackets their medians, its first n rows are kept, and a
-    second scan settles the medians of these n alone. The ranked rows are used
-    once, so their totals cannot differ between two uses.
+    collections and brackets their medians; only the large ones of the first n
+    are looked at again. The list itself is used once. A second use of the
+    ranking picks whom to look at, twice as many as needed: sums of doubles
+    can differ in their last bits between two uses, and so can the order.
     """
     coll = _collections(df)
     order = [F.col("revenue_musd").desc(), F.col("belongs_to_collection").asc()]
     exact = median_accuracy is None
     roi = F.col("roi").cast("double")
     middle = bracket(roi) if exact else F.percentile_approx(roi, 0.5, median_accuracy)
-    top = (
+    ranked = (
         coll.groupBy("belongs_to_collection").agg(
             F.count("title").alias("title_count"),
             round2(F.sum("revenue_musd")).alias("revenue_musd"),
             round2(F.avg("vote_average")).alias("vote_average"),
             middle.alias("_bracket" if exact else "_median_roi"),
         )
-        .orderBy(*order).limit(n)
+        .orderBy(*order)
     )
+    top = ranked.limit(n)
     if exact:
-        top = F.broadcast(top) if n <= SMALL_TOP else top
-        top = median_from_brackets(coll, top, ["belongs_to_collection"], "roi", "_median_roi")
+        top = median_from_brackets(coll, top, ["belongs_to_collection"], "roi", "_median_roi",
+                                   few_groups=n <= SMALL_TOP, candidates=ranked.limit(2 * n + 10))
     return (
         top.select("belongs_to_collection", "title_count", "revenue_musd",
                    round2("_median_roi").alias("roi"), "vote_average")

@@ -50,22 +50,66 @@ def test_property_matches_builtin(spark, rows):
     _compare(spark, rows)
 
 
-@pytest.mark.parametrize("small,medium", [(0, 0), (0, 10**9), (100, 1000)])
-def test_every_margin_holds_the_middle(spark, monkeypatch, small, medium):
-    """Large groups, with the margins that their sizes and smaller ones would get."""
-    monkeypatch.setattr(median, "SMALL", max(small, 4096))
-    monkeypatch.setattr(median, "MEDIUM", max(medium, 8192))
-    rnd = random.Random(small + medium)
+@pytest.mark.parametrize("refinements", [0, 1, 2, 3])
+@pytest.mark.parametrize("few_groups", [True, False])
+def test_large_groups_by_brackets(spark, monkeypatch, refinements, few_groups):
+    """Groups looked at again, beside small ones; each refinement keeps the middle ranks."""
+    monkeypatch.setattr(median, "SMALL", 15_000)
+    monkeypatch.setattr(median, "MARGIN", 0.02)
+    rnd = random.Random(refinements)
     rows = [("even", rnd.gauss(0, 1)) for _ in range(40000)] + [("odd", rnd.expovariate(1)) for _ in range(40001)]
     rows += [("ties", float(rnd.randint(0, 3))) for _ in range(30000)] + [("two", float(i % 2)) for i in range(20000)]
-    _compare(spark, rows)
-    _compare(spark, rows, few_groups=False)
+    rows += [(None, float(i)) for i in range(16001)] + [("nan", [float("nan"), 1.0, 0.0][i % 3]) for i in range(21000)]
+    rows += [("gap", 0.0 if i < 10000 else 1e300) for i in range(20000)] + [("small", 2.0), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    got = {r.g: r.m for r in summarize_with_median(df, ["g"], "v", "m", few_groups=few_groups, refinements=refinements).collect()}
+    assert {k: repr(v) for k, v in got.items()} == {k: repr(v) for k, v in want.items()}
+
+
+def test_default_bounds_hold_just_above_the_small_size(spark):
+    n = median.SMALL + 2
+    df = spark.range(2 * n).selectExpr("if(id % 2 = 0, 'a', 'b') g", "cast(hash(id) as double) v")
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    assert {r.g: r.m for r in summarize_with_median(df, ["g"], "v", "m").collect()} == want
+
+
+@pytest.mark.parametrize("n", [4095, 8191, 16384, 49999, 50000])
+def test_one_pass_is_exact_up_to_the_small_size(spark, n):
+    """Sketches merged from many parts, sorted and mixed, of every size class that one pass settles."""
+    for order in ("id", "hash(id)"):
+        df = spark.range(n, numPartitions=13).selectExpr("'g' g", f"cast({order} as double) / 3 v")
+        got = summarize_with_median(df, ["g"], "v", "m").first().m
+        assert got == df.agg(F.median("v")).first()[0], (n, order)
+
+
+def test_a_lost_bracket_fails_aloud(spark, monkeypatch):
+    df = spark.range(40000).selectExpr("'g' g", "cast(hash(id) as double) v")
+    monkeypatch.setattr(median, "SMALL", 1000)
+    narrow = df.groupBy("g").agg(F.struct(F.count("v").alias("n"), F.lit(False).alias("nan"), F.array(*map(F.lit, [5e8, 0.0, 0.0, 6e8])).alias("at")).alias("_bracket"))
+    below = df.groupBy("g").agg(F.struct(F.count("v").alias("n"), F.lit(False).alias("nan"), F.array(*map(F.lit, [-6e8, 0.0, 0.0, -5e8])).alias("at")).alias("_bracket"))
+    for groups in (narrow, below):
+        for refinements in (0, 1):
+            with pytest.raises(Exception, match="does not hold the middle ranks"):
+                median.median_from_brackets(df, groups, ["g"], "v", "m", refinements=refinements).collect()
+
+
+def test_too_many_values_in_a_bracket_fail_aloud(spark, monkeypatch):
+    df = spark.range(60000).selectExpr("'g' g", "cast(hash(id) as double) v")
+    want = df.agg(F.median("v")).first()[0]
+    monkeypatch.setattr(median, "SMALL", 1000)
+    monkeypatch.setattr(median, "MARGIN", 0.1)
+    monkeypatch.setattr(median, "MOST_VALUES", 500)
+    with pytest.raises(Exception, match="too many values"):
+        summarize_with_median(df, ["g"], "v", "m", refinements=0).collect()
+    assert summarize_with_median(df, ["g"], "v", "m", refinements=1).first().m == want
 
 
 def test_nan_and_infinities(spark):
     inf, nan = float("inf"), float("nan")
     _compare(spark, [("a", nan), ("a", 1.0), ("a", 2.0), ("b", nan), ("c", inf), ("c", -inf), ("d", inf), ("d", inf),
-                     ("e", nan), ("e", nan), ("e", 1.0)])
+                     ("e", nan), ("e", nan), ("e", 1.0), ("f", inf), ("f", nan), ("g", inf), ("g", inf), ("g", nan),
+                     ("h", 1.0), ("h", inf), ("h", nan), ("h", nan), ("i", -inf), ("i", nan), ("i", 0.0)])
 
 
 def test_hot_group_never_gathered(spark):
@@ -75,8 +119,19 @@ def test_hot_group_never_gathered(spark):
     out = summarize_with_median(df, ["g"], "v", "m", few_groups=True)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "percentile(" not in plan.lower() and "collect_" not in plan
-    inside = df.groupBy("g").agg(median.bracket(F.col("v")).alias("b")).join(df, "g").where("v between b.lo and b.hi")
-    assert inside.count() < 0.01 * 200_000
+    brackets = df.groupBy("g").agg(median.bracket(F.col("v")).alias("b"))
+    assert brackets.join(df, "g").where("v between b.at[0] and b.at[3]").count() < 0.001 * 200_000
+
+
+def test_small_groups_are_read_once(spark, tmp_dir):
+    """Runtime re-planning drops the later passes where no group is large."""
+    path = f"{tmp_dir}/values"
+    spark.range(5000).selectExpr("id % 7 g", "cast(hash(id) as double) v").write.parquet(path)
+    for few_groups in (True, False):
+        out = summarize_with_median(spark.read.parquet(path), ["g"], "v", "m", [F.sum("v").alias("s")], few_groups=few_groups)
+        assert len(out.collect()) == 7
+        final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert final.count("FileScan parquet") == 1, final
 
 
 def test_joins_without_broadcast(spark):
