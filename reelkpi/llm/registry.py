@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelkpi.llm import ann, bpe, imatch, packing, quality, repair, rollups, simhash, suffixdedup, suffixtree
+from reelkpi.llm import ann, bpe, covertree, imatch, packing, quality, repair, rollups, simhash, suffixdedup, suffixtree
 from reelkpi.llm.common import table, written
 from reelkpi.session import scratch_path
 
@@ -147,3 +147,26 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = suffixdedup.deduplicate(table(spark, sf_dir, "documents"), suffixdedup.SIZE)
     return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op13_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest integer inner products, exactly, of every vector whose id is divisible by 100."""
+    return covertree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+ORACLE_SQL["op13_cover_tree"] = """
+    WITH fine AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v,
+               row_number() OVER () AS row
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scores AS (
+        SELECT q.vec_id AS query_id, q.row AS q_row, c.vec_id, c.row,
+               CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+        FROM fine q JOIN fine c ON q.row <> c.row WHERE q.vec_id % 100 = 0),
+    ranked AS (
+        SELECT query_id, vec_id, score,
+               row_number() OVER (PARTITION BY q_row ORDER BY score DESC, vec_id, row) AS rank FROM scores)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10"""
