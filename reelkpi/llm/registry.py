@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelkpi.llm import ann, bpe, covertree, imatch, packing, quality, repair, rollups, simhash, suffixdedup, suffixtree
+from reelkpi.llm import ann, bpe, covertree, imatch, packing, periodicruns, quality, repair, rollups, simhash, suffixdedup, suffixtree
 from reelkpi.llm.common import table, written
 from reelkpi.session import scratch_path
 
@@ -170,3 +170,31 @@ ORACLE_SQL["op13_cover_tree"] = """
         SELECT query_id, vec_id, score,
                row_number() OVER (PARTITION BY q_row ORDER BY score DESC, vec_id, row) AS rank FROM scores)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text of documents, where a tenth repeat a stretch of words: with
+    h the crc32 of the id and g = h div 10, where h % 10 = 0 each word i >= a
+    becomes word a + (i - a) % p, a = g % n, p = 1 + (n - a) div (3 + g % 8)."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    rows = rows.withColumn("words", words).withColumn("n", F.size("words"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    a, p = F.col("a"), F.col("p")
+    moved = F.transform("words", lambda w, i: F.when(i < a, w).otherwise(F.get("words", a + (i - a) % p)))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(moved, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document's words, a tenth of the documents repeating a stretch."""
+    rows = periodicruns.find_runs(planted(table(spark, sf_dir, "documents")))
+    best = F.get("runs", F.col("best"))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
