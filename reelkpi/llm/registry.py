@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelkpi.llm import ann, bpe, covertree, imatch, packing, periodicruns, quality, repair, rollups, simhash, suffixdedup, suffixtree
+from reelkpi.llm import (
+    ann, bpe, collocations, covertree, imatch, packing, periodicruns, quality, repair, rollups, simhash, suffixdedup, suffixtree,
+)
 from reelkpi.llm.common import table, written
 from reelkpi.session import scratch_path
 
@@ -198,3 +200,45 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
         best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 strongest phrases of two to four words."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op12_collocations"] = r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    worded AS (
+        SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+    starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+    grams AS (
+        SELECT lang, w[i:i + s - 1] AS g FROM (SELECT lang, w, i, unnest([1, 2, 3, 4]) AS s FROM starts)
+        WHERE i + s - 1 <= len(w)),
+    totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang),
+    counts AS (SELECT lang, g, count(*) AS f FROM grams GROUP BY lang, g HAVING count(*) >= 30),
+    candidates AS (SELECT lang, g, f AS a FROM counts WHERE len(g) >= 2),
+    cuts AS (
+        SELECT c.lang, c.g, c.a, c.k, x.f AS l, y.f AS r,
+               CAST(CAST(2000000 AS HUGEINT) * c.a // (x.f + y.f) AS BIGINT) AS score
+        FROM (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM candidates) c
+        JOIN counts x ON x.lang = c.lang AND x.g = c.g[1:c.k]
+        JOIN counts y ON y.lang = c.lang AND y.g = c.g[c.k + 1:len(c.g)]),
+    weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+    inner_parts AS (
+        SELECT lang, a, g, i, unnest(range(i + 1, len(g) + 1)) AS j
+        FROM (SELECT lang, a, g, unnest(range(1, len(g))) AS i FROM candidates WHERE len(g) > 2)),
+    longer AS (
+        SELECT lang, g[i:j] AS g, max(a) AS f FROM inner_parts WHERE j - i + 1 < len(g) GROUP BY lang, g[i:j]),
+    kept AS (
+        SELECT w.* FROM weakest w LEFT JOIN longer o ON o.lang = w.lang AND o.g = w.g
+        WHERE o.f IS NULL OR CAST(100 AS HUGEINT) * o.f < CAST(80 AS HUGEINT) * w.a),
+    ranked AS (
+        SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score,
+               row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank
+        FROM kept)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
