@@ -209,15 +209,31 @@ def frequent(indexes: DataFrame, parts: dict[str, int], least: int) -> DataFrame
     return rows.groupBy("lang", "pairs", "part").applyInArrow(add, SUMS)
 
 
-FOUND = "lang string, words array<long>, n long, spelled string"
+FOUND = "lang string, size int, part long, words array<long>, n array<long>, spelled array<string>"
+PHRASES = "lang string, words array<long>, f long, spelled string"
 
 
-def phrases(indexes: DataFrame, pairs: DataFrame, most: int) -> DataFrame:
-    """Rows of FOUND, of each shard: its phrases of 2 to `most` words all pairs of
-    which are frequent, and (n null) the spelling of their words."""
+def phrases(indexes: DataFrame, pairs: DataFrame, parts: dict[str, int], most: int, least: int) -> DataFrame:
+    """Rows of PHRASES: the phrases of 2 to `most` words that are frequent across
+    shards with their counts, and (f null) the words of frequent pairs spelled."""
 
-    def run(own: pa.Table, known: pa.Table) -> pa.Table:
+    def extend(own: pa.Table, known: pa.Table) -> pa.Table:
         out = []
+
+        def add(lang: str, words: np.ndarray, n: np.ndarray, spelled: pa.Array) -> None:
+            """One list for each range of the phrases' hashes."""
+            size, hashed = words.shape[1], words[:, 0]
+            for i in range(1, size):
+                hashed = pair_keys(np.ascontiguousarray(hashed), np.ascontiguousarray(words[:, i]))
+            part = ((hashed >> 43) * parts[lang]) >> 20
+            by = np.argsort(part, kind="stable")
+            cut = np.searchsorted(part[by], np.arange(parts[lang] + 1))
+            some = np.flatnonzero(np.diff(cut))
+            bounds = np.append(cut[some], len(by))
+            spelled = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), spelled.take(pa.array(by))) if size == 1 else pa.nulls(len(some), pa.list_(pa.string()))
+            out.append(pa.table({"lang": pa.array([lang] * len(some), pa.string()), "size": pa.array(np.full(len(some), size, np.int32)), "part": some,
+                                 "words": _lists(words[by].ravel(), bounds * size), "n": _lists(n[by].astype(np.int64), bounds), "spelled": spelled}))
+
         often = np.sort(known["key"].combine_chunks().flatten().to_numpy()) if known.num_rows else np.zeros(0, np.int64)
         for at in range(own.num_rows if len(often) else 0):
             lang, here = own["lang"][at].as_py(), Index(np.frombuffer(own["bwt"][at].as_py(), np.int32))
@@ -226,24 +242,38 @@ def phrases(indexes: DataFrame, pairs: DataFrame, most: int) -> DataFrame:
             key = pair_keys(keys[head], keys[last])
             fine = often[np.minimum(np.searchsorted(often, key), len(often) - 1)] == key
             number = np.where(fine, np.cumsum(fine) - 1, -1)
-            rows = np.where(rows >= 0, number[rows], -1)
+            rows = np.where(rows >= 0, number[rows], -1) if len(number) else rows
             words, n = np.stack([head, last], axis=1)[fine], n[fine]
             used = np.unique(words)
-            spelled = own["words"][at].values.take(pa.array(used))
-            out.append(pa.table({"lang": [lang] * len(used), "words": _lists(keys[used], np.arange(len(used) + 1)),
-                                 "n": pa.nulls(len(used), pa.int64()), "spelled": spelled}))
+            add(lang, keys[used][:, None], np.zeros(len(used)), own["words"][at].values.take(pa.array(used)))
             while len(words):
-                size = words.shape[1]
-                out.append(pa.table({"lang": [lang] * len(words), "words": _lists(keys[words].ravel(), np.arange(len(words) + 1) * size),
-                                     "n": n.astype(np.int64), "spelled": pa.nulls(len(words), pa.string())}))
-                if size == most:
+                add(lang, keys[words], n, None)
+                if words.shape[1] == most:
                     break
                 rows, head, last, n = here.extend(rows)
                 words = np.concatenate([words[head], words[last][:, -1:]], axis=1)
-        return pa.concat_tables(out) if out else pa.schema(
-            [("lang", pa.string()), ("words", pa.list_(pa.int64())), ("n", pa.int64()), ("spelled", pa.string())]).empty_table()
-
-    return indexes.groupBy("shard").cogroup(pairs.groupBy("shard")).applyInArrow(run, FOUND)
+        names = [c.split()[0] for c in FOUND.split(", ")]
+        types = [pa.string(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.string())]
+        return pa.concat_tables(out) if out else pa.schema(list(zip(names, types))).empty_table()
+
+    def add_up(group: pa.Table) -> pa.Table:
+        lang, size = group["lang"][0].as_py(), group["size"][0].as_py()
+        words = group["words"].combine_chunks().flatten().to_numpy().reshape(-1, size)
+        n = group["n"].combine_chunks().flatten().to_numpy()
+        by = np.lexsort(words.T)
+        words = words[by]
+        new = np.flatnonzero(np.concatenate([np.ones(min(1, len(words)), bool), (words[1:] != words[:-1]).any(axis=1)]))
+        total = np.add.reduceat(n[by], new) if len(new) else n[:0]
+        if size == 1:
+            spelled = group["spelled"].combine_chunks().flatten().take(pa.array(by[new]))
+            return pa.table({"lang": pa.array([lang] * len(new), pa.string()), "words": _lists(words[new].ravel(), np.arange(len(new) + 1)),
+                             "f": pa.nulls(len(new), pa.int64()), "spelled": spelled})
+        new, total = new[total >= least], total[total >= least]
+        return pa.table({"lang": pa.array([lang] * len(new), pa.string()), "words": _lists(words[new].ravel(), np.arange(len(new) + 1) * size),
+                         "f": total, "spelled": pa.nulls(len(new), pa.string())})
+
+    lists = indexes.groupBy("shard").cogroup(pairs.groupBy("shard")).applyInArrow(extend, FOUND)
+    return lists.groupBy("lang", "size", "part").applyInArrow(add_up, PHRASES)
 
 
 def collocations(df: DataFrame, least: int = LEAST, most: int = MOST, top: int = TOP, cover: int = COVER,
@@ -262,9 +292,8 @@ def collocations(df: DataFrame, least: int = LEAST, most: int = MOST, top: int =
     # one number a language: how finely its keys are dealt
     parts = {r["lang"]: 1 + r["n"] // RANGE for r in totals.collect()}
     sums = written(frequent(indexes, parts, least), "collocations-frequent")
-    found = written(phrases(indexes, sums.where("pairs").select("shard", "key"), most), "collocations-phrases")
-    counts = found.where("n is not null").groupBy("lang", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    candidates = written(counts, "collocations-candidates")
+    found = written(phrases(indexes, sums.where("pairs").select("shard", "key"), parts, most, least), "collocations-phrases")
+    candidates = found.where("f is not null").select("lang", "words", "f")
 
     words = sums.where("not pairs").select("lang", F.explode(F.arrays_zip("key", "n")).alias("x")).select(
         "lang", F.array("x.key").alias("words"), F.col("x.n").alias("f"))
@@ -289,7 +318,7 @@ def collocations(df: DataFrame, least: int = LEAST, most: int = MOST, top: int =
     # rows that cannot be among the first are left out before they are spelled
     near = F.rank().over(Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a")))
     kept = kept.withColumn("_near", near).where(F.col("_near") <= top).drop("_near")
-    spelled = found.where("n is null").groupBy("lang", F.col("words")[0].alias("key")).agg(F.any_value("spelled").alias("spelled"))
+    spelled = found.where("f is null").select("lang", F.col("words")[0].alias("key"), "spelled")
     placed = kept.select("lang", "words", "a", "cut", F.posexplode("words").alias("at", "key")).join(spelled, ["lang", "key"])
     named = placed.groupBy("lang", "words", "a", "cut").agg(F.array_sort(F.collect_list(F.struct("at", "spelled"))).alias("parts"))
     named = named.withColumn("phrase", F.array_join(F.transform("parts", lambda p: p["spelled"]), " "))
