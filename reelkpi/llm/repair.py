@@ -9,7 +9,7 @@ end, so a document is read by expanding its own symbols alone.
 
 Re-Pair: each round counts the pairs of neighbouring symbols, takes the most
 frequent ones, replaces all their occurrences by new symbols, and starts again
-until a round takes away too little. The pairs of one round are chosen so that
+until no pair occurs LEAST_COUNT times. The pairs of one round are chosen so that
 no symbol is the left of one and the right of another, hence occurrences never
 overlap (a pair of two equal symbols is replaced from the left in each run).
 
@@ -30,10 +30,8 @@ from reelkpi.llm.common import keyed_texts, partition_bases, text_slices
 from reelkpi.llm.wordtokens import word_encoder
 
 BLOCK_IDS = 1 << 20
-#: Pairs replaced in one round, and rounds at most.
-PAIRS_A_ROUND, ROUNDS = 4096, 6
-#: A round that saves a smaller share of the symbols is the last.
-LEAST_SAVED = 0.02
+#: Pairs replaced in one round.
+PAIRS_A_ROUND = 4096
 #: A rule costs two symbols and a length, so rarer pairs do not pay.
 LEAST_COUNT = 6
 
@@ -69,25 +67,28 @@ def compress(ids: np.ndarray, last: np.ndarray) -> tuple[int, np.ndarray, np.nda
     place = np.arange(len(seq), dtype=np.int64)
     first = top = int(seq.max()) + 1 if len(seq) else 0
     rules: list[np.ndarray] = []
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
+    whole = False
+    while len(seq) > 1:
         a, b = seq[:-1], seq[1:]
         cell = (a * np.uint32(0x9E3779B1) ^ b * np.uint32(0x85EBCA6B)) >> np.uint32(32 - CELL_BITS)
-        cell[last[:-1]] = 0  # no pair crosses a document's end
-        filled = np.bincount(cell, minlength=1 << CELL_BITS)
-        filled[0] = 0
+        cell[last[:-1]] = 1 << CELL_BITS  # no pair crosses a document's end
+        filled = np.bincount(cell, minlength=(1 << CELL_BITS) + 1)
+        filled[-1] = 0
         # a cell holds at least what each of its pairs counts: only pairs of well-filled cells are counted one by one
-        least = max(LEAST_COUNT, int(np.partition(filled, -PAIRS_A_ROUND)[-PAIRS_A_ROUND]))
+        least = LEAST_COUNT if whole else max(LEAST_COUNT, int(np.partition(filled, -PAIRS_A_ROUND)[-PAIRS_A_ROUND]))
         at = np.flatnonzero((filled >= least)[cell])
         key = a[at].astype(np.int64) << 32 | b[at]
         pairs, counts = np.unique(key, return_counts=True)
         pairs, counts = pairs[counts >= LEAST_COUNT], counts[counts >= LEAST_COUNT]
         chosen = np.array(_chosen(pairs[np.argsort(-counts, kind="stable")[:PAIRS_A_ROUND]]), dtype=np.int64)
         if not len(chosen):
-            break
+            if least == LEAST_COUNT:
+                break
+            whole = True  # rare pairs alone fill the fullest cells: look into all that may hold a frequent one
+            continue
+        whole = False
         left, right = (chosen >> 32).astype(np.uint32), (chosen & 0xFFFFFFFF).astype(np.uint32)
-        rule_of = np.full(1 << CELL_BITS, -1, np.int32)  # of two pairs in one cell the more frequent is replaced
+        rule_of = np.full((1 << CELL_BITS) + 1, -1, np.int32)  # of two pairs in one cell the more frequent is replaced
         rule_of[((left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA6B)) >> np.uint32(32 - CELL_BITS))[::-1]] = \
             np.arange(len(chosen), dtype=np.int32)[::-1]
         rule = rule_of[cell[at]]
@@ -97,8 +98,6 @@ def compress(ids: np.ndarray, last: np.ndarray) -> tuple[int, np.ndarray, np.nda
         run = np.concatenate([[True], np.diff(at) != 1]) if len(at) else np.zeros(0, bool)
         from_left = np.arange(len(at)) - np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
         at, rule = at[from_left % 2 == 0], rule[from_left % 2 == 0]
-        if len(at) < LEAST_SAVED * len(seq):
-            break
         used, rule = np.unique(rule, return_inverse=True)
         rules.append(chosen[used])
         seq[at] = top + rule

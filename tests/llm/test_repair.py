@@ -1,5 +1,6 @@
 import tempfile
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -30,6 +31,10 @@ def check_block(docs):
     assert (np.cumsum(sizes) - sizes).tolist() == place.tolist()
     starts = [0, *ends[:-1].tolist()]
     assert set(starts) <= set(place.tolist())  # no rule crosses a document's end
+    # no pair within a document is left that occurs LEAST_COUNT times
+    end = np.isin(np.cumsum(sizes), ends)
+    pairs = list(zip(symbols[:-1][~end[:-1]].tolist(), symbols[1:][~end[:-1]].tolist()))
+    assert max(Counter(pairs).values(), default=0) < repair.LEAST_COUNT
     return len(symbols)
 
 
@@ -43,6 +48,21 @@ def test_repeats_get_shorter():
     assert check_block([[5, 6, 7, 8] * 500, [7, 7, 7, 7, 7, 7] * 300]) < 1200
 
 
+def test_grammar_of_texts_is_whole():
+    """A block of real texts: no frequent pair is left, also when rare pairs fill the cells."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    docs = [library_ids(t) for t in texts]
+    assert check_block(docs) < 0.6 * sum(map(len, docs))
+    rng = np.random.default_rng(1)
+    noise = rng.integers(0, 1 << 20, 400_000).tolist()
+    at = rng.integers(0, len(noise), 40).tolist()
+    for i in at[:20]:
+        noise[i:i] = [7, 8, 9]
+    check_block([noise])
+
+
 def read(store):
     return sorted((r.start, r.doc_id, r.n_tokens, np.frombuffer(r.ids, "<u4").tolist()) for r in store)
 
