@@ -29,6 +29,8 @@ row; extra columns are left out.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,6 +42,8 @@ from reelkpi.llm.components import components
 SHINGLE, DISTANCE = 3, 3
 #: Nodes of one variant that one task compares; more are dealt out again.
 BIG = 1 << 17
+#: Times that big buckets are dealt out again.
+RETAKES = 3
 #: Index rows (64 a node) of a group of buckets.
 GROUP_ROWS = 200_000
 
@@ -137,24 +141,50 @@ def bucket_links(place: np.ndarray, value: np.ndarray, bits: np.ndarray, distanc
     return pairs[:, 0].copy(), pairs[:, 1].copy()
 
 
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _parts(used: int, distance: int) -> list[int]:
+    """Masks of distance + 1 parts of the bits that are not used: two linked nodes are equal in one."""
+    free = [b for b in range(64) if not used >> b & 1]
+    n = distance + 1
+    return [sum(1 << b for b in free[len(free) * i // n:len(free) * (i + 1) // n]) for i in range(n)]
+
+
+def buckets(nodes: DataFrame, distance: int = DISTANCE, big: int = BIG) -> DataFrame:
+    """(place, value, bits): the nodes under their variants, those of big buckets
+    under further parts of the bits that the bucket does not fix, until they are
+    small or RETAKES times; two linked nodes meet in some bucket."""
+    left, out, used = variants(nodes, distance), [], []
+    for first, size in segments(distance):
+        used.append(((1 << size) - 1) << first)
+    fixed = F.lit(None).cast("long")
+    for (first, _), mask in zip(segments(distance), used):
+        fixed = F.when(F.col("place") >= first, F.lit(_signed(mask))).otherwise(fixed)
+    left = left.withColumn("used", fixed)
+    for turn in range(RETAKES):
+        sizes = written(left.groupBy("place", "value").count().where(F.col("count") > big), f"simhash-big{turn}")
+        if sizes.isEmpty():
+            break
+        out.append(left.join(sizes, ["place", "value"], "left_anti").select("place", "value", "bits"))
+        cuts = {mask: _parts(mask, distance) for mask in used}
+        table = F.create_map(*[x for mask, parts in cuts.items() for x in (
+            F.lit(_signed(mask)), F.array(*[F.lit(_signed(p)) for p in parts]))])
+        again = left.join(sizes.select("place", "value"), ["place", "value"]).withColumn("part", F.explode(table[F.col("used")]))
+        left = written(again.select("place", F.xxhash64("value", "part", F.col("bits").bitwiseAND(F.col("part"))).alias("value"), "bits",
+                                    F.col("used").bitwiseOR(F.col("part")).alias("used")), f"simhash-again{turn}")
+        used = [mask | p for mask, parts in cuts.items() for p in parts]
+    return reduce(DataFrame.unionByName, [*out, left.select("place", "value", "bits")])
+
+
 def links(nodes: DataFrame, distance: int = DISTANCE, big: int = BIG) -> DataFrame:
     """(u, v): links whose components are those of all pairs within `distance` bits.
 
     nodes: distinct `bits`."""
     # a node becomes 64 index rows: deal out as many tasks as groups of them
     groups = max(1, -(-nodes.count() * 64 // GROUP_ROWS))
-    keyed = variants(nodes.repartition(groups, "bits"), distance)
-    sizes = written(keyed.groupBy("place", "value").count().where(F.col("count") > big), "simhash-big")
-    small = keyed.join(sizes, ["place", "value"], "left_anti").withColumn("part", F.lit(-1))
-    # a big bucket: two linked nodes differ in at most `distance` of distance + 1 parts of all bits
-    n = distance + 1
-    cuts = [64 * i // n for i in range(n + 1)]
-    parts = F.array(*[F.struct(F.lit(i).alias("part"), F.xxhash64(F.shiftrightunsigned(
-        F.shiftleft("bits", 64 - b), 64 - b + a)).alias("of")) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))])
-    again = (keyed.join(sizes, ["place", "value"]).select("place", "value", "bits", F.explode(parts).alias("p"))
-             .select((F.col("p.part") * 64 + F.col("place") + 64).alias("place"),
-                     F.xxhash64("value", "p.of").alias("value"), "bits", F.col("p.part").alias("part")))
-    dealt = small.unionByName(again).select(
+    dealt = buckets(nodes.repartition(groups, "bits"), distance, big).select(
         F.pmod(F.xxhash64("place", "value"), F.lit(groups)).alias("g"),  # many buckets to a group
         "place", "value", "bits")
 

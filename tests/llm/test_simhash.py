@@ -81,6 +81,29 @@ def test_links_keep_components(spark, distance, big):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+@pytest.mark.parametrize("distance,half", [(3, 32), (3, 0), (2, 32)])
+def test_big_buckets_become_small(spark, distance, half):
+    """Nodes with one equal half, of all of which some variant's bucket consists:
+    dealt out, no bucket is big any more, and the components are those of all pairs."""
+    rng = np.random.default_rng(5)
+    other = rng.choice(1 << 32, 2000, replace=False).tolist()
+    other += [x ^ (1 << int(b)) for x in other[:300] for b in rng.integers(0, 32, 1)]
+    bits = list(dict.fromkeys(0x1234567 | x << 32 if half else 0x89ABCDEF << 32 | x for x in other))
+    nodes = spark.createDataFrame([(b - (1 << 64) if b >> 63 else b,) for b in bits], "bits long")
+    big = 60
+    assert simhash.variants(nodes, distance).groupBy("place", "value").count().agg({"count": "max"}).first()[0] > 1900
+    assert simhash.buckets(nodes, distance, big).groupBy("place", "value").count().agg({"count": "max"}).first()[0] <= big
+    found = components(simhash.links(nodes, distance, big)).collect()
+    root = {r.node % (1 << 64): r.root % (1 << 64) for r in found}
+    got, want = {}, {}
+    for b in bits:
+        got.setdefault(root.get(b, b), set()).add(b)
+    ids = {str(i): b for i, b in enumerate(bits)}
+    for s, _, c in brute_components(list(enumerate(bits)), distance):
+        want.setdefault(c, set()).add(ids[s])
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
 def test_operator_on_odd_rows(make_docs, odd_pairs):
     near = [(100 + i, " ".join(f"w{j}" if j != 5 * i else "changed" for j in range(400))) for i in range(12)]
     docs = make_docs(odd_pairs + near, bits=T.StringType(), component_id=T.StringType(), part=T.LongType())
