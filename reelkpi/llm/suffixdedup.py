@@ -25,7 +25,9 @@ cut themselves; anchors and places are narrow rows with partial counts. A task
 holds about GROUP_SEGMENTS distinct segments. An anchor with more than HOT of
 them is split without loss: a window has at least half of its other bytes on
 one side of the anchor, so its segments meet again by the anchor with what
-follows, and by the anchor with what comes before.
+follows, and by the anchor with what comes before. Where that leaves more than
+HOT together (a passage of many documents, near whose end the bytes on one side
+are all equal), its windows are counted one by one, by partial sums.
 
 Defined results: a null or empty text has no bytes and no spans; a text shorter
 than `size` stays; equal rows (repeated or with other ids) remove all of each
@@ -205,6 +207,72 @@ def sort_columns(collection: np.ndarray, columns: np.ndarray, size: int, starts:
     return repeated.T
 
 
+def collections(distinct: DataFrame, gram: int, size: int, hot: int) -> tuple[DataFrame, DataFrame | None]:
+    """(sorted, counted): the distinct segments with their `collection`. An anchor with
+    more than `hot` segments is split by the bytes on one side of it; what is still
+    above `hot` after that is counted window by window (None if there is none)."""
+    sizes = distinct.groupBy("hash").count()
+    other = (size - gram) // 2  # bytes that every window has before the anchor or after it
+    big = written(sizes.where(F.col("count") > hot).select("hash"), "suffixdedup-hot")
+    rows = distinct.withColumn("side", F.lit(0)).withColumn("collection", F.col("hash"))
+    if big.isEmpty():
+        return rows, None
+    after = F.expr(f"substring(bytes, lead + {gram} + 1, {other})")
+    before = F.expr(f"substring(bytes, lead - {other} + 1, {other})")
+    split = rows.join(big, "hash").withColumn("to", F.explode(F.array(
+        F.when(F.octet_length(after) == other, F.struct(F.lit(1).alias("side"), F.xxhash64("hash", F.lit("after"), after).alias("collection"))),
+        F.when(F.col("lead") >= other, F.struct(F.lit(-1).alias("side"), F.xxhash64("hash", F.lit("before"), before).alias("collection"))))))
+    split = split.where("to is not null").withColumn("side", F.col("to.side")).withColumn("collection", F.col("to.collection")).select(rows.columns)
+    still = written(split.groupBy("collection").count().where(F.col("count") > hot).select("collection"), "suffixdedup-still-hot")
+    fine = rows.join(big, "hash", "left_anti").select(rows.columns).unionByName(split.join(still, "collection", "left_anti").select(rows.columns))
+    return fine, split.join(still, "collection").select(rows.columns)
+
+
+#: Parts in which the places of one window meet its count.
+WINDOW_PARTS = 16
+
+
+def counted_windows(rows: DataFrame, size: int, gram: int) -> DataFrame:
+    """(segment, mask) of the collections that are too big to be sorted in one task:
+    a window of one side, named by a digest of its bytes, is repeated if its
+    collection's segments hold it twice or more. Counts are summed partially."""
+    starts, other = size - gram + 1, (size - gram) // 2
+
+    def run(batches):
+        import xxhash
+
+        for batch in batches:
+            column = {c: batch.column(batch.schema.get_field_index(c)) for c in batch.schema.names}
+            for i in range(batch.num_rows):
+                lead, windows, side = (column[c][i].as_py() for c in ("lead", "windows", "side"))
+                data, last = column["bytes"][i].as_py(), min(windows - 1, lead)
+                own = range(0, min(last, lead - other) + 1) if side < 0 else range(max(0, lead - other), last + 1)
+                m = len(own)
+                repeat = lambda c: pa.array([column[c][i].as_py()] * m, column[c].type)  # noqa: E731, B023
+                yield pa.RecordBatch.from_arrays(
+                    [repeat("collection"), repeat("segment"), repeat("n"),
+                     pa.array([xxhash.xxh3_128_digest(data[s:s + size], seed=lead - s) for s in own], pa.binary()),
+                     pa.array([starts - 1 - lead + s for s in own], pa.int32())], ["collection", "segment", "n", "window", "at"])
+
+    each = rows.select("collection", "segment", "n", "bytes", "lead", "windows", "side").mapInArrow(
+        run, "collection long, segment binary, n long, window binary, at int")
+    twice = each.groupBy("collection", "window").agg(F.sum("n").alias("n")).where("n > 1").select(
+        F.col("collection").alias("of"), F.col("window").alias("w"), F.explode(F.array(*map(F.lit, range(WINDOW_PARTS)))).alias("part"))
+    part = F.pmod(F.xxhash64("segment"), F.lit(WINDOW_PARTS)).cast("int")
+    hits = each.join(twice, (F.col("collection") == F.col("of")) & (F.col("window") == F.col("w")) & (part == F.col("part")))
+    marked = hits.groupBy("segment").agg(F.collect_set("at").alias("at"))  # at most one for each start
+
+    def pack(batches):
+        for batch in batches:
+            masks = np.zeros((batch.num_rows, starts), bool)
+            for i, at in enumerate(batch.column(1)):
+                masks[i, at.values.to_numpy()] = True
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in np.packbits(masks, axis=1)], pa.binary())],
+                                             ["segment", "mask"])
+
+    return marked.mapInArrow(pack, "segment binary, mask binary")
+
+
 def repeated_windows(found: DataFrame, size: int, gram: int = GRAM, hot: int = HOT,
                      group_segments: int = GROUP_SEGMENTS) -> DataFrame:
     """(segment, mask): which windows of a distinct segment start somewhere else
@@ -212,16 +280,7 @@ def repeated_windows(found: DataFrame, size: int, gram: int = GRAM, hot: int = H
     distinct = written(found.groupBy("segment").agg(
         F.count("*").alias("n"), F.any_value("bytes", F.lit(True)).alias("bytes"), F.any_value("hash").alias("hash"),
         F.any_value("lead").alias("lead"), F.any_value("windows").alias("windows")), "suffixdedup-distinct")
-    sizes = distinct.groupBy("hash").count()
-    other = (size - gram) // 2  # bytes that every window has before the anchor or after it
-    big = written(sizes.where(F.col("count") > hot).select("hash"), "suffixdedup-hot")
-    plain = distinct.join(big, "hash", "left_anti").withColumn("collection", F.col("hash"))
-    after = F.expr(f"substring(bytes, lead + {gram} + 1, {other})")
-    before = F.expr(f"substring(bytes, lead - {other} + 1, {other})")
-    split = distinct.join(big, "hash").withColumn("collection", F.explode(F.array(
-        F.when(F.octet_length(after) == other, F.xxhash64("hash", F.lit("after"), after)),
-        F.when(F.col("lead") >= other, F.xxhash64("hash", F.lit("before"), before))))).where("collection is not null")
-    both = plain.unionByName(split.select(plain.columns))
+    both, counted = collections(distinct, gram, size, hot)
     groups = max(1, -(-distinct.count() // group_segments))
     group = F.pmod(F.xxhash64("collection"), F.lit(groups))
     starts = size - gram + 1  # columns at which a window can start; the anchor stands at the last
@@ -250,8 +309,9 @@ def repeated_windows(found: DataFrame, size: int, gram: int = GRAM, hot: int = H
         masks = [x.tobytes() for x in np.packbits(hit[some], axis=1)]
         return pa.table({"segment": rows["segment"].take(pa.array(some)), "mask": pa.array(masks, pa.binary())})
 
-    return (both.select(group.alias("g"), "collection", "segment", "n", "bytes", "lead", "windows")
-            .groupBy("g").applyInArrow(run, "segment binary, mask binary"))
+    masks = (both.select(group.alias("g"), "collection", "segment", "n", "bytes", "lead", "windows")
+             .groupBy("g").applyInArrow(run, "segment binary, mask binary"))
+    return masks if counted is None else masks.unionByName(counted_windows(counted, size, gram))
 
 
 def _cut(df: DataFrame, size: int, id_col: str, text_col: str, keep: tuple[str, ...], hot: int,

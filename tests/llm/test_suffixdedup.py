@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelkpi.llm import suffixdedup as sd
@@ -76,6 +77,28 @@ def planted(rng):
     return pairs + [(400, twice + words(rng, 20) + twice), (None, twice[:260]), (None, None)]
 
 
+def test_hot_passage_is_never_one_collection(spark, make_docs):
+    """One passage in many documents with surroundings of their own: the segments
+    at its ends are all distinct, and equal on the passage's side. None of the
+    collections that are sorted exceeds `hot`, and nothing is lost."""
+    rng = np.random.default_rng(11)
+    word = lambda n: bytes(rng.integers(97, 123, n).tolist()).decode()
+    passage, short = word(300), word(230)
+    pairs = [(i, word(int(rng.integers(150, 400))) + passage + word(int(rng.integers(150, 400)))) for i in range(400)]
+    pairs += [(1000 + i, word(90) + short + word(90)) for i in range(150)] + [(2000 + i, passage[:250] + word(300)) for i in range(60)]
+    pairs += [(3000 + i, pairs[0][1]) for i in range(5)] + [(4000, passage), (4001, word(500))]
+    docs, hot = make_docs(pairs), 50
+    texts = sd.texts_with_anchors(docs, "doc_id", "text", (), sd.SIZE)
+    found = sd.segments(texts, sd.SIZE)
+    distinct = found.groupBy("segment").agg(F.count("*").alias("n"), *[F.any_value(c, F.lit(True)).alias(c) for c in (
+        "bytes", "hash", "lead", "windows")])
+    fine, counted = sd.collections(distinct, sd.GRAM, sd.SIZE, hot)
+    assert counted is not None and counted.count() > 400
+    assert distinct.groupBy("hash").count().agg(F.max("count")).first()[0] > 300
+    assert fine.groupBy("collection").count().agg(F.max("count")).first()[0] <= hot
+    assert collected(sd.deduplicate(docs, hot=hot, group_segments=100)) == brute(pairs)
+
+
 @pytest.mark.parametrize("hot,groups", [(sd.HOT, sd.GROUP_SEGMENTS), (2, 10)])
 def test_planted_passages(make_docs, hot, groups):
     pairs = planted(np.random.default_rng(8))
