@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelkpi.session import scratch_path
+from reelkpi.session import scratch_path, shared_root
 
 #: Bytes of text that a worker holds as Python objects at a time.
 SLICE_BYTES = 1 << 20
@@ -41,8 +41,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` written as Parquet below the shared folder and read back.
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """`df` written as Parquet below the shared folder (in folders by the values of
+    column `by`) and read back.
 
     This cuts the lineage: a lost executor costs a re-read of files, and what
     tasks numbered (partition, position) stays as it was written.
@@ -50,10 +51,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     small_batches(spark)
     target = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(target)
+    out = df.write.option("compression", "zstd")
+    (out.partitionBy(by) if by else out).parquet(target)
     return spark.read.schema(df.schema).parquet(target)
 
 
+def dropped(*tables: DataFrame, part: str = "") -> None:
+    """Delete the files of tables that `written` made and nobody reads any more, or
+    of one part ("column=value"); only folders below the shared one are touched."""
+    for df in tables:
+        spark = df.sparkSession
+        root = shared_root(spark).split("://")[-1].removeprefix("file:")
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if f"{root}/" in f"{folder}/" and folder.endswith(part):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def worker_state(key: str, make):
     """An object kept for the life of a Python worker process (loaded vocabularies,
     bounded caches), so that the many tasks of a worker share it."""

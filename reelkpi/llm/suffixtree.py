@@ -4,12 +4,12 @@ Symbols are words (A-Z lower-cased) and an end of text, which is also the
 context of a text's first word. A state is a context of up to `depth` words;
 its next-symbol distribution holds the symbols that follow it often enough.
 
-Growing the tree: the strings of two words and more are counted exactly in one
-pass over the training texts, and those that occur LEAST_COUNT times are kept,
-whatever their share of the corpus. A context becomes a state only if the next
-symbols diverge from those of its suffix state: N(s) * KL must exceed half the
-95 % quantile of chi-square with as many degrees as it has symbols. What the
-tree does not keep of a context counts as one symbol more.
+Growing the tree: the strings of two words and more are counted exactly in the
+training texts, and those that occur LEAST_COUNT times are kept, whatever their
+share of the corpus. A context becomes a state only if the next symbols diverge
+from those of its suffix state: N(s) * KL must exceed half the 95 % quantile of
+chi-square with as many degrees as it has symbols. What the tree does not keep
+of a context counts as one symbol more.
 
 Smoothing: P(w | s) = max(n(s w) - DISCOUNT, 0) / n(s) + rest(s) P(w | suffix
 state), down to the root, (c + 1) / (N + V + 1); each distribution sums to 1
@@ -23,14 +23,19 @@ the tree holds the terms cancel but for its own log P; beyond it only the rests
 of longer states are left.
 
 Scale: nothing of the tree is sent to all tasks or to the driver; it grows with
-the corpus, in tables. A string is a key of 63 hashed bits. Tasks sort what
-they meet and pass each distinct key on once per FLUSH strings, in lists dealt
-by ranges of keys; the number of ranges grows with the bytes of text. So a
-common string costs one entry a list. Divergence is a grouping by context with
-partial sums. To score, a block of texts asks each range for its distinct keys;
-what comes back is added up per text there, per block, and over the rounds.
-Ranges are gone through in rounds, each a pass over the texts, so that the
-disk holds the lists of a part of all strings at a time.
+the corpus, in tables. What crosses the network are positions, not strings: a
+task takes BLOCK words at a time and deals their positions by ranges of the
+hash of a word and the one before it, so that all longer strings that end in
+that pair meet in one group. To a range a block is a small trie, read from the
+last word back: pairs, the words before each, the words before those, and how
+often (to count) or in which texts (to score) each branch ends there, in numbers
+by frequency in the block, compressed, with the keys (63 hashed bits) of the
+words used. A pair or passage that a block repeats is there once. Divergence is
+a grouping by context with partial sums. What comes back of scores is one sum
+a range and text of a block. The ranges grow with the bytes of text; they are
+gone through in rounds, each a pass over the texts, and tables of which nothing
+is needed any more are deleted, so that the disk holds a part at a time. A text
+of any length is cut into blocks.
 
 Defined results: a null, empty or blank text is its end alone; a row whose id
 is null teaches nothing and is not held out; repeated rows count as often as
@@ -47,16 +52,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelkpi.llm.common import BASE, keyed_texts, mixed, text_slices, word_keys, written
+from reelkpi.llm.common import BASE, dropped, keyed_texts, mixed, text_slices, word_keys, written
 
 #: A string needs LEAST_COUNT occurrences, and no share of the corpus.
 DEPTH, LEAST_SHARE, LEAST_COUNT, DISCOUNT = 3, 0.0, 2, 0.75
-#: Words, and strings, that a task holds before it passes them on.
-FLUSH = 1 << 21
+#: Words that a task holds before it passes them on.
+BLOCK = 1 << 20
 #: Bytes of text for each range of keys.
-RANGE_BYTES = 8 << 20
+RANGE_BYTES = 12 << 20
 #: Rounds in which the ranges are counted, and asked for scores.
-COUNT_ROUNDS, SCORE_ROUNDS = 5, 3
+COUNT_ROUNDS, SCORE_ROUNDS = 2, 3
 #: Texts of a block at most: their numbers have 16 bits.
 BLOCK_TEXTS = 1 << 15
 #: The key of the end of a text; words and strings have keys of 63 hashed bits.
@@ -72,18 +77,10 @@ def _sequences(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, counts + 2
 
 
-def _strings(keys: np.ndarray, sizes: np.ndarray, depth: int):
-    """(length, ends, strings, contexts, suffixes) for each length from 2 to depth + 1:
-    places at which a string ends, its key, and the keys without its last and first word."""
-    place = np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    below = keys
-    for length in range(2, depth + 2):
-        context = np.concatenate([below[:1], below[:-1]])
-        own = context.view(np.uint64) * np.uint64(BASE) + keys.view(np.uint64)
-        own = (mixed(own) >> np.uint64(1)).view(np.int64)
-        ends = np.flatnonzero(place >= length - 1)
-        yield length, ends, own[ends], context[ends], below[ends]
-        below = own
+def joined(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The keys of strings, from those of their contexts and last words."""
+    own = context.view(np.uint64) * np.uint64(BASE) + word.view(np.uint64)
+    return (mixed(own) >> np.uint64(1)).view(np.int64)
 
 
 def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
@@ -99,13 +96,13 @@ def _runs(values: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(np.concatenate([np.ones(min(1, len(values)), bool), values[1:] != values[:-1]])), len(values))
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
+def _kept(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """`written`, with the shuffle files of the query removed when it has ended."""
     conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = conf.get(key, None)
     conf.set(key, "true")
     try:
-        return written(df, name)
+        return written(df, name, by)
     finally:
         conf.unset(key) if before is None else conf.set(key, before)
 
@@ -114,81 +111,216 @@ def _union(tables: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)
 
 
+class Block:
+    """Words of texts, and pieces of long ones, of up to BLOCK words: keys (those that
+    are context only too), places in their texts, and the texts' numbers in the block."""
+
+    def __init__(self):
+        self.keys, self.place, self.token, self.row = [], [], [], []
+        self.size = self.texts = 0
+
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        return tuple(np.concatenate(x) for x in (self.keys, self.place, self.token, self.row))
+
+
+def blocks(batches, depth: int):
+    """(block, heads) of a task's texts: heads (slice of rows, texts, first row of the
+    slice, piece) in the order of the block's text numbers."""
+    block, heads = Block(), []
+    for batch in batches:
+        for first, texts in text_slices(batch):
+            keys, sizes = _sequences(texts)
+            begin = np.cumsum(sizes) - sizes
+            at = 0
+            while at < len(texts):
+                room = BLOCK - block.size
+                # texts that fit whole, or a piece of one that no block takes whole
+                fit = int(np.searchsorted(begin[at:] + sizes[at:] - begin[at], room, "right"))
+                fit = min(fit, BLOCK_TEXTS - block.texts)
+                if not fit and block.size:
+                    yield block, heads
+                    block, heads = Block(), []
+                    continue
+                if fit:
+                    own = slice(int(begin[at]), int(begin[at + fit - 1] + sizes[at + fit - 1]))
+                    pieces = [(own, np.arange(own.start, own.stop) - np.repeat(begin[at:at + fit], sizes[at:at + fit]),
+                               np.repeat(np.arange(fit), sizes[at:at + fit]), fit, 0)]
+                else:
+                    end, fit = int(sizes[at]), 1
+                    pieces = []
+                    for piece, low in enumerate(range(0, end, BLOCK)):
+                        start = max(0, low - depth)
+                        own = slice(int(begin[at]) + start, int(begin[at]) + min(end, low + BLOCK))
+                        place = np.arange(start, min(end, low + BLOCK))
+                        pieces.append((own, np.where(place < low, -1 - place, place), np.zeros(len(place), np.int64), 1, piece))
+                for k, (own, place, row, count, piece) in enumerate(pieces):
+                    if k:
+                        yield block, heads
+                        block, heads = Block(), []
+                    block.keys.append(keys[own])
+                    # a place below 0 is context from before the piece
+                    block.token.append(place > 0)
+                    block.place.append(np.where(place < 0, -1 - place, place))
+                    block.row.append((row + block.texts).astype(np.uint16))
+                    heads.append((batch, texts[at:at + count], first + at, piece))
+                    block.size += len(place)
+                    block.texts += count
+                at += fit
+    if block.size:
+        yield block, heads
+
+
 def count_words(docs: DataFrame, learn: Column) -> DataFrame:
     """(word, n): how often each symbol occurs in the training texts."""
 
     def run(batches):
-        parts, size = [], 0
-
-        def rows():
-            keys, n = np.unique(np.concatenate(parts), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["word", "n"])
-
-        for batch in batches:
-            for _, texts in text_slices(batch):
-                keys, sizes = _sequences(texts)
-                parts.append(np.delete(keys, np.cumsum(sizes) - sizes))
-                size += len(parts[-1])
-                if size >= FLUSH:
-                    yield rows()
-                    parts, size = [], 0
-        if size:
-            yield rows()
+        for block, _ in blocks(batches, 0):
+            keys, _, token, _ = block.arrays()
+            keys, n = np.unique(keys[token], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["word", "n"])
 
     return docs.where(learn).select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-COUNTED = "length int, range long, key array<long>, context array<long>, suffix array<long>, n array<int>"
-STRINGS = "length int, key long, context long, suffix long, n long"
+def packed(arrays: list[np.ndarray], keys: np.ndarray) -> bytes:
+    """Arrays of small numbers (below 2^32), as planes of bytes, and keys, compressed."""
+    out = [np.array([len(a) for a in arrays], np.uint32).tobytes()]
+    for a in arrays:
+        planes = np.ascontiguousarray(a, "<u4").view(np.uint8).reshape(-1, 4).T
+        out.append(planes.tobytes())
+    raw = b"".join(out) + keys.tobytes()
+    return np.uint32(len(raw)).tobytes() + pa.Codec("zstd", 1).compress(raw, asbytes=True)
+
+
+def unpacked(data: bytes, count: int) -> tuple[list[np.ndarray], np.ndarray]:
+    size = int(np.frombuffer(data[:4], np.uint32)[0])
+    raw = np.frombuffer(pa.Codec("zstd").decompress(data[4:], size, asbytes=True), np.uint8)
+    sizes, at, out = raw[:4 * count].view(np.uint32), 4 * count, []
+    for n in sizes.tolist():
+        out.append(np.ascontiguousarray(raw[at:at + 4 * n].reshape(4, n).T).view("<u4").ravel().astype(np.int64))
+        at += 4 * n
+    return out, raw[at:].copy().view(np.int64)
+
+
+def tries(block: Block, depth: int, ranges: int, rounds: int, turn: int, with_rows: bool):
+    """(range, trie) of one round's ranges: the strings that end at the block's words,
+    by last pair, then the word before, and so on; numbers of words from 1, 0 for none.
+    Level by level: pairs as two arrays, then words and how many a parent has; last
+    how often each branch occurs, and the texts in which it does."""
+    keys, place, token, row = block.arrays()
+    known, code, n = np.unique(keys, return_inverse=True, return_counts=True)
+    by = np.argsort(-n, kind="stable")  # numbers by frequency
+    number = np.empty(len(known), np.int64)
+    number[by] = np.arange(1, len(known) + 1)
+    code, known = number[code], known[by]
+    at = np.flatnonzero(token)
+    which = _range_of(joined(keys[at - 1], keys[at]), ranges)
+    own = which % rounds == turn
+    at, which = at[own], which[own]
+    column = [code[at]] + [np.where(place[at] >= j, code[np.maximum(at - j, 0)], 0) for j in range(1, depth + 1)]
+    wide = np.int64(len(known) + 1)
+    sort = [column[1] * wide + column[0], *[
+        column[j] * wide + (column[j + 1] if j < depth else 0) for j in range(2, depth + 1, 2)]]
+    order = np.lexsort([*sort[::-1], which])
+    which, column, rows = which[order], [c[order] for c in column], row[at][order]
+    new = np.ones(len(at), bool)
+    new[1:] = (which[1:] != which[:-1]) | (column[1][1:] != column[1][:-1]) | (column[0][1:] != column[0][:-1])
+    levels = [new]
+    for j in range(2, depth + 1):
+        new = levels[-1].copy()
+        new[1:] |= column[j][1:] != column[j][:-1]
+        levels.append(new)
+    cut = _runs(which)
+    for a, b in zip(cut[:-1], cut[1:]):
+        starts = [np.flatnonzero(lv[a:b]) for lv in levels]
+        parts = [column[0][a:b][starts[0]], column[1][a:b][starts[0]]]
+        for j, down in enumerate(starts[1:]):
+            heads = np.flatnonzero(levels[j][a:b][down])
+            parts += [np.diff(np.append(heads, len(down))), column[j + 2][a:b][down]]
+        parts.append(np.diff(np.append(starts[-1], b - a)))
+        if with_rows:
+            parts.append(rows[a:b])
+        words = [0, 1, *range(3, 2 + 2 * (depth - 1), 2)]
+        here = np.zeros(len(known) + 1, bool)
+        for i in words:
+            here[parts[i]] = True
+        here[0] = False
+        renumbered = np.cumsum(here, dtype=np.uint32) * here
+        for i in words:
+            parts[i] = renumbered[parts[i]]
+        yield int(which[a]), packed(parts, known[here[1:]])
+
+
+def strings_of(data: bytes, depth: int, with_rows: bool):
+    """Of a trie, for each length from 2: (strings, contexts, suffixes, pairs) as keys, which of
+    them there are, and their parents' places in the level before; then counts and rows of the last."""
+    parts, known = unpacked(data, 2 + 2 * (depth - 1) + 1 + with_rows)
+    known = np.concatenate([[0], known])
+    word, context = known[parts[0]], known[parts[1]]
+    key = joined(context, word)
+    # of each entry of a level: its word, its context's words (nearest first), its key and its pair
+    last, before, pair = word, [context], key
+    levels = [(key, context, word, key, np.ones(len(key), bool), None)]
+    for j in range(depth - 1):
+        count, first = parts[2 + 2 * j], parts[3 + 2 * j]
+        up = np.repeat(np.arange(len(count)), count)
+        there = first > 0
+        last, pair, suffix = last[up], pair[up], key[up]
+        before = [b[up] for b in before] + [known[first]]
+        context = before[-1]
+        for b in before[-2::-1]:
+            context = joined(context, b)
+        key = joined(context, last)
+        levels.append((key, context, suffix, pair, there, up))
+    return levels, parts[2 + 2 * (depth - 1)], parts[-1] if with_rows else None
+
+
+STRINGS = "length int, key long, context long, suffix long, pair long, n long"
 
 
 def count_strings(docs: DataFrame, learn: Column, depth: int, ranges: int, rounds: int, turn: int) -> DataFrame:
-    """Rows (length, key, context, suffix, n) of the strings of 2 to depth + 1 words
-    that occur LEAST_COUNT times in the training texts, of one round's ranges."""
+    """Rows (length, key, context, suffix, pair, n) of the strings of 2 to depth + 1 words
+    that occur LEAST_COUNT times in the training texts, of one round's ranges (pair,
+    the last two words: null for up to three words, where key or suffix is it)."""
 
     def run(batches):
-        held, size = {}, 0
-
-        def rows():
-            for length, parts in held.items():
-                keys, context, suffix = (np.concatenate(x) for x in zip(*parts))
-                order = np.argsort(keys)
-                keys = keys[order]
-                bounds = _runs(keys)
-                first = order[bounds[:-1]]
-                keys = keys[bounds[:-1]]
-                which = _range_of(keys, ranges)
-                cut = _runs(which)
-                m = len(cut) - 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(m, length, np.int32)), pa.array(which[cut[:-1]]), _lists(keys, cut),
-                     _lists(context[first], cut), _lists(suffix[first], cut), _lists(np.diff(bounds).astype(np.int32), cut)],
-                    ["length", "range", "key", "context", "suffix", "n"])
-
-        for batch in batches:
-            for _, texts in text_slices(batch):
-                for length, _, *found in _strings(*_sequences(texts), depth):
-                    own = np.flatnonzero(_range_of(found[0], ranges) % rounds == turn)
-                    held.setdefault(length, []).append([x[own] for x in found])
-                    size += len(own)
-                if size >= FLUSH:
-                    yield from rows()
-                    held, size = {}, 0
-        if size:
-            yield from rows()
+        for block, _ in blocks(batches, depth):
+            found = list(tries(block, depth, ranges, rounds, turn, False))
+            yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in found], pa.int64()), pa.array([t for _, t in found], pa.binary())],
+                                             ["range", "trie"])
 
     def add(group: pa.Table) -> pa.Table:
-        key, context, suffix, n = (group[c].combine_chunks().flatten().to_numpy() for c in ("key", "context", "suffix", "n"))
-        order = np.argsort(key)
-        bounds = _runs(key[order])
-        total = np.add.reduceat(n[order].astype(np.int64), bounds[:-1]) if len(key) else np.zeros(0, np.int64)
-        often = total >= LEAST_COUNT
-        at = order[bounds[:-1]][often]
-        return pa.table({"length": pa.array(np.full(len(at), group["length"][0].as_py(), np.int32)), "key": key[at],
-                         "context": context[at], "suffix": suffix[at], "n": total[often]})
-
-    return (docs.where(learn).select("text").mapInArrow(run, COUNTED)
-            .groupBy("length", "range").applyInArrow(add, STRINGS))
+        lists, out = [x.as_py() for x in group["trie"]], []
+        for k in range(depth):  # a length at a time; what else a string needs is read again for those that are kept
+            keys, counts = [], []
+            for data in lists:
+                levels, n, _ = strings_of(data, depth, False)
+                for up, above in zip([lv[5] for lv in levels[:k:-1]], levels[-2::-1]):
+                    n = np.bincount(up, n, len(above[0])).astype(np.int64)
+                keys.append(levels[k][0][levels[k][4]])
+                counts.append(n[levels[k][4]])
+            begin = np.cumsum([0, *[len(x) for x in keys]])
+            key, n = np.concatenate(keys), np.concatenate(counts)
+            del keys, counts
+            order = np.argsort(key, kind="stable")
+            bounds = _runs(key[order])
+            total = np.add.reduceat(n[order], bounds[:-1]) if len(key) else n
+            often = total >= LEAST_COUNT
+            at, total = order[bounds[:-1]][often], total[often]
+            by = np.argsort(at)
+            at, total = at[by], total[by]
+            cut, rest = np.searchsorted(at, begin), [[], [], []]
+            for i, data in enumerate(lists):
+                level = strings_of(data, depth, False)[0][k]
+                for x, column in zip(rest, level[1:4]):
+                    x.append(column[level[4]][at[cut[i]:cut[i + 1]] - begin[i]])
+            context, suffix, pair = (np.concatenate(x) for x in rest)
+            out.append(pa.table({"length": pa.array(np.full(len(at), k + 2, np.int32)), "key": key[at], "context": context, "suffix": suffix,
+                                 "pair": pa.array(pair) if k > 1 else pa.nulls(len(at), pa.int64()), "n": total}))
+        return pa.concat_tables(out)
+
+    return (docs.where(learn).select("text").mapInArrow(run, "range long, trie binary")
+            .groupBy("range").applyInArrow(add, STRINGS))
 
 
 def _quantile_95(df):
@@ -197,150 +329,170 @@ def _quantile_95(df):
     return d * (1 - 2 / (9 * d) + 1.6449 * (2 / (9 * d)) ** 0.5) ** 3
 
 
-def grow(words: DataFrame, strings: DataFrame, n: int, v: int, depth: int = DEPTH) -> list[DataFrame]:
-    """Tables (key, base, score): what a word, string or state adds to a text's
-    scores beyond the root probability of an unknown word."""
-    below = words.select(F.col("word").alias("key"), "n", ((F.col("n") + 1) / F.lit(float(n + v + 1))).alias("p"))
+def grow(words: DataFrame, counted: list[DataFrame], n: int, v: int, depth: int = DEPTH) -> tuple[DataFrame, DataFrame]:
+    """(words, strings), from the tables of words and of strings, which are deleted: tables (key, base, score) and (pair, key, score) of what a word,
+    and a longer string or state, adds to a text's scores beyond the root
+    probability of an unknown word."""
+    none = F.lit(None).cast("long").alias("pair")
+    below = words.select(F.col("word").alias("key"), none, "n", ((F.col("n") + 1) / F.lit(float(n + v + 1))).alias("p"))
     log = F.log10(F.col("n") + 1)
-    out = [words.select(F.col("word").alias("key"), log.alias("base"), log.alias("score"))]
-    none = F.lit(0.0).alias("base")
+    one = words.select(F.col("word").alias("key"), log.alias("base"), log.alias("score"))
+    out, tables, strings = [], [], _union(counted)
     for length in range(2, depth + 2):
-        own = strings.where(F.col("length") == length).drop("length").join(
+        own = strings.where(F.col("length") == length).drop("length")
+        own = own.withColumn("pair", F.col({2: "key", 3: "suffix"}.get(length, "pair"))).join(
             below.select(F.col("key").alias("suffix"), F.col("p").alias("lower")), "suffix")
         contexts = own.groupBy("context").agg(
             F.count("*").alias("size"), F.sum("n").alias("kept"), F.sum("lower").alias("lower"),
             F.sum(F.col("n") * F.log(F.col("n") / F.col("lower"))).alias("gain")).join(
-            below.select(F.col("key").alias("context"), F.col("n").alias("total")), "context")
+            below.select(F.col("key").alias("context"), F.col("pair").alias("of"), F.col("n").alias("total")), "context")
         left = F.col("total") - F.col("kept")
         gain = F.col("gain") - F.col("kept") * F.log("total") + F.when(left > 0, left * F.log(
             left / F.col("total") / F.greatest(1 - F.col("lower"), F.lit(1e-12)))).otherwise(0.0)
         states = _kept(contexts.where(gain > _quantile_95(F.col("size")) / 2).select(
-            "context", "total", (1 - (F.col("kept") - DISCOUNT * F.col("size")) / F.col("total")).alias("rest")),
+            "context", "of", "total", (1 - (F.col("kept") - DISCOUNT * F.col("size")) / F.col("total")).alias("rest")),
             f"suffixtree-states{length - 1}")
-        out.append(states.select(F.col("context").alias("key"), none, F.log10("rest").alias("score")))
+        rests = states.select("of", F.col("context").alias("key"), F.log10("rest").alias("score"))
+        if length == 2:
+            one = one.unionByName(rests.select("key", F.lit(0.0).alias("base"), "score"))
+        else:
+            out.append(rests.withColumnRenamed("of", "pair"))
         # the longest strings are nobody's suffix or context: only those that follow a state are needed
         weight = F.coalesce((F.col("n") - DISCOUNT) / F.col("total"), F.lit(0.0))
         rest = F.coalesce("rest", F.lit(1.0))
         last = length == depth + 1
-        placed = own.join(states, "context", "inner" if last else "left").select(
-            "key", "n", (weight + rest * F.col("lower")).alias("p"), F.when(F.col("total").isNotNull(), F.log10(
+        placed = own.join(states.drop("of"), "context", "inner" if last else "left").select(
+            "key", "pair", "n", (weight + rest * F.col("lower")).alias("p"), F.when(F.col("total").isNotNull(), F.log10(
                 weight + rest * F.col("lower")) - F.log10("rest") - F.log10("lower")).alias("score"))
-        below = _kept(placed.select("key", "score") if last else placed, f"suffixtree-strings{length}")
-        out.append(below.where("score is not null").select("key", none, "score"))
-    return out
+        placed = placed.drop("pair") if length == 2 else placed
+        below = _kept(placed.drop("n", "p") if last else placed, f"suffixtree-strings{length}")
+        below = below.withColumn("pair", F.col("key")) if length == 2 else below
+        out.append(below.where("score is not null").select("pair", "key", "score"))
+        tables += [states, below]
+        dropped(*counted, part=f"length={length}")
+    one = _kept(one, "suffixtree-word-values")
+    dropped(words, *counted)
+    longer = _kept(_union(out), "suffixtree-values")
+    dropped(*tables)
+    return one, longer
+
 
+HEADS = "doc_id array<long>, piece array<int>, n_tokens array<long>, digest array<binary>"
+ASKED = f"block long, range long, trie binary, {HEADS}"
+ANSWERED = f"block long, row array<int>, n_known array<int>, base array<double>, score array<double>, {HEADS}"
+SUMS = "doc_id long, digest binary, n_tokens long, n_known long, base_score double, score double, copies long"
 
-ASKED = """block long, range long, key array<long>, n array<int>, row array<short>,
-    doc_id array<long>, n_tokens array<long>, digest array<binary>"""
-ANSWERED = """block long, row array<short>, n_known array<int>, base array<double>, score array<double>,
-    doc_id array<long>, n_tokens array<long>, digest array<binary>"""
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _heads(block: Block, heads: list) -> list[pa.Array]:
+    """The block's texts: id, piece, number of tokens in it and digest of the whole text."""
+    import xxhash
+
+    _, _, token, row = block.arrays()
+    ids = pa.concat_arrays([b.column(0).slice(first, len(texts)).cast(pa.int64()) for b, texts, first, _ in heads])
+    pieces = np.concatenate([np.full(len(texts), piece, np.int32) for _, texts, _, piece in heads])
+    digests = [xxhash.xxh3_128_digest(t.encode("utf-8")) for _, texts, _, _ in heads for t in texts]
+    whole = np.array([0, len(ids)])
+    return [pa.ListArray.from_arrays(pa.array(whole.astype(np.int32)), ids), _lists(pieces, whole),
+            _lists(np.bincount(row[token], minlength=len(ids)).astype(np.int64), whole),
+            pa.ListArray.from_arrays(pa.array(whole.astype(np.int32)), pa.array(digests, pa.binary()))]
+
+
+def _empty_heads(rows: int) -> list[pa.Array]:
+    return [pa.nulls(rows, pa.list_(t)) for t in (pa.int64(), pa.int32(), pa.int64(), pa.binary())]
 
 
 def score(docs: DataFrame, values: DataFrame, depth: int, ranges: int, rounds: int, turn: int) -> DataFrame:
-    """doc_id, digest of the text, n_tokens and what one round's ranges add to
-    n_known, base_score, score, of every row of docs (doc_id, text)."""
-    names = [x.split()[0] for x in ASKED.replace("\n", " ").split(",")]
+    """Rows of SUMS: what one round's ranges add to the scores of every row of docs
+    (doc_id, text). Depth 0: single words, with their values (key, base, score);
+    else strings of two words and more, with values (pair, key, score)."""
 
     def ask(batches):
         from pyspark import TaskContext
 
-        import xxhash
-
-        block = TaskContext.get().partitionId() << 32
-        held, ids, tokens, digests, size, base = [], [], [], [], 0, 0
-
-        def rows():
-            keys, row = (np.concatenate(x) for x in zip(*held))
-            order = np.argsort(keys)
-            keys, row = keys[order], row[order]
-            bounds = _runs(keys)
-            keys = keys[bounds[:-1]]
-            which = _range_of(keys, ranges)
-            cut = _runs(which)
-            m = len(cut) - 1
-            nulls = [pa.nulls(m, pa.list_(pa.int64()))] * 2 + [pa.nulls(m, pa.list_(pa.binary()))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(m, block)), pa.array(which[cut[:-1]]), _lists(keys, cut),
-                 _lists(np.diff(bounds).astype(np.int32), cut), _lists(row, bounds[cut]), *nulls], names)
-            whole = np.array([0, base])  # the block's own row
-            none = np.zeros(0)
+        number = TaskContext.get().partitionId() << 32
+        for block, heads in blocks(batches, depth):
+            if depth:
+                found = list(tries(block, depth, ranges, rounds, turn, True))
+            else:
+                keys, _, token, row = block.arrays()
+                keys, row = keys[token], row[token]
+                order = np.argsort(keys, kind="stable")
+                keys, row = keys[order], row[order]
+                bounds = _runs(keys)
+                keys = keys[bounds[:-1]]
+                cut = np.searchsorted(_range_of(keys, ranges), np.arange(ranges + 1))
+                found = [(r, packed([np.diff(bounds[a:b + 1]), row[bounds[a]:bounds[b]]], keys[a:b]))
+                         for r, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if a < b]
+            n = len(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([block % 1000003 % (-(-(ranges - turn) // rounds)) * rounds + turn]), _lists(none.astype(np.int64), whole * 0),
-                 _lists(none.astype(np.int32), whole * 0), _lists(none.astype(np.int16), whole * 0),
-                 pa.ListArray.from_arrays(pa.array(whole.astype(np.int32)), pa.concat_arrays(ids)),
-                 _lists(np.concatenate(tokens), whole),
-                 pa.ListArray.from_arrays(pa.array(whole.astype(np.int32)), pa.array(digests, pa.binary()))], names)
-
-        for batch in batches:
-            for first, texts in text_slices(batch):
-                if base + len(texts) > BLOCK_TEXTS or size >= FLUSH:
-                    yield from rows()
-                    held, ids, tokens, digests, size, base = [], [], [], [], 0, 0
-                    block += 1
-                keys, sizes = _sequences(texts)
-                owner = (base + np.repeat(np.arange(len(texts)), sizes)).astype(np.int16)
-                token = np.ones(len(keys), bool)
-                token[np.cumsum(sizes) - sizes] = False
-                for own, row in [(keys[token], owner[token]),
-                                 *[(found, owner[ends]) for _, ends, found, _, _ in _strings(keys, sizes, depth)]]:
-                    at = np.flatnonzero(_range_of(own, ranges) % rounds == turn)
-                    held.append((own[at], row[at]))
-                    size += len(at)
-                ids.append(batch.column(0).slice(first, len(texts)).cast(pa.int64()))
-                tokens.append((sizes - 1).astype(np.int64))
-                digests += [xxhash.xxh3_128_digest(t.encode("utf-8")) for t in texts]
-                base += len(texts)
-        if base:
-            yield from rows()
+                [pa.array(np.full(n, number)), pa.array([r for r, _ in found], pa.int64()), pa.array([t for _, t in found], pa.binary()),
+                 *_empty_heads(n)], _names(ASKED))
+            # the block's own row goes to some range
+            own = number % 1000003 % (-(-(ranges - turn) // rounds)) * rounds + turn
+            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([own]), pa.nulls(1, pa.binary()), *_heads(block, heads)], _names(ASKED))
+            number += 1
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
         key = known["key"].to_numpy()
         order = np.argsort(key)
         bounds = _runs(key[order])
+        names = ["score"] if depth else ["base", "score"]
+        adds = [np.add.reduceat(known[c].to_numpy()[order], bounds[:-1]) if len(key) else np.zeros(0) for c in names]
         key = key[order][bounds[:-1]]
-        adds = [np.add.reduceat(known[c].to_numpy()[order], bounds[:-1]) if len(key) else np.zeros(0) for c in ("base", "score")]
-        heads = asked.filter(asked["doc_id"].is_valid())
-        asked = asked.filter(asked["doc_id"].is_null())
-        flat = {c: asked[c].combine_chunks().flatten().to_numpy() for c in ("key", "n", "row")}
-        sizes = np.array([len(x) for x in asked["key"]], np.int64)
-        at = np.minimum(np.searchsorted(key, flat["key"]), max(0, len(key) - 1))
-        hit = key[at] == flat["key"] if len(key) else np.zeros(len(flat["key"]), bool)
-        many = np.repeat(hit, flat["n"])
-        at = np.repeat(at, flat["n"])[many]
-        list_of = np.repeat(np.repeat(np.arange(len(sizes)), sizes), flat["n"])[many]
-        place = (list_of << 32) + flat["row"][many]  # by list, then by text
-        order = np.argsort(place)
-        place, at = place[order], at[order]
-        bounds = _runs(place)[:-1]
-        add = lambda x: np.add.reduceat(x, bounds) if len(bounds) else x[:0]
-        place = place[bounds]
-        cut = np.searchsorted(place >> 32, np.arange(len(sizes) + 1))
-        none = pa.nulls(len(sizes), pa.list_(pa.int64()))
-        sums = pa.table({"block": asked["block"], "row": _lists((place & 0xFFFFFFFF).astype(np.int16), cut),
-                         "n_known": _lists(add((adds[0][at] > 0).astype(np.int32)).astype(np.int32), cut), "base": _lists(add(adds[0][at]), cut),
-                         "score": _lists(add(adds[1][at]), cut), "doc_id": none, "n_tokens": none,
-                         "digest": pa.nulls(len(sizes), pa.list_(pa.binary()))})
-        empty = lambda t: pa.array([[]] * heads.num_rows, pa.list_(t))
-        return pa.concat_tables([sums, pa.table({
-            "block": heads["block"], "row": empty(pa.int16()), "n_known": empty(pa.int32()), "base": empty(pa.float64()),
-            "score": empty(pa.float64()), "doc_id": heads["doc_id"], "n_tokens": heads["n_tokens"],
-            "digest": heads["digest"]}).cast(sums.schema)])
+
+        def of(keys: np.ndarray, add: np.ndarray) -> np.ndarray:
+            if not len(key):
+                return np.zeros(len(keys))
+            at = np.minimum(np.searchsorted(key, keys), len(key) - 1)
+            return np.where(key[at] == keys, add[at], 0.0)
+
+        heads = asked.filter(asked["trie"].is_null())
+        asked = asked.filter(asked["trie"].is_valid())
+        out = [[], [], [], []]
+        for data in asked["trie"]:
+            if depth:
+                levels, n, row = strings_of(data.as_py(), depth, True)
+                total = None
+                for keys, _, _, _, there, up in levels:
+                    own = np.where(there, of(keys, adds[0]), 0.0)
+                    total = own if up is None else total[up] + own
+                sums = [np.zeros(len(n)), np.zeros(len(n)), total]
+            else:
+                (n, row), keys = unpacked(data.as_py(), 2)
+                base = of(keys, adds[0])
+                sums = [(base > 0).astype(float), base, of(keys, adds[1])]
+            most = int(row.max(initial=-1)) + 1
+            sums = [np.bincount(row, np.repeat(s, n), most) for s in sums]
+            some = np.flatnonzero((sums[0] != 0) | (sums[1] != 0) | (sums[2] != 0))
+            for x, y in zip(out, [some.astype(np.int32), *[s[some] for s in sums]]):
+                x.append(y)
+        cut = np.cumsum([0, *[len(x) for x in out[0]]])
+        flat = [np.concatenate(x) if x else np.zeros(0) for x in out]
+        types = [np.int32, np.int32, np.float64, np.float64]
+        answers = [asked["block"].combine_chunks(), *[_lists(x.astype(t), cut) for x, t in zip(flat, types)], *_empty_heads(asked.num_rows)]
+        empty = [pa.array([[]] * heads.num_rows, pa.list_(t)) for t in (pa.int32(), pa.int32(), pa.float64(), pa.float64())]
+        names = _names(ANSWERED)
+        first = pa.table(dict(zip(names, answers)))
+        second = pa.table(dict(zip(names, [heads["block"], *empty, *[heads[c] for c in names[5:]]]))).cast(first.schema)
+        return pa.concat_tables([first, second])
 
     def add_up(group: pa.Table) -> pa.Table:
         head = group.filter(group["doc_id"].is_valid())
-        ids = head["doc_id"].combine_chunks().flatten()
-        tokens = head["n_tokens"].combine_chunks().flatten().to_numpy()
+        ids, piece, tokens, digest = (head[c].combine_chunks().flatten() for c in ("doc_id", "piece", "n_tokens", "digest"))
         row, known, base, own = (group[c].combine_chunks().flatten().to_numpy() for c in ("row", "n_known", "base", "score"))
-        total = lambda x: np.bincount(row, x, len(tokens)).astype(np.float64)
-        return pa.table({"doc_id": ids, "digest": head["digest"].combine_chunks().flatten(), "n_tokens": tokens,
-                         "n_known": total(known).astype(np.int64), "base_score": total(base), "score": total(own)})
+        total = lambda x: np.bincount(row, x, len(ids)).astype(np.float64)
+        return pa.table({"doc_id": ids, "digest": digest, "n_tokens": tokens, "n_known": total(known).astype(np.int64),
+                         "base_score": total(base), "score": total(own), "copies": (piece.to_numpy() == 0).astype(np.int64)})
 
-    place = F.shiftright(F.shiftright("key", 43) * F.lit(ranges).cast("long"), 20)
+    place = F.shiftright(F.shiftright("pair" if depth else "key", 43) * F.lit(ranges).cast("long"), 20)
     held = values.withColumn("range", place).where(F.col("range") % rounds == turn)
     asked = docs.select("doc_id", "text").mapInArrow(ask, ASKED)
     answers = asked.groupBy("range").cogroup(held.groupBy("range")).applyInArrow(answer, ANSWERED)
-    return answers.groupBy("block").applyInArrow(
-        add_up, "doc_id long, digest binary, n_tokens long, n_known long, base_score double, score double")
+    return answers.groupBy("block").applyInArrow(add_up, SUMS)
 
 
 def score_texts(df: DataFrame, learn: Column, depth: int = DEPTH, id_col: str = "doc_id",
@@ -352,16 +504,18 @@ def score_texts(df: DataFrame, learn: Column, depth: int = DEPTH, id_col: str =
     ranges = min(1 << 20, max(COUNT_ROUNDS, SCORE_ROUNDS, 1 + size // range_bytes))
     words = _kept(count_words(docs, learn), "suffixtree-words")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    strings = _union([_kept(count_strings(docs, learn, depth, ranges, COUNT_ROUNDS, k), f"suffixtree-strings-round{k}")
-                      for k in range(COUNT_ROUNDS)])
-    values = _union(grow(words, strings, int(n), int(v), depth))
-    rounds = [_kept(score(docs, values, depth, ranges, SCORE_ROUNDS, k), f"suffixtree-scores-round{k}")
-              for k in range(SCORE_ROUNDS)]
-    # equal rows have equal sums: each round has one row for each of them
+    counted = [_kept(count_strings(docs, learn, depth, ranges, COUNT_ROUNDS, k), f"suffixtree-strings-round{k}", "length")
+               for k in range(COUNT_ROUNDS)]
+    one, longer = grow(words, counted, int(n), int(v), depth)
+    rounds = [_kept(score(docs, one, 0, ranges, 1, 0), "suffixtree-scores-words")]
+    rounds += [_kept(score(docs, longer, depth, ranges, SCORE_ROUNDS, k), f"suffixtree-scores-round{k}") for k in range(SCORE_ROUNDS)]
+    dropped(one, longer)
+    # equal rows have equal sums: each round has a row for each of them, and for each piece of a long text
     rows = _union(rounds).groupBy("doc_id", "digest").agg(
-        F.any_value("n_tokens").alias("n_tokens"), (F.count("*") / SCORE_ROUNDS).cast("long").alias("copies"),
-        *[F.sum(c).alias(c) for c in ("n_known", "base_score", "score")])
+        (F.sum("copies") / len(rounds)).cast("long").alias("copies"),
+        *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
     root = F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
+    rows = rows.withColumn("n_tokens", (F.col("n_tokens") / (len(rounds) * F.col("copies"))).cast("long"))
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return rows.select("doc_id", "n_tokens", (F.col("n_known") / F.col("copies")).cast("long").alias("n_known"),
                        F.lit(int(n)).cast("long").alias("train_tokens"),

@@ -98,13 +98,17 @@ def test_held_out_texts_gain(spark):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows) * 0.97
 
 
-@pytest.mark.parametrize("depth", [1, 2])
-def test_odd_rows(make_docs, odd_pairs, depth):
+@pytest.mark.parametrize("depth,block,texts,range_bytes", [
+    (1, 1 << 20, 1 << 15, 12 << 20), (2, 1 << 20, 1 << 15, 12 << 20), (3, 700, 5, 4000), (2, 64, 3, 20000)])
+def test_odd_rows(make_docs, odd_pairs, monkeypatch, depth, block, texts, range_bytes):
+    """Also with small blocks, into which texts are cut, and many ranges."""
+    monkeypatch.setattr(st, "BLOCK", block)
+    monkeypatch.setattr(st, "BLOCK_TEXTS", texts)
     more = [(300 + i, "the cat sat on the mat and the dog sat on the log " * 3) for i in range(9)]
     pairs = odd_pairs + more
     docs = make_docs(pairs, word=T.StringType(), n=T.StringType(), rare=T.LongType(), part=T.StringType())
     learn = F.col("doc_id") % 2 == 0
-    check(st.score_texts(docs, learn, depth).collect(), pairs, [t for i, t in pairs if i is not None and i % 2 == 0], depth)
+    check(st.score_texts(docs, learn, depth, range_bytes=range_bytes).collect(), pairs, [t for i, t in pairs if i is not None and i % 2 == 0], depth)
 
 
 def test_distributions_sum_to_one(make_docs):
