@@ -29,7 +29,9 @@ is run against all rows, in blocks.
 
 Defined results: vectors that are null, zero, hold null or non-finite
 components, or are not of the commonest length take no part; a null id takes no
-part; of several vectors with one id the least counts; ties go to smaller ids;
+part; rows with one id but different vectors are rows of their own, each a
+candidate (also of the others) and each with a list of its own if it is a query;
+equal rows (id and vector) are one; ties go to smaller ids;
 a query with fewer candidates than k gets all of them; without queries or rows
 there is no row; extra columns are left out.
 """
@@ -52,7 +54,7 @@ FOUND = "qid string, best array<struct<score: double, cid: string>>"
 
 
 def classes(df: DataFrame, k: int, id_col: str, vector_col: str) -> tuple[DataFrame, DataFrame]:
-    """(members, classes): vec_id and class of every row that takes part; cid,
+    """(members, classes): vec_id and class of every distinct row that takes part; cid,
     the k + 1 least ids and the vector of every class of equal vectors."""
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").alias("v"))
     fine = (F.col("vec_id").isNotNull() & F.exists("v", lambda x: x != 0)
@@ -60,12 +62,12 @@ def classes(df: DataFrame, k: int, id_col: str, vector_col: str) -> tuple[DataFr
     rows = rows.where(fine)
     common = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     rows = rows.where(F.size("v") == (common["d"] if common else 0))
-    rows = rows.groupBy("vec_id").agg(F.min("v").alias("v"))
     # -0.0 and 0.0 are equal components; the class name is a digest of all of them
     plain = F.transform("v", lambda x: F.when(x == 0, F.lit(0.0).cast("float")).otherwise(x))
     rows = rows.withColumn("v", plain.cast(dict(rows.dtypes)["v"]))
     name = F.concat(F.hex(F.xxhash64("v")), F.hex(F.xxhash64(F.lit(1), F.reverse("v"))))
-    members = written(rows.select("vec_id", name.alias("cid"), "v"), "ann-members")
+    once = rows.select("vec_id", name.alias("cid"), "v").groupBy("vec_id", "cid").agg(F.any_value("v").alias("v"))
+    members = written(once, "ann-members")
     rank = Window.partitionBy("cid").orderBy("vec_id")
     least = members.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= k + 1)
     grouped = least.groupBy("cid").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"),
@@ -204,13 +206,13 @@ def exact(queries: DataFrame, base: DataFrame, keep: int, n_queries: int, n_base
 
 
 def _ranked(found: DataFrame, base: DataFrame, keep: int) -> DataFrame:
-    """(qid, ids): the `keep` best (score, id) pairs of each query over all its lists."""
+    """(qid, ids): the `keep` best (score, id, class) of each query over all its lists."""
     each = found.select("qid", F.explode("best").alias("b")).select("qid", "b.score", "b.cid").distinct()
     ids = each.join(base.select("cid", "ids"), "cid")
     # a group of at most (lists of the query) * keep classes; equal scores by least id
-    rank = Window.partitionBy("qid").orderBy(F.desc("score"), F.col("ids")[0])
+    rank = Window.partitionBy("qid").orderBy(F.desc("score"), F.col("ids")[0], "cid")
     top = ids.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= keep)
-    pairs = F.transform("ids", lambda i: F.struct((-F.col("score")).alias("less"), i.alias("vec_id")))
+    pairs = F.transform("ids", lambda i: F.struct((-F.col("score")).alias("less"), i.alias("vec_id"), F.col("cid").alias("cid")))
     return top.groupBy("qid").agg(F.slice(F.sort_array(F.flatten(F.collect_list(pairs))), 1, keep).alias("ids"))
 
 
@@ -252,7 +254,7 @@ def fit(base: DataFrame, queries: DataFrame, keep: int, n: int, recall: float =
 def search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
            recall: float = RECALL) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k nearest found of every row
-    for which `is_query` (a condition on vec_id) holds, its own id left out."""
+    for which `is_query` (a condition on vec_id) holds, the row itself left out."""
     spark = df.sparkSession
     members, base = classes(df, k, id_col, vector_col)
     asked = members.where(is_query)
@@ -351,7 +353,7 @@ def search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
         ranked = ranked.where(F.size("ids") >= need).unionByName(again)
     own = asked.join(ranked, asked.cid == ranked.qid).select(
         F.col("vec_id").alias("query_id"),
-        F.slice(F.filter("ids", lambda x: x["vec_id"] != F.col("vec_id")), 1, k).alias("ids"))
+        F.slice(F.filter("ids", lambda x: (x["vec_id"] != F.col("vec_id")) | (x["cid"] != F.col("cid"))), 1, k).alias("ids"))
     return own.select("query_id", F.posexplode("ids").alias("at", "hit")).select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"),
         (-F.col("hit.less")).alias("score"))

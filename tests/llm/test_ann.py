@@ -83,3 +83,24 @@ def test_split_buckets(spark, monkeypatch, split):
     rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(600, 12)))]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert recall(collected(ann.search(df, F.col("vec_id") % 20 == 0)), brute(rows, 20, 20)) >= 0.9
+
+
+def test_rows_that_share_an_id(spark):
+    """Different vectors of one id are rows of their own, as candidates and as queries."""
+    rng = np.random.default_rng(8)
+    rows = [(i % 90, rng.normal(size=6).tolist()) for i in range(270)]
+    rows += [(7, rows[0][1]), (20, rows[5][1])] + [(30, [2.0] * 6)] * 3
+    distinct = sorted({(i, tuple(v)) for i, v in rows})
+    x, ids = np.array([v for _, v in distinct]), [i for i, _ in distinct]
+    want, every = [], set()
+    for at, i in enumerate(ids):
+        if i % 10 == 0:
+            score = (x * x[at]).sum(axis=1)
+            order = sorted((-s, j) for n, (s, j) in enumerate(zip(score, ids)) if n != at)
+            every |= {(i, j, round(float(-s), 9)) for s, j in order}
+            want += [(i, j, round(float(-s), 9)) for s, j in order[:20]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.query_id, r.vec_id, round(r.score, 9)) for r in ann.search(df, F.col("vec_id") % 10 == 0, k=20).collect()]
+    assert len(got) == len(want) and set(got) <= every
+    assert len(set(got) & set(want)) / len(set(want)) >= 0.9
+    assert any(q == j for q, j, _ in got)  # another vector of the query's id
