@@ -23,16 +23,20 @@ the tree holds the terms cancel but for its own log P; beyond it only the rests
 of longer states are left.
 
 Scale: nothing of the tree is sent to all tasks or to the driver; it grows with
-the corpus, in tables. What crosses the network are positions, not strings: a
-task takes BLOCK words at a time and deals their positions by ranges of the
-hash of a word and the one before it, so that all longer strings that end in
-that pair meet in one group. To a range a block is a small trie, read from the
-last word back: pairs, the words before each, the words before those, and how
-often (to count) or in which texts (to score) each branch ends there, in numbers
-by frequency in the block, compressed, with the keys (63 hashed bits) of the
-words used. A pair or passage that a block repeats is there once. Divergence is
-a grouping by context with partial sums. What comes back of scores is one sum
-a range and text of a block. The ranges grow with the bytes of text; they are
+the corpus. Words and pairs, with their states, are tables joined by shuffle.
+For longer contexts positions cross the network, not strings: a task takes
+BLOCK words at a time and deals their positions by ranges of the hash of the
+two words before, so that all longer contexts that end in that pair meet in one
+group with whatever follows them, like a branch of a suffix tree; there they are
+counted, tested and scored at once, and no string or state is kept or sent. What
+such a group needs from outside is P(w | the word before) of the pairs in which
+its kept strings end; it asks for them in a pass of its own. To a range a block
+is a small trie, read from the last word back: pairs, the words before each, the
+words before those, and how often (also of the training texts) and in which
+texts each branch ends there, in numbers by frequency in the block, compressed,
+with the keys (63 hashed bits) of the words used. A pair or passage that a block
+repeats is there once. What comes back of scores is one sum a range and text of
+a block. The ranges grow with the bytes of text; those of longer contexts are
 gone through in rounds, each a pass over the texts, and tables of which nothing
 is needed any more are deleted, so that the disk holds a part at a time. A text
 of any length is cut into blocks.
@@ -59,9 +63,9 @@ DEPTH, LEAST_SHARE, LEAST_COUNT, DISCOUNT = 3, 0.0, 2, 0.75
 #: Words that a task holds before it passes them on.
 BLOCK = 1 << 20
 #: Bytes of text for each range of keys.
-RANGE_BYTES = 12 << 20
-#: Rounds in which the ranges are counted, and asked for scores.
-COUNT_ROUNDS, SCORE_ROUNDS = 2, 3
+RANGE_BYTES = 8 << 20
+#: Rounds in which the ranges of longer contexts are gone through.
+ROUNDS = 2
 #: Texts of a block at most: their numbers have 16 bits.
 BLOCK_TEXTS = 1 << 15
 #: The key of the end of a text; words and strings have keys of 63 hashed bits.
@@ -87,6 +91,10 @@ def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
     return ((keys >> 43) * ranges) >> 20
 
 
+def _range_column(key: str, ranges: int) -> Column:
+    return F.shiftright(F.shiftright(key, 43) * F.lit(ranges).cast("long"), 20)
+
+
 def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))
 
@@ -96,13 +104,13 @@ def _runs(values: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(np.concatenate([np.ones(min(1, len(values)), bool), values[1:] != values[:-1]])), len(values))
 
 
-def _kept(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+def _kept(df: DataFrame, name: str) -> DataFrame:
     """`written`, with the shuffle files of the query removed when it has ended."""
     conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = conf.get(key, None)
     conf.set(key, "true")
     try:
-        return written(df, name, by)
+        return written(df, name)
     finally:
         conf.unset(key) if before is None else conf.set(key, before)
 
@@ -202,21 +210,27 @@ def unpacked(data: bytes, count: int) -> tuple[list[np.ndarray], np.ndarray]:
     return out, raw[at:].copy().view(np.int64)
 
 
-def tries(block: Block, depth: int, ranges: int, rounds: int, turn: int, with_rows: bool):
+def tries(block: Block, depth: int, ranges: int, rounds: int = 1, turn: int = 0, with_rows: bool = False,
+          by_context: bool = False, taught: np.ndarray | None = None):
     """(range, trie) of one round's ranges: the strings that end at the block's words,
     by last pair, then the word before, and so on; numbers of words from 1, 0 for none.
-    Level by level: pairs as two arrays, then words and how many a parent has; last
-    how often each branch occurs, and the texts in which it does."""
+    Dealt by the last pair, or by_context by the two words before the last (where
+    there are two). Level by level: pairs as two arrays, then words and how many a
+    parent has; how often each branch occurs; if wanted, how often in taught
+    texts, and the texts in which it does."""
     keys, place, token, row = block.arrays()
     known, code, n = np.unique(keys, return_inverse=True, return_counts=True)
     by = np.argsort(-n, kind="stable")  # numbers by frequency
     number = np.empty(len(known), np.int64)
     number[by] = np.arange(1, len(known) + 1)
     code, known = number[code], known[by]
-    at = np.flatnonzero(token)
-    which = _range_of(joined(keys[at - 1], keys[at]), ranges)
+    at = np.flatnonzero(token & (place >= 2) if by_context else token)
+    dealt = at - 1 if by_context else at
+    which = _range_of(joined(keys[dealt - 1], keys[dealt]), ranges)
     own = which % rounds == turn
     at, which = at[own], which[own]
+    if not len(at):
+        return
     column = [code[at]] + [np.where(place[at] >= j, code[np.maximum(at - j, 0)], 0) for j in range(1, depth + 1)]
     wide = np.int64(len(known) + 1)
     sort = [column[1] * wide + column[0], *[
@@ -238,6 +252,8 @@ def tries(block: Block, depth: int, ranges: int, rounds: int, turn: int, with_ro
             heads = np.flatnonzero(levels[j][a:b][down])
             parts += [np.diff(np.append(heads, len(down))), column[j + 2][a:b][down]]
         parts.append(np.diff(np.append(starts[-1], b - a)))
+        if taught is not None:
+            parts.append(np.add.reduceat(taught[rows[a:b]].astype(np.int64), starts[-1]))
         if with_rows:
             parts.append(rows[a:b])
         words = [0, 1, *range(3, 2 + 2 * (depth - 1), 2)]
@@ -251,76 +267,109 @@ def tries(block: Block, depth: int, ranges: int, rounds: int, turn: int, with_ro
         yield int(which[a]), packed(parts, known[here[1:]])
 
 
-def strings_of(data: bytes, depth: int, with_rows: bool):
-    """Of a trie, for each length from 2: (strings, contexts, suffixes, pairs) as keys, which of
-    them there are, and their parents' places in the level before; then counts and rows of the last."""
-    parts, known = unpacked(data, 2 + 2 * (depth - 1) + 1 + with_rows)
+def strings_of(data: bytes, depth: int, more: int = 0):
+    """Of a trie, for each length from 2: (strings, contexts, suffixes) as keys, which of them
+    there are, and their parents' places in the level before; then how often those of the
+    last occur, and `more` arrays that the trie holds beside."""
+    parts, known = unpacked(data, 2 + 2 * (depth - 1) + 1 + more)
     known = np.concatenate([[0], known])
     word, context = known[parts[0]], known[parts[1]]
     key = joined(context, word)
-    # of each entry of a level: its word, its context's words (nearest first), its key and its pair
-    last, before, pair = word, [context], key
-    levels = [(key, context, word, key, np.ones(len(key), bool), None)]
+    # of each entry of a level: its last word, its context's words (nearest first) and its key
+    last, before = word, [context]
+    levels = [(key, context, word, np.ones(len(key), bool), None)]
     for j in range(depth - 1):
         count, first = parts[2 + 2 * j], parts[3 + 2 * j]
         up = np.repeat(np.arange(len(count)), count)
         there = first > 0
-        last, pair, suffix = last[up], pair[up], key[up]
+        last, suffix = last[up], key[up]
         before = [b[up] for b in before] + [known[first]]
         context = before[-1]
         for b in before[-2::-1]:
             context = joined(context, b)
         key = joined(context, last)
-        levels.append((key, context, suffix, pair, there, up))
-    return levels, parts[2 + 2 * (depth - 1)], parts[-1] if with_rows else None
+        levels.append((key, context, suffix, there, up))
+    return levels, parts[2 + 2 * (depth - 1):]
+
+
+def _up_to(levels: list, k: int, n: np.ndarray) -> np.ndarray:
+    """How often each entry of level k occurs, from the numbers n of the last level's."""
+    for j in range(len(levels) - 1, k, -1):
+        n = np.bincount(levels[j][4], n, len(levels[j - 1][0])).astype(np.int64)
+    return n
+
 
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, their sums of n, the first place of each)."""
+    order = np.argsort(keys, kind="stable")
+    bounds = _runs(keys[order])
+    first = order[bounds[:-1]]
+    return keys[first], (np.add.reduceat(n[order], bounds[:-1]) if len(keys) else n), first
 
-STRINGS = "length int, key long, context long, suffix long, pair long, n long"
 
+def _trie_rows(found: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r for r, _ in found], pa.int64()), pa.array([t for _, t in found], pa.binary())],
+                                      ["range", "trie"])
 
-def count_strings(docs: DataFrame, learn: Column, depth: int, ranges: int, rounds: int, turn: int) -> DataFrame:
-    """Rows (length, key, context, suffix, pair, n) of the strings of 2 to depth + 1 words
-    that occur LEAST_COUNT times in the training texts, of one round's ranges (pair,
-    the last two words: null for up to three words, where key or suffix is it)."""
+
+def count_pairs(docs: DataFrame, learn: Column, ranges: int) -> DataFrame:
+    """Rows (key, context, suffix, n) of the pairs of words that occur LEAST_COUNT times in the training texts."""
 
     def run(batches):
-        for block, _ in blocks(batches, depth):
-            found = list(tries(block, depth, ranges, rounds, turn, False))
-            yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in found], pa.int64()), pa.array([t for _, t in found], pa.binary())],
-                                             ["range", "trie"])
+        for block, _ in blocks(batches, 1):
+            yield _trie_rows(list(tries(block, 1, ranges)))
 
     def add(group: pa.Table) -> pa.Table:
-        lists, out = [x.as_py() for x in group["trie"]], []
-        for k in range(depth):  # a length at a time; what else a string needs is read again for those that are kept
-            keys, counts = [], []
-            for data in lists:
-                levels, n, _ = strings_of(data, depth, False)
-                for up, above in zip([lv[5] for lv in levels[:k:-1]], levels[-2::-1]):
-                    n = np.bincount(up, n, len(above[0])).astype(np.int64)
-                keys.append(levels[k][0][levels[k][4]])
-                counts.append(n[levels[k][4]])
-            begin = np.cumsum([0, *[len(x) for x in keys]])
-            key, n = np.concatenate(keys), np.concatenate(counts)
-            del keys, counts
-            order = np.argsort(key, kind="stable")
-            bounds = _runs(key[order])
-            total = np.add.reduceat(n[order], bounds[:-1]) if len(key) else n
-            often = total >= LEAST_COUNT
-            at, total = order[bounds[:-1]][often], total[often]
-            by = np.argsort(at)
-            at, total = at[by], total[by]
-            cut, rest = np.searchsorted(at, begin), [[], [], []]
-            for i, data in enumerate(lists):
-                level = strings_of(data, depth, False)[0][k]
-                for x, column in zip(rest, level[1:4]):
-                    x.append(column[level[4]][at[cut[i]:cut[i + 1]] - begin[i]])
-            context, suffix, pair = (np.concatenate(x) for x in rest)
-            out.append(pa.table({"length": pa.array(np.full(len(at), k + 2, np.int32)), "key": key[at], "context": context, "suffix": suffix,
-                                 "pair": pa.array(pair) if k > 1 else pa.nulls(len(at), pa.int64()), "n": total}))
-        return pa.concat_tables(out)
+        columns = [[], [], [], []]
+        for data in group["trie"]:
+            levels, (n,) = strings_of(data.as_py(), 1)
+            for x, column in zip(columns, [*levels[0][:3], n]):
+                x.append(column)
+        key, context, suffix, n = (np.concatenate(x) for x in columns)
+        key, n, first = _summed(key, n)
+        often = n >= LEAST_COUNT
+        return pa.table({"key": key[often], "context": context[first][often], "suffix": suffix[first][often], "n": n[often]})
 
     return (docs.where(learn).select("text").mapInArrow(run, "range long, trie binary")
-            .groupBy("range").applyInArrow(add, STRINGS))
+            .groupBy("range").applyInArrow(add, "key long, context long, suffix long, n long"))
+
+
+def lower_of_pairs(docs: DataFrame, learn: Column, pairs: DataFrame, ranges: int) -> DataFrame:
+    """Rows (range, keys, p), of lists: P(w | the word before) of the pairs in which
+    strings of three words end that a range of contexts keeps; pairs: (key, p).
+    A range asks the pairs' ranges by list."""
+
+    def run(batches):
+        for block, _ in blocks(batches, 2):
+            yield _trie_rows(list(tries(block, 2, ranges, by_context=True)))
+
+    def want(group: pa.Table) -> pa.Table:
+        keys, pair, counts = [], [], []
+        for data in group["trie"]:
+            levels, (n,) = strings_of(data.as_py(), 2)
+            keys.append(levels[1][0])
+            pair.append(levels[1][2])
+            counts.append(n)
+        _, n, first = _summed(np.concatenate(keys), np.concatenate(counts))
+        pair = np.unique(np.concatenate(pair)[first[n >= LEAST_COUNT]])
+        bucket = _range_of(pair, ranges)  # ascending, like the keys
+        cut = _runs(bucket)
+        return pa.table({"bucket": bucket[cut[:-1]], "range": pa.array(np.full(len(cut) - 1, group["range"][0].as_py())),
+                         "keys": _lists(pair, cut)})
+
+    def tell(asked: pa.Table, known: pa.Table) -> pa.Table:
+        order = np.argsort(known["key"].to_numpy())
+        key, p = known["key"].to_numpy()[order], known["p"].to_numpy()[order]
+        asked = asked.combine_chunks()
+        keys = asked["keys"].combine_chunks() if asked.num_rows else pa.array([], pa.list_(pa.int64()))
+        flat = keys.flatten().to_numpy()
+        cut = np.concatenate([[0], np.cumsum(keys.value_lengths().to_numpy())])
+        return pa.table({"range": asked["range"], "keys": keys, "p": _lists(p[np.searchsorted(key, flat)], cut)})
+
+    asked = (docs.where(learn).select("text").mapInArrow(run, "range long, trie binary")
+             .groupBy("range").applyInArrow(want, "bucket long, range long, keys array<long>"))
+    known = pairs.select(_range_column("key", ranges).alias("bucket"), "key", "p")
+    return asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(tell, "range long, keys array<long>, p array<double>")
 
 
 def _quantile_95(df):
@@ -329,52 +378,78 @@ def _quantile_95(df):
     return d * (1 - 2 / (9 * d) + 1.6449 * (2 / (9 * d)) ** 0.5) ** 3
 
 
-def grow(words: DataFrame, counted: list[DataFrame], n: int, v: int, depth: int = DEPTH) -> tuple[DataFrame, DataFrame]:
-    """(words, strings), from the tables of words and of strings, which are deleted: tables (key, base, score) and (pair, key, score) of what a word,
-    and a longer string or state, adds to a text's scores beyond the root
-    probability of an unknown word."""
-    none = F.lit(None).cast("long").alias("pair")
-    below = words.select(F.col("word").alias("key"), none, "n", ((F.col("n") + 1) / F.lit(float(n + v + 1))).alias("p"))
+def grow(words: DataFrame, counted: DataFrame, n: int, v: int) -> tuple[DataFrame, DataFrame]:
+    """(words, pairs), from the tables of words and of pairs, which are deleted: tables
+    (key, base, score) and (key, p, score) of P(w | the word before), and of what a word
+    (also as a state) and a pair add to a text's scores beyond the root probability of an unknown word."""
     log = F.log10(F.col("n") + 1)
     one = words.select(F.col("word").alias("key"), log.alias("base"), log.alias("score"))
-    out, tables, strings = [], [], _union(counted)
-    for length in range(2, depth + 2):
-        own = strings.where(F.col("length") == length).drop("length")
-        own = own.withColumn("pair", F.col({2: "key", 3: "suffix"}.get(length, "pair"))).join(
-            below.select(F.col("key").alias("suffix"), F.col("p").alias("lower")), "suffix")
-        contexts = own.groupBy("context").agg(
-            F.count("*").alias("size"), F.sum("n").alias("kept"), F.sum("lower").alias("lower"),
-            F.sum(F.col("n") * F.log(F.col("n") / F.col("lower"))).alias("gain")).join(
-            below.select(F.col("key").alias("context"), F.col("pair").alias("of"), F.col("n").alias("total")), "context")
-        left = F.col("total") - F.col("kept")
-        gain = F.col("gain") - F.col("kept") * F.log("total") + F.when(left > 0, left * F.log(
-            left / F.col("total") / F.greatest(1 - F.col("lower"), F.lit(1e-12)))).otherwise(0.0)
-        states = _kept(contexts.where(gain > _quantile_95(F.col("size")) / 2).select(
-            "context", "of", "total", (1 - (F.col("kept") - DISCOUNT * F.col("size")) / F.col("total")).alias("rest")),
-            f"suffixtree-states{length - 1}")
-        rests = states.select("of", F.col("context").alias("key"), F.log10("rest").alias("score"))
-        if length == 2:
-            one = one.unionByName(rests.select("key", F.lit(0.0).alias("base"), "score"))
-        else:
-            out.append(rests.withColumnRenamed("of", "pair"))
-        # the longest strings are nobody's suffix or context: only those that follow a state are needed
-        weight = F.coalesce((F.col("n") - DISCOUNT) / F.col("total"), F.lit(0.0))
-        rest = F.coalesce("rest", F.lit(1.0))
-        last = length == depth + 1
-        placed = own.join(states.drop("of"), "context", "inner" if last else "left").select(
-            "key", "pair", "n", (weight + rest * F.col("lower")).alias("p"), F.when(F.col("total").isNotNull(), F.log10(
-                weight + rest * F.col("lower")) - F.log10("rest") - F.log10("lower")).alias("score"))
-        placed = placed.drop("pair") if length == 2 else placed
-        below = _kept(placed.drop("n", "p") if last else placed, f"suffixtree-strings{length}")
-        below = below.withColumn("pair", F.col("key")) if length == 2 else below
-        out.append(below.where("score is not null").select("pair", "key", "score"))
-        tables += [states, below]
-        dropped(*counted, part=f"length={length}")
-    one = _kept(one, "suffixtree-word-values")
-    dropped(words, *counted)
-    longer = _kept(_union(out), "suffixtree-values")
-    dropped(*tables)
-    return one, longer
+    own = counted.join(words.select(F.col("word").alias("suffix"), ((F.col("n") + 1) / F.lit(float(n + v + 1))).alias("lower")), "suffix")
+    contexts = own.groupBy("context").agg(
+        F.count("*").alias("size"), F.sum("n").alias("kept"), F.sum("lower").alias("lower"),
+        F.sum(F.col("n") * F.log(F.col("n") / F.col("lower"))).alias("gain")).join(
+        words.select(F.col("word").alias("context"), F.col("n").alias("total")), "context")
+    left = F.col("total") - F.col("kept")
+    gain = F.col("gain") - F.col("kept") * F.log("total") + F.when(left > 0, left * F.log(
+        left / F.col("total") / F.greatest(1 - F.col("lower"), F.lit(1e-12)))).otherwise(0.0)
+    states = _kept(contexts.where(gain > _quantile_95(F.col("size")) / 2).select(
+        "context", "total", (1 - (F.col("kept") - DISCOUNT * F.col("size")) / F.col("total")).alias("rest")), "suffixtree-states")
+    weight = F.coalesce((F.col("n") - DISCOUNT) / F.col("total"), F.lit(0.0))
+    p = weight + F.coalesce("rest", F.lit(1.0)) * F.col("lower")
+    pairs = _kept(own.join(states, "context", "left").select(
+        "key", p.alias("p"), F.when(F.col("total").isNotNull(), F.log10(p) - F.log10("rest") - F.log10("lower")).alias("score")),
+        "suffixtree-pair-values")
+    one = _kept(one.unionByName(states.select(F.col("context").alias("key"), F.lit(0.0).alias("base"), F.log10("rest").alias("score"))),
+                "suffixtree-word-values")
+    dropped(words, counted, states)
+    return one, pairs
+
+
+def _at(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values of keys (distinct, ascending), 0 where a key is not there."""
+    if not len(keys):
+        return np.zeros(len(wanted))
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], 0.0)
+
+
+def branch(lists: list[bytes], depth: int, keys: np.ndarray, p: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """The tree's part in a range, from its tries: for each length of context from 2 (states,
+    log10 of their rests, strings that go on from them, what those add), as keys in ascending
+    order with values. keys, p: the pairs in which kept strings of three words end, and P(w | the word before)."""
+    out = []
+    for k in range(1, depth):
+        columns = [[], [], [], []]
+        for data in lists:
+            levels, (_, taught, _) = strings_of(data, depth, 2)
+            n = _up_to(levels, k, taught)
+            some = levels[k][3] & (n > 0)
+            for x, column in zip(columns, [*levels[k][:3], n]):
+                x.append(column[some])
+            del levels, taught
+        key, context, suffix, n = (np.concatenate(x) for x in columns)
+        del columns
+        key, n, first = _summed(key, n)
+        context, suffix = context[first], suffix[first]
+        contexts, of = np.unique(context, return_inverse=True)
+        total = np.bincount(of, n, len(contexts))
+        often = n >= LEAST_COUNT
+        key, of, n, lower = key[often], of[often], n[often], _at(keys, p, suffix[often])
+        size, kept, below = (np.bincount(of, x, len(contexts)) for x in (None, n, lower))
+        some = size > 0
+        contexts, total, size, kept, below = (x[some] for x in (contexts, total, size, kept, below))
+        of = (np.cumsum(some) - 1)[of]
+        left = total - kept
+        gain = np.bincount(of, n * np.log(n / lower), len(contexts)) - kept * np.log(total)
+        gain += left * np.log(np.where(left > 0, left, total) / total / np.maximum(1 - below, 1e-12))
+        state = gain > _quantile_95(size) / 2
+        rest = 1 - (kept - DISCOUNT * size) / total
+        p = np.where(state[of], (n - DISCOUNT) / total[of] + rest[of] * lower, lower)
+        more = state[of]
+        adds = np.log10(p[more]) - np.log10(rest[of][more]) - np.log10(lower[more])
+        out.append((contexts[state], np.log10(rest[state]), key[more], adds))
+        keys = key
+    return out
 
 
 HEADS = "doc_id array<long>, piece array<int>, n_tokens array<long>, digest array<binary>"
@@ -405,18 +480,23 @@ def _empty_heads(rows: int) -> list[pa.Array]:
     return [pa.nulls(rows, pa.list_(t)) for t in (pa.int64(), pa.int32(), pa.int64(), pa.binary())]
 
 
-def score(docs: DataFrame, values: DataFrame, depth: int, ranges: int, rounds: int, turn: int) -> DataFrame:
+def score(docs: DataFrame, values: DataFrame, depth: int, ranges: int, rounds: int = 1, turn: int = 0) -> DataFrame:
     """Rows of SUMS: what one round's ranges add to the scores of every row of docs
-    (doc_id, text). Depth 0: single words, with their values (key, base, score);
-    else strings of two words and more, with values (pair, key, score)."""
+    (doc_id, text, learn). Depth 0: single words, with their values (key, base, score);
+    1: pairs, with (key, score); beyond: contexts of two words to depth, and what
+    follows them, with (range, keys, p) of `lower_of_pairs`."""
 
     def ask(batches):
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 32
         for block, heads in blocks(batches, depth):
-            if depth:
-                found = list(tries(block, depth, ranges, rounds, turn, True))
+            if depth > 1:
+                taught = np.concatenate([b.column(2).slice(first, len(texts)).to_numpy(zero_copy_only=False)
+                                         for b, texts, first, _ in heads])
+                found = list(tries(block, depth, ranges, rounds, turn, True, True, taught))
+            elif depth:
+                found = list(tries(block, 1, ranges, rounds, turn, True))
             else:
                 keys, _, token, row = block.arrays()
                 keys, row = keys[token], row[token]
@@ -437,34 +517,40 @@ def score(docs: DataFrame, values: DataFrame, depth: int, ranges: int, rounds: i
             number += 1
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        key = known["key"].to_numpy()
-        order = np.argsort(key)
-        bounds = _runs(key[order])
-        names = ["score"] if depth else ["base", "score"]
-        adds = [np.add.reduceat(known[c].to_numpy()[order], bounds[:-1]) if len(key) else np.zeros(0) for c in names]
-        key = key[order][bounds[:-1]]
-
-        def of(keys: np.ndarray, add: np.ndarray) -> np.ndarray:
-            if not len(key):
-                return np.zeros(len(keys))
-            at = np.minimum(np.searchsorted(key, keys), len(key) - 1)
-            return np.where(key[at] == keys, add[at], 0.0)
-
         heads = asked.filter(asked["trie"].is_null())
         asked = asked.filter(asked["trie"].is_valid())
-        out = [[], [], [], []]
-        for data in asked["trie"]:
-            if depth:
-                levels, n, row = strings_of(data.as_py(), depth, True)
-                total = None
-                for keys, _, _, _, there, up in levels:
-                    own = np.where(there, of(keys, adds[0]), 0.0)
-                    total = own if up is None else total[up] + own
-                sums = [np.zeros(len(n)), np.zeros(len(n)), total]
+        lists = [x.as_py() for x in asked["trie"]]
+        if depth > 1:
+            key, p = (pa.chunked_array(known[c].chunks, known[c].type).combine_chunks().flatten().to_numpy() for c in ("keys", "p"))
+            order = np.argsort(key)
+            tree = branch(lists, depth, key[order], p[order]) if lists else []
+        else:
+            key = known["key"].to_numpy()
+            order = np.argsort(key)
+            bounds = _runs(key[order])
+            base, own = (np.add.reduceat(known[c].to_numpy()[order], bounds[:-1]) if len(key) else np.zeros(0)
+                         for c in (["score"] * 2 if depth else ["base", "score"]))
+            key = key[order][bounds[:-1]]
+
+        def sums_of(data: bytes):
+            """(how often, rows, sums) of a trie's branches."""
+            if not depth:
+                (n, row), keys = unpacked(data, 2)
+                found = _at(key, base, keys)
+                return n, row, [(found > 0).astype(float), found, _at(key, own, keys)]
+            if depth == 1:
+                levels, (n, row) = strings_of(data, 1, 1)
+                total = _at(key, own, levels[0][0])
             else:
-                (n, row), keys = unpacked(data.as_py(), 2)
-                base = of(keys, adds[0])
-                sums = [(base > 0).astype(float), base, of(keys, adds[1])]
+                levels, (n, _, row) = strings_of(data, depth, 2)
+                total = np.zeros(len(levels[0][0]))
+                for (string, context, _, there, up), (states, rests, strings, adds) in zip(levels[1:], tree):
+                    total = total[up] + np.where(there, _at(states, rests, context) + _at(strings, adds, string), 0.0)
+            return n, row, [np.zeros(len(n)), np.zeros(len(n)), total]
+
+        out = [[], [], [], []]
+        for data in lists:
+            n, row, sums = sums_of(data)
             most = int(row.max(initial=-1)) + 1
             sums = [np.bincount(row, np.repeat(s, n), most) for s in sums]
             some = np.flatnonzero((sums[0] != 0) | (sums[1] != 0) | (sums[2] != 0))
@@ -488,9 +574,9 @@ def score(docs: DataFrame, values: DataFrame, depth: int, ranges: int, rounds: i
         return pa.table({"doc_id": ids, "digest": digest, "n_tokens": tokens, "n_known": total(known).astype(np.int64),
                          "base_score": total(base), "score": total(own), "copies": (piece.to_numpy() == 0).astype(np.int64)})
 
-    place = F.shiftright(F.shiftright("pair" if depth else "key", 43) * F.lit(ranges).cast("long"), 20)
-    held = values.withColumn("range", place).where(F.col("range") % rounds == turn)
-    asked = docs.select("doc_id", "text").mapInArrow(ask, ASKED)
+    held = values if depth > 1 else values.withColumn("range", _range_column("key", ranges))
+    held = held.where(F.col("range") % rounds == turn)
+    asked = docs.select("doc_id", "text", "learn").mapInArrow(ask, ASKED)
     answers = asked.groupBy("range").cogroup(held.groupBy("range")).applyInArrow(answer, ANSWERED)
     return answers.groupBy("block").applyInArrow(add_up, SUMS)
 
@@ -499,17 +585,21 @@ def score_texts(df: DataFrame, learn: Column, depth: int = DEPTH, id_col: str =
                 text_col: str = "text", range_bytes: int = RANGE_BYTES) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row,
     by a tree grown on the rows where `learn` (a condition on doc_id) holds."""
-    docs, learn = keyed_texts(df, id_col, text_col), F.coalesce(learn, F.lit(False))
+    docs = keyed_texts(df, id_col, text_col).withColumn("learn", F.coalesce(learn, F.lit(False)))
+    learn = F.col("learn")
     size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 6)).first()[0] or 0
-    ranges = min(1 << 20, max(COUNT_ROUNDS, SCORE_ROUNDS, 1 + size // range_bytes))
+    ranges = min(1 << 20, max(ROUNDS, 1 + size // range_bytes))
     words = _kept(count_words(docs, learn), "suffixtree-words")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    counted = [_kept(count_strings(docs, learn, depth, ranges, COUNT_ROUNDS, k), f"suffixtree-strings-round{k}", "length")
-               for k in range(COUNT_ROUNDS)]
-    one, longer = grow(words, counted, int(n), int(v), depth)
-    rounds = [_kept(score(docs, one, 0, ranges, 1, 0), "suffixtree-scores-words")]
-    rounds += [_kept(score(docs, longer, depth, ranges, SCORE_ROUNDS, k), f"suffixtree-scores-round{k}") for k in range(SCORE_ROUNDS)]
-    dropped(one, longer)
+    one, pairs = grow(words, _kept(count_pairs(docs, learn, ranges), "suffixtree-pairs"), int(n), int(v))
+    rounds = [_kept(score(docs, one, 0, ranges), "suffixtree-scores-words"),
+              _kept(score(docs, pairs.where("score is not null"), 1, ranges), "suffixtree-scores-pairs")]
+    if depth > 1:
+        lower = _kept(lower_of_pairs(docs, learn, pairs, ranges), "suffixtree-lower")
+    dropped(one, pairs)
+    if depth > 1:
+        rounds += [_kept(score(docs, lower, depth, ranges, ROUNDS, k), f"suffixtree-scores-round{k}") for k in range(ROUNDS)]
+        dropped(lower)
     # equal rows have equal sums: each round has a row for each of them, and for each piece of a long text
     rows = _union(rounds).groupBy("doc_id", "digest").agg(
         (F.sum("copies") / len(rounds)).cast("long").alias("copies"),
