@@ -191,25 +191,43 @@ def count_words(docs: DataFrame, learn: Column) -> DataFrame:
 
 
 def packed(arrays: list[np.ndarray], keys: np.ndarray) -> bytes:
-    """Arrays of small numbers (below 2^32), as planes of bytes, and keys, compressed."""
-    out = [np.array([len(a) for a in arrays], np.uint32).tobytes()]
+    """Arrays of small numbers (below 2^32), as planes of as many bytes as the greatest needs, and keys, compressed."""
+    head, out = [], []
     for a in arrays:
-        planes = np.ascontiguousarray(a, "<u4").view(np.uint8).reshape(-1, 4).T
-        out.append(planes.tobytes())
-    raw = b"".join(out) + keys.tobytes()
+        width = max(1, -(-int(a.max(initial=0)).bit_length() // 8))
+        a = a.astype(np.uint8 if width == 1 else np.uint16 if width == 2 else np.uint32)
+        head += [len(a), width]
+        out += [(a >> 8 * k).astype(np.uint8).tobytes() for k in range(width)]
+    raw = b"".join([np.array(head, np.uint32).tobytes(), *out, keys.tobytes()])
     return np.uint32(len(raw)).tobytes() + pa.Codec("zstd", 1).compress(raw, asbytes=True)
 
 
 def unpacked(data: bytes, count: int) -> tuple[list[np.ndarray], np.ndarray]:
     size = int(np.frombuffer(data[:4], np.uint32)[0])
     raw = np.frombuffer(pa.Codec("zstd").decompress(data[4:], size, asbytes=True), np.uint8)
-    sizes, at, out = raw[:4 * count].view(np.uint32), 4 * count, []
-    for n in sizes.tolist():
-        out.append(np.ascontiguousarray(raw[at:at + 4 * n].reshape(4, n).T).view("<u4").ravel().astype(np.int64))
-        at += 4 * n
+    at, out = 8 * count, []
+    for n, width in raw[:at].view(np.uint32).reshape(-1, 2).tolist():
+        a = raw[at:at + n].astype(np.int64)
+        for k in range(1, width):
+            a |= raw[at + k * n:at + (k + 1) * n].astype(np.int64) << 8 * k
+        at += n * width
+        out.append(a)
     return out, raw[at:].copy().view(np.int64)
 
 
+def _order(columns: list[np.ndarray], sizes: list[int]) -> np.ndarray:
+    """The order of rows by columns of numbers below sizes, several to a sort key where they fit."""
+    keys, room = [], 1
+    for c, n in zip(columns, sizes):
+        if keys and room * n < 1 << 63:
+            keys[-1] = keys[-1] * n + c
+            room *= n
+        else:
+            keys.append(c)
+            room = n
+    return np.argsort(keys[0]) if len(keys) == 1 else np.lexsort(keys[::-1])
+
+
 def tries(block: Block, depth: int, ranges: int, rounds: int = 1, turn: int = 0, with_rows: bool = False,
           by_context: bool = False, taught: np.ndarray | None = None):
     """(range, trie) of one round's ranges: the strings that end at the block's words,
@@ -232,10 +250,7 @@ def tries(block: Block, depth: int, ranges: int, rounds: int = 1, turn: int = 0,
     if not len(at):
         return
     column = [code[at]] + [np.where(place[at] >= j, code[np.maximum(at - j, 0)], 0) for j in range(1, depth + 1)]
-    wide = np.int64(len(known) + 1)
-    sort = [column[1] * wide + column[0], *[
-        column[j] * wide + (column[j + 1] if j < depth else 0) for j in range(2, depth + 1, 2)]]
-    order = np.lexsort([*sort[::-1], which])
+    order = _order([which, column[1], column[0], *column[2:]], [ranges] + [len(known) + 1] * (depth + 1))
     which, column, rows = which[order], [c[order] for c in column], row[at][order]
     new = np.ones(len(at), bool)
     new[1:] = (which[1:] != which[:-1]) | (column[1][1:] != column[1][:-1]) | (column[0][1:] != column[0][:-1])
@@ -334,14 +349,14 @@ def count_pairs(docs: DataFrame, learn: Column, ranges: int) -> DataFrame:
             .groupBy("range").applyInArrow(add, "key long, context long, suffix long, n long"))
 
 
-def lower_of_pairs(docs: DataFrame, learn: Column, pairs: DataFrame, ranges: int) -> DataFrame:
+def lower_of_pairs(docs: DataFrame, learn: Column, pairs: DataFrame, ranges: int, rounds: int = 1, turn: int = 0) -> DataFrame:
     """Rows (range, keys, p), of lists: P(w | the word before) of the pairs in which
-    strings of three words end that a range of contexts keeps; pairs: (key, p).
-    A range asks the pairs' ranges by list."""
+    strings of three words end that a range of contexts keeps, of one round's ranges;
+    pairs: (key, p). A range asks the pairs' ranges by list."""
 
     def run(batches):
         for block, _ in blocks(batches, 2):
-            yield _trie_rows(list(tries(block, 2, ranges, by_context=True)))
+            yield _trie_rows(list(tries(block, 2, ranges, rounds, turn, by_context=True)))
 
     def want(group: pa.Table) -> pa.Table:
         keys, pair, counts = [], [], []
@@ -595,11 +610,12 @@ def score_texts(df: DataFrame, learn: Column, depth: int = DEPTH, id_col: str =
     rounds = [_kept(score(docs, one, 0, ranges), "suffixtree-scores-words"),
               _kept(score(docs, pairs.where("score is not null"), 1, ranges), "suffixtree-scores-pairs")]
     if depth > 1:
-        lower = _kept(lower_of_pairs(docs, learn, pairs, ranges), "suffixtree-lower")
+        lower = [_kept(lower_of_pairs(docs, learn, pairs, ranges, ROUNDS, k), f"suffixtree-lower-round{k}") for k in range(ROUNDS)]
     dropped(one, pairs)
     if depth > 1:
-        rounds += [_kept(score(docs, lower, depth, ranges, ROUNDS, k), f"suffixtree-scores-round{k}") for k in range(ROUNDS)]
-        dropped(lower)
+        for k, held in enumerate(lower):
+            rounds.append(_kept(score(docs, held, depth, ranges, ROUNDS, k), f"suffixtree-scores-round{k}"))
+            dropped(held)
     # equal rows have equal sums: each round has a row for each of them, and for each piece of a long text
     rows = _union(rounds).groupBy("doc_id", "digest").agg(
         (F.sum("copies") / len(rounds)).cast("long").alias("copies"),
