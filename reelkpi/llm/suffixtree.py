@@ -36,8 +36,8 @@ words before those, and how often (also of the training texts) and in which
 texts each branch ends there, in numbers by frequency in the block, compressed,
 with the keys (63 hashed bits) of the words used. A pair or passage that a block
 repeats is there once. What comes back of scores is one sum a range and text of
-a block. The ranges grow with the bytes of text; those of longer contexts are
-gone through in rounds, each a pass over the texts, and tables of which nothing
+a block. The ranges grow with the bytes of text; those that answer with scores
+and those of longer contexts are gone through in rounds, each a pass over the texts, and tables of which nothing
 is needed any more are deleted, so that the disk holds a part at a time. A text
 of any length is cut into blocks.
 
@@ -64,7 +64,7 @@ DEPTH, LEAST_SHARE, LEAST_COUNT, DISCOUNT = 3, 0.0, 2, 0.75
 BLOCK = 1 << 20
 #: Bytes of text for each range of keys.
 RANGE_BYTES = 8 << 20
-#: Rounds in which the ranges of longer contexts are gone through.
+#: Rounds in which the ranges of pairs' scores and of longer contexts are gone through.
 ROUNDS = 2
 #: Texts of a block at most: their numbers have 16 bits.
 BLOCK_TEXTS = 1 << 15
@@ -607,8 +607,9 @@ def score_texts(df: DataFrame, learn: Column, depth: int = DEPTH, id_col: str =
     words = _kept(count_words(docs, learn), "suffixtree-words")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     one, pairs = grow(words, _kept(count_pairs(docs, learn, ranges), "suffixtree-pairs"), int(n), int(v))
-    rounds = [_kept(score(docs, one, 0, ranges), "suffixtree-scores-words"),
-              _kept(score(docs, pairs.where("score is not null"), 1, ranges), "suffixtree-scores-pairs")]
+    rounds = [_kept(score(docs, one, 0, ranges), "suffixtree-scores-words")]
+    rounds += [_kept(score(docs, pairs.where("score is not null"), 1, ranges, ROUNDS, k), f"suffixtree-scores-pairs-round{k}")
+               for k in range(ROUNDS)]
     if depth > 1:
         lower = [_kept(lower_of_pairs(docs, learn, pairs, ranges, ROUNDS, k), f"suffixtree-lower-round{k}") for k in range(ROUNDS)]
     dropped(one, pairs)
