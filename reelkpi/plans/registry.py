@@ -39,7 +39,7 @@ from reelkpi.plans.oracle_sql import (
     SEARCH_CAST,
     SEARCH_GENRES,
 )
-from reelkpi.session import scratch_path, session_key
+from reelkpi.session import enough_shuffle_tasks, scratch_path, session_key
 from reelkpi.sources.fixture import films_from_tables
 from reelkpi.sources.landing import (
     materialize,
@@ -78,7 +78,10 @@ def forget_plans(keep: tuple[str, ...] = ()) -> None:
 
 
 def raw_films(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plan(spark, sf_dir, "raw", lambda: materialize(films_from_tables(spark, sf_dir), "films-raw"))
+    def build() -> DataFrame:
+        with enough_shuffle_tasks(spark, read_table(spark, sf_dir, "lineitem").count()):
+            return materialize(films_from_tables(spark, sf_dir), "films-raw")
+    return _plan(spark, sf_dir, "raw", build)
 
 
 def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:

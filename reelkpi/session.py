@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -82,3 +84,26 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below `shared_root` (one per write)."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def broadcasts_on(spark: SparkSession) -> bool:
+    """Whether the session allows automatic broadcasts (their threshold is not negative)."""
+    return not spark.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
+
+
+#: Rows that a task sorts or groups at a time, where the number of tasks is ours to say.
+ROWS_PER_TASK = 250_000
+
+
+@contextmanager
+def enough_shuffle_tasks(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Queries that run inside deal their rows to at least rows / ROWS_PER_TASK
+    tasks, so that what a task sorts does not grow with the input and stays in
+    memory. A larger setting of the session holds."""
+    key = "spark.sql.shuffle.partitions"
+    before, usual = spark.conf.get(key, None), int(spark.conf.get(key))
+    spark.conf.set(key, str(max(usual, -(-rows // ROWS_PER_TASK))))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

@@ -77,3 +77,74 @@ def test_coverage_counts_duplicates_once(spark):
     r = ingest_coverage(requested, landed).first()
     assert (r.requested, r.landed, r.missing) == (10, 3, 7)
     assert sorted(x.id for x in missing_ids(requested, landed).collect()) == [0, 3, 4, 5, 6, 7, 8]
+
+
+def test_lines_are_dealt_flat_and_without_their_suppliers(spark):
+    """The lines cross the wire by order key as what they read, once: no arrays of
+    single lines, no supplier and nation names, whatever Spark's threshold for
+    broadcasts is; the films are those of shuffle joins."""
+    import re
+
+    from reelkpi.plans import inspect
+
+    small, key = "/root/testdata/sf0.001", "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.set(key, "1")
+        films = films_from_tables(spark, small)
+        plan = inspect.physical_plan(films)
+        assert plan.count("SortMergeJoin") == 3  # part, customer, per-order
+        lines = plan.splitlines()
+        (at,) = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning(l_orderkey" in ln]
+        below = next(ln for ln in lines[at + 1:] if re.search(r"Project|Aggregate", ln))
+        assert "Aggregate" not in below and "p_name" in below and "s_name" not in below
+        spark.conf.set(key, "-1")
+        assert sorted(films_from_tables(spark, small).collect(), key=lambda r: r.id) == sorted(films.collect(), key=lambda r: r.id)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_many_suppliers_are_not_broadcast(spark, monkeypatch):
+    from reelkpi.plans import inspect
+    from reelkpi.sources import fixture
+
+    small, key = "/root/testdata/sf0.001", "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key, None)
+    usual = sorted(films_from_tables(spark, small).collect(), key=lambda r: r.id)
+    monkeypatch.setattr(fixture, "BROADCAST_SUPPLIERS", 0)
+    try:
+        spark.conf.set(key, "1")
+        films = films_from_tables(spark, small)
+        assert inspect.physical_plan(films).count("SortMergeJoin") == 4
+        assert sorted(films.collect(), key=lambda r: r.id) == usual
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_shuffle_tasks_grow_with_the_rows(spark):
+    from reelkpi.session import ROWS_PER_TASK, enough_shuffle_tasks
+
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with enough_shuffle_tasks(spark, 100 * ROWS_PER_TASK + 1):
+        assert spark.conf.get(key) == "101"
+    with enough_shuffle_tasks(spark, 1):
+        assert spark.conf.get(key) == before
+    assert spark.conf.get(key) == before
+
+
+def test_the_raw_films_are_written_by_tasks_for_their_lines(spark, monkeypatch):
+    """Each task of the write groups a bounded number of lines, whatever the session's setting."""
+    from reelkpi import session
+    from reelkpi.plans import registry
+
+    seen = []
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    monkeypatch.setattr(registry, "materialize", lambda df, name: seen.append(spark.conf.get("spark.sql.shuffle.partitions")) or df)
+    registry.forget_plans()
+    try:
+        registry.raw_films(spark, "/root/testdata/sf0.001")
+    finally:
+        registry.forget_plans()
+    n = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert seen == [str(-(-n // 100))]
