@@ -151,3 +151,26 @@ def test_indented_array_export_is_read_with_multi_line(spark, tmp_dir):
         json.dump(records, f, indent=4)
     back = landing.read_raw_json(spark, path, keep_corrupt=False, multi_line=True)
     assert _sorted(back) == _sorted(raw)
+
+
+@pytest.mark.parametrize("name", ["source_raw_json", "sink_raw_json", "ingest_rejects"])
+def test_landed_json_is_compressed_and_whole(spark, name):
+    """The queries land every film as JSON lines in compressed files of bounded length."""
+    from reelkpi.plans import registry
+    from reelkpi.plans.registry import QUERIES, raw_films
+
+    QUERIES[name](spark, SF).count()
+    path = {"ingest_rejects": registry._landed_with_faults}.get(name, registry._landed_json)(spark, SF)
+    files = [f for f in os.listdir(path.removeprefix("file://")) if f.startswith("part-")]
+    assert files and all(f.endswith(".gz") for f in files)
+    assert spark.read.text(path).count() == raw_films(spark, SF).count()
+
+
+def test_compressed_json_is_cut_into_files(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(landing, "JSON_FILE_ROWS", 100)
+    raw = films_from_tables(spark, SF).limit(450).coalesce(1)
+    path = os.path.join(tmp_dir, "raw")
+    landing.write_raw_json(raw, path, compression="gzip")
+    assert len([f for f in os.listdir(path) if f.endswith(".json.gz")]) == 5
+    back = landing.read_raw_json(spark, path)
+    assert back.count() == 450 and _sorted(back.drop("_corrupt_record")) == _sorted(raw)
