@@ -43,6 +43,18 @@ READ_SCHEMA = "doc_id long, part int, before long, n_tokens long, ids binary"
 
 #: Pairs are first counted by hash, in this many cells.
 CELL_BITS = 18
+#: The cell of symbols that start no pair.
+NO_PAIR = 1 << CELL_BITS
+
+
+def _cells(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a * np.uint32(0x9E3779B1) ^ b * np.uint32(0x85EBCA6B)) >> np.uint32(32 - CELL_BITS)
+
+
+def _counts(cells: np.ndarray) -> np.ndarray:
+    out = np.bincount(cells, minlength=NO_PAIR + 1)
+    out[NO_PAIR] = 0
+    return out
 
 
 def _chosen(pairs: np.ndarray) -> list[int]:
@@ -63,21 +75,20 @@ def compress(ids: np.ndarray, last: np.ndarray) -> tuple[int, np.ndarray, np.nda
     """(first rule's symbol, rules, symbols, place of each symbol's first id).
 
     ids: symbols of all documents; last: True at each document's last id."""
-    seq, last = ids.astype(np.uint32), last.copy()
-    place = np.arange(len(seq), dtype=np.int64)
+    seq = ids.astype(np.uint32)
     first = top = int(seq.max()) + 1 if len(seq) else 0
+    # cell of the pair that starts at each symbol; no pair crosses a document's end
+    cell = np.full(len(seq), NO_PAIR, np.int64)
+    cell[:-1] = _cells(seq[:-1], seq[1:])
+    cell[last] = NO_PAIR
+    filled = _counts(cell)
     rules: list[np.ndarray] = []
     whole = False
     while len(seq) > 1:
-        a, b = seq[:-1], seq[1:]
-        cell = (a * np.uint32(0x9E3779B1) ^ b * np.uint32(0x85EBCA6B)) >> np.uint32(32 - CELL_BITS)
-        cell[last[:-1]] = 1 << CELL_BITS  # no pair crosses a document's end
-        filled = np.bincount(cell, minlength=(1 << CELL_BITS) + 1)
-        filled[-1] = 0
         # a cell holds at least what each of its pairs counts: only pairs of well-filled cells are counted one by one
         least = LEAST_COUNT if whole else max(LEAST_COUNT, int(np.partition(filled, -PAIRS_A_ROUND)[-PAIRS_A_ROUND]))
-        at = np.flatnonzero((filled >= least)[cell])
-        key = a[at].astype(np.int64) << 32 | b[at]
+        at = np.flatnonzero((filled >= least).take(cell))
+        key = seq[at].astype(np.int64) << 32 | seq[at + 1]
         pairs, counts = np.unique(key, return_counts=True)
         pairs, counts = pairs[counts >= LEAST_COUNT], counts[counts >= LEAST_COUNT]
         chosen = np.array(_chosen(pairs[np.argsort(-counts, kind="stable")[:PAIRS_A_ROUND]]), dtype=np.int64)
@@ -88,9 +99,8 @@ def compress(ids: np.ndarray, last: np.ndarray) -> tuple[int, np.ndarray, np.nda
             continue
         whole = False
         left, right = (chosen >> 32).astype(np.uint32), (chosen & 0xFFFFFFFF).astype(np.uint32)
-        rule_of = np.full((1 << CELL_BITS) + 1, -1, np.int32)  # of two pairs in one cell the more frequent is replaced
-        rule_of[((left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA6B)) >> np.uint32(32 - CELL_BITS))[::-1]] = \
-            np.arange(len(chosen), dtype=np.int32)[::-1]
+        rule_of = np.full(NO_PAIR + 1, -1, np.int32)  # of two pairs in one cell the more frequent is replaced
+        rule_of[_cells(left, right)[::-1]] = np.arange(len(chosen), dtype=np.int32)[::-1]
         rule = rule_of[cell[at]]
         hit = (rule >= 0) & (chosen[rule] == key)
         at, rule = at[hit], rule[hit]
@@ -100,14 +110,26 @@ def compress(ids: np.ndarray, last: np.ndarray) -> tuple[int, np.ndarray, np.nda
         at, rule = at[from_left % 2 == 0], rule[from_left % 2 == 0]
         used, rule = np.unique(rule, return_inverse=True)
         rules.append(chosen[used])
+        # only pairs that a replaced one is part of or touches are counted anew
+        apart = at > 0
+        apart[1:] &= at[1:] - at[:-1] != 2  # else the pair to the left touches two replaced ones
+        now = at - np.arange(len(at))  # places after the replacement
+        filled -= _counts(cell[np.concatenate([at, at + 1, at[apart] - 1])])
         seq[at] = top + rule
-        last[at] = last[at + 1]
+        cell[at] = cell[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq, last, place = seq[keep], last[keep], place[keep]
+        seq, cell = seq[keep], cell[keep]
+        changed = np.concatenate([now, now[apart] - 1])
+        changed = changed[cell[changed] != NO_PAIR]
+        cell[changed] = _cells(seq[changed], seq[changed + 1])
+        filled += _counts(cell[changed])
         top += len(used)
     flat = np.concatenate(rules) if rules else np.zeros(0, np.int64)
-    return first, np.stack([flat >> 32, flat & 0xFFFFFFFF], axis=1), seq.astype(np.int64), place
+    grammar = np.stack([flat >> 32, flat & 0xFFFFFFFF], axis=1)
+    symbols = seq.astype(np.int64)
+    sizes = np.concatenate([[1], expansion_lengths(first, grammar)])[np.maximum(symbols - first + 1, 0)]
+    return first, grammar, symbols, np.cumsum(sizes) - sizes
 
 
 def expansion_lengths(first: int, rules: np.ndarray) -> np.ndarray:

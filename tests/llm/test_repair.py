@@ -103,3 +103,17 @@ def test_query_on_given_table(spark):
         ids = np.array(library_ids(d.text), "<u4")
         assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (d.doc_id, at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
+
+
+def test_pairs_are_counted_once_and_then_kept_up(monkeypatch):
+    """A round counts the pairs that its replacements touch, not the whole block again."""
+    seen = []
+    counts = repair._counts
+    monkeypatch.setattr(repair, "_counts", lambda cells: seen.append(len(cells)) or counts(cells))
+    monkeypatch.setattr(repair, "PAIRS_A_ROUND", 8)
+    rng = np.random.default_rng(3)
+    ids = (rng.zipf(1.3, 20_000) % 3000).astype("<u4")
+    check_block([ids[i:i + 50].tolist() for i in range(0, len(ids), 50)])
+    rounds = (len(seen) - 1) // 2
+    assert rounds > 20 and seen[0] == len(ids)
+    assert sum(seen[1:]) < rounds * len(ids) // 4
