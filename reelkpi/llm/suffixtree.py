@@ -23,23 +23,25 @@ the tree holds the terms cancel but for its own log P; beyond it only the rests
 of longer states are left.
 
 Scale: nothing of the tree is sent to all tasks or to the driver; it grows with
-the corpus. Words and pairs, with their states, are tables joined by shuffle.
-For longer contexts positions cross the network, not strings: a task takes
-BLOCK words at a time and deals their positions by ranges of the hash of the
-two words before, so that all longer contexts that end in that pair meet in one
-group with whatever follows them, like a branch of a suffix tree; there they are
-counted, tested and scored at once, and no string or state is kept or sent. What
-such a group needs from outside is P(w | the word before) of the pairs in which
-its kept strings end; it asks for them in a pass of its own. To a range a block
-is a small trie, read from the last word back: pairs, the words before each, the
-words before those, and how often (also of the training texts) and in which
-texts each branch ends there, in numbers by frequency in the block, compressed,
-with the keys (63 hashed bits) of the words used. A pair or passage that a block
-repeats is there once. What comes back of scores is one sum a range and text of
-a block. The ranges grow with the bytes of text; those that answer with scores
-and those of longer contexts are gone through in rounds, each a pass over the texts, and tables of which nothing
-is needed any more are deleted, so that the disk holds a part at a time. A text
-of any length is cut into blocks.
+the corpus. The texts are cut into words once: a task takes BLOCK words at a time, and
+each block is kept as numbers of words by frequency in the training texts, with the
+order of its strings read from the last pair back, so that no later pass cuts, looks up or sorts again.
+Words that occur once share a number, as no string with them is kept. Words
+and pairs, with their states, are tables joined by shuffle. For longer contexts
+positions cross the network, not strings: a block deals its positions by ranges
+of the hash of the two words before, so that all longer contexts that end in
+that pair meet in one group with whatever follows them, like a branch of a
+suffix tree; there they are counted, tested and scored at once, and no string or
+state is kept or sent. What such a group needs from outside is P(w | the word
+before) of the pairs in which its kept strings end; it asks for them in a pass
+of its own. To a range a block is a small trie, read from the last word back:
+pairs, the words before each, the words before those, and how often (also of the
+training texts) and in which texts each branch ends there, compressed. A pair or
+passage that a block repeats is there once. What comes back of scores is one sum
+a range and text of a block. The ranges grow with the bytes of text; those of
+pairs' scores and of longer contexts are gone through in rounds, each a pass
+over the blocks, and tables of which nothing is needed any more are deleted, so
+that the disk holds a part at a time. A text of any length is cut into blocks.
 
 Defined results: a null, empty or blank text is its end alone; a row whose id
 is null teaches nothing and is not held out; repeated rows count as often as
@@ -53,7 +55,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelkpi.llm.common import BASE, dropped, keyed_texts, mixed, text_slices, word_keys, written
@@ -66,10 +68,17 @@ BLOCK = 1 << 20
 RANGE_BYTES = 8 << 20
 #: Rounds in which the ranges of pairs' scores and of longer contexts are gone through.
 ROUNDS = 2
+#: Blocks to a file, and bytes that a task reads at a time: a block has some megabytes.
+BLOCK_FILE, BATCH_BYTES = 8, 16 << 20
+#: Numbers of an array that are worked on at once.
+STEP = 1 << 13
 #: Texts of a block at most: their numbers have 16 bits.
 BLOCK_TEXTS = 1 << 15
 #: The key of the end of a text; words and strings have keys of 63 hashed bits.
 END = (1 << 63) - 1
+#: The number of no word, and of words not in the training texts; that of all words that occur there once:
+#: no string with one of them reaches LEAST_COUNT.
+NONE, ONCE = 0, 1
 
 
 def _sequences(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -83,8 +92,11 @@ def _sequences(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def joined(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     """The keys of strings, from those of their contexts and last words."""
-    own = context.view(np.uint64) * np.uint64(BASE) + word.view(np.uint64)
-    return (mixed(own) >> np.uint64(1)).view(np.int64)
+    out = np.empty(len(word), np.uint64)
+    for a in range(0, len(word), STEP):  # few at a time, so that nothing leaves the cache
+        own = context[a:a + STEP].view(np.uint64) * np.uint64(BASE) + word[a:a + STEP].view(np.uint64)
+        out[a:a + STEP] = mixed(own) >> np.uint64(1)
+    return out.view(np.int64)
 
 
 def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
@@ -104,15 +116,28 @@ def _runs(values: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(np.concatenate([np.ones(min(1, len(values)), bool), values[1:] != values[:-1]])), len(values))
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
+def _batches_of_bytes(spark: SparkSession) -> None:
+    """Bound the bytes of Arrow batches for this session; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key).rstrip("bB")
+    if not (before.isdigit() and int(before) <= BATCH_BYTES):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def _kept(df: DataFrame, name: str, file_rows: int | None = None) -> DataFrame:
     """`written`, with the shuffle files of the query removed when it has ended."""
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key, None)
-    conf.set(key, "true")
+    settings = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    if file_rows:
+        settings["spark.sql.files.maxRecordsPerFile"] = str(file_rows)
+    conf = df.sparkSession.conf
+    before = {key: conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        conf.set(key, value)
     try:
         return written(df, name)
     finally:
-        conf.unset(key) if before is None else conf.set(key, before)
+        for key, value in before.items():
+            conf.unset(key) if value is None else conf.set(key, value)
 
 
 def _union(tables: list[DataFrame]) -> DataFrame:
@@ -178,45 +203,42 @@ def blocks(batches, depth: int):
         yield block, heads
 
 
-def count_words(docs: DataFrame, learn: Column) -> DataFrame:
-    """(word, n): how often each symbol occurs in the training texts."""
+def _bytes(arrays: list[np.ndarray]) -> pa.Array:
+    return pa.array([a.tobytes() for a in arrays], pa.binary())
 
-    def run(batches):
-        for block, _ in blocks(batches, 0):
-            keys, _, token, _ = block.arrays()
-            keys, n = np.unique(keys[token], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["word", "n"])
 
-    return docs.where(learn).select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def _of_bytes(column: pa.ChunkedArray, dtype) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_py(), dtype) for x in column]
 
 
-def packed(arrays: list[np.ndarray], keys: np.ndarray) -> bytes:
-    """Arrays of small numbers (below 2^32), as planes of as many bytes as the greatest needs, and keys, compressed."""
+def packed(arrays: list[np.ndarray]) -> bytes:
+    """Arrays of small numbers (below 2^32), as planes of as many bytes as the greatest needs, compressed."""
     head, out = [], []
     for a in arrays:
         width = max(1, -(-int(a.max(initial=0)).bit_length() // 8))
         a = a.astype(np.uint8 if width == 1 else np.uint16 if width == 2 else np.uint32)
         head += [len(a), width]
-        out += [(a >> 8 * k).astype(np.uint8).tobytes() for k in range(width)]
-    raw = b"".join([np.array(head, np.uint32).tobytes(), *out, keys.tobytes()])
+        out += [a.view(np.uint8).reshape(len(a), a.itemsize)[:, k].tobytes() for k in range(width)]
+    raw = b"".join([np.array(head, np.uint32).tobytes(), *out])
     return np.uint32(len(raw)).tobytes() + pa.Codec("zstd", 1).compress(raw, asbytes=True)
 
 
-def unpacked(data: bytes, count: int) -> tuple[list[np.ndarray], np.ndarray]:
+def unpacked(data: bytes, count: int) -> list[np.ndarray]:
     size = int(np.frombuffer(data[:4], np.uint32)[0])
     raw = np.frombuffer(pa.Codec("zstd").decompress(data[4:], size, asbytes=True), np.uint8)
     at, out = 8 * count, []
     for n, width in raw[:at].view(np.uint32).reshape(-1, 2).tolist():
-        a = raw[at:at + n].astype(np.int64)
-        for k in range(1, width):
-            a |= raw[at + k * n:at + (k + 1) * n].astype(np.int64) << 8 * k
+        a = np.zeros((n, 8), np.uint8)
+        for k in range(width):
+            a[:, k] = raw[at + k * n:at + (k + 1) * n]
         at += n * width
-        out.append(a)
-    return out, raw[at:].copy().view(np.int64)
+        out.append(a.reshape(-1).view(np.int64))
+    return out
 
 
 def _order(columns: list[np.ndarray], sizes: list[int]) -> np.ndarray:
-    """The order of rows by columns of numbers below sizes, several to a sort key where they fit."""
+    """The order of rows by columns of numbers below sizes, several to a sort key where they
+    fit; a further key is looked at only where those before are equal."""
     keys, room = [], 1
     for c, n in zip(columns, sizes):
         if keys and room * n < 1 << 63:
@@ -225,34 +247,167 @@ def _order(columns: list[np.ndarray], sizes: list[int]) -> np.ndarray:
         else:
             keys.append(c)
             room = n
-    return np.argsort(keys[0]) if len(keys) == 1 else np.lexsort(keys[::-1])
+    order = np.argsort(keys[0])
+    new = np.ones(len(order), bool)
+    new[1:] = keys[0][order][1:] != keys[0][order][:-1]
+    for key in keys[1:]:
+        run = np.cumsum(new) - 1
+        tied = np.flatnonzero(np.bincount(run)[run] > 1) if len(run) else run
+        rows = order[tied]
+        order[tied] = rows[np.lexsort((key[rows], run[tied]))]
+        new[1:] |= key[order][1:] != key[order][:-1]
+    return order
+
+
+HEADS = "doc_id array<long>, piece array<int>, n_tokens array<long>, digest array<binary>"
+CUT = f"block long, keys binary, n binary, data binary, taught binary, {HEADS}"
+BLOCKS = f"block long, data binary, taught binary, {HEADS}"
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
 
-def tries(block: Block, depth: int, ranges: int, rounds: int = 1, turn: int = 0, with_rows: bool = False,
-          by_context: bool = False, taught: np.ndarray | None = None):
-    """(range, trie) of one round's ranges: the strings that end at the block's words,
-    by last pair, then the word before, and so on; numbers of words from 1, 0 for none.
+def _heads(block: Block, heads: list) -> list[pa.Array]:
+    """The block's texts: id, piece, number of tokens in it and digest of the whole text."""
+    import xxhash
+
+    _, _, token, row = block.arrays()
+    ids = pa.concat_arrays([b.column(0).slice(first, len(texts)).cast(pa.int64()) for b, texts, first, _ in heads])
+    pieces = np.concatenate([np.full(len(texts), piece, np.int32) for _, texts, _, piece in heads])
+    digests = [xxhash.xxh3_128_digest(t.encode("utf-8")) for _, texts, _, _ in heads for t in texts]
+    whole = np.array([0, len(ids)])
+    return [pa.ListArray.from_arrays(pa.array(whole.astype(np.int32)), ids), _lists(pieces, whole),
+            _lists(np.bincount(row[token], minlength=len(ids)).astype(np.int64), whole),
+            pa.ListArray.from_arrays(pa.array(whole.astype(np.int32)), pa.array(digests, pa.binary()))]
+
+
+def cut_texts(docs: DataFrame, depth: int) -> DataFrame:
+    """The texts of docs (doc_id, text, learn) as rows of CUT, a block each: the keys of its words,
+    ascending, and how often each occurs in its training texts; the words' places among
+    the keys, places in their texts up to depth, whether they are tokens or context
+    only, and the texts' numbers; which texts are training texts."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 32
+        for block, heads in blocks(batches, depth):
+            keys, place, token, row = block.arrays()
+            known, code = np.unique(keys, return_inverse=True)
+            taught = np.concatenate([b.column(2).slice(first, len(texts)).to_numpy(zero_copy_only=False)
+                                     for b, texts, first, _ in heads]).astype(bool)
+            n = np.bincount(code[token & taught[row]], minlength=len(known))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number]), _bytes([known]), _bytes([n.astype(np.uint32)]),
+                 pa.array([packed([code, np.minimum(place, depth), token, row])], pa.binary()), _bytes([taught]),
+                 *_heads(block, heads)], _names(CUT))
+            number += 1
+
+    return docs.select("doc_id", "text", "learn").mapInArrow(run, CUT)
+
+
+def number_words(cut: DataFrame, ranges: int) -> DataFrame:
+    """Rows (range, block, numbers, n, total, distinct): the words of a range of keys get
+    numbers by frequency in the training texts. With a block, the numbers of its words
+    in the range, by key; without, the numbers of all that occur more than once, how often they
+    do, how often all words of the range do and how many there are."""
+
+    def ask(batches):
+        for batch in batches:
+            for block, keys, n in zip(batch["block"].to_pylist(), _of_bytes(batch["keys"], np.int64), _of_bytes(batch["n"], np.uint32)):
+                at = np.searchsorted(_range_of(keys, ranges), np.arange(ranges + 1))
+                some = np.flatnonzero(np.diff(at))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some), pa.array(np.full(len(some), block)), _bytes([keys[at[r]:at[r + 1]] for r in some]),
+                     _bytes([n[at[r]:at[r + 1]] for r in some])], ["range", "block", "keys", "n"])
+
+    def number(group: pa.Table) -> pa.Table:
+        asked = _of_bytes(group["keys"], np.int64)
+        key, of = np.unique(np.concatenate(asked), return_inverse=True)
+        n = np.bincount(of, np.concatenate(_of_bytes(group["n"], np.uint32)), len(key)).astype(np.int64)
+        own = group["range"][0].as_py()
+        by = np.argsort(-n, kind="stable")
+        by = by[n[by] > 1]
+        numbers = np.where(n > 0, ONCE, NONE)
+        numbers[by] = 2 + own + np.arange(len(by)) * ranges
+        cut = np.cumsum([0, *map(len, asked)])
+        flat = numbers[of]
+        told = [flat[a:b] for a, b in zip(cut[:-1], cut[1:])]
+        rows = len(told)
+        empty = np.zeros(0, np.int64)
+        return pa.table({
+            "range": pa.array(np.full(rows + 1, own)), "block": pa.array([*group["block"].to_pylist(), None], pa.int64()),
+            "numbers": _bytes([*told, numbers[by]]), "n": _bytes([empty] * rows + [n[by]]),
+            "total": np.append(np.zeros(rows, np.int64), n.sum()), "distinct": np.append(np.zeros(rows, np.int64), (n > 0).sum())})
+
+    return (cut.select("block", "keys", "n").mapInArrow(ask, "range long, block long, keys binary, n binary")
+            .groupBy("range").applyInArrow(number, "range long, block long, numbers binary, n binary, total long, distinct long"))
+
+
+def words_of(numbered: DataFrame) -> DataFrame:
+    """(word, n): the numbers of the words that occur in the training texts, those that occur once as one."""
+
+    def run(batches):
+        for batch in batches:
+            for word, n in zip(_of_bytes(batch["numbers"], np.int64), _of_bytes(batch["n"], np.int64)):
+                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n)], ["word", "n"])
+
+    many = numbered.where("block is null").select("numbers", "n").mapInArrow(run, "word long, n long")
+    return many.unionByName(many.sparkSession.range(1).select(F.lit(ONCE).cast("long").alias("word"), F.lit(1).cast("long").alias("n")))
+
+
+def numbered_texts(cut: DataFrame, numbered: DataFrame, depth: int) -> DataFrame:
+    """Rows of BLOCKS: words by number, and the order of the tokens whose word before occurs
+    more than once: by that word, the token, the word before the two, and so on."""
+
+    def run(told: pa.Table, own: pa.Table) -> pa.Table:
+        told = told.sort_by("range")
+        number = np.concatenate([*_of_bytes(told["numbers"], np.int64), np.zeros(0, np.int64)])
+        code, place, token, row = unpacked(own["data"][0].as_py(), 4)
+        word = number[code]
+        at = np.flatnonzero(token)
+        at = at[word[np.maximum(at - 1, 0)] > ONCE]
+        # places among the block's numbers sort like the numbers and are smaller; 0 for no word
+        distinct, near = np.unique(number, return_inverse=True)
+        near = near[code] + 1
+        column = [near[at]] + [np.where(place[at] >= j, near[np.maximum(at - j, 0)], 0) for j in range(1, depth + 1)]
+        at = at[_order([column[1], column[0], *column[2:]], [len(distinct) + 1] * (depth + 1))]
+        data = pa.array([packed([word, place, token, row, at])], pa.binary())
+        return own.drop_columns(["data"]).append_column("data", data).select(_names(BLOCKS))
+
+    told = numbered.where("block is not null").select("block", "range", "numbers")
+    own = cut.select(*_names(BLOCKS))
+    return told.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(run, BLOCKS)
+
+
+def tries(data: bytes, taught: np.ndarray, depth: int, ranges: int, rounds: int = 1, turn: int = 0, score: bool = False,
+          by_context: bool = False):
+    """(range, trie) of one round's ranges: the strings that end at a block's words,
+    by last pair, then the word before, and so on, as numbers of words, 0 for none.
     Dealt by the last pair, or by_context by the two words before the last (where
     there are two). Level by level: pairs as two arrays, then words and how many a
-    parent has; how often each branch occurs; if wanted, how often in taught
-    texts, and the texts in which it does."""
-    keys, place, token, row = block.arrays()
-    known, code, n = np.unique(keys, return_inverse=True, return_counts=True)
-    by = np.argsort(-n, kind="stable")  # numbers by frequency
-    number = np.empty(len(known), np.int64)
-    number[by] = np.arange(1, len(known) + 1)
-    code, known = number[code], known[by]
-    at = np.flatnonzero(token & (place >= 2) if by_context else token)
-    dealt = at - 1 if by_context else at
-    which = _range_of(joined(keys[dealt - 1], keys[dealt]), ranges)
-    own = which % rounds == turn
-    at, which = at[own], which[own]
-    if not len(at):
+    parent has; how often each branch occurs; to score, also how often in taught
+    texts (by_context), and the texts in which it does. What cannot occur twice in the training
+    texts, as one of its words does not, is left out; not to score, also all other texts."""
+    word, place, _, row, at = unpacked(data, 5)
+    column, rows = [word[at], word[np.maximum(at - 1, 0)]], row[at]
+    column += [np.where(place[at] >= j, word[np.maximum(at - j, 0)], NONE) for j in range(2, depth + 1)]
+    some = column[2] > ONCE if by_context else column[0] > ONCE
+    if not score:
+        some &= taught[rows] & (column[0] > ONCE)
+    column, rows = [c[some] for c in column], rows[some]
+    which = _range_of(joined(column[2], column[1]) if by_context else joined(column[1], column[0]), ranges)
+    if rounds > 1:
+        own = which % rounds == turn
+        which, column, rows = which[own], [c[own] for c in column], rows[own]
+    if not len(which):
         return
-    column = [code[at]] + [np.where(place[at] >= j, code[np.maximum(at - j, 0)], 0) for j in range(1, depth + 1)]
-    order = _order([which, column[1], column[0], *column[2:]], [ranges] + [len(known) + 1] * (depth + 1))
-    which, column, rows = which[order], [c[order] for c in column], row[at][order]
-    new = np.ones(len(at), bool)
+    for c in column[2:]:
+        c[c <= ONCE] = NONE
+    order = np.argsort(which.astype(np.uint16) if ranges <= 1 << 16 else which, kind="stable")
+    which, column, rows = which[order], [c[order] for c in column], rows[order]
+    new = np.ones(len(which), bool)
     new[1:] = (which[1:] != which[:-1]) | (column[1][1:] != column[1][:-1]) | (column[0][1:] != column[0][:-1])
     levels = [new]
     for j in range(2, depth + 1):
@@ -267,43 +422,34 @@ def tries(block: Block, depth: int, ranges: int, rounds: int = 1, turn: int = 0,
             heads = np.flatnonzero(levels[j][a:b][down])
             parts += [np.diff(np.append(heads, len(down))), column[j + 2][a:b][down]]
         parts.append(np.diff(np.append(starts[-1], b - a)))
-        if taught is not None:
+        if score and by_context:
             parts.append(np.add.reduceat(taught[rows[a:b]].astype(np.int64), starts[-1]))
-        if with_rows:
+        if score:
             parts.append(rows[a:b])
-        words = [0, 1, *range(3, 2 + 2 * (depth - 1), 2)]
-        here = np.zeros(len(known) + 1, bool)
-        for i in words:
-            here[parts[i]] = True
-        here[0] = False
-        renumbered = np.cumsum(here, dtype=np.uint32) * here
-        for i in words:
-            parts[i] = renumbered[parts[i]]
-        yield int(which[a]), packed(parts, known[here[1:]])
+        yield int(which[a]), packed(parts)
 
 
 def strings_of(data: bytes, depth: int, more: int = 0):
     """Of a trie, for each length from 2: (strings, contexts, suffixes) as keys, which of them
-    there are, and their parents' places in the level before; then how often those of the
-    last occur, and `more` arrays that the trie holds beside."""
-    parts, known = unpacked(data, 2 + 2 * (depth - 1) + 1 + more)
-    known = np.concatenate([[0], known])
-    word, context = known[parts[0]], known[parts[1]]
+    there are, their parents' places in the level before, and their last words; then how often
+    those of the last occur, and `more` arrays that the trie holds beside."""
+    parts = unpacked(data, 2 + 2 * (depth - 1) + 1 + more)
+    word, context = parts[0], parts[1]
     key = joined(context, word)
     # of each entry of a level: its last word, its context's words (nearest first) and its key
     last, before = word, [context]
-    levels = [(key, context, word, np.ones(len(key), bool), None)]
+    levels = [(key, context, word, np.ones(len(key), bool), None, word)]
     for j in range(depth - 1):
         count, first = parts[2 + 2 * j], parts[3 + 2 * j]
         up = np.repeat(np.arange(len(count)), count)
-        there = first > 0
+        there = first > NONE
         last, suffix = last[up], key[up]
-        before = [b[up] for b in before] + [known[first]]
+        before = [b[up] for b in before] + [first]
         context = before[-1]
         for b in before[-2::-1]:
             context = joined(context, b)
         key = joined(context, last)
-        levels.append((key, context, suffix, there, up))
+        levels.append((key, context, suffix, there, up, last))
     return levels, parts[2 + 2 * (depth - 1):]
 
 
@@ -314,12 +460,44 @@ def _up_to(levels: list, k: int, n: np.ndarray) -> np.ndarray:
     return n
 
 
-def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct keys, their sums of n, the first place of each)."""
-    order = np.argsort(keys, kind="stable")
-    bounds = _runs(keys[order])
-    first = order[bounds[:-1]]
-    return keys[first], (np.add.reduceat(n[order], bounds[:-1]) if len(keys) else n), first
+def _summed(keys: np.ndarray, n: np.ndarray, some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, their sums of n, a place of each) of those whose sum reaches LEAST_COUNT,
+    of some entries. Sums over keys that share some bits tell first which are worth sorting."""
+    mask = (1 << max(8, int(2 * len(keys)).bit_length())) - 1
+    slot = keys & mask
+    may = np.bincount(slot, n if some is None else np.where(some, n, 0), mask + 1)[slot] >= LEAST_COUNT
+    at = np.flatnonzero(may if some is None else may & some)
+    at = at[np.argsort(keys[at])]
+    bounds = _runs(keys[at])
+    first = at[bounds[:-1]]
+    n = np.add.reduceat(n[at], bounds[:-1]) if len(at) else n[at]
+    often = n >= LEAST_COUNT
+    return keys[first][often], n[often], first[often]
+
+
+class Values:
+    """Values by key (distinct, ascending); some bits of a key tell first which are worth a look."""
+
+    def __init__(self, keys: np.ndarray, *values: np.ndarray):
+        self.keys, self.values = keys, values
+        self.mask = (1 << max(8, int(8 * len(keys)).bit_length())) - 1
+        self.held = np.zeros(self.mask + 1, bool)
+        self.held[keys & self.mask] = True
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the wanted keys are there, and their places among the keys."""
+        some = np.flatnonzero(self.held[wanted & self.mask])
+        at = np.minimum(np.searchsorted(self.keys, wanted[some]), len(self.keys) - 1)
+        there = self.keys[at] == wanted[some] if len(some) else np.zeros(0, bool)
+        return some[there], at[there]
+
+    def of(self, wanted: np.ndarray) -> list[np.ndarray]:
+        """The values of the wanted keys, 0 where a key is not there."""
+        some, at = self.find(wanted)
+        out = [np.zeros(len(wanted)) for _ in self.values]
+        for o, v in zip(out, self.values):
+            o[some] = v[at]
+        return out
 
 
 def _trie_rows(found: list) -> pa.RecordBatch:
@@ -327,12 +505,19 @@ def _trie_rows(found: list) -> pa.RecordBatch:
                                       ["range", "trie"])
 
 
-def count_pairs(docs: DataFrame, learn: Column, ranges: int) -> DataFrame:
+def _loaded(batches):
+    """(block, data, taught) of batches of rows of BLOCKS."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch["block"][i].as_py(), batch["data"][i].as_py(), np.frombuffer(batch["taught"][i].as_py(), bool)
+
+
+def count_pairs(texts: DataFrame, ranges: int) -> DataFrame:
     """Rows (key, context, suffix, n) of the pairs of words that occur LEAST_COUNT times in the training texts."""
 
     def run(batches):
-        for block, _ in blocks(batches, 1):
-            yield _trie_rows(list(tries(block, 1, ranges)))
+        for _, data, taught in _loaded(batches):
+            yield _trie_rows(list(tries(data, taught, 1, ranges)))
 
     def add(group: pa.Table) -> pa.Table:
         columns = [[], [], [], []]
@@ -342,21 +527,20 @@ def count_pairs(docs: DataFrame, learn: Column, ranges: int) -> DataFrame:
                 x.append(column)
         key, context, suffix, n = (np.concatenate(x) for x in columns)
         key, n, first = _summed(key, n)
-        often = n >= LEAST_COUNT
-        return pa.table({"key": key[often], "context": context[first][often], "suffix": suffix[first][often], "n": n[often]})
+        return pa.table({"key": key, "context": context[first], "suffix": suffix[first], "n": n})
 
-    return (docs.where(learn).select("text").mapInArrow(run, "range long, trie binary")
+    return (texts.select("block", "data", "taught").mapInArrow(run, "range long, trie binary")
             .groupBy("range").applyInArrow(add, "key long, context long, suffix long, n long"))
 
 
-def lower_of_pairs(docs: DataFrame, learn: Column, pairs: DataFrame, ranges: int, rounds: int = 1, turn: int = 0) -> DataFrame:
-    """Rows (range, keys, p), of lists: P(w | the word before) of the pairs in which
+def lower_of_pairs(texts: DataFrame, pairs: DataFrame, ranges: int, rounds: int = 1, turn: int = 0) -> DataFrame:
+    """Rows (range, keys, p), of arrays: P(w | the word before) of the pairs in which
     strings of three words end that a range of contexts keeps, of one round's ranges;
     pairs: (key, p). A range asks the pairs' ranges by list."""
 
     def run(batches):
-        for block, _ in blocks(batches, 2):
-            yield _trie_rows(list(tries(block, 2, ranges, rounds, turn, by_context=True)))
+        for _, data, taught in _loaded(batches):
+            yield _trie_rows(list(tries(data, taught, 2, ranges, rounds, turn, by_context=True)))
 
     def want(group: pa.Table) -> pa.Table:
         keys, pair, counts = [], [], []
@@ -365,26 +549,23 @@ def lower_of_pairs(docs: DataFrame, learn: Column, pairs: DataFrame, ranges: int
             keys.append(levels[1][0])
             pair.append(levels[1][2])
             counts.append(n)
-        _, n, first = _summed(np.concatenate(keys), np.concatenate(counts))
-        pair = np.unique(np.concatenate(pair)[first[n >= LEAST_COUNT]])
+        _, _, first = _summed(np.concatenate(keys), np.concatenate(counts))
+        pair = np.unique(np.concatenate(pair)[first])
         bucket = _range_of(pair, ranges)  # ascending, like the keys
         cut = _runs(bucket)
         return pa.table({"bucket": bucket[cut[:-1]], "range": pa.array(np.full(len(cut) - 1, group["range"][0].as_py())),
-                         "keys": _lists(pair, cut)})
+                         "keys": _bytes([pair[a:b] for a, b in zip(cut[:-1], cut[1:])])})
 
     def tell(asked: pa.Table, known: pa.Table) -> pa.Table:
         order = np.argsort(known["key"].to_numpy())
         key, p = known["key"].to_numpy()[order], known["p"].to_numpy()[order]
-        asked = asked.combine_chunks()
-        keys = asked["keys"].combine_chunks() if asked.num_rows else pa.array([], pa.list_(pa.int64()))
-        flat = keys.flatten().to_numpy()
-        cut = np.concatenate([[0], np.cumsum(keys.value_lengths().to_numpy())])
-        return pa.table({"range": asked["range"], "keys": keys, "p": _lists(p[np.searchsorted(key, flat)], cut)})
-
-    asked = (docs.where(learn).select("text").mapInArrow(run, "range long, trie binary")
-             .groupBy("range").applyInArrow(want, "bucket long, range long, keys array<long>"))
+        return pa.table({"range": asked["range"], "keys": asked["keys"],
+                         "p": _bytes([p[np.searchsorted(key, k)] for k in _of_bytes(asked["keys"], np.int64)])})
+
+    asked = (texts.select("block", "data", "taught").mapInArrow(run, "range long, trie binary")
+             .groupBy("range").applyInArrow(want, "bucket long, range long, keys binary"))
     known = pairs.select(_range_column("key", ranges).alias("bucket"), "key", "p")
-    return asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(tell, "range long, keys array<long>, p array<double>")
+    return asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(tell, "range long, keys binary, p binary")
 
 
 def _quantile_95(df):
@@ -399,7 +580,9 @@ def grow(words: DataFrame, counted: DataFrame, n: int, v: int) -> tuple[DataFram
     (also as a state) and a pair add to a text's scores beyond the root probability of an unknown word."""
     log = F.log10(F.col("n") + 1)
     one = words.select(F.col("word").alias("key"), log.alias("base"), log.alias("score"))
-    own = counted.join(words.select(F.col("word").alias("suffix"), ((F.col("n") + 1) / F.lit(float(n + v + 1))).alias("lower")), "suffix")
+    own = _kept(counted.join(words.select(F.col("word").alias("suffix"), ((F.col("n") + 1) / F.lit(float(n + v + 1))).alias("lower")), "suffix"),
+                "suffixtree-lower-of-pairs")
+    dropped(counted)
     contexts = own.groupBy("context").agg(
         F.count("*").alias("size"), F.sum("n").alias("kept"), F.sum("lower").alias("lower"),
         F.sum(F.col("n") * F.log(F.col("n") / F.col("lower"))).alias("gain")).join(
@@ -416,44 +599,32 @@ def grow(words: DataFrame, counted: DataFrame, n: int, v: int) -> tuple[DataFram
         "suffixtree-pair-values")
     one = _kept(one.unionByName(states.select(F.col("context").alias("key"), F.lit(0.0).alias("base"), F.log10("rest").alias("score"))),
                 "suffixtree-word-values")
-    dropped(words, counted, states)
+    dropped(words, own, states)
     return one, pairs
 
 
-def _at(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """The values of keys (distinct, ascending), 0 where a key is not there."""
-    if not len(keys):
-        return np.zeros(len(wanted))
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], 0.0)
-
-
-def branch(lists: list[bytes], depth: int, keys: np.ndarray, p: np.ndarray) -> list[tuple[np.ndarray, ...]]:
-    """The tree's part in a range, from its tries: for each length of context from 2 (states,
-    log10 of their rests, strings that go on from them, what those add), as keys in ascending
-    order with values. keys, p: the pairs in which kept strings of three words end, and P(w | the word before)."""
+def branch(found: list[tuple], depth: int, keys: np.ndarray, p: np.ndarray) -> list[tuple[Values, Values]]:
+    """The tree's part in a range, from its tries (as `strings_of` gives them): for each length of
+    context from 2 (states with log10 of their rests, strings that go on from them with what those
+    add). keys, p: the pairs in which kept strings of three words end, and P(w | the word before)."""
     out = []
     for k in range(1, depth):
-        columns = [[], [], [], []]
-        for data in lists:
-            levels, (_, taught, _) = strings_of(data, depth, 2)
+        columns = [[], [], [], [], []]
+        for levels, (_, taught, _) in found:
             n = _up_to(levels, k, taught)
-            some = levels[k][3] & (n > 0)
-            for x, column in zip(columns, [*levels[k][:3], n]):
+            key, context, suffix, there, _, last = levels[k]
+            some = np.flatnonzero(there & (n > 0))
+            for x, column in zip(columns, [key, context, suffix, n, last > ONCE]):
                 x.append(column[some])
-            del levels, taught
-        key, context, suffix, n = (np.concatenate(x) for x in columns)
+        every, context, suffix, count, often = (np.concatenate(x) for x in columns)
         del columns
-        key, n, first = _summed(key, n)
-        context, suffix = context[first], suffix[first]
-        contexts, of = np.unique(context, return_inverse=True)
-        total = np.bincount(of, n, len(contexts))
-        often = n >= LEAST_COUNT
-        key, of, n, lower = key[often], of[often], n[often], _at(keys, p, suffix[often])
+        key, n, first = _summed(every, count, often)
+        suffix = suffix[first]
+        contexts, of = np.unique(context[first], return_inverse=True)
+        some, at = Values(contexts).find(context)
+        total = np.bincount(at, count[some], len(contexts))
+        lower = Values(keys, p).of(suffix)[0]
         size, kept, below = (np.bincount(of, x, len(contexts)) for x in (None, n, lower))
-        some = size > 0
-        contexts, total, size, kept, below = (x[some] for x in (contexts, total, size, kept, below))
-        of = (np.cumsum(some) - 1)[of]
         left = total - kept
         gain = np.bincount(of, n * np.log(n / lower), len(contexts)) - kept * np.log(total)
         gain += left * np.log(np.where(left > 0, left, total) / total / np.maximum(1 - below, 1e-12))
@@ -462,138 +633,111 @@ def branch(lists: list[bytes], depth: int, keys: np.ndarray, p: np.ndarray) -> l
         p = np.where(state[of], (n - DISCOUNT) / total[of] + rest[of] * lower, lower)
         more = state[of]
         adds = np.log10(p[more]) - np.log10(rest[of][more]) - np.log10(lower[more])
-        out.append((contexts[state], np.log10(rest[state]), key[more], adds))
+        out.append((Values(contexts[state], np.log10(rest[state])), Values(key[more], adds)))
         keys = key
     return out
 
 
-HEADS = "doc_id array<long>, piece array<int>, n_tokens array<long>, digest array<binary>"
-ASKED = f"block long, range long, trie binary, {HEADS}"
-ANSWERED = f"block long, row array<int>, n_known array<int>, base array<double>, score array<double>, {HEADS}"
+ASKED = "block long, range long, trie binary"
+ANSWERED = "block long, row binary, n_known binary, base binary, score binary"
 SUMS = "doc_id long, digest binary, n_tokens long, n_known long, base_score double, score double, copies long"
 
 
-def _names(schema: str) -> list[str]:
-    return [c.split()[0] for c in schema.split(", ")]
-
-
-def _heads(block: Block, heads: list) -> list[pa.Array]:
-    """The block's texts: id, piece, number of tokens in it and digest of the whole text."""
-    import xxhash
-
-    _, _, token, row = block.arrays()
-    ids = pa.concat_arrays([b.column(0).slice(first, len(texts)).cast(pa.int64()) for b, texts, first, _ in heads])
-    pieces = np.concatenate([np.full(len(texts), piece, np.int32) for _, texts, _, piece in heads])
-    digests = [xxhash.xxh3_128_digest(t.encode("utf-8")) for _, texts, _, _ in heads for t in texts]
-    whole = np.array([0, len(ids)])
-    return [pa.ListArray.from_arrays(pa.array(whole.astype(np.int32)), ids), _lists(pieces, whole),
-            _lists(np.bincount(row[token], minlength=len(ids)).astype(np.int64), whole),
-            pa.ListArray.from_arrays(pa.array(whole.astype(np.int32)), pa.array(digests, pa.binary()))]
-
-
-def _empty_heads(rows: int) -> list[pa.Array]:
-    return [pa.nulls(rows, pa.list_(t)) for t in (pa.int64(), pa.int32(), pa.int64(), pa.binary())]
-
-
-def score(docs: DataFrame, values: DataFrame, depth: int, ranges: int, rounds: int = 1, turn: int = 0) -> DataFrame:
-    """Rows of SUMS: what one round's ranges add to the scores of every row of docs
-    (doc_id, text, learn). Depth 0: single words, with their values (key, base, score);
-    1: pairs, with (key, score); beyond: contexts of two words to depth, and what
+def score(texts: DataFrame, values: DataFrame, depth: int, ranges: int, rounds: int = 1, turn: int = 0) -> DataFrame:
+    """Rows of ANSWERED: what one round's ranges add to the scores of every text of the blocks.
+    Depth 0: single words, with their values (key, base, score); 1: pairs, with
+    (key, score); beyond: contexts of two words to depth, and what
     follows them, with (range, keys, p) of `lower_of_pairs`."""
 
     def ask(batches):
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 32
-        for block, heads in blocks(batches, depth):
-            if depth > 1:
-                taught = np.concatenate([b.column(2).slice(first, len(texts)).to_numpy(zero_copy_only=False)
-                                         for b, texts, first, _ in heads])
-                found = list(tries(block, depth, ranges, rounds, turn, True, True, taught))
-            elif depth:
-                found = list(tries(block, 1, ranges, rounds, turn, True))
+        for number, data, taught in _loaded(batches):
+            if depth:
+                found = list(tries(data, taught, depth, ranges, rounds, turn, True, depth > 1))
             else:
-                keys, _, token, row = block.arrays()
-                keys, row = keys[token], row[token]
-                order = np.argsort(keys, kind="stable")
-                keys, row = keys[order], row[order]
-                bounds = _runs(keys)
-                keys = keys[bounds[:-1]]
-                cut = np.searchsorted(_range_of(keys, ranges), np.arange(ranges + 1))
-                found = [(r, packed([np.diff(bounds[a:b + 1]), row[bounds[a]:bounds[b]]], keys[a:b]))
+                word, _, token, row, _ = unpacked(data, 5)
+                some = np.flatnonzero((token > 0) & (word > NONE))
+                if not len(some):
+                    continue
+                word, row = word[some], row[some]
+                each = int(word.max()) // ranges + 1
+                dealt = word % ranges * each + word // ranges
+                order = np.argsort(dealt)
+                dealt, row = dealt[order], row[order]
+                bounds = _runs(dealt)
+                dealt = dealt[bounds[:-1]]
+                cut = np.searchsorted(dealt, np.arange(ranges + 1) * each)
+                found = [(r, packed([np.diff(bounds[a:b + 1]), row[bounds[a]:bounds[b]], dealt[a:b] % each * ranges + r]))
                          for r, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if a < b]
             n = len(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, number)), pa.array([r for r, _ in found], pa.int64()), pa.array([t for _, t in found], pa.binary()),
-                 *_empty_heads(n)], _names(ASKED))
-            # the block's own row goes to some range
-            own = number % 1000003 % (-(-(ranges - turn) // rounds)) * rounds + turn
-            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([own]), pa.nulls(1, pa.binary()), *_heads(block, heads)], _names(ASKED))
-            number += 1
+                [pa.array(np.full(n, number)), pa.array([r for r, _ in found], pa.int64()), pa.array([t for _, t in found], pa.binary())],
+                _names(ASKED))
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        heads = asked.filter(asked["trie"].is_null())
-        asked = asked.filter(asked["trie"].is_valid())
-        lists = [x.as_py() for x in asked["trie"]]
         if depth > 1:
-            key, p = (pa.chunked_array(known[c].chunks, known[c].type).combine_chunks().flatten().to_numpy() for c in ("keys", "p"))
+            if not asked.num_rows:
+                return pa.table({c: pa.array([], pa.int64() if c == "block" else pa.binary()) for c in _names(ANSWERED)})
+            key, p = (np.concatenate([*_of_bytes(known[c], t), np.zeros(0, t)]) for c, t in (("keys", np.int64), ("p", np.float64)))
             order = np.argsort(key)
-            tree = branch(lists, depth, key[order], p[order]) if lists else []
+            found = [strings_of(x.as_py(), depth, 2) for x in asked["trie"]]
+            tree = branch(found, depth, key[order], p[order])
         else:
+            found = [x.as_py() for x in asked["trie"]]
             key = known["key"].to_numpy()
             order = np.argsort(key)
             bounds = _runs(key[order])
-            base, own = (np.add.reduceat(known[c].to_numpy()[order], bounds[:-1]) if len(key) else np.zeros(0)
-                         for c in (["score"] * 2 if depth else ["base", "score"]))
-            key = key[order][bounds[:-1]]
+            told = Values(key[order][bounds[:-1]], *(np.add.reduceat(known[c].to_numpy()[order], bounds[:-1]) if len(key) else np.zeros(0)
+                                                     for c in (["score"] if depth else ["base", "score"])))
 
-        def sums_of(data: bytes):
+        def sums_of(data):
             """(how often, rows, sums) of a trie's branches."""
             if not depth:
-                (n, row), keys = unpacked(data, 2)
-                found = _at(key, base, keys)
-                return n, row, [(found > 0).astype(float), found, _at(key, own, keys)]
+                n, row, keys = unpacked(data, 3)
+                base, own = told.of(keys)
+                return n, row, [(base > 0).astype(float), base, own]
             if depth == 1:
                 levels, (n, row) = strings_of(data, 1, 1)
-                total = _at(key, own, levels[0][0])
-            else:
-                levels, (n, _, row) = strings_of(data, depth, 2)
-                total = np.zeros(len(levels[0][0]))
-                for (string, context, _, there, up), (states, rests, strings, adds) in zip(levels[1:], tree):
-                    total = total[up] + np.where(there, _at(states, rests, context) + _at(strings, adds, string), 0.0)
-            return n, row, [np.zeros(len(n)), np.zeros(len(n)), total]
-
-        out = [[], [], [], []]
-        for data in lists:
+                return n, row, told.of(levels[0][0])
+            levels, (n, _, row) = data
+            total = np.zeros(len(levels[0][0]))
+            for (string, context, _, there, up, _), (states, strings) in zip(levels[1:], tree):
+                total = total[up] + np.where(there, states.of(context)[0] + strings.of(string)[0], 0.0)
+            return n, row, [total]
+
+        rows, out = [], []
+        for data in found:
             n, row, sums = sums_of(data)
             most = int(row.max(initial=-1)) + 1
             sums = [np.bincount(row, np.repeat(s, n), most) for s in sums]
-            some = np.flatnonzero((sums[0] != 0) | (sums[1] != 0) | (sums[2] != 0))
-            for x, y in zip(out, [some.astype(np.int32), *[s[some] for s in sums]]):
-                x.append(y)
-        cut = np.cumsum([0, *[len(x) for x in out[0]]])
-        flat = [np.concatenate(x) if x else np.zeros(0) for x in out]
-        types = [np.int32, np.int32, np.float64, np.float64]
-        answers = [asked["block"].combine_chunks(), *[_lists(x.astype(t), cut) for x, t in zip(flat, types)], *_empty_heads(asked.num_rows)]
-        empty = [pa.array([[]] * heads.num_rows, pa.list_(t)) for t in (pa.int32(), pa.int32(), pa.float64(), pa.float64())]
-        names = _names(ANSWERED)
-        first = pa.table(dict(zip(names, answers)))
-        second = pa.table(dict(zip(names, [heads["block"], *empty, *[heads[c] for c in names[5:]]]))).cast(first.schema)
-        return pa.concat_tables([first, second])
-
-    def add_up(group: pa.Table) -> pa.Table:
-        head = group.filter(group["doc_id"].is_valid())
+            some = np.flatnonzero(reduce(np.logical_or, [s != 0 for s in sums]))
+            rows.append(some.astype(np.int32))
+            out.append([s[some] for s in sums])
+        none = pa.nulls(len(out), pa.binary())
+        columns = [none] * 2 if depth else [_bytes([x[0] for x in out]), _bytes([x[1] for x in out])]
+        return pa.table(dict(zip(_names(ANSWERED), [asked["block"], _bytes(rows), *columns, _bytes([x[-1] for x in out])])))
+
+    held = values if depth > 1 else values.withColumn("range", _range_column("key", ranges) if depth else F.pmod("key", F.lit(ranges).cast("long")))
+    if rounds > 1:
+        held = held.where(F.col("range") % rounds == turn)
+    asked = texts.select("block", "data", "taught").mapInArrow(ask, ASKED)
+    return asked.groupBy("range").cogroup(held.groupBy("range")).applyInArrow(answer, ANSWERED)
+
+
+def sums(texts: DataFrame, answers: DataFrame) -> DataFrame:
+    """Rows of SUMS, one of every text, or piece of a long one, from those of ANSWERED."""
+
+    def add_up(told: pa.Table, head: pa.Table) -> pa.Table:
         ids, piece, tokens, digest = (head[c].combine_chunks().flatten() for c in ("doc_id", "piece", "n_tokens", "digest"))
-        row, known, base, own = (group[c].combine_chunks().flatten().to_numpy() for c in ("row", "n_known", "base", "score"))
-        total = lambda x: np.bincount(row, x, len(ids)).astype(np.float64)
-        return pa.table({"doc_id": ids, "digest": digest, "n_tokens": tokens, "n_known": total(known).astype(np.int64),
-                         "base_score": total(base), "score": total(own), "copies": (piece.to_numpy() == 0).astype(np.int64)})
+        total = {c: np.zeros(len(ids)) for c in ("n_known", "base", "score")}
+        for row, *values in zip(_of_bytes(told["row"], np.int32), *(told[c] for c in total)):
+            for out, x in zip(total.values(), values):
+                if x.is_valid:
+                    out[row] += np.frombuffer(x.as_py(), np.float64)
+        return pa.table({"doc_id": ids, "digest": digest, "n_tokens": tokens, "n_known": total["n_known"].astype(np.int64),
+                         "base_score": total["base"], "score": total["score"], "copies": (piece.to_numpy() == 0).astype(np.int64)})
 
-    held = values if depth > 1 else values.withColumn("range", _range_column("key", ranges))
-    held = held.where(F.col("range") % rounds == turn)
-    asked = docs.select("doc_id", "text", "learn").mapInArrow(ask, ASKED)
-    answers = asked.groupBy("range").cogroup(held.groupBy("range")).applyInArrow(answer, ANSWERED)
-    return answers.groupBy("block").applyInArrow(add_up, SUMS)
+    heads = texts.select("block", *_names(HEADS))
+    return answers.groupBy("block").cogroup(heads.groupBy("block")).applyInArrow(add_up, SUMS)
 
 
 def score_texts(df: DataFrame, learn: Column, depth: int = DEPTH, id_col: str = "doc_id",
@@ -601,28 +745,32 @@ def score_texts(df: DataFrame, learn: Column, depth: int = DEPTH, id_col: str =
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row,
     by a tree grown on the rows where `learn` (a condition on doc_id) holds."""
     docs = keyed_texts(df, id_col, text_col).withColumn("learn", F.coalesce(learn, F.lit(False)))
-    learn = F.col("learn")
     size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 6)).first()[0] or 0
     ranges = min(1 << 20, max(ROUNDS, 1 + size // range_bytes))
-    words = _kept(count_words(docs, learn), "suffixtree-words")
-    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    one, pairs = grow(words, _kept(count_pairs(docs, learn, ranges), "suffixtree-pairs"), int(n), int(v))
-    rounds = [_kept(score(docs, one, 0, ranges), "suffixtree-scores-words")]
-    rounds += [_kept(score(docs, pairs.where("score is not null"), 1, ranges, ROUNDS, k), f"suffixtree-scores-pairs-round{k}")
+    _batches_of_bytes(df.sparkSession)
+    cut = _kept(cut_texts(docs, depth), "suffixtree-cut", BLOCK_FILE)
+    numbered = _kept(number_words(cut, ranges), "suffixtree-numbers")
+    texts = _kept(numbered_texts(cut, numbered, depth), "suffixtree-texts", BLOCK_FILE)
+    dropped(cut)
+    words = _kept(words_of(numbered), "suffixtree-words")
+    n, v = numbered.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
+    dropped(numbered)
+    one, pairs = grow(words, _kept(count_pairs(texts, ranges), "suffixtree-pairs"), int(n), int(v))
+    rounds = [_kept(score(texts, one, 0, ranges), "suffixtree-scores-words")]
+    rounds += [_kept(score(texts, pairs.where("score is not null"), 1, ranges, ROUNDS, k), f"suffixtree-scores-pairs-round{k}")
                for k in range(ROUNDS)]
     if depth > 1:
-        lower = [_kept(lower_of_pairs(docs, learn, pairs, ranges, ROUNDS, k), f"suffixtree-lower-round{k}") for k in range(ROUNDS)]
+        lower = [_kept(lower_of_pairs(texts, pairs, ranges, ROUNDS, k), f"suffixtree-lower-round{k}") for k in range(ROUNDS)]
     dropped(one, pairs)
     if depth > 1:
         for k, held in enumerate(lower):
-            rounds.append(_kept(score(docs, held, depth, ranges, ROUNDS, k), f"suffixtree-scores-round{k}"))
+            rounds.append(_kept(score(texts, held, depth, ranges, ROUNDS, k), f"suffixtree-scores-round{k}"))
             dropped(held)
-    # equal rows have equal sums: each round has a row for each of them, and for each piece of a long text
-    rows = _union(rounds).groupBy("doc_id", "digest").agg(
-        (F.sum("copies") / len(rounds)).cast("long").alias("copies"),
-        *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
+    # a long text has a row for each of its pieces; equal rows have equal sums
+    rows = sums(texts, _union(rounds)).groupBy("doc_id", "digest").agg(
+        *[F.sum(c).alias(c) for c in ("copies", "n_tokens", "n_known", "base_score", "score")])
     root = F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
-    rows = rows.withColumn("n_tokens", (F.col("n_tokens") / (len(rounds) * F.col("copies"))).cast("long"))
+    rows = rows.withColumn("n_tokens", (F.col("n_tokens") / F.col("copies")).cast("long"))
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return rows.select("doc_id", "n_tokens", (F.col("n_known") / F.col("copies")).cast("long").alias("n_known"),
                        F.lit(int(n)).cast("long").alias("train_tokens"),

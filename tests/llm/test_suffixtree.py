@@ -136,3 +136,34 @@ def test_tree_grows_with_the_corpus(make_docs):
     rows = st.score_texts(make_docs(pairs + held), F.col("doc_id") % 2 == 0).where("doc_id % 2 = 1").collect()
     assert rows[0].train_tokens * 5e-7 > 2.1 and len(rows) == 50
     assert min(r.score - r.base_score for r in rows) > 6  # three words each that their states foretell
+
+
+def test_texts_are_cut_into_words_once(make_docs, monkeypatch, tmp_path):
+    """Later passes read the numbered blocks, not the texts."""
+    cut = st._sequences
+
+    def noted(texts):
+        with open(tmp_path / "cut", "a") as f:
+            f.writelines(t + "\n" for t in texts)
+        return cut(texts)
+
+    monkeypatch.setattr(st, "_sequences", noted)
+    pairs = [(i, f"a b c w{i} a b c d") for i in range(40)]
+    check(st.score_texts(make_docs(pairs), F.col("doc_id") % 3 > 0).collect(), pairs, [t for i, t in pairs if i % 3])
+    assert sorted((tmp_path / "cut").read_text().split("\n")[:-1]) == sorted(t for _, t in pairs)
+
+
+def test_order_sums_and_values_like_plain_ones():
+    rng = np.random.default_rng(5)
+    columns = [rng.integers(0, 3, 500) for _ in range(5)]
+    order = st._order(columns, [1 << 30] * 5)  # two to a key
+    assert (np.stack(columns)[:, order] == np.stack(columns)[:, np.lexsort(columns[::-1])]).all()
+    keys, n, some = rng.integers(0, 300, 500) << 40, rng.integers(0, 3, 500), rng.random(500) < 0.7
+    want = {k: n[(keys == k) & some].sum() for k in np.unique(keys)}
+    want = {k: x for k, x in want.items() if x >= st.LEAST_COUNT}
+    key, total, first = st._summed(keys, n, some)
+    assert dict(zip(key.tolist(), total.tolist())) == want and (keys[first] == key).all() and some[first].all()
+    told = st.Values(key, total.astype(float))
+    wanted = np.append(keys, [7, 1 << 50])
+    assert told.of(wanted)[0].tolist() == [want.get(k, 0) for k in wanted.tolist()]
+    assert st.Values(key[:0], total[:0]).of(wanted)[0].tolist() == [0] * len(wanted)
