@@ -68,6 +68,8 @@ BLOCK = 1 << 20
 RANGE_BYTES = 8 << 20
 #: Rounds in which the ranges of pairs' scores and of longer contexts are gone through.
 ROUNDS = 2
+#: Spreads numbers of words over the rounds; their product fits a long.
+PART = 0x5F356495
 #: Blocks to a file, and bytes that a task reads at a time: a block has some megabytes.
 BLOCK_FILE, BATCH_BYTES = 8, 16 << 20
 #: Numbers of an array that are worked on at once.
@@ -211,31 +213,44 @@ def _of_bytes(column: pa.ChunkedArray, dtype) -> list[np.ndarray]:
     return [np.frombuffer(x.as_py(), dtype) for x in column]
 
 
+def _planes(a: np.ndarray) -> list[np.ndarray]:
+    """Small numbers (below 2^32) as planes of their bytes, lowest first, as many as the greatest needs."""
+    width = max(1, -(-int(a.max(initial=0)).bit_length() // 8))
+    return [(a >> 8 * k if k else a).astype(np.uint8) for k in range(width)]
+
+
+def _joined_planes(parts: list[list[np.ndarray]]) -> bytes:
+    """Arrays, each as its planes, compressed as one."""
+    head = np.array([x for planes in parts for x in (len(planes[0]), len(planes))], np.uint32)
+    raw = b"".join([head, *(p for planes in parts for p in planes)])
+    return np.uint32(len(raw)).tobytes() + pa.Codec("zstd", 1).compress(raw, asbytes=True)
+
+
 def packed(arrays: list[np.ndarray]) -> bytes:
     """Arrays of small numbers (below 2^32), as planes of as many bytes as the greatest needs, compressed."""
-    head, out = [], []
-    for a in arrays:
-        width = max(1, -(-int(a.max(initial=0)).bit_length() // 8))
-        a = a.astype(np.uint8 if width == 1 else np.uint16 if width == 2 else np.uint32)
-        head += [len(a), width]
-        out += [a.view(np.uint8).reshape(len(a), a.itemsize)[:, k].tobytes() for k in range(width)]
-    raw = b"".join([np.array(head, np.uint32).tobytes(), *out])
-    return np.uint32(len(raw)).tobytes() + pa.Codec("zstd", 1).compress(raw, asbytes=True)
+    return _joined_planes([_planes(a) for a in arrays])
 
 
-def unpacked(data: bytes, count: int) -> list[np.ndarray]:
+def unpacked(data: bytes, count: int, dtype=np.int64) -> list[np.ndarray]:
     size = int(np.frombuffer(data[:4], np.uint32)[0])
-    raw = np.frombuffer(pa.Codec("zstd").decompress(data[4:], size, asbytes=True), np.uint8)
+    raw = np.frombuffer(pa.Codec("zstd").decompress(memoryview(data)[4:], size, asbytes=True), np.uint8)
     at, out = 8 * count, []
     for n, width in raw[:at].view(np.uint32).reshape(-1, 2).tolist():
-        a = np.zeros((n, 8), np.uint8)
-        for k in range(width):
-            a[:, k] = raw[at + k * n:at + (k + 1) * n]
+        a = raw[at:at + n].astype(np.uint32 if width > 1 else dtype)
+        for k in range(1, width):
+            a |= raw[at + k * n:at + (k + 1) * n].astype(np.uint32) << np.uint32(8 * k)
         at += n * width
-        out.append(a.reshape(-1).view(np.int64))
+        out.append(a.astype(dtype, copy=False))
     return out
 
 
+def gathered(tries: pa.ChunkedArray, count: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The arrays of packed tries one after the other, and how long each trie's last is."""
+    found = [unpacked(x.as_py(), count, np.uint32) for x in tries]
+    out = [np.concatenate([f[k] for f in found]) for k in range(count)]
+    return out, np.array([len(f[-1]) for f in found])
+
+
 def _order(columns: list[np.ndarray], sizes: list[int]) -> np.ndarray:
     """The order of rows by columns of numbers below sizes, several to a sort key where they
     fit; a further key is looked at only where those before are equal."""
@@ -261,7 +276,7 @@ def _order(columns: list[np.ndarray], sizes: list[int]) -> np.ndarray:
 
 HEADS = "doc_id array<long>, piece array<int>, n_tokens array<long>, digest array<binary>"
 CUT = f"block long, keys binary, n binary, data binary, taught binary, {HEADS}"
-BLOCKS = f"block long, data binary, taught binary, {HEADS}"
+BLOCKS = f"block long, data binary, taught binary, {HEADS}, places array<binary>"
 
 
 def _names(schema: str) -> list[str]:
@@ -357,138 +372,205 @@ def words_of(numbered: DataFrame) -> DataFrame:
     return many.unionByName(many.sparkSession.range(1).select(F.lit(ONCE).cast("long").alias("word"), F.lit(1).cast("long").alias("n")))
 
 
+def _part(word, rounds: int):
+    """The round of strings, of an array or column of the words before their last."""
+    if isinstance(word, Column):
+        return F.shiftright(word * F.lit(PART), 20) % rounds
+    return (word * PART >> 20) % rounds
+
+
 def numbered_texts(cut: DataFrame, numbered: DataFrame, depth: int) -> DataFrame:
-    """Rows of BLOCKS: words by number, and the order of the tokens whose word before occurs
-    more than once: by that word, the token, the word before the two, and so on."""
+    """Rows of BLOCKS: words by number, and for each round the places of the tokens whose word
+    before occurs more than once and is of that round, in order: by that word, the token, the
+    word before the two, and so on."""
 
     def run(told: pa.Table, own: pa.Table) -> pa.Table:
         told = told.sort_by("range")
         number = np.concatenate([*_of_bytes(told["numbers"], np.int64), np.zeros(0, np.int64)])
         code, place, token, row = unpacked(own["data"][0].as_py(), 4)
         word = number[code]
-        at = np.flatnonzero(token)
-        at = at[word[np.maximum(at - 1, 0)] > ONCE]
-        # places among the block's numbers sort like the numbers and are smaller; 0 for no word
+        # places among the block's numbers, by round, are smaller than the numbers; 0 for what no string has
         distinct, near = np.unique(number, return_inverse=True)
-        near = near[code] + 1
-        column = [near[at]] + [np.where(place[at] >= j, near[np.maximum(at - j, 0)], 0) for j in range(1, depth + 1)]
-        at = at[_order([column[1], column[0], *column[2:]], [len(distinct) + 1] * (depth + 1))]
-        data = pa.array([packed([word, place, token, row, at])], pa.binary())
-        return own.drop_columns(["data"]).append_column("data", data).select(_names(BLOCKS))
+        part = _part(distinct, ROUNDS)
+        by = np.argsort(part, kind="stable")
+        nth = np.empty(len(distinct), np.int64)
+        nth[by] = np.arange(1, len(distinct) + 1)
+        nth[distinct <= ONCE] = 0
+        near = nth[near][code]
+        at = np.flatnonzero(token)
+        at = at[near[at - 1] > 0]
+        column = [near[at], near[at - 1]] + [np.where(place[at] >= j, near[np.maximum(at - j, 0)], 0) for j in range(2, depth + 1)]
+        order = _order([column[1], column[0], *column[2:]], [len(distinct) + 1] * (depth + 1))
+        at = at[order]
+        ends = np.cumsum([0, *np.bincount(part, minlength=ROUNDS)]) + 1
+        cut = np.searchsorted(column[1][order], ends)
+        data = pa.array([packed([word, place, token, row])], pa.binary())
+        places = pa.array([[packed([at[a:b]]) for a, b in zip(cut[:-1], cut[1:])]], pa.list_(pa.binary()))
+        return own.drop_columns(["data"]).append_column("data", data).append_column("places", places).select(_names(BLOCKS))
 
     told = numbered.where("block is not null").select("block", "range", "numbers")
-    own = cut.select(*_names(BLOCKS))
+    own = cut.select("block", "data", "taught", *_names(HEADS))
     return told.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(run, BLOCKS)
 
 
-def tries(data: bytes, taught: np.ndarray, depth: int, ranges: int, rounds: int = 1, turn: int = 0, score: bool = False,
-          by_context: bool = False):
-    """(range, trie) of one round's ranges: the strings that end at a block's words,
+def _slices(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of slices one after the other, and where each begins among them, with the end."""
+    cut = np.concatenate([[0], np.cumsum(sizes)])
+    return np.repeat(starts - cut[:-1], sizes) + np.arange(cut[-1]), cut
+
+
+def tries(data: bytes, places: bytes, taught: np.ndarray, depth: int, ranges: int, score: bool = False):
+    """(range, trie) of one round: the strings that end at a block's words,
     by last pair, then the word before, and so on, as numbers of words, 0 for none.
-    Dealt by the last pair, or by_context by the two words before the last (where
+    Dealt by the last pair, or, beyond pairs, by the two words before the last (where
     there are two). Level by level: pairs as two arrays, then words and how many a
     parent has; how often each branch occurs; to score, also how often in taught
-    texts (by_context), and the texts in which it does. What cannot occur twice in the training
+    texts (beyond pairs), and the texts in which it does. What cannot occur twice in the training
     texts, as one of its words does not, is left out; not to score, also all other texts."""
-    word, place, _, row, at = unpacked(data, 5)
-    column, rows = [word[at], word[np.maximum(at - 1, 0)]], row[at]
-    column += [np.where(place[at] >= j, word[np.maximum(at - j, 0)], NONE) for j in range(2, depth + 1)]
-    some = column[2] > ONCE if by_context else column[0] > ONCE
+    word, place, _, row = unpacked(data, 4, np.int32)
+    at = unpacked(places, 1)[0]
+    word[word <= ONCE] = NONE
+    before = []
+    for j in range(2, depth + 1):
+        before.append(np.zeros_like(word))
+        before[-1][j:] = word[:-j]
+        before[-1][place < j] = NONE
+    # which tokens take part is told by all of them first, in their order
+    there = np.ones(len(word), bool) if depth > 1 and score else word > NONE
+    if depth > 1:
+        there &= before[0] > NONE
     if not score:
-        some &= taught[rows] & (column[0] > ONCE)
-    column, rows = [c[some] for c in column], rows[some]
-    which = _range_of(joined(column[2], column[1]) if by_context else joined(column[1], column[0]), ranges)
-    if rounds > 1:
-        own = which % rounds == turn
-        which, column, rows = which[own], [c[own] for c in column], rows[own]
-    if not len(which):
+        there &= taught[row]
+    at = at[there[at]]
+    if not len(at):
         return
+    column = [word[at], word[at - 1], *(b[at] for b in before)]
+    rows = row[at].astype(np.uint16)
+    new = np.ones(len(at), bool)
+    new[1:] = (column[1][1:] != column[1][:-1]) | (column[0][1:] != column[0][:-1])
+    starts = [np.flatnonzero(new)]
     for c in column[2:]:
-        c[c <= ONCE] = NONE
+        new[1:] |= c[1:] != c[:-1]
+        starts.append(np.flatnonzero(new))
+    # the entries of one level are dealt, with what is below them
+    deal = starts[1 if depth > 1 else 0]
+    pair = [c[deal].astype(np.int64) for c in ((column[2], column[1]) if depth > 1 else (column[1], column[0]))]
+    which = _range_of(joined(*pair), ranges)
     order = np.argsort(which.astype(np.uint16) if ranges <= 1 << 16 else which, kind="stable")
-    which, column, rows = which[order], [c[order] for c in column], rows[order]
-    new = np.ones(len(which), bool)
-    new[1:] = (which[1:] != which[:-1]) | (column[1][1:] != column[1][:-1]) | (column[0][1:] != column[0][:-1])
-    levels = [new]
-    for j in range(2, depth + 1):
-        new = levels[-1].copy()
-        new[1:] |= column[j][1:] != column[j][:-1]
-        levels.append(new)
-    cut = _runs(which)
-    for a, b in zip(cut[:-1], cut[1:]):
-        starts = [np.flatnonzero(lv[a:b]) for lv in levels]
-        parts = [column[0][a:b][starts[0]], column[1][a:b][starts[0]]]
-        for j, down in enumerate(starts[1:]):
-            heads = np.flatnonzero(levels[j][a:b][down])
-            parts += [np.diff(np.append(heads, len(down))), column[j + 2][a:b][down]]
-        parts.append(np.diff(np.append(starts[-1], b - a)))
-        if score and by_context:
-            parts.append(np.add.reduceat(taught[rows[a:b]].astype(np.int64), starts[-1]))
-        if score:
-            parts.append(rows[a:b])
-        yield int(which[a]), packed(parts)
-
-
-def strings_of(data: bytes, depth: int, more: int = 0):
-    """Of a trie, for each length from 2: (strings, contexts, suffixes) as keys, which of them
-    there are, their parents' places in the level before, and their last words; then how often
-    those of the last occur, and `more` arrays that the trie holds beside."""
-    parts = unpacked(data, 2 + 2 * (depth - 1) + 1 + more)
-    word, context = parts[0], parts[1]
-    key = joined(context, word)
+    which, first = which[order], deal[order]
+    sizes = np.diff(np.append(deal, len(at)))[order]
+    own, cut = _slices(first, sizes)
+    bounds = _runs(which)  # of the ranges among the entries dealt
+    last, before = column[0][first], column[1][first]
+    if depth > 1:
+        new = np.ones(len(first), bool)
+        new[1:] = (last[1:] != last[:-1]) | (before[1:] != before[:-1])
+        new[bounds[:-1]] = True
+        pairs = np.flatnonzero(new)
+        parts, cuts = [last[pairs], before[pairs]], [np.searchsorted(pairs, bounds)] * 2
+        parts += [np.diff(np.append(pairs, len(first))), column[2][first]]
+        cuts += [cuts[0], bounds]
+    else:
+        parts, cuts = [last, before], [bounds] * 2
+    leaf = sizes
+    for j in range(3, depth + 1):
+        lower = starts[j - 1]
+        upper = np.append(deal, len(at)) if j == 3 else np.append(starts[j - 2], len(at))
+        held = np.searchsorted(lower, upper)
+        if j == 3:
+            chosen, down = _slices(held[:-1][order], np.diff(held)[order])
+            ends = down[bounds]
+            counts = np.diff(down)
+        else:
+            counts = np.diff(held)[chosen]
+            chosen, down = _slices(held[:-1][chosen], counts)
+            ends = down[ends]
+        parts += [counts, column[j][lower[chosen]]]
+        cuts += [cuts[-1], ends]
+        leaf = np.diff(np.append(lower, len(at)))[chosen]
+    parts.append(leaf)
+    cuts.append(cuts[-1])
+    rows = rows[own]
+    if score and depth > 1:
+        parts.append(np.add.reduceat(taught[rows].astype(np.int32), np.concatenate([[0], np.cumsum(leaf[:-1])])))
+        cuts.append(cuts[-1])
+    if score:
+        parts.append(rows)
+        cuts.append(cut[bounds])
+    parts = [_planes(x) for x in parts]
+    cuts = [c.tolist() for c in cuts]
+    for i, r in enumerate(which[bounds[:-1]].tolist()):
+        yield r, _joined_planes([[p[c[i]:c[i + 1]] for p in planes] for planes, c in zip(parts, cuts)])
+
+
+def strings_of(parts: list[np.ndarray], depth: int) -> list[tuple]:
+    """Of tries (as `gathered` gives them), for each length from 2: (strings, contexts) as keys, which of
+    them there are, their parents' places in the level before, and which have a last word that occurs twice."""
+    word, context = parts[0].astype(np.int64), parts[1].astype(np.int64)
     # of each entry of a level: its last word, its context's words (nearest first) and its key
     last, before = word, [context]
-    levels = [(key, context, word, np.ones(len(key), bool), None, word)]
+    levels = [(joined(context, word), context, np.ones(len(word), bool), None, word > ONCE)]
     for j in range(depth - 1):
-        count, first = parts[2 + 2 * j], parts[3 + 2 * j]
+        count, first = parts[2 + 2 * j], parts[3 + 2 * j].astype(np.int64)
         up = np.repeat(np.arange(len(count)), count)
-        there = first > NONE
-        last, suffix = last[up], key[up]
+        last = last[up]
         before = [b[up] for b in before] + [first]
         context = before[-1]
         for b in before[-2::-1]:
             context = joined(context, b)
-        key = joined(context, last)
-        levels.append((key, context, suffix, there, up, last))
-    return levels, parts[2 + 2 * (depth - 1):]
+        levels.append((joined(context, last), context, first > NONE, up, last > ONCE))
+    return levels
 
 
-def _up_to(levels: list, k: int, n: np.ndarray) -> np.ndarray:
-    """How often each entry of level k occurs, from the numbers n of the last level's."""
-    for j in range(len(levels) - 1, k, -1):
-        n = np.bincount(levels[j][4], n, len(levels[j - 1][0])).astype(np.int64)
-    return n
-
-
-def _summed(keys: np.ndarray, n: np.ndarray, some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct keys, their sums of n, a place of each) of those whose sum reaches LEAST_COUNT,
-    of some entries. Sums over keys that share some bits tell first which are worth sorting."""
+def _alike(keys: np.ndarray, n: np.ndarray, some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, runs, sums): the places of keys whose sum of n reaches LEAST_COUNT, of some entries, by key;
+    where each key begins among them, and the end; the sums. Sums over keys that share some bits tell first
+    which are worth sorting."""
     mask = (1 << max(8, int(2 * len(keys)).bit_length())) - 1
     slot = keys & mask
     may = np.bincount(slot, n if some is None else np.where(some, n, 0), mask + 1)[slot] >= LEAST_COUNT
     at = np.flatnonzero(may if some is None else may & some)
-    at = at[np.argsort(keys[at])]
-    bounds = _runs(keys[at])
-    first = at[bounds[:-1]]
-    n = np.add.reduceat(n[at], bounds[:-1]) if len(at) else n[at]
-    often = n >= LEAST_COUNT
-    return keys[first][often], n[often], first[often]
+    own = keys[at]
+    order = np.argsort(own)
+    at, own = at[order], own[order]
+    bounds = _runs(own)
+    total = np.add.reduceat(n[at], bounds[:-1]) if len(at) else n[at]
+    often, sizes = total >= LEAST_COUNT, np.diff(bounds)
+    return at[np.repeat(often, sizes)], np.concatenate([[0], np.cumsum(sizes[often])]), total[often]
+
+
+def _summed(keys: np.ndarray, n: np.ndarray, some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, their sums of n, a place of each) of those whose sum reaches LEAST_COUNT, of some entries."""
+    at, runs, total = _alike(keys, n, some)
+    first = at[runs[:-1]]
+    return keys[first], total, first
 
 
 class Values:
-    """Values by key (distinct, ascending); some bits of a key tell first which are worth a look."""
+    """Values by key (distinct, ascending), looked up by some bits of a key; keys that share them are searched."""
 
     def __init__(self, keys: np.ndarray, *values: np.ndarray):
         self.keys, self.values = keys, values
-        self.mask = (1 << max(8, int(8 * len(keys)).bit_length())) - 1
-        self.held = np.zeros(self.mask + 1, bool)
-        self.held[keys & self.mask] = True
+        self.mask = (1 << max(8, int(4 * len(keys)).bit_length())) - 1
+        slot, nth = keys & self.mask, np.arange(len(keys), dtype=np.int32)
+        self.table = np.full(self.mask + 1, -1, np.int32)
+        self.table[slot] = nth
+        self.others = np.flatnonzero(self.table[slot] != nth)
 
     def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the wanted keys are there, and their places among the keys."""
-        some = np.flatnonzero(self.held[wanted & self.mask])
-        at = np.minimum(np.searchsorted(self.keys, wanted[some]), len(self.keys) - 1)
-        there = self.keys[at] == wanted[some] if len(some) else np.zeros(0, bool)
+        at = self.table[wanted & self.mask]
+        some = np.flatnonzero(at >= 0)
+        at = at[some]
+        there = self.keys[at] == wanted[some]
+        if len(self.others):
+            rest = self.keys[self.others]
+            more = np.flatnonzero(~there)
+            own = wanted[some[more]]
+            nth = np.minimum(np.searchsorted(rest, own), len(rest) - 1)
+            hit = rest[nth] == own
+            at[more[hit]] = self.others[nth[hit]]
+            there[more[hit]] = True
         return some[there], at[there]
 
     def of(self, wanted: np.ndarray) -> list[np.ndarray]:
@@ -505,52 +587,49 @@ def _trie_rows(found: list) -> pa.RecordBatch:
                                       ["range", "trie"])
 
 
+def _round(texts: DataFrame, turn: int) -> DataFrame:
+    """What a pass over the blocks reads of them, of one round."""
+    return texts.select("block", "data", "taught", F.array(F.col("places")[turn]).alias("places"))
+
+
 def _loaded(batches):
-    """(block, data, taught) of batches of rows of BLOCKS."""
+    """(block, data, places of each round, taught) of batches of rows of BLOCKS."""
     for batch in batches:
         for i in range(batch.num_rows):
-            yield batch["block"][i].as_py(), batch["data"][i].as_py(), np.frombuffer(batch["taught"][i].as_py(), bool)
+            yield (batch["block"][i].as_py(), batch["data"][i].as_py(), batch["places"][i].as_py(),
+                   np.frombuffer(batch["taught"][i].as_py(), bool))
 
 
 def count_pairs(texts: DataFrame, ranges: int) -> DataFrame:
     """Rows (key, context, suffix, n) of the pairs of words that occur LEAST_COUNT times in the training texts."""
 
     def run(batches):
-        for _, data, taught in _loaded(batches):
-            yield _trie_rows(list(tries(data, taught, 1, ranges)))
+        for _, data, places, taught in _loaded(batches):
+            for own in places:
+                yield _trie_rows(list(tries(data, own, taught, 1, ranges)))
 
     def add(group: pa.Table) -> pa.Table:
-        columns = [[], [], [], []]
-        for data in group["trie"]:
-            levels, (n,) = strings_of(data.as_py(), 1)
-            for x, column in zip(columns, [*levels[0][:3], n]):
-                x.append(column)
-        key, context, suffix, n = (np.concatenate(x) for x in columns)
-        key, n, first = _summed(key, n)
-        return pa.table({"key": key, "context": context[first], "suffix": suffix[first], "n": n})
-
-    return (texts.select("block", "data", "taught").mapInArrow(run, "range long, trie binary")
+        (suffix, context, n), _ = gathered(group["trie"], 3)
+        key, n, first = _summed(joined(context.astype(np.int64), suffix.astype(np.int64)), n.astype(np.int64))
+        return pa.table({"key": key, "context": context[first].astype(np.int64), "suffix": suffix[first].astype(np.int64), "n": n})
+
+    return (texts.select("block", "data", "taught", "places").mapInArrow(run, "range long, trie binary")
             .groupBy("range").applyInArrow(add, "key long, context long, suffix long, n long"))
 
 
-def lower_of_pairs(texts: DataFrame, pairs: DataFrame, ranges: int, rounds: int = 1, turn: int = 0) -> DataFrame:
+def lower_of_pairs(texts: DataFrame, pairs: DataFrame, ranges: int, turn: int) -> DataFrame:
     """Rows (range, keys, p), of arrays: P(w | the word before) of the pairs in which
-    strings of three words end that a range of contexts keeps, of one round's ranges;
-    pairs: (key, p). A range asks the pairs' ranges by list."""
+    strings of three words end that a range of contexts keeps, of one round;
+    pairs: (key, part, p). A range asks the pairs' ranges by list."""
 
     def run(batches):
-        for _, data, taught in _loaded(batches):
-            yield _trie_rows(list(tries(data, taught, 2, ranges, rounds, turn, by_context=True)))
+        for _, data, places, taught in _loaded(batches):
+            yield _trie_rows(list(tries(data, places[0], taught, 2, ranges)))
 
     def want(group: pa.Table) -> pa.Table:
-        keys, pair, counts = [], [], []
-        for data in group["trie"]:
-            levels, (n,) = strings_of(data.as_py(), 2)
-            keys.append(levels[1][0])
-            pair.append(levels[1][2])
-            counts.append(n)
-        _, _, first = _summed(np.concatenate(keys), np.concatenate(counts))
-        pair = np.unique(np.concatenate(pair)[first])
+        parts, _ = gathered(group["trie"], 5)
+        (pair, *_), (key, _, _, up, _) = strings_of(parts, 2)
+        pair = np.unique(pair[up[_summed(key, parts[4])[2]]])
         bucket = _range_of(pair, ranges)  # ascending, like the keys
         cut = _runs(bucket)
         return pa.table({"bucket": bucket[cut[:-1]], "range": pa.array(np.full(len(cut) - 1, group["range"][0].as_py())),
@@ -562,9 +641,9 @@ def lower_of_pairs(texts: DataFrame, pairs: DataFrame, ranges: int, rounds: int
         return pa.table({"range": asked["range"], "keys": asked["keys"],
                          "p": _bytes([p[np.searchsorted(key, k)] for k in _of_bytes(asked["keys"], np.int64)])})
 
-    asked = (texts.select("block", "data", "taught").mapInArrow(run, "range long, trie binary")
+    asked = (_round(texts, turn).mapInArrow(run, "range long, trie binary")
              .groupBy("range").applyInArrow(want, "bucket long, range long, keys binary"))
-    known = pairs.select(_range_column("key", ranges).alias("bucket"), "key", "p")
+    known = pairs.where(F.col("part") == turn).select(_range_column("key", ranges).alias("bucket"), "key", "p")
     return asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(tell, "range long, keys binary, p binary")
 
 
@@ -576,7 +655,7 @@ def _quantile_95(df):
 
 def grow(words: DataFrame, counted: DataFrame, n: int, v: int) -> tuple[DataFrame, DataFrame]:
     """(words, pairs), from the tables of words and of pairs, which are deleted: tables
-    (key, base, score) and (key, p, score) of P(w | the word before), and of what a word
+    (key, base, score) and (key, part, p, score) of P(w | the word before), and of what a word
     (also as a state) and a pair add to a text's scores beyond the root probability of an unknown word."""
     log = F.log10(F.col("n") + 1)
     one = words.select(F.col("word").alias("key"), log.alias("base"), log.alias("score"))
@@ -595,7 +674,7 @@ def grow(words: DataFrame, counted: DataFrame, n: int, v: int) -> tuple[DataFram
     weight = F.coalesce((F.col("n") - DISCOUNT) / F.col("total"), F.lit(0.0))
     p = weight + F.coalesce("rest", F.lit(1.0)) * F.col("lower")
     pairs = _kept(own.join(states, "context", "left").select(
-        "key", p.alias("p"), F.when(F.col("total").isNotNull(), F.log10(p) - F.log10("rest") - F.log10("lower")).alias("score")),
+        "key", _part(F.col("context"), ROUNDS).alias("part"), p.alias("p"), F.when(F.col("total").isNotNull(), F.log10(p) - F.log10("rest") - F.log10("lower")).alias("score")),
         "suffixtree-pair-values")
     one = _kept(one.unionByName(states.select(F.col("context").alias("key"), F.lit(0.0).alias("base"), F.log10("rest").alias("score"))),
                 "suffixtree-word-values")
@@ -603,39 +682,37 @@ def grow(words: DataFrame, counted: DataFrame, n: int, v: int) -> tuple[DataFram
     return one, pairs
 
 
-def branch(found: list[tuple], depth: int, keys: np.ndarray, p: np.ndarray) -> list[tuple[Values, Values]]:
-    """The tree's part in a range, from its tries (as `strings_of` gives them): for each length of
-    context from 2 (states with log10 of their rests, strings that go on from them with what those
-    add). keys, p: the pairs in which kept strings of three words end, and P(w | the word before)."""
-    out = []
-    for k in range(1, depth):
-        columns = [[], [], [], [], []]
-        for levels, (_, taught, _) in found:
-            n = _up_to(levels, k, taught)
-            key, context, suffix, there, _, last = levels[k]
-            some = np.flatnonzero(there & (n > 0))
-            for x, column in zip(columns, [key, context, suffix, n, last > ONCE]):
-                x.append(column[some])
-        every, context, suffix, count, often = (np.concatenate(x) for x in columns)
-        del columns
-        key, n, first = _summed(every, count, often)
-        suffix = suffix[first]
+def branch(levels: list[tuple], taught: np.ndarray, depth: int, keys: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """The tree's part in a range, grown from its tries (as `strings_of` gives them; taught: how often each
+    branch occurs in training texts): what the states and strings that end in a branch, with contexts
+    from 2 words, add to a score. keys, p: the pairs in which kept strings of three words end,
+    ascending, and P(w | the word before)."""
+    counts = [taught.astype(float)]
+    for level, above in zip(levels[:1:-1], levels[-2::-1]):
+        counts.append(np.bincount(level[3], counts[-1], len(above[0])))
+    adds = np.zeros(len(levels[0][0]))
+    own = None  # p of each entry of the level before, where its string is kept
+    for (key, context, there, up, often), n in zip(levels[1:], counts[::-1]):
+        at, runs, kept_n = _alike(key, n, there & often)
+        sizes, first = np.diff(runs), at[runs[:-1]]
+        lower = p[np.searchsorted(keys, levels[0][0][up[first]])] if own is None else own[up[first]]
         contexts, of = np.unique(context[first], return_inverse=True)
-        some, at = Values(contexts).find(context)
-        total = np.bincount(at, count[some], len(contexts))
-        lower = Values(keys, p).of(suffix)[0]
-        size, kept, below = (np.bincount(of, x, len(contexts)) for x in (None, n, lower))
+        some, nth = Values(contexts).find(context)
+        total = np.bincount(nth, n[some], len(contexts))
+        size, kept, below = (np.bincount(of, x, len(contexts)) for x in (None, kept_n, lower))
         left = total - kept
-        gain = np.bincount(of, n * np.log(n / lower), len(contexts)) - kept * np.log(total)
+        gain = np.bincount(of, kept_n * np.log(kept_n / lower), len(contexts)) - kept * np.log(total)
         gain += left * np.log(np.where(left > 0, left, total) / total / np.maximum(1 - below, 1e-12))
         state = gain > _quantile_95(size) / 2
         rest = 1 - (kept - DISCOUNT * size) / total
-        p = np.where(state[of], (n - DISCOUNT) / total[of] + rest[of] * lower, lower)
-        more = state[of]
-        adds = np.log10(p[more]) - np.log10(rest[of][more]) - np.log10(lower[more])
-        out.append((Values(contexts[state], np.log10(rest[state])), Values(key[more], adds)))
-        keys = key
-    return out
+        mine = np.where(state[of], (kept_n - DISCOUNT) / total[of] + rest[of] * lower, lower)
+        more = np.where(state[of], np.log10(mine) - np.log10(rest[of]) - np.log10(lower), 0.0)
+        adds = adds[up]
+        adds[some] += np.where(state, np.log10(rest), 0.0)[nth]
+        adds[at] += np.repeat(more, sizes)
+        own = np.zeros(len(key))
+        own[at] = np.repeat(mine, sizes)
+    return adds
 
 
 ASKED = "block long, range long, trie binary"
@@ -643,18 +720,18 @@ ANSWERED = "block long, row binary, n_known binary, base binary, score binary"
 SUMS = "doc_id long, digest binary, n_tokens long, n_known long, base_score double, score double, copies long"
 
 
-def score(texts: DataFrame, values: DataFrame, depth: int, ranges: int, rounds: int = 1, turn: int = 0) -> DataFrame:
+def score(texts: DataFrame, values: DataFrame, depth: int, ranges: int, turn: int = 0) -> DataFrame:
     """Rows of ANSWERED: what one round's ranges add to the scores of every text of the blocks.
-    Depth 0: single words, with their values (key, base, score); 1: pairs, with
-    (key, score); beyond: contexts of two words to depth, and what
+    Depth 0: single words (no rounds), with their values (key, base, score); 1: pairs, with
+    (key, part, score); beyond: contexts of two words to depth, and what
     follows them, with (range, keys, p) of `lower_of_pairs`."""
 
     def ask(batches):
-        for number, data, taught in _loaded(batches):
+        for number, data, places, taught in _loaded(batches):
             if depth:
-                found = list(tries(data, taught, depth, ranges, rounds, turn, True, depth > 1))
+                found = list(tries(data, places[0], taught, depth, ranges, True))
             else:
-                word, _, token, row, _ = unpacked(data, 5)
+                word, _, token, row = unpacked(data, 4)
                 some = np.flatnonzero((token > 0) & (word > NONE))
                 if not len(some):
                     continue
@@ -666,7 +743,7 @@ def score(texts: DataFrame, values: DataFrame, depth: int, ranges: int, rounds:
                 bounds = _runs(dealt)
                 dealt = dealt[bounds[:-1]]
                 cut = np.searchsorted(dealt, np.arange(ranges + 1) * each)
-                found = [(r, packed([np.diff(bounds[a:b + 1]), row[bounds[a]:bounds[b]], dealt[a:b] % each * ranges + r]))
+                found = [(r, packed([dealt[a:b] % each, np.diff(bounds[a:b + 1]), row[bounds[a]:bounds[b]]]))
                          for r, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if a < b]
             n = len(found)
             yield pa.RecordBatch.from_arrays(
@@ -674,52 +751,44 @@ def score(texts: DataFrame, values: DataFrame, depth: int, ranges: int, rounds:
                 _names(ASKED))
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        if not asked.num_rows:
+            return pa.table({c: pa.array([], pa.int64() if c == "block" else pa.binary()) for c in _names(ANSWERED)})
+        parts, lengths = gathered(asked["trie"], (3, 4)[depth] if depth < 2 else 3 + 2 * depth)
         if depth > 1:
-            if not asked.num_rows:
-                return pa.table({c: pa.array([], pa.int64() if c == "block" else pa.binary()) for c in _names(ANSWERED)})
             key, p = (np.concatenate([*_of_bytes(known[c], t), np.zeros(0, t)]) for c, t in (("keys", np.int64), ("p", np.float64)))
             order = np.argsort(key)
-            found = [strings_of(x.as_py(), depth, 2) for x in asked["trie"]]
-            tree = branch(found, depth, key[order], p[order])
+            n, taught, row = parts[-3:]
+            found = [branch(strings_of(parts, depth), taught, depth, key[order], p[order])]
         else:
-            found = [x.as_py() for x in asked["trie"]]
-            key = known["key"].to_numpy()
+            key = known["key"].to_numpy() if depth else known["key"].to_numpy() // ranges
             order = np.argsort(key)
             bounds = _runs(key[order])
             told = Values(key[order][bounds[:-1]], *(np.add.reduceat(known[c].to_numpy()[order], bounds[:-1]) if len(key) else np.zeros(0)
                                                      for c in (["score"] if depth else ["base", "score"])))
-
-        def sums_of(data):
-            """(how often, rows, sums) of a trie's branches."""
+            n, row = parts[-2:]
+            found = told.of(strings_of(parts, 1)[0][0] if depth else parts[0].astype(np.int64))
             if not depth:
-                n, row, keys = unpacked(data, 3)
-                base, own = told.of(keys)
-                return n, row, [(base > 0).astype(float), base, own]
-            if depth == 1:
-                levels, (n, row) = strings_of(data, 1, 1)
-                return n, row, told.of(levels[0][0])
-            levels, (n, _, row) = data
-            total = np.zeros(len(levels[0][0]))
-            for (string, context, _, there, up, _), (states, strings) in zip(levels[1:], tree):
-                total = total[up] + np.where(there, states.of(context)[0] + strings.of(string)[0], 0.0)
-            return n, row, [total]
-
-        rows, out = [], []
-        for data in found:
-            n, row, sums = sums_of(data)
-            most = int(row.max(initial=-1)) + 1
-            sums = [np.bincount(row, np.repeat(s, n), most) for s in sums]
-            some = np.flatnonzero(reduce(np.logical_or, [s != 0 for s in sums]))
-            rows.append(some.astype(np.int32))
-            out.append([s[some] for s in sums])
-        none = pa.nulls(len(out), pa.binary())
-        columns = [none] * 2 if depth else [_bytes([x[0] for x in out]), _bytes([x[1] for x in out])]
-        return pa.table(dict(zip(_names(ANSWERED), [asked["block"], _bytes(rows), *columns, _bytes([x[-1] for x in out])])))
+                found = [(found[0] > 0).astype(float), *found]
+        # each text of a block has a place of its own in the sums
+        ends = np.cumsum(lengths)
+        most = np.maximum.reduceat(row, ends - lengths).astype(np.int64) + 1
+        begin = np.cumsum(most) - most
+        row = row + np.repeat(begin, lengths)
+        found = [np.bincount(row, np.repeat(x, n), begin[-1] + most[-1]) for x in found]
+        some = np.flatnonzero(reduce(np.logical_or, [x != 0 for x in found]))
+        cut = np.searchsorted(some, np.append(begin, begin[-1] + most[-1]))
+        whose = [slice(a, b) for a, b in zip(cut[:-1], cut[1:])]
+        found = [x[some] for x in found]
+        some -= np.repeat(begin, np.diff(cut))
+        none = pa.nulls(len(whose), pa.binary())
+        columns = [none] * 2 if depth else [_bytes([x[own] for own in whose]) for x in found[:2]]
+        return pa.table(dict(zip(_names(ANSWERED), [asked["block"], _bytes([some[own].astype(np.int32) for own in whose]), *columns,
+                                                    _bytes([found[-1][own] for own in whose])])))
 
     held = values if depth > 1 else values.withColumn("range", _range_column("key", ranges) if depth else F.pmod("key", F.lit(ranges).cast("long")))
-    if rounds > 1:
-        held = held.where(F.col("range") % rounds == turn)
-    asked = texts.select("block", "data", "taught").mapInArrow(ask, ASKED)
+    if depth == 1:
+        held = held.where(F.col("part") == turn)
+    asked = _round(texts, turn).mapInArrow(ask, ASKED)
     return asked.groupBy("range").cogroup(held.groupBy("range")).applyInArrow(answer, ANSWERED)
 
 
@@ -747,6 +816,7 @@ def score_texts(df: DataFrame, learn: Column, depth: int = DEPTH, id_col: str =
     docs = keyed_texts(df, id_col, text_col).withColumn("learn", F.coalesce(learn, F.lit(False)))
     size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 6)).first()[0] or 0
     ranges = min(1 << 20, max(ROUNDS, 1 + size // range_bytes))
+    own = -(-ranges // ROUNDS)  # of a round
     _batches_of_bytes(df.sparkSession)
     cut = _kept(cut_texts(docs, depth), "suffixtree-cut", BLOCK_FILE)
     numbered = _kept(number_words(cut, ranges), "suffixtree-numbers")
@@ -757,14 +827,14 @@ def score_texts(df: DataFrame, learn: Column, depth: int = DEPTH, id_col: str =
     dropped(numbered)
     one, pairs = grow(words, _kept(count_pairs(texts, ranges), "suffixtree-pairs"), int(n), int(v))
     rounds = [_kept(score(texts, one, 0, ranges), "suffixtree-scores-words")]
-    rounds += [_kept(score(texts, pairs.where("score is not null"), 1, ranges, ROUNDS, k), f"suffixtree-scores-pairs-round{k}")
+    rounds += [_kept(score(texts, pairs.where("score is not null"), 1, own, k), f"suffixtree-scores-pairs-round{k}")
                for k in range(ROUNDS)]
     if depth > 1:
-        lower = [_kept(lower_of_pairs(texts, pairs, ranges, ROUNDS, k), f"suffixtree-lower-round{k}") for k in range(ROUNDS)]
+        lower = [_kept(lower_of_pairs(texts, pairs, own, k), f"suffixtree-lower-round{k}") for k in range(ROUNDS)]
     dropped(one, pairs)
     if depth > 1:
         for k, held in enumerate(lower):
-            rounds.append(_kept(score(texts, held, depth, ranges, ROUNDS, k), f"suffixtree-scores-round{k}"))
+            rounds.append(_kept(score(texts, held, depth, own, k), f"suffixtree-scores-round{k}"))
             dropped(held)
     # a long text has a row for each of its pieces; equal rows have equal sums
     rows = sums(texts, _union(rounds)).groupBy("doc_id", "digest").agg(

@@ -167,3 +167,22 @@ def test_order_sums_and_values_like_plain_ones():
     wanted = np.append(keys, [7, 1 << 50])
     assert told.of(wanted)[0].tolist() == [want.get(k, 0) for k in wanted.tolist()]
     assert st.Values(key[:0], total[:0]).of(wanted)[0].tolist() == [0] * len(wanted)
+
+
+def test_rounds_share_out_the_places(make_docs):
+    """A pass of one round works on the places of that round alone, and no place is left out."""
+    pairs = [(i, f"a b c w{i % 7} a b d x{i}") for i in range(40)]
+    cut = st.cut_texts(make_docs(pairs).select("doc_id", "text", (F.col("doc_id") % 3 > 0).alias("learn")), 3)
+    shared = [0] * st.ROUNDS
+    for r in st.numbered_texts(cut, st.number_words(cut, 3), 3).collect():
+        word, _, token, _ = st.unpacked(bytes(r.data), 4)
+        places = [st.unpacked(bytes(p), 1)[0] for p in r.places]
+        every = np.flatnonzero(token)
+        assert sorted(np.concatenate(places)) == every[word[every - 1] > st.ONCE].tolist()
+        for k, own in enumerate(places):
+            assert (st._part(word[own - 1], st.ROUNDS) == k).all()
+            told = [st.unpacked(t, 9)[-1] for _, t in st.tries(r.data, r.places[k], np.ones(40, bool), 3, 5, True)]
+            taken = own[np.where(token[own - 1], word[np.maximum(own - 2, 0)], 0) > st.ONCE]
+            assert sum(map(len, told)) == len(taken)
+            shared[k] += len(own)
+    assert min(shared) > 0
