@@ -231,16 +231,21 @@ def packed(arrays: list[np.ndarray]) -> bytes:
     return _joined_planes([_planes(a) for a in arrays])
 
 
-def unpacked(data: bytes, count: int, dtype=np.int64) -> list[np.ndarray]:
+def unpacked(data: bytes, count: int, *dtypes) -> list[np.ndarray | None]:
+    """The arrays of `packed`, of one type or each of its own, which holds their numbers; None leaves one out."""
     size = int(np.frombuffer(data[:4], np.uint32)[0])
     raw = np.frombuffer(pa.Codec("zstd").decompress(memoryview(data)[4:], size, asbytes=True), np.uint8)
     at, out = 8 * count, []
-    for n, width in raw[:at].view(np.uint32).reshape(-1, 2).tolist():
-        a = raw[at:at + n].astype(np.uint32 if width > 1 else dtype)
-        for k in range(1, width):
-            a |= raw[at + k * n:at + (k + 1) * n].astype(np.uint32) << np.uint32(8 * k)
+    for i, (n, width) in enumerate(raw[:at].view(np.uint32).reshape(-1, 2).tolist()):
+        dtype = (dtypes or (np.int64,))[i if len(dtypes) > 1 else 0]
+        if dtype:
+            a = raw[at:at + n].astype(np.uint32 if width > 2 else np.uint16 if width > 1 else dtype)
+            for k in range(1, width):
+                a |= raw[at + k * n:at + (k + 1) * n].astype(a.dtype) << a.dtype.type(8 * k)
+            out.append(a.astype(dtype, copy=False))
+        else:
+            out.append(None)
         at += n * width
-        out.append(a.astype(dtype, copy=False))
     return out
 
 
@@ -251,26 +256,53 @@ def gathered(tries: pa.ChunkedArray, count: int) -> tuple[list[np.ndarray], np.n
     return out, np.array([len(f[-1]) for f in found])
 
 
+def _sorted_places(keys: np.ndarray) -> np.ndarray:
+    """The order of keys from 0, equal ones as they come. Keys with their places in the low bits are sorted,
+    which takes a fraction of argsort's time; where a key has too many bits, those that share the high ones
+    are put in order after that."""
+    keys = keys.astype(np.int64, copy=False)
+    bits = len(keys).bit_length()
+    low = int(keys.min(initial=END))
+    shift = max(0, max(0, int(keys.max(initial=0)) - low).bit_length() + bits - 63)
+    own = ((keys - low) >> shift) << bits
+    own |= np.arange(len(keys))
+    own.sort()
+    order = own & ((1 << bits) - 1)
+    if shift:
+        found = keys[order]
+        wrong = np.flatnonzero(found[1:] < found[:-1])
+        if len(wrong):
+            own >>= bits
+            at = np.flatnonzero(np.isin(own, own[wrong]))
+            order[at] = order[at][np.argsort(found[at], kind="stable")]
+    return order
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys from 0, ascending, and the place of each key among them."""
+    order = _sorted_places(keys)
+    own = keys[order]
+    new = np.ones(len(own), bool)
+    new[1:] = own[1:] != own[:-1]
+    code = np.empty(len(own), np.int64)
+    code[order] = np.cumsum(new) - 1
+    return own[new], code
+
+
 def _order(columns: list[np.ndarray], sizes: list[int]) -> np.ndarray:
     """The order of rows by columns of numbers below sizes, several to a sort key where they
-    fit; a further key is looked at only where those before are equal."""
-    keys, room = [], 1
+    fit beside a row's place; the last key is sorted by first."""
+    keys, room, most = [], 1, 1 << 63 - len(columns[0]).bit_length()
     for c, n in zip(columns, sizes):
-        if keys and room * n < 1 << 63:
+        if keys and room * n <= most:
             keys[-1] = keys[-1] * n + c
             room *= n
         else:
             keys.append(c)
             room = n
-    order = np.argsort(keys[0])
-    new = np.ones(len(order), bool)
-    new[1:] = keys[0][order][1:] != keys[0][order][:-1]
-    for key in keys[1:]:
-        run = np.cumsum(new) - 1
-        tied = np.flatnonzero(np.bincount(run)[run] > 1) if len(run) else run
-        rows = order[tied]
-        order[tied] = rows[np.lexsort((key[rows], run[tied]))]
-        new[1:] |= key[order][1:] != key[order][:-1]
+    order = _sorted_places(keys[-1])
+    for key in keys[-2::-1]:
+        order = order[_sorted_places(key[order])]
     return order
 
 
@@ -309,7 +341,7 @@ def cut_texts(docs: DataFrame, depth: int) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         for block, heads in blocks(batches, depth):
             keys, place, token, row = block.arrays()
-            known, code = np.unique(keys, return_inverse=True)
+            known, code = _distinct(keys)
             taught = np.concatenate([b.column(2).slice(first, len(texts)).to_numpy(zero_copy_only=False)
                                      for b, texts, first, _ in heads]).astype(bool)
             n = np.bincount(code[token & taught[row]], minlength=len(known))
@@ -339,7 +371,7 @@ def number_words(cut: DataFrame, ranges: int) -> DataFrame:
 
     def number(group: pa.Table) -> pa.Table:
         asked = _of_bytes(group["keys"], np.int64)
-        key, of = np.unique(np.concatenate(asked), return_inverse=True)
+        key, of = _distinct(np.concatenate(asked))
         n = np.bincount(of, np.concatenate(_of_bytes(group["n"], np.uint32)), len(key)).astype(np.int64)
         own = group["range"][0].as_py()
         by = np.argsort(-n, kind="stable")
@@ -390,7 +422,7 @@ def numbered_texts(cut: DataFrame, numbered: DataFrame, depth: int) -> DataFrame
         code, place, token, row = unpacked(own["data"][0].as_py(), 4)
         word = number[code]
         # places among the block's numbers, by round, are smaller than the numbers; 0 for what no string has
-        distinct, near = np.unique(number, return_inverse=True)
+        distinct, near = _distinct(number)
         part = _part(distinct, ROUNDS)
         by = np.argsort(part, kind="stable")
         nth = np.empty(len(distinct), np.int64)
@@ -427,8 +459,8 @@ def tries(data: bytes, places: bytes, taught: np.ndarray, depth: int, ranges: in
     parent has; how often each branch occurs; to score, also how often in taught
     texts (beyond pairs), and the texts in which it does. What cannot occur twice in the training
     texts, as one of its words does not, is left out; not to score, also all other texts."""
-    word, place, _, row = unpacked(data, 4, np.int32)
-    at = unpacked(places, 1)[0]
+    word, place, _, row = unpacked(data, 4, np.int32, np.uint8, None, np.uint16)
+    at = unpacked(places, 1, np.int32)[0]
     word[word <= ONCE] = NONE
     before = []
     for j in range(2, depth + 1):
@@ -445,7 +477,7 @@ def tries(data: bytes, places: bytes, taught: np.ndarray, depth: int, ranges: in
     if not len(at):
         return
     column = [word[at], word[at - 1], *(b[at] for b in before)]
-    rows = row[at].astype(np.uint16)
+    rows = row[at]
     new = np.ones(len(at), bool)
     new[1:] = (column[1][1:] != column[1][:-1]) | (column[0][1:] != column[0][:-1])
     starts = [np.flatnonzero(new)]
@@ -524,16 +556,13 @@ def strings_of(parts: list[np.ndarray], depth: int) -> list[tuple]:
 
 def _alike(keys: np.ndarray, n: np.ndarray, some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(places, runs, sums): the places of keys whose sum of n reaches LEAST_COUNT, of some entries, by key;
-    where each key begins among them, and the end; the sums. Sums over keys that share some bits tell first
-    which are worth sorting."""
-    mask = (1 << max(8, int(2 * len(keys)).bit_length())) - 1
-    slot = keys & mask
-    may = np.bincount(slot, n if some is None else np.where(some, n, 0), mask + 1)[slot] >= LEAST_COUNT
-    at = np.flatnonzero(may if some is None else may & some)
-    own = keys[at]
-    order = np.argsort(own)
-    at, own = at[order], own[order]
-    bounds = _runs(own)
+    where each key begins among them, and the end; the sums."""
+    if some is None:
+        at = _sorted_places(keys)
+    else:
+        at = np.flatnonzero(some)
+        at = at[_sorted_places(keys[at])]
+    bounds = _runs(keys[at])
     total = np.add.reduceat(n[at], bounds[:-1]) if len(at) else n[at]
     often, sizes = total >= LEAST_COUNT, np.diff(bounds)
     return at[np.repeat(often, sizes)], np.concatenate([[0], np.cumsum(sizes[often])]), total[often]
@@ -636,7 +665,7 @@ def lower_of_pairs(texts: DataFrame, pairs: DataFrame, ranges: int, turn: int) -
                          "keys": _bytes([pair[a:b] for a, b in zip(cut[:-1], cut[1:])])})
 
     def tell(asked: pa.Table, known: pa.Table) -> pa.Table:
-        order = np.argsort(known["key"].to_numpy())
+        order = _sorted_places(known["key"].to_numpy())
         key, p = known["key"].to_numpy()[order], known["p"].to_numpy()[order]
         return pa.table({"range": asked["range"], "keys": asked["keys"],
                          "p": _bytes([p[np.searchsorted(key, k)] for k in _of_bytes(asked["keys"], np.int64)])})
@@ -696,7 +725,7 @@ def branch(levels: list[tuple], taught: np.ndarray, depth: int, keys: np.ndarray
         at, runs, kept_n = _alike(key, n, there & often)
         sizes, first = np.diff(runs), at[runs[:-1]]
         lower = p[np.searchsorted(keys, levels[0][0][up[first]])] if own is None else own[up[first]]
-        contexts, of = np.unique(context[first], return_inverse=True)
+        contexts, of = _distinct(context[first])
         some, nth = Values(contexts).find(context)
         total = np.bincount(nth, n[some], len(contexts))
         size, kept, below = (np.bincount(of, x, len(contexts)) for x in (None, kept_n, lower))
@@ -731,14 +760,14 @@ def score(texts: DataFrame, values: DataFrame, depth: int, ranges: int, turn: in
             if depth:
                 found = list(tries(data, places[0], taught, depth, ranges, True))
             else:
-                word, _, token, row = unpacked(data, 4)
-                some = np.flatnonzero((token > 0) & (word > NONE))
+                word, _, token, row = unpacked(data, 4, np.int64, None, bool, np.uint16)
+                some = np.flatnonzero(token & (word > NONE))
                 if not len(some):
                     continue
                 word, row = word[some], row[some]
                 each = int(word.max()) // ranges + 1
                 dealt = word % ranges * each + word // ranges
-                order = np.argsort(dealt)
+                order = _sorted_places(dealt)
                 dealt, row = dealt[order], row[order]
                 bounds = _runs(dealt)
                 dealt = dealt[bounds[:-1]]
@@ -756,12 +785,12 @@ def score(texts: DataFrame, values: DataFrame, depth: int, ranges: int, turn: in
         parts, lengths = gathered(asked["trie"], (3, 4)[depth] if depth < 2 else 3 + 2 * depth)
         if depth > 1:
             key, p = (np.concatenate([*_of_bytes(known[c], t), np.zeros(0, t)]) for c, t in (("keys", np.int64), ("p", np.float64)))
-            order = np.argsort(key)
+            order = _sorted_places(key)
             n, taught, row = parts[-3:]
             found = [branch(strings_of(parts, depth), taught, depth, key[order], p[order])]
         else:
             key = known["key"].to_numpy() if depth else known["key"].to_numpy() // ranges
-            order = np.argsort(key)
+            order = _sorted_places(key)
             bounds = _runs(key[order])
             told = Values(key[order][bounds[:-1]], *(np.add.reduceat(known[c].to_numpy()[order], bounds[:-1]) if len(key) else np.zeros(0)
                                                      for c in (["score"] if depth else ["base", "score"])))
@@ -782,7 +811,7 @@ def score(texts: DataFrame, values: DataFrame, depth: int, ranges: int, turn: in
         some -= np.repeat(begin, np.diff(cut))
         none = pa.nulls(len(whose), pa.binary())
         columns = [none] * 2 if depth else [_bytes([x[own] for own in whose]) for x in found[:2]]
-        return pa.table(dict(zip(_names(ANSWERED), [asked["block"], _bytes([some[own].astype(np.int32) for own in whose]), *columns,
+        return pa.table(dict(zip(_names(ANSWERED), [asked["block"], _bytes([some[own].astype(np.uint16) for own in whose]), *columns,
                                                     _bytes([found[-1][own] for own in whose])])))
 
     held = values if depth > 1 else values.withColumn("range", _range_column("key", ranges) if depth else F.pmod("key", F.lit(ranges).cast("long")))
@@ -798,7 +827,7 @@ def sums(texts: DataFrame, answers: DataFrame) -> DataFrame:
     def add_up(told: pa.Table, head: pa.Table) -> pa.Table:
         ids, piece, tokens, digest = (head[c].combine_chunks().flatten() for c in ("doc_id", "piece", "n_tokens", "digest"))
         total = {c: np.zeros(len(ids)) for c in ("n_known", "base", "score")}
-        for row, *values in zip(_of_bytes(told["row"], np.int32), *(told[c] for c in total)):
+        for row, *values in zip(_of_bytes(told["row"], np.uint16), *(told[c] for c in total)):
             for out, x in zip(total.values(), values):
                 if x.is_valid:
                     out[row] += np.frombuffer(x.as_py(), np.float64)

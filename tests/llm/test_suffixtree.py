@@ -186,3 +186,12 @@ def test_rounds_share_out_the_places(make_docs):
             assert sum(map(len, told)) == len(taken)
             shared[k] += len(own)
     assert min(shared) > 0
+
+
+def test_sorted_places_of_keys_that_share_high_bits():
+    rng = np.random.default_rng(11)
+    near = (rng.integers(0, 40, 3000) << 55) + rng.integers(0, 5, 3000)
+    for keys in (near, rng.integers(0, 1 << 63, 700), rng.integers(0, 9, 100), near + 1, np.zeros(0, np.int64), np.array([st.END])):
+        assert st._sorted_places(keys).tolist() == np.argsort(keys, kind="stable").tolist()
+        distinct, code = st._distinct(keys)
+        assert distinct.tolist() == sorted(set(keys.tolist())) and (distinct[code] == keys).all()
