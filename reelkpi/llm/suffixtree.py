@@ -41,7 +41,9 @@ passage that a block repeats is there once. What comes back of scores is one sum
 a range and text of a block. The ranges grow with the bytes of text; those of
 pairs' scores and of longer contexts are gone through in rounds, each a pass
 over the blocks, and tables of which nothing is needed any more are deleted, so
-that the disk holds a part at a time. A text of any length is cut into blocks.
+that the disk holds a part at a time. A round has the strings of a
+share of the words before the last, whose places a block keeps apart, so that a pass
+sorts, hashes and ships no others. A text of any length is cut into blocks.
 
 Defined results: a null, empty or blank text is its end alone; a row whose id
 is null teaches nothing and is not held out; repeated rows count as often as
